@@ -10,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox import constants as K
-from lunchbox.operators.joins import (bounded, employee_star, employees_on_leave,
-                                      not_excluded, union_state)
+from lunchbox.functions.text import job_category
+from lunchbox.operators.joins import (employee_star, employees_on_leave, not_excluded,
+                                      union_state)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -49,14 +50,17 @@ def eligible_view(model: HRModel) -> DataFrame:
     star = (model.employees
             .join(F.broadcast(model.companies), "company_id")
             .join(F.broadcast(union_state(model)), "union_id"))
-    from lunchbox.functions.text import job_category
     star = star.withColumn("job_category", job_category(F.col("job_title")))
     return (not_excluded(star, model.exclusions)
             .where(status_ok(F.col("status"))))
 
 
-def eligible_employees(model: HRModel) -> DataFrame:
-    """Report eligibility: category must be FUNCIONARIO."""
-    star = employee_star(model)
-    return (not_excluded(star, model.exclusions)
+def report_eligible(df: DataFrame, exclusions: DataFrame) -> DataFrame:
+    """Report eligibility on any employee frame carrying status and job_category."""
+    return (not_excluded(df, exclusions)
             .where(status_ok(F.col("status")) & (F.col("job_category") == K.CATEGORY_EMPLOYEE)))
+
+
+def eligible_employees(model: HRModel) -> DataFrame:
+    """Report eligibility: category must be FUNCIONARIO (star-joined rows)."""
+    return report_eligible(employee_star(model), model.exclusions)

@@ -39,6 +39,16 @@ def employee_star(model: HRModel) -> DataFrame:
             .withColumn("job_category", job_category(F.col("job_title"))))
 
 
+def employee_jobs(model: HRModel) -> DataFrame:
+    """Employees with their job category only (no union / state join)."""
+    return model.employees.withColumn("job_category", job_category(F.col("job_title")))
+
+
+def employee_unions(model: HRModel) -> DataFrame:
+    """Employees with job category and union (no state join)."""
+    return employee_jobs(model).join(bounded(model, "unions"), "union_id")
+
+
 def vacation_days(model: HRModel, period: Period | None = None) -> DataFrame:
     """Vacation days per employee for one period (partial + final hash agg)."""
     p = period or model.period

@@ -111,10 +111,23 @@ term_agg AS (
   SELECT employee_id, arg_max(termination_date, termination_id) AS last_term,
          arg_max(notice_ok, termination_id) AS last_ok
   FROM termination GROUP BY employee_id),
+emp_job AS (SELECT e.*, {category('e.job_title')} AS job_category FROM employee e),
+hire_r AS (SELECT * FROM hire WHERE employee_id IN (SELECT employee_id FROM employee)),
+termination_r AS (SELECT * FROM termination WHERE employee_id IN (SELECT employee_id FROM employee)),
+vacation_r AS (SELECT * FROM vacation WHERE employee_id IN (SELECT employee_id FROM employee)),
+leave_r AS (SELECT * FROM leave_ WHERE employee_id IN (SELECT employee_id FROM employee)),
+exclusion_r AS (SELECT * FROM exclusion WHERE employee_id IN (SELECT employee_id FROM employee)),
+backfilled AS (
+  SELECT e.employee_id, e.registration, e.company_id, e.job_title, e.union_id, e.status,
+         COALESCE(e.hire_date, h.first_hire) AS hire_date, e.termination_date
+  FROM employee e
+  LEFT JOIN (SELECT employee_id, arg_min(hire_date, hire_id) AS first_hire FROM hire_r GROUP BY employee_id) h
+    ON h.employee_id = e.employee_id),
 calc0 AS (
   SELECT emp.employee_id, emp.registration, emp.union_id, emp.union_name, emp.daily_value,
+         v.vacation_days AS v_raw,
          emp.status, emp.job_title, emp.job_category,
-         COALESCE(wd.working_days, 0) AS wdays, COALESCE(v.vacation_days, 0) AS vdays,
+         wd.working_days AS wd_raw, COALESCE(wd.working_days, 0) AS wdays, COALESCE(v.vacation_days, 0) AS vdays,
          COALESCE(emp.hire_date, h.first_hire) AS own_hire,
          COALESCE(h.last_hire, emp.hire_date, h.first_hire) AS eff_hire,
          COALESCE(t.last_term, emp.termination_date) AS eff_term,
@@ -174,3 +187,414 @@ SELECT registration, COALESCE(strftime(own_hire, '%d/%m/%Y'), '') AS admission,
        CAST(company_dec AS DOUBLE) AS company_cost, CAST(employee_dec AS DOUBLE) AS employee_discount,
        notes
 FROM calc""")
+
+EXCLUDED_STATUSES = "('Auxílio Doença', 'Licença Maternidade', 'Atestado')"
+PERIOD_WD = f"wd.period_start = {P_START} AND wd.period_end = {P_END}"
+REG = "CAST(employee_id - 1 + 30000 AS BIGINT)"
+
+
+def _q(name, body):
+    SQL[name] = with_model(body)
+
+
+# ----------------------------------------------------------------- sources --
+_q("load_employees", """
+SELECT e.registration, 'Empresa Principal' AS company, e.job_title, e.status, u.union_full_name
+FROM employee e LEFT JOIN labor_union u ON e.union_id = u.union_id""")
+_q("load_vacations", f"""
+SELECT {REG} AS registration, 'Férias' AS status, CAST(vacation_days AS BIGINT) AS vacation_days
+FROM vacation""")
+_q("load_leaves", f"""
+SELECT {REG} AS registration, leave_type, CAST(NULL AS VARCHAR) AS purchase_flag FROM leave_""")
+_q("load_terminations", f"""
+SELECT {REG} AS registration, termination_date, notice_ok FROM termination""")
+_q("load_hires", """
+SELECT CAST(h.employee_id - 1 + 30000 AS BIGINT) AS registration, h.hire_date, e.job_title
+FROM hire h LEFT JOIN employee e ON h.employee_id = e.employee_id""")
+_q("load_exclusions", f"""
+SELECT {REG} AS registration, exclusion_type, CAST(specific_value AS DOUBLE) AS specific_value, notes
+FROM exclusion""")
+_q("dim_states", "SELECT state_id, state_name, uf, CAST(daily_value AS DOUBLE) AS daily_value FROM state")
+_q("dim_unions", "SELECT union_id, union_full_name, union_name, state_id FROM labor_union")
+_q("dim_working_days", """
+SELECT union_id, period_start, period_end, CAST(working_days AS BIGINT) AS working_days FROM working_days""")
+_q("load_bases", f"""
+SELECT 'employees' AS base, CAST(COUNT(*) AS BIGINT) AS row_count FROM emp
+UNION ALL SELECT 'working_days', COUNT(*) FROM working_days wd WHERE {PERIOD_WD}
+UNION ALL SELECT 'vacations', COUNT(*) FROM vac_sum
+UNION ALL SELECT 'exclusions', COUNT(*) FROM exclusion
+UNION ALL SELECT 'leaves', COUNT(*) FROM leave_
+UNION ALL SELECT 'hires', COUNT(*) FROM hire
+UNION ALL SELECT 'terminations', COUNT(*) FROM termination""")
+_q("working_days_for_period", f"""
+SELECT union_id, CAST(working_days AS BIGINT) AS working_days FROM working_days wd WHERE {PERIOD_WD}""")
+
+# ------------------------------------------------------------------ ingest --
+_q("cast_checked", f"""
+SELECT {REG} AS registration, termination_date, CAST(0 AS BIGINT) AS cast_errors FROM termination""")
+_q("job_titles", """
+SELECT DISTINCT title FROM (
+  SELECT job_title AS title FROM employee
+  UNION ALL SELECT e.job_title FROM hire h LEFT JOIN employee e ON h.employee_id = e.employee_id
+  UNION ALL SELECT e.job_title FROM exclusion x LEFT JOIN employee e ON x.employee_id = e.employee_id
+            WHERE x.exclusion_type = 'ESTAGIARIO'
+  UNION ALL SELECT e.job_title FROM exclusion x LEFT JOIN employee e ON x.employee_id = e.employee_id
+            WHERE x.exclusion_type = 'APRENDIZ') t
+WHERE title IS NOT NULL""")
+_q("job_category", "SELECT title, category FROM job")
+_q("job_dim", "SELECT job_id, title, category FROM job")
+_q("employee_dim", """
+SELECT e.registration, COALESCE(j.job_id, 1) AS job_id, COALESCE(u.union_id, 1) AS union_id, e.status,
+       j.job_id IS NOT NULL AS job_id_matched, u.union_id IS NOT NULL AS union_id_matched
+FROM employee e
+LEFT JOIN labor_union u0 ON e.union_id = u0.union_id
+LEFT JOIN job j ON j.title = e.job_title
+LEFT JOIN labor_union u ON u.union_full_name = u0.union_full_name""")
+_q("resolve_vacations", """
+SELECT employee_id, period_start, period_end, CAST(vacation_days AS BIGINT) AS vacation_days FROM vacation_r""")
+_q("resolve_leaves", """
+SELECT employee_id, leave_type, DATE '1998-04-01' AS start_date, CAST(NULL AS DATE) AS end_date FROM leave_r""")
+_q("resolve_terminations", "SELECT employee_id, termination_date, notice_ok FROM termination_r")
+_q("resolve_hires", "SELECT employee_id, hire_date FROM hire_r")
+_q("exclusions_union", """
+SELECT employee_id, exclusion_type, CAST(specific_value AS DOUBLE) AS specific_value, notes FROM exclusion_r""")
+_q("backfill_hire_date", "SELECT employee_id, hire_date FROM backfilled")
+_q("upsert_changed", """
+SELECT b.employee_id, b.status, b.hire_date,
+       (b.hire_date IS DISTINCT FROM e.hire_date OR b.status IS DISTINCT FROM e.status) AS changed
+FROM backfilled b JOIN employee e ON b.employee_id = e.employee_id""")
+
+# ----------------------------------------------------------------- filters --
+_q("employee_star", """
+SELECT employee_id, registration, status, job_title, job_category, union_id, union_name, state_name,
+       CAST(daily_value AS DOUBLE) AS daily_value FROM emp""")
+_q("category_status_filter", f"""
+SELECT employee_id, registration, job_category, status FROM emp
+WHERE NOT (COALESCE(job_category IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR'), FALSE)
+           OR COALESCE(status IN {EXCLUDED_STATUSES}, FALSE))""")
+_q("eligible_base", f"""
+SELECT employee_id, registration, job_category, status, union_name FROM emp
+WHERE employee_id NOT IN (SELECT employee_id FROM exclusion)
+  AND employee_id NOT IN (SELECT employee_id FROM on_leave)
+  AND NOT (COALESCE(job_category IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR'), FALSE)
+           OR COALESCE(status IN {EXCLUDED_STATUSES}, FALSE))""")
+_q("eligible_view", f"""
+SELECT b.employee_id, b.registration, b.status, b.hire_date, b.termination_date,
+       c.company_name, b.job_title, {category('b.job_title')} AS job_category,
+       u.union_full_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value
+FROM backfilled b
+JOIN (SELECT CAST(1 AS BIGINT) AS company_id, 'Empresa Principal' AS company_name) c ON b.company_id = c.company_id
+JOIN labor_union u ON b.union_id = u.union_id
+JOIN state s ON u.state_id = s.state_id
+WHERE b.employee_id NOT IN (SELECT employee_id FROM exclusion)
+  AND b.status NOT IN {EXCLUDED_STATUSES}""")
+ELIGIBLE_REPORT = f"""
+  employee_id NOT IN (SELECT employee_id FROM exclusion)
+  AND status NOT IN {EXCLUDED_STATUSES}
+  AND job_category = 'FUNCIONARIO'"""
+_q("eligible_employees", f"""
+SELECT registration, status, job_title, job_category, union_name, state_name,
+       CAST(daily_value AS DOUBLE) AS daily_value
+FROM emp WHERE {ELIGIBLE_REPORT}""")
+
+# ------------------------------------------------------------------- joins --
+_q("employee_working_days", f"""
+SELECT e.employee_id, e.union_id, CAST(wd.working_days AS BIGINT) AS working_days
+FROM employee e LEFT JOIN working_days wd ON e.union_id = wd.union_id AND {PERIOD_WD}""")
+_q("employee_vacation", """
+SELECT e.employee_id, CAST(COALESCE(v.vacation_days, 0) AS BIGINT) AS vacation_days
+FROM employee e LEFT JOIN vac_sum v ON e.employee_id = v.employee_id""")
+_q("exclusion_flag", """
+SELECT e.employee_id, EXISTS (SELECT 1 FROM exclusion x WHERE x.employee_id = e.employee_id) AS is_excluded
+FROM employee e""")
+_q("leave_overlap", f"""
+SELECT DISTINCT employee_id FROM leave_r
+WHERE COALESCE(start_date, {P_START}) <= {P_END} AND (end_date IS NULL OR end_date >= {P_START})""")
+_q("not_excluded", """
+SELECT employee_id, registration FROM employee WHERE employee_id NOT IN (SELECT employee_id FROM exclusion)""")
+_q("latest_hire", """
+SELECT employee_id, arg_max(hire_date, hire_id) AS latest_hire_date FROM hire_r GROUP BY employee_id""")
+_q("latest_termination", """
+SELECT employee_id, arg_max(termination_date, termination_id) AS latest_termination_date,
+       arg_max(notice_ok, termination_id) AS latest_notice_ok
+FROM termination_r GROUP BY employee_id""")
+_q("employees_with_hire", """
+SELECT employee_id, registration FROM employee e
+WHERE EXISTS (SELECT 1 FROM hire h WHERE h.employee_id = e.employee_id)""")
+_q("duplicate_registrations", """
+SELECT employee_id, registration FROM employee
+WHERE registration IN (SELECT registration FROM employee GROUP BY registration HAVING COUNT(*) > 1)""")
+_q("excluded_employees", """
+SELECT e.registration, e.job_title, e.job_category, x.exclusion_type,
+       CAST(x.specific_value AS DOUBLE) AS specific_value, x.notes
+FROM emp_job e JOIN exclusion x ON e.employee_id = x.employee_id
+ORDER BY x.exclusion_type, e.registration""")
+
+# ------------------------------------------------------------- calculation --
+LAYOUT = f"""registration, COALESCE(strftime(own_hire, '%d/%m/%Y'), '') AS admission, union_name,
+       {P_LABEL} AS period_label, CAST(days AS BIGINT) AS days,
+       CAST(daily_value AS DOUBLE) AS daily_value, CAST(total_dec AS DOUBLE) AS total,
+       CAST(company_dec AS DOUBLE) AS company_cost, CAST(employee_dec AS DOUBLE) AS employee_discount,
+       notes"""
+_q("purchase_layout", f"SELECT {LAYOUT}, 'VR MENSAL 05.1998' AS sheet FROM calc")
+_q("base_days", """
+SELECT employee_id, CAST(wdays AS BIGINT) AS working_days, CAST(vdays AS BIGINT) AS vacation_days,
+       CAST(d0 AS BIGINT) AS base_days FROM calc""")
+_q("hire_proration", """
+SELECT employee_id, eff_hire AS hire_date, hired_in AS hired_in_period, CAST(d0 AS BIGINT) AS base_days,
+       CAST(d1 AS BIGINT) AS days_after_hire FROM calc""")
+_q("termination_rule", """
+SELECT employee_id, eff_term AS termination_date, ok AS notice_ok, term_in AS terminated_in_period,
+       to_zero AS terminated_to_zero, CAST(d1 AS BIGINT) AS days_after_hire, CAST(days AS BIGINT) AS days
+FROM calc""")
+_q("benefit_amounts", """
+SELECT employee_id, CAST(days AS BIGINT) AS days, CAST(daily_value AS DOUBLE) AS daily_value,
+       CAST(total_dec AS DOUBLE) AS total, CAST(company_dec AS DOUBLE) AS company_cost,
+       CAST(employee_dec AS DOUBLE) AS employee_discount FROM calc""")
+_q("observations", "SELECT employee_id, notes FROM calc")
+SIMPLE = f"""
+  SELECT e.registration, e.job_title, e.union_name, e.daily_value, wd.working_days,
+         COALESCE(v.vacation_days, 0) AS vacation_days,
+         wd.working_days - COALESCE(v.vacation_days, 0) AS calc_days,
+         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value AS total_value,
+         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value * 0.8 AS company_cost,
+         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value * 0.2 AS employee_discount
+  FROM emp e
+  JOIN working_days wd ON e.union_id = wd.union_id
+  LEFT JOIN vacation v ON e.employee_id = v.employee_id
+  WHERE e.employee_id NOT IN (SELECT employee_id FROM exclusion)
+    AND e.status NOT IN {EXCLUDED_STATUSES}
+    AND e.job_category = 'FUNCIONARIO'
+    AND {PERIOD_WD}"""
+_q("simple_calc", f"""
+SELECT registration, job_title, union_name, CAST(daily_value AS DOUBLE) AS daily_value,
+       CAST(working_days AS BIGINT) AS union_working_days, CAST(vacation_days AS BIGINT) AS vacation_days,
+       CAST(calc_days AS BIGINT) AS calc_days, CAST(total_value AS DOUBLE) AS total_value,
+       CAST(company_cost AS DOUBLE) AS company_cost, CAST(employee_discount AS DOUBLE) AS employee_discount
+FROM ({SIMPLE}) s""")
+_q("financial_summary", f"""
+SELECT CAST(COUNT(*) AS BIGINT) AS eligible_employees, CAST(SUM(total_value) AS DOUBLE) AS total_value,
+       CAST(SUM(company_cost) AS DOUBLE) AS company_cost,
+       CAST(SUM(employee_discount) AS DOUBLE) AS employee_discount
+FROM ({SIMPLE}) s""")
+_q("terminated_employees", """
+SELECT e.registration, e.job_title, t.termination_date, t.notice_ok,
+       CASE WHEN t.notice_ok THEN 'Recebe VR proporcional' ELSE 'Não recebe VR' END AS termination_rule
+FROM employee e JOIN termination t ON e.employee_id = t.employee_id
+ORDER BY t.termination_date, e.registration, t.termination_id LIMIT 10""")
+RESULTS = """
+  SELECT employee_id, CAST(5 AS BIGINT) AS period_month, CAST(1998 AS BIGINT) AS period_year,
+         CAST(wdays AS BIGINT) AS union_working_days, CAST(vdays AS BIGINT) AS vacation_days,
+         CAST(d0 AS BIGINT) AS worked_days, CAST(days AS BIGINT) AS calc_days,
+         daily_value, total_dec AS total_value, company_dec AS company_cost,
+         employee_dec AS employee_discount, notes
+  FROM calc"""
+_q("calc_results", f"""
+SELECT employee_id, period_month, period_year, union_working_days, vacation_days, worked_days, calc_days,
+       CAST(daily_value AS DOUBLE) AS daily_value, CAST(total_value AS DOUBLE) AS total_value,
+       CAST(company_cost AS DOUBLE) AS company_cost, CAST(employee_discount AS DOUBLE) AS employee_discount,
+       notes
+FROM ({RESULTS}) r""")
+_q("period_summary", f"""
+SELECT period_month, period_year, CAST(COUNT(*) AS BIGINT) AS total_employees,
+       CAST(SUM(calc_days) AS BIGINT) AS total_days, CAST(SUM(total_value) AS DOUBLE) AS total_value,
+       CAST(SUM(company_cost) AS DOUBLE) AS company_cost,
+       CAST(SUM(employee_discount) AS DOUBLE) AS employee_discount
+FROM ({RESULTS}) r GROUP BY period_month, period_year""")
+_q("retain_results", f"""
+SELECT employee_id, period_month, period_year, calc_days FROM ({RESULTS}) r
+WHERE period_year * 12 + (period_month - 1) >= 1998 * 12 + 4 - 12""")
+_q("retain_vacations", """
+SELECT vacation_id, employee_id, period_end FROM vacation WHERE period_end >= DATE '1998-05-01'""")
+
+# --------------------------------------------------------------- agreement --
+DEFAULT_V = "CASE WHEN COALESCE(daily_value, 0) <= 0 THEN CAST(37.5 AS DECIMAL(10,2)) ELSE daily_value END"
+UNION_V = ("CASE union_name WHEN 'BRAZIL' THEN CAST(40.0 AS DECIMAL(10,2)) "
+           "WHEN 'JAPAN' THEN CAST(30.0 AS DECIMAL(10,2)) ELSE daily_value END")
+NOT_INTERN = "(job_category IS NULL OR job_category <> 'ESTAGIARIO')"
+_q("agreement_default_value", f"SELECT registration, CAST({DEFAULT_V} AS DOUBLE) AS daily_value FROM calc")
+_q("agreement_total", f"""
+SELECT registration, CAST(days AS BIGINT) AS days, CAST(v AS DOUBLE) AS daily_value,
+       CAST(round(days * v, 2) AS DOUBLE) AS total, CAST(company_dec AS DOUBLE) AS company_cost,
+       CAST(employee_dec AS DOUBLE) AS employee_discount
+FROM (SELECT *, {DEFAULT_V} AS v FROM calc) c WHERE {NOT_INTERN}""")
+_q("agreement_exclude_category", f"SELECT registration, job_category FROM calc WHERE {NOT_INTERN}")
+_q("agreement_union_value", f"""
+SELECT registration, union_name, CAST({UNION_V} AS DOUBLE) AS daily_value FROM calc""")
+_q("agreement_split", """
+SELECT registration, CAST(total_dec AS DOUBLE) AS total,
+       CAST(round(total_dec * 0.75, 2) AS DOUBLE) AS company_cost,
+       CAST(round(total_dec * 0.25, 2) AS DOUBLE) AS employee_discount FROM calc""")
+_q("agreement_cap", """
+SELECT registration, CAST(total_dec AS DOUBLE) AS total,
+       CAST(company_dec + (employee_dec - LEAST(employee_dec, 150.00)) AS DOUBLE) AS company_cost,
+       CAST(LEAST(employee_dec, 150.00) AS DOUBLE) AS employee_discount FROM calc""")
+_q("agreement_declared", f"""
+SELECT registration, CAST(days AS BIGINT) AS days, CAST(v AS DOUBLE) AS daily_value, CAST(t AS DOUBLE) AS total,
+       CAST(round(t * 0.75, 2) + (round(t * 0.25, 2) - LEAST(round(t * 0.25, 2), 150.00)) AS DOUBLE) AS company_cost,
+       CAST(LEAST(round(t * 0.25, 2), 150.00) AS DOUBLE) AS employee_discount
+FROM (SELECT *, round(days * v, 2) AS t FROM (
+        SELECT *, CASE WHEN COALESCE(v1, 0) <= 0 THEN CAST(37.5 AS DECIMAL(10,2)) ELSE v1 END AS v
+        FROM (SELECT *, {UNION_V} AS v1 FROM calc WHERE {NOT_INTERN}) a) b) c""")
+
+# ------------------------------------------------------------ aggregations --
+_q("vacation_days", f"""
+SELECT employee_id, CAST(SUM(vacation_days) AS BIGINT) AS vacation_days FROM vacation_r
+WHERE period_start = {P_START} AND period_end = {P_END} GROUP BY employee_id""")
+_q("validation_totals", """
+SELECT 'Total colaboradores' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM calc
+UNION ALL SELECT 'Soma TOTAL', CAST(round(COALESCE(SUM(total_dec), 0), 2) AS DOUBLE) FROM calc
+UNION ALL SELECT 'Soma Custo empresa', CAST(round(COALESCE(SUM(company_dec), 0), 2) AS DOUBLE) FROM calc
+UNION ALL SELECT 'Soma Desconto profissional', CAST(round(COALESCE(SUM(employee_dec), 0), 2) AS DOUBLE) FROM calc""")
+UNION_BASE = f"""
+FROM employee c JOIN labor_union u ON c.union_id = u.union_id JOIN state s ON u.state_id = s.state_id
+JOIN working_days wd ON u.union_id = wd.union_id
+WHERE {PERIOD_WD}"""
+_q("union_distribution", f"""
+SELECT u.union_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value,
+       CAST(wd.working_days AS BIGINT) AS working_days, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
+       CAST(SUM(CASE WHEN c.status = 'Trabalhando' THEN 1 ELSE 0 END) AS BIGINT) AS working,
+       CAST(SUM(CASE WHEN c.status = 'Férias' THEN 1 ELSE 0 END) AS BIGINT) AS on_vacation
+{UNION_BASE}
+GROUP BY u.union_id, u.union_name, s.state_name, s.daily_value, wd.working_days
+ORDER BY total_employees DESC""")
+_q("union_summary", f"""
+SELECT u.union_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value,
+       CAST(wd.working_days AS BIGINT) AS working_days, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
+       CAST(SUM(CASE WHEN c.status = 'Trabalhando' THEN 1 ELSE 0 END) AS BIGINT) AS working,
+       CAST(SUM(CASE WHEN c.status = 'Férias' THEN 1 ELSE 0 END) AS BIGINT) AS on_vacation,
+       CAST(SUM(CASE WHEN c.status IN {EXCLUDED_STATUSES} THEN 1 ELSE 0 END) AS BIGINT) AS on_leave
+{UNION_BASE}
+GROUP BY u.union_id, u.union_name, s.state_name, s.daily_value, wd.working_days
+ORDER BY total_employees DESC""")
+_q("union_headcount", f"""
+SELECT u.union_name, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
+       CAST(s.daily_value AS DOUBLE) AS daily_value, CAST(wd.working_days AS BIGINT) AS working_days
+{UNION_BASE}
+GROUP BY u.union_id, u.union_name, s.daily_value, wd.working_days
+ORDER BY total_employees DESC""")
+_q("kpi_counts", f"""
+SELECT 'total_employees' AS metric, CAST(COUNT(*) AS BIGINT) AS value FROM employee
+UNION ALL SELECT 'eligible_employees', COUNT(*) FROM emp_job WHERE {ELIGIBLE_REPORT}
+UNION ALL SELECT 'excluded', COUNT(*) FROM exclusion_r
+UNION ALL SELECT 'interns', COUNT(*) FROM exclusion_r WHERE exclusion_type = 'ESTAGIARIO'
+UNION ALL SELECT 'apprentices', COUNT(*) FROM exclusion_r WHERE exclusion_type = 'APRENDIZ'
+UNION ALL SELECT 'abroad', COUNT(*) FROM exclusion_r WHERE exclusion_type = 'EXTERIOR'
+UNION ALL SELECT 'on_vacation', COUNT(*) FROM vacation_r
+UNION ALL SELECT 'on_leave', COUNT(*) FROM leave_r
+UNION ALL SELECT 'terminated', COUNT(*) FROM termination_r
+UNION ALL SELECT 'hired', COUNT(*) FROM hire_r""")
+_q("table_counts", """
+SELECT table_name, CAST(row_count AS BIGINT) AS row_count FROM (
+  SELECT 'employees' AS table_name, COUNT(*) AS row_count FROM employee
+  UNION ALL SELECT 'unions', COUNT(*) FROM labor_union
+  UNION ALL SELECT 'states', COUNT(*) FROM state
+  UNION ALL SELECT 'jobs', COUNT(*) FROM job
+  UNION ALL SELECT 'companies', 1
+  UNION ALL SELECT 'vacations', COUNT(*) FROM vacation_r
+  UNION ALL SELECT 'leaves', COUNT(*) FROM leave_r
+  UNION ALL SELECT 'terminations', COUNT(*) FROM termination_r
+  UNION ALL SELECT 'hires', COUNT(*) FROM hire_r
+  UNION ALL SELECT 'exclusions', COUNT(*) FROM exclusion_r
+  UNION ALL SELECT 'working_days', COUNT(*) FROM working_days) t
+UNION ALL
+SELECT 'TOTAL', CAST((SELECT COUNT(*) FROM employee) + (SELECT COUNT(*) FROM labor_union)
+  + (SELECT COUNT(*) FROM state) + (SELECT COUNT(*) FROM job) + 1 + (SELECT COUNT(*) FROM vacation_r)
+  + (SELECT COUNT(*) FROM leave_r) + (SELECT COUNT(*) FROM termination_r) + (SELECT COUNT(*) FROM hire_r)
+  + (SELECT COUNT(*) FROM exclusion_r) + (SELECT COUNT(*) FROM working_days) AS BIGINT)""")
+
+# ----------------------------------------------------------------- top-N ---
+_q("eligible_top", f"""
+SELECT registration, status, job_title, job_category, union_name, state_name,
+       CAST(daily_value AS DOUBLE) AS daily_value
+FROM emp WHERE {ELIGIBLE_REPORT} ORDER BY registration LIMIT 10""")
+_q("vacation_top", """
+SELECT e.registration, e.job_title, u.union_name, CAST(v.vacation_days AS BIGINT) AS vacation_days,
+       v.period_start, v.period_end
+FROM employee e JOIN labor_union u ON e.union_id = u.union_id JOIN vacation v ON e.employee_id = v.employee_id
+ORDER BY v.vacation_days DESC, e.registration, v.vacation_id LIMIT 10""")
+_q("hires_in_month", """
+SELECT e.registration, e.job_title, h.hire_date, u.union_name, CAST(s.daily_value AS DOUBLE) AS daily_value
+FROM employee e JOIN hire h ON e.employee_id = h.employee_id
+JOIN labor_union u ON e.union_id = u.union_id JOIN state s ON u.state_id = s.state_id
+WHERE h.hire_date >= DATE '1998-04-01' AND h.hire_date <= DATE '1998-04-30'
+ORDER BY h.hire_date, e.registration, h.hire_id LIMIT 10""")
+
+# --------------------------------------------------------------- quality ---
+_q("dq_report", """
+SELECT 'duplicate_registration' AS "check", CAST(COUNT(*) AS BIGINT) AS offenders FROM employee
+  WHERE registration IN (SELECT registration FROM employee GROUP BY registration HAVING COUNT(*) > 1)
+UNION ALL SELECT 'employee_without_union', COUNT(*) FROM employee WHERE union_id IS NULL
+UNION ALL SELECT 'employee_without_job', COUNT(*) FROM employee WHERE job_title IS NULL
+UNION ALL SELECT 'invalid_daily_value', COUNT(*) FROM state WHERE daily_value <= 0 OR daily_value IS NULL
+UNION ALL SELECT 'invalid_working_days', COUNT(*) FROM working_days WHERE working_days <= 0 OR working_days > 31""")
+_q("dq_foreign_keys", """
+SELECT 'employees.union_id' AS foreign_key, CAST(COUNT(*) AS BIGINT) AS offenders FROM employee e
+  WHERE e.union_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labor_union u WHERE u.union_id = e.union_id)
+UNION ALL SELECT 'employees.company_id', COUNT(*) FROM employee e WHERE e.company_id IS NOT NULL AND e.company_id <> 1
+UNION ALL SELECT 'employees.job_title', COUNT(*) FROM employee e
+  WHERE e.job_title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM job j WHERE j.title = e.job_title)
+UNION ALL SELECT 'unions.state_id', COUNT(*) FROM labor_union u
+  WHERE u.state_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM state s WHERE s.state_id = u.state_id)
+UNION ALL SELECT 'working_days.union_id', COUNT(*) FROM working_days w
+  WHERE w.union_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labor_union u WHERE u.union_id = w.union_id)
+UNION ALL SELECT 'vacations.employee_id', COUNT(*) FROM vacation WHERE employee_id NOT IN (SELECT employee_id FROM employee)
+UNION ALL SELECT 'leaves.employee_id', COUNT(*) FROM leave_ WHERE employee_id NOT IN (SELECT employee_id FROM employee)
+UNION ALL SELECT 'terminations.employee_id', COUNT(*) FROM termination WHERE employee_id NOT IN (SELECT employee_id FROM employee)
+UNION ALL SELECT 'hires.employee_id', COUNT(*) FROM hire WHERE employee_id NOT IN (SELECT employee_id FROM employee)
+UNION ALL SELECT 'exclusions.employee_id', COUNT(*) FROM exclusion WHERE employee_id NOT IN (SELECT employee_id FROM employee)""")
+_q("dq_unique_keys", """
+SELECT 'states.state_name' AS "check", CAST(COUNT(*) AS BIGINT) AS offenders FROM state
+  WHERE state_name IN (SELECT state_name FROM state GROUP BY state_name HAVING COUNT(*) > 1)
+UNION ALL SELECT 'states.uf', COUNT(*) FROM state WHERE uf IN (SELECT uf FROM state GROUP BY uf HAVING COUNT(*) > 1)
+UNION ALL SELECT 'unions.union_full_name', COUNT(*) FROM labor_union
+  WHERE union_full_name IN (SELECT union_full_name FROM labor_union GROUP BY union_full_name HAVING COUNT(*) > 1)
+UNION ALL SELECT 'employees.registration', COUNT(*) FROM employee
+  WHERE registration IN (SELECT registration FROM employee GROUP BY registration HAVING COUNT(*) > 1)
+UNION ALL SELECT 'working_days.union_period', COUNT(*) FROM working_days w
+  WHERE (union_id, period_start, period_end) IN (SELECT (union_id, period_start, period_end) FROM working_days
+         GROUP BY union_id, period_start, period_end HAVING COUNT(*) > 1)
+UNION ALL SELECT 'employees.status_not_null', COUNT(*) FROM employee WHERE status IS NULL
+UNION ALL SELECT 'states.daily_value_not_null', COUNT(*) FROM state WHERE daily_value IS NULL""")
+NO_EMP = "employee_id NOT IN (SELECT employee_id FROM employee)"
+_q("dq_unmatched", f"""
+SELECT 'vacations' AS feed, CAST(COUNT(*) AS BIGINT) AS offenders FROM vacation WHERE {NO_EMP}
+UNION ALL SELECT 'leaves', COUNT(*) FROM leave_ WHERE {NO_EMP}
+UNION ALL SELECT 'terminations', COUNT(*) FROM termination WHERE {NO_EMP}
+UNION ALL SELECT 'hires', COUNT(*) FROM hire WHERE {NO_EMP}
+UNION ALL SELECT 'interns', COUNT(*) FROM exclusion WHERE exclusion_type = 'ESTAGIARIO' AND {NO_EMP}
+UNION ALL SELECT 'apprentices', COUNT(*) FROM exclusion WHERE exclusion_type = 'APRENDIZ' AND {NO_EMP}
+UNION ALL SELECT 'abroad', COUNT(*) FROM exclusion WHERE exclusion_type = 'EXTERIOR' AND {NO_EMP}""")
+_q("dq_results", f"""
+SELECT 'excluded_group_present' AS "check", CAST(COUNT(*) AS BIGINT) AS offenders FROM calc
+  WHERE COALESCE(job_category IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR'), FALSE)
+     OR COALESCE(status IN {EXCLUDED_STATUSES}, FALSE)
+     OR employee_id IN (SELECT employee_id FROM exclusion) OR employee_id IN (SELECT employee_id FROM on_leave)
+UNION ALL SELECT 'split_not_total', COUNT(*) FROM calc WHERE company_dec + employee_dec <> total_dec
+UNION ALL SELECT 'negative_value', COUNT(*) FROM calc WHERE days < 0 OR total_dec < 0
+UNION ALL SELECT 'days_above_working_days', COUNT(*) FROM calc WHERE days > wdays
+UNION ALL SELECT 'hire_after_termination', COUNT(*) FROM calc WHERE eff_hire > eff_term
+UNION ALL SELECT 'terminated_before_period', COUNT(*) FROM calc WHERE eff_term < {P_START}
+UNION ALL SELECT 'missing_working_days', COUNT(*) FROM calc WHERE wd_raw IS NULL""")
+
+# ---------------------------------------------------------------- declared --
+_q("working_days_from_calendar", f"""
+SELECT u.union_id, {P_START} AS period_start, {P_END} AS period_end, CAST(COUNT(*) AS BIGINT) AS working_days
+FROM labor_union u,
+     (SELECT CAST(d AS DATE) AS d FROM generate_series(TIMESTAMP '1998-04-15', TIMESTAMP '1998-05-15',
+                                                       INTERVAL 1 DAY) g(d)) cal
+WHERE isodow(cal.d) <= 5
+  AND NOT EXISTS (SELECT 1 FROM (VALUES (DATE '1998-04-21', CAST(NULL AS BIGINT)),
+                                        (DATE '1998-05-01', CAST(NULL AS BIGINT)),
+                                        (DATE '1998-04-23', CAST(4 AS BIGINT))) h(hd, hs)
+                  WHERE h.hd = cal.d AND (h.hs IS NULL OR h.hs = u.state_id))
+GROUP BY u.union_id""")
+_q("consolidated_base", """
+SELECT registration, job_title FROM employee
+UNION ALL
+SELECT CAST(h.employee_id - 1 + 30000 AS BIGINT) AS registration, e.job_title
+FROM hire h LEFT JOIN employee e ON h.employee_id = e.employee_id
+WHERE CAST(h.employee_id - 1 + 30000 AS BIGINT) NOT IN (SELECT registration FROM employee)""")
+_q("abroad_value", """
+SELECT e.employee_id, e.registration, CAST(COALESCE(x.specific_value, e.daily_value) AS DOUBLE) AS daily_value
+FROM exclusion_r x JOIN emp e ON x.employee_id = e.employee_id WHERE x.exclusion_type = 'EXTERIOR'""")
