@@ -36,8 +36,9 @@ _FACT_SCHEMA = [
 ]
 
 
-def _with_periods(df: DataFrame, periods: list[Period]) -> DataFrame:
-    return df.withColumn("_p", F.explode(periods_column(periods))).select("*", "_p.*").drop("_p")
+def _with_periods(df: DataFrame, periods: Column) -> DataFrame:
+    """Every row once per period (``inline`` of the literal period array)."""
+    return df.select("*", F.inline(periods))
 
 
 def _typed(df: DataFrame, **values: Column) -> DataFrame:
@@ -50,19 +51,20 @@ def _typed(df: DataFrame, **values: Column) -> DataFrame:
 def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     """One row per (employee_id, period_start) holding every calc input."""
     lo, hi = span(periods)
+    pc = periods_column(periods)
     vac = _with_periods(model.vacations.where(
         (F.col("period_start") >= F.lit(lo)) & (F.col("period_end") <= F.lit(hi)))
-        .withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), periods)
+        .withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
     vac = vac.where((F.col("v_start") == F.col("period_start")) & (F.col("v_end") == F.col("period_end")))
-    lv = _with_periods(model.leaves, periods)
+    lv = _with_periods(model.leaves, pc)
     lv = leave_overlaps(lv, F.col("period_start"), F.col("period_end"))
     rows = [
         _typed(vac, vacation_days=F.col("vacation_days")),
         _typed(lv, on_leave=F.lit(True)),
-        _typed(_with_periods(model.exclusions, periods), excluded=F.lit(True)),
-        _typed(_with_periods(model.hires, periods),
+        _typed(_with_periods(model.exclusions, pc), excluded=F.lit(True)),
+        _typed(_with_periods(model.hires, pc),
                hire_id=F.col("hire_id"), hire_date=F.col("hire_date")),
-        _typed(_with_periods(model.terminations, periods),
+        _typed(_with_periods(model.terminations, pc),
                termination_id=F.col("termination_id"),
                termination_date=F.col("termination_date"), notice_ok=F.col("notice_ok")),
     ]
@@ -86,7 +88,7 @@ def purchase_calc(model: HRModel, periods: list[Period] | None = None) -> DataFr
     """Eligible employees x periods with every intermediate of the calculation."""
     periods = periods or [model.period]
     emp = category_status_filter(employee_star(model))
-    emp = _with_periods(emp, periods)
+    emp = _with_periods(emp, periods_column(periods))
     facts = employee_period_facts(model, periods)
     wd = bounded(model, "working_days").select("union_id", "period_start", "period_end", "working_days")
     base = (emp.join(facts, ["employee_id", "period_start"], "left")
@@ -107,31 +109,32 @@ def add_calculation(base: DataFrame) -> DataFrame:
     ps, pe, pdays = F.col("period_start"), F.col("period_end"), F.col("period_days")
     wd = F.coalesce(F.col("working_days"), F.lit(0))
     vac = F.coalesce(F.col("vacation_days"), F.lit(0))
-    out = (base
-           .withColumn("employee_hire_date", F.coalesce(F.col("hire_date"), F.col("first_hire_date")))
-           .withColumn("effective_hire_date", F.coalesce(F.col("latest_hire_date"), F.col("employee_hire_date")))
-           .withColumn("effective_termination_date",
-                       F.coalesce(F.col("latest_termination_date"), F.col("termination_date")))
-           .withColumn("notice", F.coalesce(F.col("latest_notice_ok"), F.lit(False)))
-           .withColumn("base_days", F.greatest(wd - vac, F.lit(0)).cast("int")))
+    employee_hire = F.coalesce(F.col("hire_date"), F.col("first_hire_date"))
+    out = base.withColumns({
+        "employee_hire_date": employee_hire,
+        "effective_hire_date": F.coalesce(F.col("latest_hire_date"), employee_hire),
+        "effective_termination_date": F.coalesce(F.col("latest_termination_date"),
+                                                 F.col("termination_date")),
+        "notice": F.coalesce(F.col("latest_notice_ok"), F.lit(False)),
+        "base_days": F.greatest(wd - vac, F.lit(0)).cast("int"),
+    })
     hire = F.col("effective_hire_date")
     term = F.col("effective_termination_date")
-    out = (out
-           .withColumn("hired_in_period", F.coalesce(in_range(hire, ps, pe), F.lit(False)))
-           .withColumn("days_after_hire",
-                       F.when(F.col("hired_in_period"),
-                              prorate_days(F.col("base_days"), inclusive_days(hire, pe), pdays))
-                       .otherwise(F.col("base_days")))
-           .withColumn("terminated_in_period", F.coalesce(in_range(term, ps, pe), F.lit(False)))
-           .withColumn("terminated_to_zero",
-                       F.col("terminated_in_period") & F.col("notice")
-                       & (F.dayofmonth(term) <= K.NOTICE_DAY_LIMIT))
-           .withColumn("days_after_termination",
-                       F.when(F.col("terminated_to_zero"), F.lit(0))
-                       .when(F.col("terminated_in_period"),
-                             prorate_days(F.col("days_after_hire"), inclusive_days(ps, term), pdays))
-                       .otherwise(F.col("days_after_hire")))
-           .withColumn("days", F.greatest(F.col("days_after_termination"), F.lit(0)).cast("int")))
+    hired = F.coalesce(in_range(hire, ps, pe), F.lit(False))
+    terminated = F.coalesce(in_range(term, ps, pe), F.lit(False))
+    out = out.withColumns({
+        "hired_in_period": hired,
+        "days_after_hire": F.when(hired, prorate_days(F.col("base_days"), inclusive_days(hire, pe), pdays))
+                            .otherwise(F.col("base_days")),
+        "terminated_in_period": terminated,
+        "terminated_to_zero": terminated & F.col("notice") & (F.dayofmonth(term) <= K.NOTICE_DAY_LIMIT),
+    })
+    after_term = (F.when(F.col("terminated_to_zero"), F.lit(0))
+                  .when(F.col("terminated_in_period"),
+                        prorate_days(F.col("days_after_hire"), inclusive_days(ps, term), pdays))
+                  .otherwise(F.col("days_after_hire")))
+    out = out.withColumns({"days_after_termination": after_term,
+                           "days": F.greatest(after_term, F.lit(0)).cast("int")})
     return add_money(out).withColumn("notes", observations(
         F.col("hired_in_period"), hire, F.col("terminated_in_period"), F.col("terminated_to_zero"), term))
 
@@ -139,8 +142,8 @@ def add_calculation(base: DataFrame) -> DataFrame:
 def add_money(df: DataFrame, company_share=K.COMPANY_SHARE, employee_share=K.EMPLOYEE_SHARE) -> DataFrame:
     total = total_value(F.col("days"), F.coalesce(F.col("daily_value"), F.lit(0)))
     return (df.withColumn("total", total)
-            .withColumn("company_cost", share(F.col("total"), company_share))
-            .withColumn("employee_discount", share(F.col("total"), employee_share)))
+            .withColumns({"company_cost": share(F.col("total"), company_share),
+                          "employee_discount": share(F.col("total"), employee_share)}))
 
 
 def observations(hired: Column, hire_date: Column, terminated: Column,

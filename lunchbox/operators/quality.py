@@ -35,8 +35,8 @@ def dq_report(model: HRModel) -> DataFrame:
     emp = model.employees
     return _stack([
         _count(duplicated_keys(emp, ["registration"]), "duplicate_registration"),
-        _count(emp, "employee_without_union", F.col("union_id").isNull()),
-        _count(emp, "employee_without_job", F.col("job_title").isNull()),
+        _checks_in_one_pass(emp, [("employee_without_union", F.col("union_id").isNull()),
+                                  ("employee_without_job", F.col("job_title").isNull())]),
         _count(model.states, "invalid_daily_value",
                F.coalesce(F.col("daily_value") <= 0, F.lit(True))),
         _count(model.working_days, "invalid_working_days",
@@ -87,22 +87,26 @@ def dq_unmatched(feeds: dict[str, tuple[DataFrame, str]], employees: DataFrame)
     return _stack(parts)
 
 
+def _checks_in_one_pass(df: DataFrame, checks: list[tuple[str, object]]) -> DataFrame:
+    """Several conditional counts over one frame in a single aggregation,
+    returned in long form (check, offenders)."""
+    agg = df.agg(*[F.count_if(cond).cast("long").alias(f"c{i}") for i, (_, cond) in enumerate(checks)])
+    args = ", ".join(f"'{label}', c{i}" for i, (label, _) in enumerate(checks))
+    return agg.selectExpr(f"stack({len(checks)}, {args}) AS (check, offenders)")
+
+
 def dq_results(calc: DataFrame) -> DataFrame:
-    """Checks over a purchase calculation (``operators.calc.purchase_calc``)."""
+    """Checks over a purchase calculation (``operators.calc.purchase_calc``), one pass."""
     excluded = (F.coalesce(F.col("job_category").isin(K.EXCLUDED_CATEGORIES), F.lit(False))
                 | F.coalesce(F.col("status").isin(K.EXCLUDED_STATUSES), F.lit(False))
                 | F.coalesce(F.col("excluded"), F.lit(False))
                 | F.coalesce(F.col("on_leave"), F.lit(False)))
-    return _stack([
-        _count(calc, "excluded_group_present", excluded),
-        _count(calc, "split_not_total",
-               (F.col("company_cost") + F.col("employee_discount")) != F.col("total")),
-        _count(calc, "negative_value", (F.col("days") < 0) | (F.col("total") < 0)),
-        _count(calc, "days_above_working_days",
-               F.col("days") > F.coalesce(F.col("working_days"), F.lit(0))),
-        _count(calc, "hire_after_termination",
-               F.col("effective_hire_date") > F.col("effective_termination_date")),
-        _count(calc, "terminated_before_period",
-               F.col("effective_termination_date") < F.col("period_start")),
-        _count(calc, "missing_working_days", F.col("working_days").isNull()),
+    return _checks_in_one_pass(calc, [
+        ("excluded_group_present", excluded),
+        ("split_not_total", (F.col("company_cost") + F.col("employee_discount")) != F.col("total")),
+        ("negative_value", (F.col("days") < 0) | (F.col("total") < 0)),
+        ("days_above_working_days", F.col("days") > F.coalesce(F.col("working_days"), F.lit(0))),
+        ("hire_after_termination", F.col("effective_hire_date") > F.col("effective_termination_date")),
+        ("terminated_before_period", F.col("effective_termination_date") < F.col("period_start")),
+        ("missing_working_days", F.col("working_days").isNull()),
     ])

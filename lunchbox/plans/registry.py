@@ -20,7 +20,7 @@ from lunchbox.operators import (agreement, calc, declared, eligibility, ingest,
 from lunchbox.periods import Period
 from lunchbox.sources import sheets, sinks
 from lunchbox.sources.rules import read_rules
-from lunchbox.sources.testdata import PERIOD, load_model
+from lunchbox.sources.testdata import catalog as load_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

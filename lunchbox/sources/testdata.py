@@ -42,6 +42,25 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# Session-level catalog: the lazy table definitions of a directory are built
+# once per session (file listing and footer reads happen on the driver), then
+# every query derives its own plan from them.  No data is cached.
+_CATALOG: dict[tuple, HRModel] = {}
+
+
+def catalog(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRModel:
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), period)
+    model = _CATALOG.get(key)
+    if model is None:
+        model = _CATALOG[key] = load_model(spark, sf_dir, period)
+    return model
+
+
+def refresh_catalog() -> None:
+    """Forget cached table definitions (after the files changed)."""
+    _CATALOG.clear()
+
+
 def _title_from_part(part: DataFrame) -> DataFrame:
     prefix = F.lit(TITLE_PREFIX_OTHER)
     for size in sorted(TITLE_PREFIX_BY_SIZE, reverse=True):
