@@ -22,7 +22,9 @@ def prorate_days(days: Column, part: Column, whole: Column) -> Column:
     The ratio is evaluated first and as a double, the same order of operations
     as the rule being reproduced, so results agree on every tie.
     """
-    ratio = F.least(F.greatest(part.cast("double") / whole.cast("double"), F.lit(0.0)), F.lit(1.0))
+    # an empty whole (no days to prorate over) gives ratio 0, not an error
+    ratio = F.least(F.greatest(F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")),
+                                          F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
     return F.bround(days.cast("double") * ratio, 0).cast("int")
 
 

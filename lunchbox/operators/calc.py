@@ -84,7 +84,8 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     )
 
 
-def purchase_calc(model: HRModel, periods: list[Period] | None = None) -> DataFrame:
+def purchase_calc(model: HRModel, periods: list[Period] | None = None,
+                  proration: str = "calendar") -> DataFrame:
     """Eligible employees x periods with every intermediate of the calculation."""
     periods = periods or [model.period]
     emp = category_status_filter(employee_star(model))
@@ -95,17 +96,22 @@ def purchase_calc(model: HRModel, periods: list[Period] | None = None) -> DataFr
             .where(~F.coalesce(F.col("excluded"), F.lit(False))
                    & ~F.coalesce(F.col("on_leave"), F.lit(False)))
             .join(wd, ["union_id", "period_start", "period_end"], "left"))
-    return add_calculation(base)
+    return add_calculation(base, proration)
 
 
-def add_calculation(base: DataFrame) -> DataFrame:
+def add_calculation(base: DataFrame, proration: str = "calendar") -> DataFrame:
     """Days, proration, money and notes on a frame holding the calc inputs.
 
     Required columns: period_start/end/days, working_days, vacation_days,
     hire_date (employee's own), first_hire_date, latest_hire_date,
     termination_date (employee's own), latest_termination_date,
     latest_notice_ok, daily_value.
+
+    ``proration="workdays"`` (declared mode) prorates by Mon-Fri days of the
+    employed part of the period instead of calendar days.
     """
+    if proration not in ("calendar", "workdays"):
+        raise ValueError(f"unknown proration {proration!r}")
     ps, pe, pdays = F.col("period_start"), F.col("period_end"), F.col("period_days")
     wd = F.coalesce(F.col("working_days"), F.lit(0))
     vac = F.coalesce(F.col("vacation_days"), F.lit(0))
@@ -120,18 +126,24 @@ def add_calculation(base: DataFrame) -> DataFrame:
     })
     hire = F.col("effective_hire_date")
     term = F.col("effective_termination_date")
+    if proration == "workdays":
+        from lunchbox.operators.declared import weekday_count
+        after_hire, until_term, whole = (weekday_count(hire, pe), weekday_count(ps, term),
+                                         weekday_count(ps, pe))
+    else:
+        after_hire, until_term, whole = inclusive_days(hire, pe), inclusive_days(ps, term), pdays
     hired = F.coalesce(in_range(hire, ps, pe), F.lit(False))
     terminated = F.coalesce(in_range(term, ps, pe), F.lit(False))
     out = out.withColumns({
         "hired_in_period": hired,
-        "days_after_hire": F.when(hired, prorate_days(F.col("base_days"), inclusive_days(hire, pe), pdays))
+        "days_after_hire": F.when(hired, prorate_days(F.col("base_days"), after_hire, whole))
                             .otherwise(F.col("base_days")),
         "terminated_in_period": terminated,
         "terminated_to_zero": terminated & F.col("notice") & (F.dayofmonth(term) <= K.NOTICE_DAY_LIMIT),
     })
     after_term = (F.when(F.col("terminated_to_zero"), F.lit(0))
                   .when(F.col("terminated_in_period"),
-                        prorate_days(F.col("days_after_hire"), inclusive_days(ps, term), pdays))
+                        prorate_days(F.col("days_after_hire"), until_term, whole))
                   .otherwise(F.col("days_after_hire")))
     out = out.withColumns({"days_after_termination": after_term,
                            "days": F.greatest(after_term, F.lit(0)).cast("int")})
@@ -157,6 +169,15 @@ def observations(hired: Column, hire_date: Column, terminated: Column,
     return join_notes(hire_note, zero_note, prorated_note)
 
 
+def period_attributes(df: DataFrame) -> DataFrame:
+    """Distinct (period_start, period_end) of a frame with label and length."""
+    return (df.select("period_start", "period_end").distinct()
+            .select("period_start", "period_end",
+                    F.date_format("period_end", "MM/yyyy").alias("period_label"),
+                    inclusive_days(F.col("period_start"), F.col("period_end")).cast("long")
+                    .alias("period_days")))
+
+
 def layout(calc: DataFrame) -> DataFrame:
     """Purchase-sheet projection (English names; display headers at write)."""
     return calc.select(

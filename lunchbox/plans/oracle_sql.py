@@ -598,3 +598,31 @@ WHERE CAST(h.employee_id - 1 + 30000 AS BIGINT) NOT IN (SELECT registration FROM
 _q("abroad_value", """
 SELECT e.employee_id, e.registration, CAST(COALESCE(x.specific_value, e.daily_value) AS DOUBLE) AS daily_value
 FROM exclusion_r x JOIN emp e ON x.employee_id = e.employee_id WHERE x.exclusion_type = 'EXTERIOR'""")
+
+_q("periods", """
+SELECT period_start, period_end, strftime(period_end, '%m/%Y') AS period_label,
+       CAST(date_diff('day', period_start, period_end) + 1 AS BIGINT) AS period_days
+FROM (SELECT period_start, period_end FROM working_days
+      UNION SELECT period_start, period_end FROM vacation) p""")
+
+
+def _weekdays(a: str, b: str) -> str:
+    return (f"(SELECT COUNT(*) FROM generate_series(CAST({a} AS TIMESTAMP), CAST({b} AS TIMESTAMP), "
+            f"INTERVAL 1 DAY) g(d) WHERE isodow(d) <= 5)")
+
+
+_q("workday_proration", f"""
+SELECT employee_id, CAST(d1w AS BIGINT) AS days_after_hire, CAST(dw AS BIGINT) AS days,
+       CAST(round(dw * daily_value, 2) AS DOUBLE) AS total
+FROM (
+  SELECT *, GREATEST(CASE WHEN to_zero THEN 0
+                          WHEN term_in THEN CAST(round_even(CAST(d1w AS DOUBLE) * LEAST(GREATEST(
+                               CAST({_weekdays(P_START, 'eff_term')} AS DOUBLE) / {_weekdays(P_START, P_END)},
+                               0.0), 1.0), 0) AS INTEGER)
+                          ELSE d1w END, 0) AS dw
+  FROM (
+    SELECT *, CASE WHEN hired_in THEN CAST(round_even(CAST(d0 AS DOUBLE) * LEAST(GREATEST(
+                   CAST({_weekdays('eff_hire', P_END)} AS DOUBLE) / {_weekdays(P_START, P_END)},
+                   0.0), 1.0), 0) AS INTEGER)
+              ELSE d0 END AS d1w
+    FROM calc) a) b""")

@@ -398,6 +398,15 @@ def _monthly_purchase(m):
     return calc.monthly_purchase(m)
 
 
+@query("periods")
+def _periods(m):
+    """CAL1: the periods present in the working-day and vacation tables, with
+    label (MM/YYYY of the end) and inclusive length."""
+    both = m.working_days.select("period_start", "period_end").unionByName(
+        m.vacations.select("period_start", "period_end"))
+    return calc.period_attributes(both)
+
+
 @query("purchase_layout")
 def _purchase_layout(m):
     """SNK1/PRJ1: the purchase sheet rows with their tab name."""
@@ -680,6 +689,14 @@ def _wd_calendar(m):
     return declared.working_days_from_calendar(m.unions, [m.period], _holidays(m.spark))
 
 
+@query("workday_proration")
+def _workday_proration(m):
+    """DEC2 (declared): hire / termination proration by working days."""
+    return calc.purchase_calc(m, proration="workdays").select(
+        "employee_id", F.col("days_after_hire").cast("long"), F.col("days").cast("long"),
+        *_money("total"))
+
+
 @raw_query("consolidated_base")
 def _consolidated_base(spark, sf_dir):
     """DEC3 (declared): active base plus hires missing from it."""
