@@ -76,7 +76,7 @@ def resolve_registrations(feed: DataFrame, employees: DataFrame,
 
 def unmatched_registrations(feed: DataFrame, employees: DataFrame,
                             registration_col: str = "registration") -> DataFrame:
-    emp = employees.select(F.col("registration").alias("_reg"))
+    emp = employees.select(F.col("registration").alias("_reg")).distinct()
     return feed.join(emp, feed[registration_col] == emp["_reg"], "left_anti")
 
 

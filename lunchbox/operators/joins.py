@@ -105,13 +105,23 @@ def latest_termination(model: HRModel) -> DataFrame:
                               ["termination_date", "notice_ok"])
 
 
+def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
+    """Distinct join keys: a map-side partial aggregate first, so a key holding
+    a large share of the rows reaches the shuffle as one row per task."""
+    return df.select(*keys).distinct()
+
+
 def not_excluded(df: DataFrame, exclusions: DataFrame) -> DataFrame:
-    """Rows whose employee is not on the exclusion list (``NOT IN`` as anti join)."""
-    return df.join(exclusions.select("employee_id"), "employee_id", "left_anti")
+    """Rows whose employee is not on the exclusion list (``NOT IN`` as anti join).
+
+    The exclusion keys are deduplicated first: an anti join cannot split a
+    skewed right side, a distinct collapses it before the shuffle.
+    """
+    return df.join(distinct_keys(exclusions, "employee_id"), "employee_id", "left_anti")
 
 
 def exclusion_flag(df: DataFrame, exclusions: DataFrame, name: str = "is_excluded") -> DataFrame:
     """Adds a boolean flag: employee appears on the exclusion list."""
-    marks = exclusions.select("employee_id").distinct().withColumn(name, F.lit(True))
+    marks = distinct_keys(exclusions, "employee_id").withColumn(name, F.lit(True))
     return (df.join(marks, "employee_id", "left")
             .withColumn(name, F.coalesce(F.col(name), F.lit(False))))

@@ -372,7 +372,8 @@ def _latest_termination(m):
 @query("employees_with_hire")
 def _employees_with_hire(m):
     """JN10: employees with at least one hire row (semi join)."""
-    return m.employees.join(m.hires, "employee_id", "left_semi").select("employee_id", "registration")
+    return (m.employees.join(joins.distinct_keys(m.hires, "employee_id"), "employee_id", "left_semi")
+            .select("employee_id", "registration"))
 
 
 @query("duplicate_registrations")

@@ -54,6 +54,8 @@ class HRModel:
     def resolved(self, name: str) -> DataFrame:
         """Fact table restricted to existing employees (unmatched rows dropped)."""
         facts = getattr(self, name)
+        # employee_id is the employee key (unique); a skewed fact side is split
+        # by AQE's skew-join handling, which covers left semi joins.
         return facts.join(self.employees.select("employee_id"), "employee_id", "left_semi")
 
     def with_tables(self, **tables) -> "HRModel":
