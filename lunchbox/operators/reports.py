@@ -116,32 +116,48 @@ def union_headcount(model: HRModel, period: Period | None = None) -> DataFrame:
                     F.col("daily_value").cast("double"), F.col("working_days").cast("long")))
 
 
-def kpi_counts(model: HRModel) -> DataFrame:
-    """Labelled counts in (metric, value) form; one pass per table."""
-    def count_of(df, label):
-        return df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(label).alias("metric"), F.col("n").cast("long").alias("value"))
-
-    excl = model.resolved("exclusions").agg(
-        F.count(F.lit(1)).alias("excluded"),
+def _fact_counts(model: HRModel) -> DataFrame:
+    """Resolved row counts per fact table (+ exclusion types), one pass."""
+    rows = model.resolved_rows()
+    return rows.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("exclusion_type") == K.EXCLUSION_INTERN).alias("interns"),
         F.count_if(F.col("exclusion_type") == K.EXCLUSION_APPRENTICE).alias("apprentices"),
         F.count_if(F.col("exclusion_type") == K.EXCLUSION_ABROAD).alias("abroad"))
+
+
+def _labelled(spark, labels: list[str], counts: DataFrame, key: str, value: str) -> DataFrame:
+    """Every label once, with its count or 0 (labels are a fixed short list)."""
+    names = spark.createDataFrame([(i, lbl) for i, lbl in enumerate(labels)], f"_ord int, {key} string")
+    return (names.join(F.broadcast(counts), key, "left")
+            .select(key, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value)))
+
+
+def kpi_counts(model: HRModel) -> DataFrame:
+    """Labelled counts in (metric, value) form.
+
+    The five fact tables are resolved with one semi join and counted in one
+    aggregation; employees and report-eligible employees are one pass each.
+    """
+    facts = _fact_counts(model)
+    table_metric = {"vacations": "on_vacation", "leaves": "on_leave", "terminations": "terminated",
+                    "hires": "hired", "exclusions": "excluded"}
+    per_table = facts.select(
+        F.element_at(F.create_map(*[F.lit(x) for kv in table_metric.items() for x in kv]),
+                     F.col("table_name")).alias("metric"),
+        F.col("n").alias("value"))
+    per_type = (facts.where(F.col("table_name") == "exclusions")
+                .selectExpr("stack(3, 'interns', interns, 'apprentices', apprentices, "
+                            "'abroad', abroad) AS (metric, value)"))
     eligible = report_eligible(employee_jobs(model), model.exclusions)
-    parts = [
-        count_of(model.employees, "total_employees"),
-        count_of(eligible, "eligible_employees"),
-        long_form(excl, [("excluded", "excluded"), ("interns", "interns"),
-                         ("apprentices", "apprentices"), ("abroad", "abroad")], "bigint"),
-        count_of(model.resolved("vacations"), "on_vacation"),
-        count_of(model.resolved("leaves"), "on_leave"),
-        count_of(model.resolved("terminations"), "terminated"),
-        count_of(model.resolved("hires"), "hired"),
+    scalars = [
+        model.employees.agg(F.count(F.lit(1)).alias("value")).select(F.lit("total_employees").alias("metric"), "value"),
+        eligible.agg(F.count(F.lit(1)).alias("value")).select(F.lit("eligible_employees").alias("metric"), "value"),
     ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    counts = scalars[0].unionByName(scalars[1]).unionByName(per_table).unionByName(per_type)
+    labels = ["total_employees", "eligible_employees", "excluded", "interns", "apprentices", "abroad",
+              "on_vacation", "on_leave", "terminated", "hired"]
+    return _labelled(model.spark, labels, counts, "metric", "value")
 
 
 def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
@@ -215,18 +231,14 @@ def period_summary(results: DataFrame) -> DataFrame:
 
 def table_counts(model: HRModel) -> DataFrame:
     """Row count of every model table plus a grand total."""
-    tables = {
-        "employees": model.employees, "unions": model.unions, "states": model.states,
-        "jobs": model.job_titles, "companies": model.companies,
-        "vacations": model.resolved("vacations"), "leaves": model.resolved("leaves"),
-        "terminations": model.resolved("terminations"), "hires": model.resolved("hires"),
-        "exclusions": model.resolved("exclusions"), "working_days": model.working_days,
-    }
-    out = None
-    for name, df in tables.items():
-        one = df.agg(F.count(F.lit(1)).cast("long").alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count")
-        out = one if out is None else out.unionByName(one)
-    # rollup adds the grand total in the same pass (no second scan)
-    return (out.rollup("table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
+    dims = {"employees": model.employees, "unions": model.unions, "states": model.states,
+            "jobs": model.job_titles, "companies": model.companies, "working_days": model.working_days}
+    out = _fact_counts(model).select("table_name", F.col("n").alias("row_count"))
+    for name, df in dims.items():
+        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(name).alias("table_name"), "row_count"))
+    labels = list(dims) + ["vacations", "leaves", "terminations", "hires", "exclusions"]
+    every = _labelled(model.spark, labels, out, "table_name", "row_count")
+    # rollup adds the grand total in the same pass
+    return (every.rollup("table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
             .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "row_count"))

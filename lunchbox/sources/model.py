@@ -58,6 +58,20 @@ class HRModel:
         # by AQE's skew-join handling, which covers left semi joins.
         return facts.join(self.employees.select("employee_id"), "employee_id", "left_semi")
 
+    def resolved_rows(self, names=FACT_TABLES) -> DataFrame:
+        """Rows of several fact tables, tagged (table_name, employee_id,
+        exclusion_type), resolved against the employees with ONE semi join."""
+        parts = []
+        for name in names:
+            df = getattr(self, name)
+            kind = F.col("exclusion_type") if name == "exclusions" else F.lit(None).cast("string")
+            parts.append(df.select(F.lit(name).alias("table_name"), "employee_id",
+                                   kind.alias("exclusion_type")))
+        rows = parts[0]
+        for p in parts[1:]:
+            rows = rows.unionByName(p)
+        return rows.join(self.employees.select("employee_id"), "employee_id", "left_semi")
+
     def with_tables(self, **tables) -> "HRModel":
         return replace(self, **tables)
 
@@ -65,9 +79,3 @@ class HRModel:
         return getattr(self, name)
 
 
-def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], df.schema)
-
-
-def lit_date(d):
-    return F.lit(d).cast("date")
