@@ -2,8 +2,30 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, Window, functions as F
 
+log = logging.getLogger(__name__)
+
+
+def within_bound(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a limit, not a full count), so the
+    check costs the same whatever the size of the data behind it.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int, label: str = "") -> DataFrame:
+    """Broadcast ``df`` only if it is verified to hold at most ``max_rows`` rows;
+    otherwise leave the join strategy to the planner (shuffle join)."""
+    if within_bound(df, max_rows):
+        return F.broadcast(df)
+    log.warning("%s exceeds %d rows: not broadcast", label or "join side", max_rows)
+    return df
+
 
 def sorted_surrogate_ids(df: DataFrame, key: str, id_col: str = "id",
                          partitions: int | None = None) -> DataFrame:

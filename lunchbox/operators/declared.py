@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox import constants as K
+from lunchbox.functions.keys import checked_broadcast
 from lunchbox.functions.money import MONEY
 from lunchbox.periods import Period, periods_column
 
@@ -43,7 +44,8 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
           .select("union_id", "state_id", "p.period_start", "p.period_end"))
     wd = up.withColumn("weekdays", weekday_count(F.col("period_start"), F.col("period_end")))
     hol = holidays.where(F.dayofweek("holiday_date").between(2, 6))
-    hits = (up.join(F.broadcast(hol),
+    hol = checked_broadcast(hol, 100_000, "holiday calendar")
+    hits = (up.join(hol,
                     F.col("holiday_date").between(F.col("period_start"), F.col("period_end"))
                     & (F.col("holiday_state_id").isNull()
                        | (F.col("holiday_state_id") == F.col("state_id"))))

@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.text import job_category
-from lunchbox.operators.joins import (employee_star, employees_on_leave, not_excluded,
-                                      union_state)
+from lunchbox.operators.joins import (bounded, employee_star, employees_on_leave, not_excluded,
+                                      union_state_side)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -48,8 +48,8 @@ def eligible_base(model: HRModel, period: Period | None = None) -> DataFrame:
 def eligible_view(model: HRModel) -> DataFrame:
     """View eligibility: no category filter; company and full union name."""
     star = (model.employees
-            .join(F.broadcast(model.companies), "company_id")
-            .join(F.broadcast(union_state(model)), "union_id"))
+            .join(bounded(model, "companies"), "company_id")
+            .join(union_state_side(model), "union_id"))
     star = star.withColumn("job_category", job_category(F.col("job_title")))
     return (not_excluded(star, model.exclusions)
             .where(status_ok(F.col("status"))))

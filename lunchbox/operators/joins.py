@@ -10,22 +10,29 @@ from lunchbox.sources.model import HRModel
 
 
 def bounded(model: HRModel, name: str) -> DataFrame:
-    """A dimension, broadcast when the model declares a row bound for it.
+    """A dimension, broadcast when its declared row bound is verified.
 
-    Bounds are declared only for tables whose size cannot grow with the data
-    (seeded dimensions, fixed reference tables).  Anything else is left to
-    the planner: static size estimates and AQE's runtime statistics pick a
-    broadcast only below the configured threshold, a shuffle join beyond it.
+    Bounds are declared only for tables whose size does not grow with the
+    data (seeded dimensions, fixed reference tables) and are checked once per
+    model.  Anything else is left to the planner: static size estimates and
+    AQE's runtime statistics pick a broadcast only below the configured
+    threshold, a shuffle join beyond it.
     """
     df = model.table(name)
-    return F.broadcast(df) if name in model.bounds else df
+    return F.broadcast(df) if model.small(name) else df
 
 
 def union_state(model: HRModel) -> DataFrame:
-    """Unions with their state (both bounded dimensions)."""
+    """Unions with their state: at most one row per union."""
     return bounded(model, "unions").join(bounded(model, "states"), "state_id")
 
 
+def union_state_side(model: HRModel) -> DataFrame:
+    """Union x state as a join side: broadcast when unions are verified small."""
+    us = union_state(model)
+    return F.broadcast(us) if model.small("unions") else us
+
+
 def employee_star(model: HRModel) -> DataFrame:
     """Employees joined to job, union and state (inner joins).
 
@@ -35,7 +42,7 @@ def employee_star(model: HRModel) -> DataFrame:
     shuffled.
     """
     emp = model.employees
-    return (emp.join(F.broadcast(union_state(model)), "union_id")
+    return (emp.join(union_state_side(model), "union_id")
             .withColumn("job_category", job_category(F.col("job_title"))))
 
 
@@ -65,6 +72,12 @@ def working_days_for_period(model: HRModel, period: Period | None = None) -> Dat
             .select("union_id", "working_days"))
 
 
+def working_days_side(model: HRModel, period: Period | None = None) -> DataFrame:
+    """Working days of one period as a join side (broadcast when verified small)."""
+    wd = working_days_for_period(model, period)
+    return F.broadcast(wd) if model.small("working_days") else wd
+
+
 def leave_overlaps(leaves: DataFrame, start, end) -> DataFrame:
     """Leave rows overlapping the inclusive interval ``[start, end]``.
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from lunchbox import constants as K
 from lunchbox.operators.eligibility import eligible_employees, report_eligible
 from lunchbox.operators.joins import (employee_jobs, employee_star, employee_unions,
-                                      union_state, working_days_for_period)
+                                      union_state_side, working_days_side)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -81,8 +81,8 @@ def hires_in_month(model: HRModel, start, end, n: int = 10) -> DataFrame:
 
 def _union_groups(model: HRModel, period: Period | None) -> DataFrame:
     """Employees x union x state x working days of the period (inner)."""
-    wd = F.broadcast(working_days_for_period(model, period))  # unions x 1 period
-    return (model.employees.join(F.broadcast(union_state(model)), "union_id")
+    wd = working_days_side(model, period)
+    return (model.employees.join(union_state_side(model), "union_id")
             .join(wd, "union_id"))
 
 
@@ -129,6 +129,7 @@ def _fact_counts(model: HRModel) -> DataFrame:
 def _labelled(spark, labels: list[str], counts: DataFrame, key: str, value: str) -> DataFrame:
     """Every label once, with its count or 0 (labels are a fixed short list)."""
     names = spark.createDataFrame([(i, lbl) for i, lbl in enumerate(labels)], f"_ord int, {key} string")
+    # counts are grouped by these same fixed labels: at most len(labels) rows
     return (names.join(F.broadcast(counts), key, "left")
             .select(key, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value)))
 
@@ -161,7 +162,7 @@ def kpi_counts(model: HRModel) -> DataFrame:
 
 
 def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
-    wd = F.broadcast(working_days_for_period(model, period))  # unions x 1 period
+    wd = working_days_side(model, period)
     base = (eligible_employees(model).join(wd, "union_id")
             .join(model.vacations.select("employee_id", "vacation_days"), "employee_id", "left"))
     days = F.col("working_days") - F.coalesce(F.col("vacation_days"), F.lit(0))

@@ -212,7 +212,7 @@ def _employee_dim(spark, sf_dir):
     s = _sheet(sheets.active_sheet(spark, sf_dir))
     jobs = ingest.job_dim(m.job_titles)
     e = ingest.lookup_with_default(s, "TITULO_DO_CARGO", jobs, "title", "job_id", "job_id")
-    e = ingest.lookup_with_default(e, "SINDICATO", F.broadcast(m.unions), "union_full_name",
+    e = ingest.lookup_with_default(e, "SINDICATO", joins.bounded(m, "unions"), "union_full_name",
                                    "union_id", "union_id")
     return e.select(F.col("MATRICULA").cast("long").alias("registration"), "job_id", "union_id",
                     F.col("DESC_SITUACAO").alias("status"), "job_id_matched", "union_id_matched")
@@ -326,7 +326,7 @@ def _eligible_employees(m):
 @query("employee_working_days")
 def _employee_working_days(m):
     """JN2: every employee with the working days of its union (NULL if missing)."""
-    return (m.employees.join(F.broadcast(joins.working_days_for_period(m)), "union_id", "left")
+    return (m.employees.join(joins.working_days_side(m), "union_id", "left")
             .select("employee_id", "union_id", F.col("working_days").cast("long")))
 
 

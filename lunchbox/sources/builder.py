@@ -45,4 +45,5 @@ def build_model(spark: SparkSession, period: Period, **rows) -> HRModel:
         tables["companies"] = spark.createDataFrame([(1, "Empresa Principal", None)], SCHEMAS["companies"])
     if "job_titles" not in rows:
         tables["job_titles"] = tables["employees"].select("job_title").distinct().toDF("title")
-    return HRModel(spark=spark, period=period, bounds={"states": 100, "unions": 100}, **tables)
+    return HRModel(spark=spark, period=period, bounds={"states": 100, "unions": 100, "working_days": 1000,
+                                                        "companies": 10}, **tables)

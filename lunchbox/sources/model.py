@@ -48,8 +48,10 @@ class HRModel:
     exclusions: DataFrame
     companies: DataFrame
     period: Period
-    # Bounds (rows) of the small dimensions, used to justify broadcasts.
+    # Row bounds of the small dimensions.  A bound is verified once per model
+    # (``limit(bound + 1).count()``) before the table is ever broadcast.
     bounds: dict = field(default_factory=dict)
+    _verified: dict = field(default_factory=dict, compare=False, repr=False)
 
     def resolved(self, name: str) -> DataFrame:
         """Fact table restricted to existing employees (unmatched rows dropped)."""
@@ -58,6 +60,15 @@ class HRModel:
         # by AQE's skew-join handling, which covers left semi joins.
         return facts.join(self.employees.select("employee_id"), "employee_id", "left_semi")
 
+    def small(self, name: str) -> bool:
+        """Is ``name`` declared small and verified to be within its bound?"""
+        if name not in self.bounds:
+            return False
+        if name not in self._verified:
+            from lunchbox.functions.keys import within_bound
+            self._verified[name] = within_bound(self.table(name), self.bounds[name])
+        return self._verified[name]
+
     def resolved_rows(self, names=FACT_TABLES) -> DataFrame:
         """Rows of several fact tables, tagged (table_name, employee_id,
         exclusion_type), resolved against the employees with ONE semi join."""

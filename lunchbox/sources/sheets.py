@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from lunchbox import constants as K
 from lunchbox.sources import testdata as T
 from lunchbox.functions.dates import as_date
+from lunchbox.functions.keys import checked_broadcast
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **options) -> DataFrame:
@@ -34,7 +35,7 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **
 def active_sheet(spark, sf_dir) -> DataFrame:
     emp = T.employees(spark, sf_dir)
     uni = T.unions(spark, sf_dir).select("union_id", "union_full_name")
-    return (emp.join(F.broadcast(uni), "union_id", "left")  # nations: fixed 25 rows
+    return (emp.join(checked_broadcast(uni, 1000, "unions"), "union_id", "left")
             .select(F.col("registration").alias("MATRICULA"),
                     F.lit("Empresa Principal").alias("EMPRESA"),
                     F.col("job_title").alias("TITULO DO CARGO"),

@@ -10,11 +10,13 @@ timestamp so they reach the scan as pushed filters.
 from __future__ import annotations
 
 import datetime as dt
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.dates import as_date, ts_day_range
+from lunchbox.functions.keys import checked_broadcast
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -44,16 +46,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 # Session-level catalog: the lazy table definitions of a directory are built
 # once per session (file listing and footer reads happen on the driver), then
-# every query derives its own plan from them.  No data is cached.
-_CATALOG: dict[tuple, HRModel] = {}
+# every query derives its own plan from them.  No data is cached.  Keyed by
+# the session object itself: a cloned session (e.g. inside foreachBatch) has
+# its own configuration and gets its own definitions.
+_CATALOG: "weakref.WeakKeyDictionary[SparkSession, dict]" = weakref.WeakKeyDictionary()
 
 
 def catalog(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRModel:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), period)
-    model = _CATALOG.get(key)
-    if model is None:
-        model = _CATALOG[key] = load_model(spark, sf_dir, period)
-    return model
+    models = _CATALOG.setdefault(spark, {})
+    key = (sf_dir.rstrip("/"), period)
+    if key not in models:
+        models[key] = load_model(spark, sf_dir, period)
+    return models[key]
 
 
 def refresh_catalog() -> None:
@@ -100,8 +104,10 @@ def employees(spark, sf_dir) -> DataFrame:
     """Employees with their job title resolved (unknown title -> first job).
 
     Only parts with |p_partkey| < 200 can match ``c_custkey % 200``; that
-    slice has at most 399 rows (p_partkey is the part key), so it is
-    broadcast with a proven bound and the customer scan is never shuffled.
+    slice has at most 399 rows (p_partkey is the part key).  The bound is
+    verified before the slice is broadcast, so the customer scan is never
+    shuffled -- a shuffle join on ``c_custkey % 200`` would put every
+    customer into at most 200 partitions.
     """
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
@@ -116,7 +122,9 @@ def employees(spark, sf_dir) -> DataFrame:
     # Default job (id 1) = smallest title of the whole job table: a scalar
     # subquery over a partial ``min`` (one row per task, never a group).
     first_title = _title_from_part(part).agg(F.min("title")).scalar()
-    emp = (cust.join(F.broadcast(part_slice),
+    # at most 2 * 200 - 1 rows when p_partkey is unique; verified before broadcast
+    part_side = checked_broadcast(part_slice, 2 * PART_MODULUS - 1, "part slice")
+    emp = (cust.join(part_side,
                      (F.col("c_custkey") % PART_MODULUS) == F.col("p_partkey"), "left")
            .select(
                (F.col("c_custkey") + 1).cast("long").alias("employee_id"),
@@ -222,5 +230,5 @@ def load_model(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRM
         companies=companies(spark),
         period=period,
         # regions and nations have a fixed cardinality in this schema
-        bounds={"states": 5, "unions": 25, "working_days": 25},
+        bounds={"states": 5, "unions": 25, "working_days": 25, "companies": 1},
     )

@@ -9,8 +9,8 @@ those periods' partitions (dynamic partition overwrite), so a replayed batch
 same rows.  Progress lives in the checkpoint location, which must be a shared
 folder on a cluster.
 
-The only value brought to the driver per batch is the list of requested
-periods: a handful of dates, not data.
+The only values brought to the driver are the requested period dates
+(control data, streamed in chunks), never employee data.
 """
 
 from __future__ import annotations
@@ -26,16 +26,23 @@ from lunchbox.sources.model import HRModel
 from lunchbox.sources.sinks import display_layout, sheet_name
 
 REQUEST_SCHEMA = "period_start date, period_end date"
-MAX_PERIODS_PER_BATCH = 120   # ten years of monthly periods; requests are parameters
+PERIODS_PER_RUN = 24   # periods computed by one plan; more requests -> more runs
 
 
-def _periods_of(batch: DataFrame) -> list[Period]:
+def _period_chunks(batch: DataFrame):
+    """Distinct requested periods in date order, streamed to the driver in
+    chunks (``toLocalIterator``), never all at once."""
     rows = (batch.where(F.col("period_start").isNotNull() & F.col("period_end").isNotNull())
             .select("period_start", "period_end").distinct()
-            .limit(MAX_PERIODS_PER_BATCH + 1).collect())
-    if len(rows) > MAX_PERIODS_PER_BATCH:
-        raise ValueError(f"a request batch may name at most {MAX_PERIODS_PER_BATCH} periods")
-    return sorted(Period(r.period_start, r.period_end) for r in rows)
+            .orderBy("period_start", "period_end").toLocalIterator())
+    chunk: list[Period] = []
+    for r in rows:
+        chunk.append(Period(r.period_start, r.period_end))
+        if len(chunk) == PERIODS_PER_RUN:
+            yield chunk
+            chunk = []
+    if chunk:
+        yield chunk
 
 
 def write_batch(model: HRModel, periods: list[Period], sink: str) -> None:
@@ -53,9 +60,9 @@ def start(spark: SparkSession, requests: str, sink: str, checkpoint: str,
     stream = spark.readStream.schema(REQUEST_SCHEMA).json(requests)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        periods = _periods_of(batch)
-        if periods:
-            write_batch(model_of(batch.sparkSession), periods, sink)
+        model = model_of(batch.sparkSession)
+        for periods in _period_chunks(batch):
+            write_batch(model, periods, sink)
 
     writer = (stream.writeStream.foreachBatch(run)
               .option("checkpointLocation", checkpoint))
