@@ -13,11 +13,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lunchbox import constants as K
 from lunchbox.functions.text import job_category
 from lunchbox.operators import (agreement, calc, declared, eligibility, ingest, joins,
                                 maintenance, quality, reports)
-from lunchbox.periods import Period
 from lunchbox.sources import sheets, sinks
 from lunchbox.sources.rules import read_rules
 from lunchbox.sources.testdata import catalog as load_model

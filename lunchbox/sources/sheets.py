@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
 from lunchbox.sources import testdata as T
-from lunchbox.functions.dates import as_date
 from lunchbox.functions.keys import checked_broadcast
 
 
@@ -96,7 +95,3 @@ def exclusion_sheets(spark, sf_dir) -> dict[str, DataFrame]:
 def text_sheet(df: DataFrame) -> DataFrame:
     """Every column as text (what a CSV export gives)."""
     return df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
-
-
-__all__ = ["read_sheet", "active_sheet", "vacation_sheet", "leave_sheet", "termination_sheet",
-           "hire_sheet", "exclusion_sheets", "text_sheet", "as_date"]

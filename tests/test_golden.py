@@ -1,9 +1,5 @@
 """Golden rows (documented examples) and hand-made edge cases for the calculation."""
 
-import datetime as dt
-
-import pytest
-
 from lunchbox.operators import calc, reports
 from lunchbox.periods import Period
 from lunchbox.sources.builder import build_model, d

@@ -6,7 +6,6 @@ import io
 import re
 
 import pytest
-from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lunchbox.operators import calc

@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from lunchbox.operators import agreement, declared
 from lunchbox.sources import sinks
