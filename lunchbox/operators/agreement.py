@@ -67,8 +67,12 @@ def cap(df: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def apply_effective(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """What the overlay changes in practice: default value, then TOTAL only."""
-    return recompute_total(exclude_categories(default_value(df, rules), rules))
+    """What the overlay changes in practice: default value, then TOTAL only.
+
+    The category rule is inert here, as it is on the sheet rows the overlay
+    receives (they carry no category); ``apply_declared`` applies it.
+    """
+    return recompute_total(default_value(df, rules))
 
 
 def apply_declared(df: DataFrame, rules: DataFrame) -> DataFrame:

@@ -417,7 +417,7 @@ _q("agreement_total", f"""
 SELECT registration, CAST(days AS BIGINT) AS days, CAST(v AS DOUBLE) AS daily_value,
        CAST(round(days * v, 2) AS DOUBLE) AS total, CAST(company_dec AS DOUBLE) AS company_cost,
        CAST(employee_dec AS DOUBLE) AS employee_discount
-FROM (SELECT *, {DEFAULT_V} AS v FROM calc) c WHERE {NOT_INTERN}""")
+FROM (SELECT *, {DEFAULT_V} AS v FROM calc) c""")
 _q("agreement_exclude_category", f"SELECT registration, job_category FROM calc WHERE {NOT_INTERN}")
 _q("agreement_union_value", f"""
 SELECT registration, union_name, CAST({UNION_V} AS DOUBLE) AS daily_value FROM calc""")

@@ -503,7 +503,8 @@ def _agr_default(m):
 
 @query("agreement_total")
 def _agr_total(m):
-    """AGR1+AGR3: effective overlay (value default, TOTAL recomputed, shares kept)."""
+    """AGR1+AGR3: effective overlay (value default, TOTAL recomputed, shares kept;
+    the category rule is inert)."""
     return agreement.apply_effective(_agreement_base(m), _rules(m)).select(
         "registration", F.col("days").cast("long"),
         *_money("daily_value", "total", "company_cost", "employee_discount"))
