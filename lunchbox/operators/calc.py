@@ -85,8 +85,12 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
 
 
 def purchase_calc(model: HRModel, periods: list[Period] | None = None,
-                  proration: str = "calendar") -> DataFrame:
-    """Eligible employees x periods with every intermediate of the calculation."""
+                  proration: str = "calendar", strict: bool = False) -> DataFrame:
+    """Eligible employees x periods with every intermediate of the calculation.
+
+    A union without working days for a period counts as 0 days (and shows in
+    ``dq_results``); ``strict=True`` fails the job on such a row instead.
+    """
     periods = periods or [model.period]
     emp = category_status_filter(employee_star(model))
     emp = _with_periods(emp, periods_column(periods))
@@ -96,6 +100,12 @@ def purchase_calc(model: HRModel, periods: list[Period] | None = None,
             .where(~F.coalesce(F.col("excluded"), F.lit(False))
                    & ~F.coalesce(F.col("on_leave"), F.lit(False)))
             .join(wd, ["union_id", "period_start", "period_end"], "left"))
+    if strict:
+        base = base.withColumn("working_days", F.when(
+            F.col("working_days").isNull(),
+            F.raise_error(F.concat(F.lit("no working days for union "), F.col("union_id").cast("string"),
+                                   F.lit(" in period "), F.col("period_label"))))
+            .otherwise(F.col("working_days")))
     return add_calculation(base, proration)
 
 

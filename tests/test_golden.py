@@ -137,3 +137,12 @@ def test_multi_period_matches_single_runs(spark):
     # the 15th belongs to both periods (inclusive ends)
     by = {(r[0], r[1]): r for r in both}
     assert by[(7, "04/2025")][2] == 0 and by[(7, "05/2025")][2] == 0
+
+
+def test_strict_mode_fails_on_missing_working_days(spark):
+    import pytest
+    m = build_model(spark, P, states=STATES, unions=UNIONS, employees=[emp(1, 3)],
+                    working_days=[(1, P.start, P.end, 22)])
+    assert calc.purchase_calc(m).collect()[0]["days"] == 0
+    with pytest.raises(Exception, match="no working days for union 3"):
+        calc.purchase_calc(m, strict=True).collect()
