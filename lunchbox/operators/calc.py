@@ -48,10 +48,32 @@ def _typed(df: DataFrame, **values: Column) -> DataFrame:
     return df.select(*cols)
 
 
+def _rows_from_events(events: DataFrame, pc: Column) -> DataFrame:
+    """Typed calc rows from the combined event view (one pass over it)."""
+    e = _with_periods(events.withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
+    kind = F.col("kind")
+    ps, pe = F.col("period_start"), F.col("period_end")
+    vac = (kind == "vacation") & (F.col("v_start") == ps) & (F.col("v_end") == pe)
+    leave = ((kind == "leave") & (F.coalesce(F.col("event_date"), ps) <= pe)
+             & (F.col("end_date").isNull() | (F.col("end_date") >= ps)))
+    hire, term = kind == "hire", kind == "termination"
+    return _typed(e.where(vac | leave | hire | term),
+                  vacation_days=F.when(vac, F.col("vacation_days")),
+                  on_leave=F.when(leave, F.lit(True)),
+                  hire_id=F.when(hire, F.col("event_id")), hire_date=F.when(hire, F.col("event_date")),
+                  termination_id=F.when(term, F.col("event_id")),
+                  termination_date=F.when(term, F.col("event_date")),
+                  notice_ok=F.when(term, F.col("notice_ok")))
+
+
 def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     """One row per (employee_id, period_start) holding every calc input."""
     lo, hi = span(periods)
     pc = periods_column(periods)
+    if model.events is not None:
+        facts = _rows_from_events(model.events, pc).unionByName(
+            _typed(_with_periods(model.exclusions, pc), excluded=F.lit(True)))
+        return _aggregate_facts(facts)
     vac = _with_periods(model.vacations.where(
         (F.col("period_start") >= F.lit(lo)) & (F.col("period_end") <= F.lit(hi)))
         .withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
@@ -71,6 +93,10 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     facts = rows[0]
     for r in rows[1:]:
         facts = facts.unionByName(r)
+    return _aggregate_facts(facts)
+
+
+def _aggregate_facts(facts: DataFrame) -> DataFrame:
     return facts.groupBy("employee_id", "period_start").agg(
         F.sum("vacation_days").cast("long").alias("vacation_days"),
         F.bool_or("on_leave").alias("on_leave"),

@@ -14,6 +14,11 @@ Column names (all tables keyed by ``employee_id`` where relevant):
 * ``hires``         hire_id, employee_id, hire_date
 * ``exclusions``    exclusion_id, employee_id, exclusion_type, specific_value, notes
 * ``companies``     company_id, company_name, tax_id
+* ``events``        optional: vacations, hires, terminations and leaves as one
+                    frame (employee_id, kind, event_id, event_date, end_date,
+                    vacation_days, notice_ok, period_start, period_end), for a
+                    source that holds all four feeds; the calculation then
+                    reads them in one pass instead of four
 
 The ``*_id`` of a fact row is its load order: "last row wins" lookups order
 by it.  Fact tables may carry rows whose employee does not exist (an
@@ -48,6 +53,7 @@ class HRModel:
     exclusions: DataFrame
     companies: DataFrame
     period: Period
+    events: DataFrame | None = None
     # Row bounds of the small dimensions.  A bound is verified once per model
     # (``limit(bound + 1).count()``) before the table is ever broadcast.
     bounds: dict = field(default_factory=dict)
@@ -84,7 +90,11 @@ class HRModel:
         return rows.join(self.employees.select("employee_id"), "employee_id", "left_semi")
 
     def with_tables(self, **tables) -> "HRModel":
-        return replace(self, **tables)
+        """A copy with some tables replaced (the combined event view is dropped
+        when any of the feeds it stands for is replaced)."""
+        if set(tables) & {"vacations", "hires", "terminations", "leaves"}:
+            tables.setdefault("events", None)
+        return replace(self, _verified={}, **tables)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)

@@ -152,46 +152,107 @@ def _orders(spark, sf_dir) -> DataFrame:
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
 
 
+# --- the four order-derived feeds: filters and values, defined once ---------
+def _feed_filters(period: Period) -> dict:
+    status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
+    return {
+        "vacation": (status == "F") & ts_day_range("o_orderdate", period.start, period.end),
+        "hire": (status == "O") & ts_day_range("o_orderdate", *HIRE_WINDOW),
+        "termination": (status == "P") & ts_day_range("o_orderdate", *TERMINATION_WINDOW),
+        "leave": ((status == "F") & (priority == "1-URGENT")
+                  & ts_day_range("o_orderdate", *LEAVE_WINDOW)),
+    }
+
+
+def _order_employee() -> F.Column:
+    return (F.col("o_custkey") + 1).cast("long")
+
+
+def _vacation_days() -> F.Column:
+    return (F.lit(1) + F.col("o_orderkey") % 30).cast("int")
+
+
+def _notice_ok() -> F.Column:
+    return F.coalesce(F.col("o_orderpriority").isin(NOTICE_PRIORITIES), F.lit(False))
+
+
+def _leave_end() -> F.Column:
+    return F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("date")).otherwise(
+        F.date_add(_order_date(), (F.col("o_orderkey") % 60).cast("int")))
+
+
 def vacations(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where((F.col("o_orderstatus") == "F") & ts_day_range("o_orderdate", period.start, period.end))
+    return (o.where(_feed_filters(period)["vacation"])
             .select(F.col("o_orderkey").alias("vacation_id"),
-                    (F.col("o_custkey") + 1).cast("long").alias("employee_id"),
+                    _order_employee().alias("employee_id"),
                     F.lit(period.start).alias("period_start"),
                     F.lit(period.end).alias("period_end"),
-                    (F.lit(1) + F.col("o_orderkey") % 30).cast("int").alias("vacation_days")))
+                    _vacation_days().alias("vacation_days")))
 
 
 def hires(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where((F.col("o_orderstatus") == "O") & ts_day_range("o_orderdate", *HIRE_WINDOW))
+    return (o.where(_feed_filters(PERIOD)["hire"])
             .select(F.col("o_orderkey").alias("hire_id"),
-                    (F.col("o_custkey") + 1).cast("long").alias("employee_id"),
+                    _order_employee().alias("employee_id"),
                     _order_date().alias("hire_date")))
 
 
 def terminations(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where((F.col("o_orderstatus") == "P") & ts_day_range("o_orderdate", *TERMINATION_WINDOW))
+    return (o.where(_feed_filters(PERIOD)["termination"])
             .select(F.col("o_orderkey").alias("termination_id"),
-                    (F.col("o_custkey") + 1).cast("long").alias("employee_id"),
+                    _order_employee().alias("employee_id"),
                     _order_date().alias("termination_date"),
-                    F.coalesce(F.col("o_orderpriority").isin(NOTICE_PRIORITIES), F.lit(False))
-                    .alias("notice_ok")))
+                    _notice_ok().alias("notice_ok")))
 
 
 def leaves(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    d = _order_date()
-    end = F.when(F.col("o_orderkey") % 3 == 0, F.lit(None).cast("date")).otherwise(
-        F.date_add(d, (F.col("o_orderkey") % 60).cast("int")))
-    return (o.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")
-                    & ts_day_range("o_orderdate", *LEAVE_WINDOW))
+    return (o.where(_feed_filters(PERIOD)["leave"])
             .select(F.col("o_orderkey").alias("leave_id"),
-                    (F.col("o_custkey") + 1).cast("long").alias("employee_id"),
+                    _order_employee().alias("employee_id"),
                     F.lit(LEAVE_TYPE).alias("leave_type"),
-                    d.alias("start_date"),
-                    end.alias("end_date")))
+                    _order_date().alias("start_date"),
+                    _leave_end().alias("end_date")))
+
+
+def order_events(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
+    """The four order-derived feeds from ONE scan of ``orders``.
+
+    The scan pushes the OR of the four filters; each order emits one typed
+    event per feed it belongs to (``inline`` over an array of optional
+    structs), so a status-F urgent order in the vacation period yields both a
+    vacation and a leave event.  Columns: see ``HRModel.events``.
+    """
+    f = _feed_filters(period)
+    none_date, none_int, none_bool = (F.lit(None).cast("date"), F.lit(None).cast("int"),
+                                      F.lit(None).cast("boolean"))
+
+    def event(kind, event_date, end_date, days, notice, with_period):
+        return F.when(f[kind], F.struct(
+            F.lit(kind).alias("kind"),
+            F.col("o_orderkey").cast("long").alias("event_id"),
+            event_date.alias("event_date"),
+            end_date.alias("end_date"),
+            days.alias("vacation_days"),
+            notice.alias("notice_ok"),
+            (F.lit(period.start) if with_period else none_date).alias("period_start"),
+            (F.lit(period.end) if with_period else none_date).alias("period_end")))
+
+    d = _order_date()
+    events = F.array(
+        event("vacation", none_date, none_date, _vacation_days(), none_bool, True),
+        event("hire", d, none_date, none_int, none_bool, False),
+        event("termination", d, none_date, none_int, _notice_ok(), False),
+        event("leave", d, _leave_end(), none_int, none_bool, False))
+    any_feed = f["vacation"] | f["hire"] | f["termination"] | f["leave"]
+    # inline of an absent (NULL) struct yields an all-NULL row, dropped next;
+    # no higher-order function, so the generator stays in whole-stage codegen
+    return (_orders(spark, sf_dir).where(any_feed)
+            .select(_order_employee().alias("employee_id"), F.inline(events))
+            .where(F.col("kind").isNotNull()))
 
 
 def exclusions(spark, sf_dir) -> DataFrame:
@@ -228,6 +289,7 @@ def load_model(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRM
         hires=hires(spark, sf_dir),
         exclusions=exclusions(spark, sf_dir),
         companies=companies(spark),
+        events=order_events(spark, sf_dir, period),
         period=period,
         # regions and nations have a fixed cardinality in this schema
         bounds={"states": 5, "unions": 25, "working_days": 25, "companies": 1},

@@ -47,11 +47,28 @@ def test_flagship_has_two_shuffles_and_no_cross_join(at_scale):
     assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
 
 
+def test_orders_scanned_once_by_the_flagship(at_scale):
+    plan = formatted(entry.queries()["monthly_purchase"](at_scale, SF))
+    assert len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*orders\.parquet\]", plan)) == 1
+    assert "PushedFilters: [Or(" in plan
+    # every generator (period attach, event split) runs inside whole-stage codegen
+    assert re.findall(r"\(\d+\) Generate", plan) and not re.findall(r"\(\d+\) Generate\n", plan)
+
+
+def test_single_scan_path_equals_table_path(spark):
+    from lunchbox.sources.testdata import catalog
+    m = catalog(spark, "/root/testdata/sf0.01")
+    one = sorted(tuple(r) for r in calc.monthly_purchase(m).collect())
+    per_table = sorted(tuple(r) for r in calc.monthly_purchase(m.with_tables(events=None)).collect())
+    assert one == per_table and len(one) == 1288
+
+
 def test_event_filters_reach_the_scan(at_scale):
     df = entry.queries()["monthly_purchase"](at_scale, SF)
     plan = formatted(df)
     assert "GreaterThanOrEqual(o_orderdate,1998-04-15T00:00)" in plan
     assert "EqualTo(o_orderstatus,F)" in plan
+    assert "EqualTo(o_orderpriority,1-URGENT)" in plan
     # column pruning: the orders scan reads only what it uses
     scans = re.findall(r"ReadSchema: struct<([^>]*o_orderkey[^>]*)>", plan)
     assert scans and all("o_totalprice" not in s for s in scans)
