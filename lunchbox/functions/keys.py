@@ -38,6 +38,8 @@ def sorted_surrogate_ids(df: DataFrame, key: str, id_col: str = "id",
     per-range offset -- a table with one row per partition -- is added.
     """
     spark = df.sparkSession
+    from lunchbox.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)   # the session's shared folder; a local one only in local mode
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.select(key).where(F.col(key).isNotNull()).distinct()
               .repartitionByRange(n, key)

@@ -47,13 +47,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     as is.  A local fallback is created only when nothing is configured
     (tests, local runs).
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir", None)
+    current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="lunchbox-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(configured)
+    sc.setCheckpointDir(configured)
     return configured
