@@ -3,12 +3,14 @@
 Shape of the plan (``purchase_calc``):
 
 1. employees x bounded dims (broadcast), category/status filter, then every
-   requested period attached with ``explode`` over a literal array -- the
+   requested period attached with ``inline`` over a literal array -- the
    periods are run parameters, so no join is needed for them;
 2. all per-employee inputs (vacation days, leave overlap, exclusion mark,
    first/latest hire, latest termination) are turned into typed rows of one
    union and aggregated **once** by (employee_id, period_start), with a
-   map-side partial aggregate before the shuffle;
+   map-side partial aggregate before the shuffle.  When the model offers the
+   feeds as one event view (``HRModel.events``) they are read in one pass;
+   otherwise each feed table is read once;
 3. one join of (1) and (2) on that key, plus a broadcast join to the
    working days (bounded: unions x periods).
 
