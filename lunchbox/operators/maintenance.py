@@ -7,8 +7,13 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 
-def retain_results(results: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
-    """Results of the last ``months`` months before ``as_of`` (by period year/month)."""
+def retain_results(results: DataFrame, min_year: int) -> DataFrame:
+    """Results from ``min_year`` on (rows of earlier years are deleted)."""
+    return results.where(F.col("period_year") >= F.lit(min_year))
+
+
+def retain_recent_results(results: DataFrame, as_of: dt.date, months: int = 12) -> DataFrame:
+    """Results of the last ``months`` months before ``as_of`` (rolling window)."""
     cutoff = as_of.year * 12 + (as_of.month - 1) - months
     idx = F.col("period_year") * 12 + (F.col("period_month") - 1)
     return results.where(idx >= F.lit(cutoff))

@@ -26,8 +26,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 # --- fixed parameters of the registered queries -----------------------------
 HIRE_MONTH = (dt.date(1998, 4, 1), dt.date(1998, 4, 30))
 LEAVE_SHEET_START = dt.date(1998, 4, 1)
-RETENTION_AS_OF = dt.date(1998, 5, 15)
-VACATION_RETENTION_BEFORE = dt.date(1998, 5, 1)
+RETENTION_MIN_YEAR = 1998                      # results of earlier years are deleted
+VACATION_RETENTION_BEFORE = dt.date(1998, 1, 1)  # vacations ended before are deleted
 UPSERT_AS_OF = "1998-05-16 00:00:00"
 RULES = """{
   "valor_vr_diario_padrao": 37.5,
@@ -668,8 +668,8 @@ def _dq_results(m):
 # ------------------------------------------------------------ maintenance --
 @query("retain_results")
 def _retain_results(m):
-    """MNT1: results of the last 12 months."""
-    r = maintenance.retain_results(_results(m), RETENTION_AS_OF, 12)
+    """MNT1: results from the cut-off year on."""
+    r = maintenance.retain_results(_results(m), RETENTION_MIN_YEAR)
     return r.select("employee_id", "period_month", "period_year", "calc_days")
 
 

@@ -108,3 +108,14 @@ def test_checked_broadcast_falls_back_over_bound(spark):
     under = left.join(checked_broadcast(small, 10), "id")._jdf.queryExecution().logical().toString()
     assert "ResolvedHint (strategy=broadcast)" in under
     assert "ResolvedHint" not in over and "broadcast" not in over.lower()
+
+
+def test_retention(spark):
+    import datetime as dt
+    from lunchbox.operators import maintenance
+    r = spark.createDataFrame([(1, 2024, 12), (2, 2025, 1), (3, 2025, 5)],
+                              "employee_id long, period_year int, period_month int")
+    assert sorted(x[0] for x in maintenance.retain_results(r, 2025).collect()) == [2, 3]
+    assert sorted(x[0] for x in maintenance.retain_recent_results(r, dt.date(2025, 5, 15), 4).collect()) == [2, 3]
+    v = spark.createDataFrame([(1, dt.date(2024, 12, 31)), (2, dt.date(2025, 1, 1))], "vacation_id long, period_end date")
+    assert [x[0] for x in maintenance.retain_vacations(v, dt.date(2025, 1, 1)).collect()] == [2]
