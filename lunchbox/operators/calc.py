@@ -2,17 +2,19 @@
 
 Shape of the plan (``purchase_calc``):
 
-1. employees x bounded dims (broadcast), category/status filter, then every
-   requested period attached with ``inline`` over a literal array -- the
+1. employees with their job category, category/status filter, then every
+   requested period attached as an index over a literal array -- the
    periods are run parameters, so no join is needed for them;
 2. all per-employee inputs (vacation days, leave overlap, exclusion mark,
    first/latest hire, latest termination) are turned into typed rows of one
-   union and aggregated **once** by (employee_id, period_start), with a
+   union and aggregated **once** by (employee_id, period_index), with a
    map-side partial aggregate before the shuffle.  When the model offers the
    feeds as one event view (``HRModel.events``) they are read in one pass;
    otherwise each feed table is read once;
-3. one join of (1) and (2) on that key, plus a broadcast join to the
-   working days (bounded: unions x periods).
+3. one join of (1) and (2) on (employee_id, period_index) -- only a small
+   int identifies the period inside the shuffle; its attributes are looked
+   up in the literal period array after the join -- then broadcast joins to
+   union x state and to the working days (bounded: unions x periods).
 
 So the whole calculation has two shuffles, whatever the number of feeds,
 and a hot employee or feed collapses to one row per task before its shuffle.
@@ -27,8 +29,8 @@ from lunchbox.functions.dates import date_text, inclusive_days, in_range
 from lunchbox.functions.money import prorate_days, share, total_value
 from lunchbox.functions.text import join_notes, note_if
 from lunchbox.operators.eligibility import category_status_filter
-from lunchbox.operators.joins import bounded, employee_star, leave_overlaps
-from lunchbox.periods import Period, periods_column, span
+from lunchbox.operators.joins import bounded, employee_jobs, leave_overlaps, union_state_side
+from lunchbox.periods import Period, period_fields, period_indexes, periods_column, span
 from lunchbox.sources.model import HRModel
 
 _FACT_SCHEMA = [
@@ -44,7 +46,7 @@ def _with_periods(df: DataFrame, periods: Column) -> DataFrame:
 
 
 def _typed(df: DataFrame, **values: Column) -> DataFrame:
-    cols = [F.col("employee_id"), F.col("period_start")]
+    cols = [F.col("employee_id"), F.col("period_index")]
     for name, dtype in _FACT_SCHEMA:
         cols.append((values[name] if name in values else F.lit(None)).cast(dtype).alias(name))
     return df.select(*cols)
@@ -99,7 +101,7 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
 
 
 def _aggregate_facts(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("employee_id", "period_start").agg(
+    return facts.groupBy("employee_id", "period_index").agg(
         F.sum("vacation_days").cast("long").alias("vacation_days"),
         F.bool_or("on_leave").alias("on_leave"),
         F.bool_or("excluded").alias("excluded"),
@@ -120,13 +122,18 @@ def purchase_calc(model: HRModel, periods: list[Period] | None = None,
     ``dq_results``); ``strict=True`` fails the job on such a row instead.
     """
     periods = periods or [model.period]
-    emp = category_status_filter(employee_star(model))
-    emp = _with_periods(emp, periods_column(periods))
+    emp = category_status_filter(employee_jobs(model))
+    # Only a small int identifies the period inside the shuffle, and the union
+    # and state attributes are joined (broadcast) after it: the employee side
+    # of the exchange carries keys, not repeated constants.
+    emp = emp.select("*", F.explode(period_indexes(periods)).alias("period_index"))
     facts = employee_period_facts(model, periods)
     wd = bounded(model, "working_days").select("union_id", "period_start", "period_end", "working_days")
-    base = (emp.join(facts, ["employee_id", "period_start"], "left")
+    base = (emp.join(facts, ["employee_id", "period_index"], "left")
             .where(~F.coalesce(F.col("excluded"), F.lit(False))
                    & ~F.coalesce(F.col("on_leave"), F.lit(False)))
+            .join(union_state_side(model), "union_id")
+            .select("*", *period_fields(periods, F.col("period_index")))
             .join(wd, ["union_id", "period_start", "period_end"], "left"))
     if strict:
         base = base.withColumn("working_days", F.when(

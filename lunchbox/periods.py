@@ -42,9 +42,10 @@ class Period:
         return self.label.replace("/", ".")
 
 
-def period_struct(p: Period) -> Column:
-    """One period as a struct literal (start, end, label, days, month, year)."""
+def period_struct(p: Period, index: int = 0) -> Column:
+    """One period as a struct literal (index, start, end, label, days, month, year)."""
     return F.struct(
+        F.lit(index).alias("period_index"),
         F.lit(p.start).alias("period_start"),
         F.lit(p.end).alias("period_end"),
         F.lit(p.label).alias("period_label"),
@@ -58,7 +59,22 @@ def periods_column(periods: list[Period]) -> Column:
     """Array of period structs; ``explode`` it to give each row every period."""
     if not periods:
         raise ValueError("at least one period is required")
-    return F.array(*[period_struct(p) for p in periods])
+    return F.array(*[period_struct(p, i) for i, p in enumerate(periods)])
+
+
+PERIOD_FIELDS = ["period_start", "period_end", "period_label", "period_days", "period_month",
+                 "period_year"]
+
+
+def period_indexes(periods: list[Period]) -> Column:
+    """The period indexes 0..n-1 (``explode`` it: one small int per row)."""
+    return F.array(*[F.lit(i) for i in range(len(periods))])
+
+
+def period_fields(periods: list[Period], index: Column) -> list[Column]:
+    """The period attributes of ``index``, looked up in the literal array."""
+    p = F.element_at(periods_column(periods), index + 1)
+    return [p.getField(name).alias(name) for name in PERIOD_FIELDS]
 
 
 def span(periods: list[Period]) -> tuple[dt.date, dt.date]:
