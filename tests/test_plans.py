@@ -42,11 +42,20 @@ def test_flagship_has_two_shuffles_and_no_cross_join(at_scale):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "Window" not in plan
     # the fact union is aggregated map-side before its shuffle
-    assert re.search(r"HashAggregate\(keys=\[employee_id#\d+L?, period_start#\d+\], functions=\[partial_", plan)
+    assert re.search(r"HashAggregate\(keys=\[employee_id#\d+L?, period_index#\d+\], functions=\[partial_", plan)
     # the only single-partition exchange is the one-row default-job subquery
     assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
 
 
+def test_employee_side_of_the_shuffle_carries_keys_only(at_scale):
+    plan = formatted(entry.queries()["monthly_purchase"](at_scale, SF))
+    inputs = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning", plan)
+    emp_side = [i for i in inputs if "registration" in i]
+    assert len(emp_side) == 1
+    cols = sorted(c.split("#")[0] for c in emp_side[0].split(", "))
+    assert cols == ["employee_id", "period_index", "registration", "union_id"]
+
+
 def test_orders_scanned_once_by_the_flagship(at_scale):
     plan = formatted(entry.queries()["monthly_purchase"](at_scale, SF))
     assert len(re.findall(r"Location: InMemoryFileIndex \[[^\]]*orders\.parquet\]", plan)) == 1
