@@ -30,7 +30,7 @@ from lunchbox.functions.money import prorate_days, share, total_value
 from lunchbox.functions.text import join_notes, note_if
 from lunchbox.operators.eligibility import category_status_filter
 from lunchbox.operators.joins import bounded, employee_jobs, leave_overlaps, union_state_side
-from lunchbox.periods import Period, period_fields, period_indexes, periods_column, span
+from lunchbox.periods import Period, period_indexes, periods_column, span, with_period_fields
 from lunchbox.sources.model import HRModel
 
 _FACT_SCHEMA = [
@@ -45,29 +45,29 @@ def _with_periods(df: DataFrame, periods: Column) -> DataFrame:
     return df.select("*", F.inline(periods))
 
 
-def _typed(df: DataFrame, **values: Column) -> DataFrame:
-    cols = [F.col("employee_id"), F.col("period_index")]
+def _typed(df: DataFrame, **values: str) -> DataFrame:
+    """Rows of the fact union: the given SQL expressions, NULL for the rest."""
+    cols = ["employee_id", "period_index"]
     for name, dtype in _FACT_SCHEMA:
-        cols.append((values[name] if name in values else F.lit(None)).cast(dtype).alias(name))
-    return df.select(*cols)
+        cols.append(f"CAST({values.get(name, 'NULL')} AS {dtype}) AS {name}")
+    return df.selectExpr(*cols)
 
 
 def _rows_from_events(events: DataFrame, pc: Column) -> DataFrame:
     """Typed calc rows from the combined event view (one pass over it)."""
     e = _with_periods(events.withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
-    kind = F.col("kind")
-    ps, pe = F.col("period_start"), F.col("period_end")
-    vac = (kind == "vacation") & (F.col("v_start") == ps) & (F.col("v_end") == pe)
-    leave = ((kind == "leave") & (F.coalesce(F.col("event_date"), ps) <= pe)
-             & (F.col("end_date").isNull() | (F.col("end_date") >= ps)))
-    hire, term = kind == "hire", kind == "termination"
-    return _typed(e.where(vac | leave | hire | term),
-                  vacation_days=F.when(vac, F.col("vacation_days")),
-                  on_leave=F.when(leave, F.lit(True)),
-                  hire_id=F.when(hire, F.col("event_id")), hire_date=F.when(hire, F.col("event_date")),
-                  termination_id=F.when(term, F.col("event_id")),
-                  termination_date=F.when(term, F.col("event_date")),
-                  notice_ok=F.when(term, F.col("notice_ok")))
+    vac = "kind = 'vacation' AND v_start = period_start AND v_end = period_end"
+    leave = ("kind = 'leave' AND COALESCE(event_date, period_start) <= period_end "
+             "AND (end_date IS NULL OR end_date >= period_start)")
+    hire, term = "kind = 'hire'", "kind = 'termination'"
+    return _typed(e.where(f"({vac}) OR ({leave}) OR {hire} OR {term}"),
+                  vacation_days=f"CASE WHEN {vac} THEN vacation_days END",
+                  on_leave=f"CASE WHEN {leave} THEN TRUE END",
+                  hire_id=f"CASE WHEN {hire} THEN event_id END",
+                  hire_date=f"CASE WHEN {hire} THEN event_date END",
+                  termination_id=f"CASE WHEN {term} THEN event_id END",
+                  termination_date=f"CASE WHEN {term} THEN event_date END",
+                  notice_ok=f"CASE WHEN {term} THEN notice_ok END")
 
 
 def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
@@ -76,7 +76,7 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     pc = periods_column(periods)
     if model.events is not None:
         facts = _rows_from_events(model.events, pc).unionByName(
-            _typed(_with_periods(model.exclusions, pc), excluded=F.lit(True)))
+            _typed(_with_periods(model.exclusions, pc), excluded="TRUE"))
         return _aggregate_facts(facts)
     vac = _with_periods(model.vacations.where(
         (F.col("period_start") >= F.lit(lo)) & (F.col("period_end") <= F.lit(hi)))
@@ -85,14 +85,12 @@ def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
     lv = _with_periods(model.leaves, pc)
     lv = leave_overlaps(lv, F.col("period_start"), F.col("period_end"))
     rows = [
-        _typed(vac, vacation_days=F.col("vacation_days")),
-        _typed(lv, on_leave=F.lit(True)),
-        _typed(_with_periods(model.exclusions, pc), excluded=F.lit(True)),
-        _typed(_with_periods(model.hires, pc),
-               hire_id=F.col("hire_id"), hire_date=F.col("hire_date")),
-        _typed(_with_periods(model.terminations, pc),
-               termination_id=F.col("termination_id"),
-               termination_date=F.col("termination_date"), notice_ok=F.col("notice_ok")),
+        _typed(vac, vacation_days="vacation_days"),
+        _typed(lv, on_leave="TRUE"),
+        _typed(_with_periods(model.exclusions, pc), excluded="TRUE"),
+        _typed(_with_periods(model.hires, pc), hire_id="hire_id", hire_date="hire_date"),
+        _typed(_with_periods(model.terminations, pc), termination_id="termination_id",
+               termination_date="termination_date", notice_ok="notice_ok"),
     ]
     facts = rows[0]
     for r in rows[1:]:
@@ -132,9 +130,8 @@ def purchase_calc(model: HRModel, periods: list[Period] | None = None,
     base = (emp.join(facts, ["employee_id", "period_index"], "left")
             .where(~F.coalesce(F.col("excluded"), F.lit(False))
                    & ~F.coalesce(F.col("on_leave"), F.lit(False)))
-            .join(union_state_side(model), "union_id")
-            .select("*", *period_fields(periods, F.col("period_index")))
-            .join(wd, ["union_id", "period_start", "period_end"], "left"))
+            .join(union_state_side(model), "union_id"))
+    base = with_period_fields(base, periods).join(wd, ["union_id", "period_start", "period_end"], "left")
     if strict:
         base = base.withColumn("working_days", F.when(
             F.col("working_days").isNull(),

@@ -42,24 +42,25 @@ class Period:
         return self.label.replace("/", ".")
 
 
-def period_struct(p: Period, index: int = 0) -> Column:
-    """One period as a struct literal (index, start, end, label, days, month, year)."""
-    return F.struct(
-        F.lit(index).alias("period_index"),
-        F.lit(p.start).alias("period_start"),
-        F.lit(p.end).alias("period_end"),
-        F.lit(p.label).alias("period_label"),
-        F.lit(p.days).alias("period_days"),
-        F.lit(p.end.month).alias("period_month"),
-        F.lit(p.end.year).alias("period_year"),
-    )
+def _period_sql(p: Period, index: int) -> str:
+    return (f"named_struct('period_index', {index}, "
+            f"'period_start', DATE'{p.start.isoformat()}', 'period_end', DATE'{p.end.isoformat()}', "
+            f"'period_label', '{p.label}', 'period_days', {p.days}, "
+            f"'period_month', {p.end.month}, 'period_year', {p.end.year})")
 
 
-def periods_column(periods: list[Period]) -> Column:
-    """Array of period structs; ``explode`` it to give each row every period."""
+def periods_sql(periods: list[Period]) -> str:
+    """The periods as a SQL array literal of structs (index, start, end, label,
+    days, month, year).  Written as one SQL expression: a literal this size
+    built call by call would cost a hundred driver-JVM round trips."""
     if not periods:
         raise ValueError("at least one period is required")
-    return F.array(*[period_struct(p, i) for i, p in enumerate(periods)])
+    return "array(" + ", ".join(_period_sql(p, i) for i, p in enumerate(periods)) + ")"
+
+
+def periods_column(periods: list[Period]) -> Column:
+    """Array of period structs; ``inline`` it to give each row every period."""
+    return F.expr(periods_sql(periods))
 
 
 PERIOD_FIELDS = ["period_start", "period_end", "period_label", "period_days", "period_month",
@@ -68,13 +69,14 @@ PERIOD_FIELDS = ["period_start", "period_end", "period_label", "period_days", "p
 
 def period_indexes(periods: list[Period]) -> Column:
     """The period indexes 0..n-1 (``explode`` it: one small int per row)."""
-    return F.array(*[F.lit(i) for i in range(len(periods))])
+    return F.expr("array(" + ", ".join(str(i) for i in range(len(periods))) + ")")
 
 
-def period_fields(periods: list[Period], index: Column) -> list[Column]:
-    """The period attributes of ``index``, looked up in the literal array."""
-    p = F.element_at(periods_column(periods), index + 1)
-    return [p.getField(name).alias(name) for name in PERIOD_FIELDS]
+def with_period_fields(df, periods: list[Period], index_col: str = "period_index"):
+    """Attach the attributes of the period at ``index_col`` (array lookup)."""
+    arr = periods_sql(periods)
+    return df.selectExpr("*", *[f"element_at({arr}, {index_col} + 1).{name} AS {name}"
+                                for name in PERIOD_FIELDS])
 
 
 def span(periods: list[Period]) -> tuple[dt.date, dt.date]:
