@@ -7,8 +7,9 @@ applies every rule the document declares: category exclusion, per-union
 value, configurable split and the cap on the employee share (the excess goes
 to the company), then recomputes all money.
 
-Rule lookups are a broadcast of the exploded rules maps: their size is the
-size of one configuration document, not of the data.
+The document is configuration: its values are read once (``load_rules``)
+and applied as literals -- a literal map for the per-union values, a literal
+list for the categories -- so the overlay adds no join and no subquery.
 """
 
 from __future__ import annotations
@@ -16,22 +17,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox.functions.money import MONEY, total_value
-from lunchbox.sources.rules import excluded_categories, scalar, union_values
+from lunchbox.sources.rules import Rules
 
 
-def default_value(df: DataFrame, rules: DataFrame) -> DataFrame:
+def _dec(v, t: str = MONEY):
+    return F.lit(str(v)).cast(t)
+
+
+def default_value(df: DataFrame, rules: Rules) -> DataFrame:
     """AGR1: daily value NULL or <= 0 -> the document's default value."""
-    default = scalar(rules, "valor_vr_diario_padrao")
     v = F.coalesce(F.col("daily_value").cast("double"), F.lit(0.0))
-    return df.withColumn("daily_value", F.when(v <= 0, default).otherwise(v).cast(MONEY))
+    return df.withColumn("daily_value", F.when(v <= 0, F.lit(rules.default_value))
+                         .otherwise(v).cast(MONEY))
 
 
-def exclude_categories(df: DataFrame, rules: DataFrame, category_col: str = "job_category") -> DataFrame:
-    """AGR2: drop rows whose category is marked ``excluir`` (no-op without the column)."""
-    if category_col not in df.columns:
+def exclude_categories(df: DataFrame, rules: Rules, category_col: str = "job_category") -> DataFrame:
+    """AGR2: drop rows whose category is marked ``excluir`` (NULL category kept;
+    no-op without the column)."""
+    if category_col not in df.columns or not rules.excluded_categories:
         return df
-    cats = F.broadcast(excluded_categories(rules))  # one config document
-    return df.join(cats, df[category_col] == cats["category"], "left_anti")
+    return df.where(~F.coalesce(F.col(category_col).isin(list(rules.excluded_categories)), F.lit(False)))
 
 
 def recompute_total(df: DataFrame) -> DataFrame:
@@ -39,34 +44,36 @@ def recompute_total(df: DataFrame) -> DataFrame:
     return df.withColumn("total", total_value(F.col("days"), F.col("daily_value")))
 
 
-def union_value(df: DataFrame, rules: DataFrame) -> DataFrame:
+def union_value(df: DataFrame, rules: Rules) -> DataFrame:
     """AGR4: per-union daily value override, matched on the union short name."""
-    ov = F.broadcast(union_values(rules))  # one config document
-    return (df.join(ov, "union_name", "left")
-            .withColumn("daily_value", F.coalesce(F.col("override_value").cast(MONEY),
-                                                  F.col("daily_value").cast(MONEY)))
-            .drop("override_value"))
+    if not rules.union_values:
+        return df
+    overrides = F.create_map(*[x for name, v in rules.union_values for x in (F.lit(name), _dec(v))])
+    return df.withColumn("daily_value", F.coalesce(F.try_element_at(overrides, F.col("union_name")),
+                                                   F.col("daily_value").cast(MONEY)))
 
 
-def split(df: DataFrame, rules: DataFrame) -> DataFrame:
+def split(df: DataFrame, rules: Rules) -> DataFrame:
     """AGR5: company / employee shares from the document's percentages."""
-    comp = scalar(rules, "percentual_custo_empresa")
-    emp = scalar(rules, "percentual_desconto_colaborador")
     t = F.col("total").cast("decimal(18,2)")
-    return (df.withColumn("company_cost", F.round(t * comp.cast("decimal(10,6)"), 2).cast("decimal(18,2)"))
-            .withColumn("employee_discount", F.round(t * emp.cast("decimal(10,6)"), 2).cast("decimal(18,2)")))
+    return (df.withColumn("company_cost", F.round(t * _dec(rules.company_share, "decimal(10,6)"), 2)
+                          .cast("decimal(18,2)"))
+            .withColumn("employee_discount", F.round(t * _dec(rules.employee_share, "decimal(10,6)"), 2)
+                        .cast("decimal(18,2)")))
 
 
-def cap(df: DataFrame, rules: DataFrame) -> DataFrame:
+def cap(df: DataFrame, rules: Rules) -> DataFrame:
     """AGR6: employee share capped at ``limites.max_desconto``; excess to the company."""
-    limit = rules.select(F.col("limites.max_desconto").cast("decimal(18,2)").alias("v")).scalar()
+    if rules.max_discount is None:
+        return df
+    limit = _dec(rules.max_discount, "decimal(18,2)")
     e = F.col("employee_discount").cast("decimal(18,2)")
-    capped = F.when(limit.isNotNull() & (e > limit), limit).otherwise(e)
+    capped = F.least(e, limit)
     return (df.withColumn("company_cost", (F.col("company_cost") + (e - capped)).cast("decimal(18,2)"))
             .withColumn("employee_discount", capped.cast("decimal(18,2)")))
 
 
-def apply_effective(df: DataFrame, rules: DataFrame) -> DataFrame:
+def apply_effective(df: DataFrame, rules: Rules) -> DataFrame:
     """What the overlay changes in practice: default value, then TOTAL only.
 
     The category rule is inert here, as it is on the sheet rows the overlay
@@ -75,7 +82,7 @@ def apply_effective(df: DataFrame, rules: DataFrame) -> DataFrame:
     return recompute_total(default_value(df, rules))
 
 
-def apply_declared(df: DataFrame, rules: DataFrame) -> DataFrame:
+def apply_declared(df: DataFrame, rules: Rules) -> DataFrame:
     """Every declared rule, in order, with all money recomputed."""
     out = exclude_categories(df, rules)
     out = default_value(union_value(out, rules), rules)

@@ -18,7 +18,7 @@ from lunchbox.operators import agreement, calc, reports
 from lunchbox.periods import Period
 from lunchbox.sources import sinks
 from lunchbox.sources.model import HRModel
-from lunchbox.sources.rules import read_rules
+from lunchbox.sources.rules import load_rules
 
 log = logging.getLogger(__name__)
 
@@ -33,7 +33,7 @@ def apply_agreement(model: HRModel, rules_source: str, periods: list[Period] | N
                     declared: bool = False) -> DataFrame:
     """Purchase rows with the agreement overlay applied, in layout form."""
     c = calc.purchase_calc(model, periods)
-    rules = read_rules(model.spark, rules_source)
+    rules = load_rules(model.spark, rules_source)
     overlay = agreement.apply_declared if declared else agreement.apply_effective
     out = overlay(c, rules)
     return calc.layout(out)

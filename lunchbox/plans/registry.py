@@ -18,7 +18,7 @@ from lunchbox.functions.text import job_category
 from lunchbox.operators import (agreement, calc, declared, eligibility, ingest, joins,
                                 maintenance, quality, reports)
 from lunchbox.sources import sheets, sinks
-from lunchbox.sources.rules import read_rules
+from lunchbox.sources.rules import load_rules
 from lunchbox.sources.testdata import catalog as load_model
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -494,7 +494,7 @@ def _agreement_base(m):
 
 
 def _rules(m):
-    return read_rules(m.spark, RULES)
+    return load_rules(m.spark, RULES)
 
 
 @query("agreement_default_value")

@@ -1,13 +1,17 @@
 """Collective-agreement rules document (JSON), read with a fixed schema.
 
-The document is configuration: one small JSON object, inline text or a file.
-It becomes a one-row DataFrame whose fields are used as scalar subqueries,
-and whose maps (per category / per union) are exploded into small lookup
-frames.  Key names are the document's own (fixed input format).
+The document is configuration: one small JSON object, inline text or a file
+(any path Spark can read).  ``read_rules`` parses it with the fixed schema
+into a one-row DataFrame; ``load_rules`` takes that single row once and
+returns the values as a :class:`Rules` object, which the agreement operators
+apply as literals (no subquery, no join).  Key names are the document's own
+(fixed input format).
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # --- fixed values: key names of the rules document -------------------------
@@ -36,22 +40,36 @@ def read_rules(spark: SparkSession, source: str) -> DataFrame:
     return spark.read.schema(RULES_SCHEMA).option("multiLine", "true").json(source)
 
 
-def scalar(rules: DataFrame, field: str):
-    """A rules field as a scalar-subquery column, with its default applied."""
-    col = F.col(field)
-    if field in DEFAULTS:
-        col = F.coalesce(col, F.lit(DEFAULTS[field]))
-    return rules.select(col.alias("v")).scalar()
+@dataclass(frozen=True)
+class Rules:
+    """The values of one rules document (defaults applied)."""
+    default_value: float = DEFAULTS["valor_vr_diario_padrao"]
+    employee_share: float = DEFAULTS["percentual_desconto_colaborador"]
+    company_share: float = DEFAULTS["percentual_custo_empresa"]
+    max_discount: float | None = None
+    excluded_categories: tuple = ()
+    union_values: tuple = ()          # (union short name, daily value) pairs
 
 
-def excluded_categories(rules: DataFrame) -> DataFrame:
-    """Categories with ``excluir = true`` (one row each)."""
-    return (rules.select(F.explode_outer("excecoes.por_categoria").alias("category", "rule"))
-            .where(F.col("rule.excluir") == F.lit(True)).select("category"))
+def load_rules(spark: SparkSession, source: str) -> Rules:
+    """Parse the document with the fixed schema and take its single row."""
+    row = read_rules(spark, source).first()
+    if row is None:
+        return Rules()
 
+    def value(name):
+        v = row[name]
+        return DEFAULTS[name] if v is None else float(v)
 
-def union_values(rules: DataFrame) -> DataFrame:
-    """Per-union daily value overrides: (union_name, override_value)."""
-    return (rules.select(F.explode_outer("excecoes.por_sindicato").alias("union_name", "rule"))
-            .where(F.col("union_name").isNotNull())
-            .select("union_name", F.col("rule.valor_vr_diario").alias("override_value")))
+    limits, exceptions = row["limites"], row["excecoes"]
+    per_category = (exceptions and exceptions["por_categoria"]) or {}
+    per_union = (exceptions and exceptions["por_sindicato"]) or {}
+    return Rules(
+        default_value=value("valor_vr_diario_padrao"),
+        employee_share=value("percentual_desconto_colaborador"),
+        company_share=value("percentual_custo_empresa"),
+        max_discount=None if not limits or limits["max_desconto"] is None else float(limits["max_desconto"]),
+        excluded_categories=tuple(sorted(k for k, v in per_category.items() if v and v["excluir"])),
+        union_values=tuple(sorted((k, float(v["valor_vr_diario"])) for k, v in per_union.items()
+                                  if v and v["valor_vr_diario"] is not None)),
+    )

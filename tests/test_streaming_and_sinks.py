@@ -7,7 +7,7 @@ import pytest
 
 from lunchbox.operators import agreement, declared
 from lunchbox.sources import sinks
-from lunchbox.sources.rules import read_rules
+from lunchbox.sources.rules import load_rules
 from lunchbox.sources.testdata import catalog
 from lunchbox.streaming import purchase_requests
 
@@ -49,7 +49,7 @@ def test_write_purchase_sheet_partitions(spark, tmp_path):
 
 
 def test_agreement_empty_passes_through(spark):
-    rules = read_rules(spark, '{"valor_vr_diario_padrao": 10.0}')
+    rules = load_rules(spark, '{"valor_vr_diario_padrao": 10.0}')
     empty = spark.createDataFrame([], "registration long, union_name string, days int, "
                                       "daily_value decimal(10,2), total decimal(18,2), "
                                       "company_cost decimal(18,2), employee_discount decimal(18,2)")

@@ -10,7 +10,7 @@ from lunchbox.functions.keys import sorted_surrogate_ids
 from lunchbox.functions.text import clean_header, job_category
 from lunchbox.operators import agreement, declared, eligibility, ingest
 from lunchbox.periods import Period
-from lunchbox.sources.rules import read_rules
+from lunchbox.sources.rules import load_rules, read_rules
 
 
 def test_job_category_rule(spark):
@@ -81,7 +81,7 @@ def test_lookup_with_default(spark):
 
 
 def test_rules_from_text_and_defaults(spark, tmp_path):
-    rules = read_rules(spark, '{"excecoes": {"por_sindicato": {"U": {"valor_vr_diario": 40.0}}}}')
+    rules = load_rules(spark, '{"excecoes": {"por_sindicato": {"U": {"valor_vr_diario": 40.0}}}}')
     df = spark.createDataFrame([("U", 10, 0.0), ("V", 10, 0.0)], "union_name string, days int, daily_value double")
     out = {r["union_name"]: r for r in agreement.apply_declared(
         df.withColumn("daily_value", F.col("daily_value").cast("decimal(10,2)"))
@@ -93,6 +93,8 @@ def test_rules_from_text_and_defaults(spark, tmp_path):
     path.write_text('{\n "valor_vr_diario_padrao": 37.5,\n "limites": {"max_desconto": 10.0}\n}')
     r2 = read_rules(spark, str(path)).first()
     assert r2["valor_vr_diario_padrao"] == 37.5 and r2["limites"]["max_desconto"] == 10.0
+    r3 = load_rules(spark, str(path))
+    assert r3.default_value == 37.5 and r3.max_discount == 10.0 and r3.employee_share == 0.2
 
 
 def test_period_value_object():
