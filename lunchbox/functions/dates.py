@@ -17,11 +17,6 @@ def date_text(c: Column) -> Column:
     return F.date_format(c, "dd/MM/yyyy")
 
 
-def in_range(c: Column, start, end) -> Column:
-    """Inclusive ``start <= c <= end`` (columns or literals)."""
-    return (c >= start) & (c <= end)
-
-
 def ts_day_range(ts_col: str, start: dt.date, end: dt.date) -> Column:
     """``CAST(ts AS DATE) BETWEEN start AND end`` written on the raw column.
 

@@ -1,8 +1,8 @@
-"""Money and day-count arithmetic.
+"""Money arithmetic.
 
 Money is DECIMAL throughout: ``round(x, 2)`` on decimals is exact, whereas on
-doubles Spark and Python disagree on ties.  Day proration rounds half to
-even (``bround``), which is what Python's ``round`` does.
+doubles Spark and Python disagree on ties.  (Day proration, which rounds half
+to even like Python's ``round``, is in ``operators.calc``.)
 """
 
 from __future__ import annotations
@@ -16,18 +16,6 @@ def money(c) -> Column:
     return (c if isinstance(c, Column) else F.lit(c)).cast(MONEY)
 
 
-def prorate_days(days: Column, part: Column, whole: Column) -> Column:
-    """``round_half_even(days * clamp(part / whole, 0, 1))`` as an int.
-
-    The ratio is evaluated first and as a double, the same order of operations
-    as the rule being reproduced, so results agree on every tie.
-    """
-    # an empty whole (no days to prorate over) gives ratio 0, not an error
-    ratio = F.least(F.greatest(F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")),
-                                          F.lit(0.0)), F.lit(0.0)), F.lit(1.0))
-    return F.bround(days.cast("double") * ratio, 0).cast("int")
-
-
 def total_value(days: Column, daily_value: Column) -> Column:
     """``round(days * daily_value, 2)`` in decimal."""
     return F.round(days.cast("decimal(10,0)") * daily_value.cast(MONEY), 2).cast("decimal(18,2)")

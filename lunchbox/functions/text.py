@@ -1,28 +1,29 @@
-"""Text rules: job category, header clean-up, observation notes."""
+"""Text rules: job category and header clean-up."""
 
 from __future__ import annotations
 
 import re
 import unicodedata
-from functools import reduce
 
 from pyspark.sql import Column, functions as F
 
 from lunchbox import constants as K
 
 
-def job_category(title: Column) -> Column:
-    """Category of a job title: first matching keyword on the upper-cased title.
+def job_category_sql(title: str) -> str:
+    """Category of a job title (SQL): first matching keyword on the
+    upper-cased title; a NULL title contains no keyword -> FUNCIONARIO."""
+    t = f"upper(coalesce(CAST({title} AS STRING), ''))"
+    director = " OR ".join(f"contains({t}, '{w}')" for w in K.DIRECTOR_KEYWORDS)
+    return (f"CASE WHEN contains({t}, '{K.CATEGORY_INTERN}') THEN '{K.CATEGORY_INTERN}' "
+            f"WHEN contains({t}, '{K.CATEGORY_APPRENTICE}') THEN '{K.CATEGORY_APPRENTICE}' "
+            f"WHEN {director} THEN '{K.CATEGORY_DIRECTOR}' "
+            f"ELSE '{K.CATEGORY_EMPLOYEE}' END")
 
-    A NULL title yields FUNCIONARIO, like the string conversion of a missing
-    value would (it contains none of the keywords).
-    """
-    t = F.upper(F.coalesce(title.cast("string"), F.lit("")))
-    director = reduce(lambda a, b: a | b, [t.contains(w) for w in K.DIRECTOR_KEYWORDS])
-    return (F.when(t.contains(K.CATEGORY_INTERN), F.lit(K.CATEGORY_INTERN))
-            .when(t.contains(K.CATEGORY_APPRENTICE), F.lit(K.CATEGORY_APPRENTICE))
-            .when(director, F.lit(K.CATEGORY_DIRECTOR))
-            .otherwise(F.lit(K.CATEGORY_EMPLOYEE)))
+
+def job_category(title: str) -> Column:
+    """Category of the job title in column ``title`` (see ``job_category_sql``)."""
+    return F.expr(job_category_sql(title))
 
 
 def clean_header(name: str) -> str:
@@ -35,13 +36,3 @@ def clean_header(name: str) -> str:
     plain = unicodedata.normalize("NFKD", name.strip())
     plain = "".join(c for c in plain if not unicodedata.combining(c))
     return re.sub(r"[^0-9A-Za-z]+", "_", plain).strip("_").upper()
-
-
-def note_if(cond: Column, text: Column) -> Column:
-    """A note that exists only when ``cond`` holds (NULL otherwise)."""
-    return F.when(cond, text)
-
-
-def join_notes(*notes: Column) -> Column:
-    """Join notes with the separator, skipping absent ones; '' when none."""
-    return F.concat_ws(K.NOTE_SEPARATOR, *notes)

@@ -13,22 +13,23 @@ from lunchbox.functions.money import MONEY
 from lunchbox.periods import Period, periods_column
 
 
-def weekday_count(start: Column, end: Column) -> Column:
+def weekday_count_sql(start: str, end: str) -> str:
     """Mon-Fri days in the inclusive range, in closed form (no row per day).
 
     Whole weeks give 5 each; the leftover days (< 7) are counted from the
-    start weekday.  Empty range -> 0.
+    start weekday (Monday-based index ``(dayofweek + 5) % 7``).  Empty range
+    -> 0.  ``start``/``end`` are SQL expressions.
     """
-    n = F.datediff(end, start) + 1
-    full, rest = F.floor(n / 7), n % 7
-    # dayofweek: 1 = Sunday ... 7 = Saturday -> Monday-based index 0..6
-    s = (F.dayofweek(start) + 5) % 7
-    # weekdays among the `rest` days starting at index s: indices s..s+rest-1 mod 7 below 5
-    extra = F.lit(0)
-    for k in range(6):
-        idx = (s + k) % 7
-        extra = extra + F.when((F.lit(k) < rest) & (idx < 5), 1).otherwise(0)
-    return F.when(n <= 0, F.lit(0)).otherwise(full * 5 + extra).cast("int")
+    n = f"(datediff({end}, {start}) + 1)"
+    s = f"((dayofweek({start}) + 5) % 7)"
+    extra = " + ".join(f"CASE WHEN {k} < {n} % 7 AND ({s} + {k}) % 7 < 5 THEN 1 ELSE 0 END"
+                       for k in range(6))
+    return f"CAST(CASE WHEN {n} <= 0 THEN 0 ELSE floor({n} / 7) * 5 + {extra} END AS INT)"
+
+
+def weekday_count(start: str, end: str) -> Column:
+    """Column form of :func:`weekday_count_sql` (arguments: column names or SQL)."""
+    return F.expr(weekday_count_sql(start, end))
 
 
 def working_days_from_calendar(unions: DataFrame, periods: list[Period],
@@ -42,7 +43,7 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
     """
     up = (unions.select("union_id", "state_id", F.explode(periods_column(periods)).alias("p"))
           .select("union_id", "state_id", "p.period_start", "p.period_end"))
-    wd = up.withColumn("weekdays", weekday_count(F.col("period_start"), F.col("period_end")))
+    wd = up.withColumn("weekdays", weekday_count("period_start", "period_end"))
     hol = holidays.where(F.dayofweek("holiday_date").between(2, 6))
     hol = checked_broadcast(hol, 100_000, "holiday calendar")
     hits = (up.join(hol,

@@ -33,7 +33,11 @@ def status_ok(status: Column) -> Column:
 
 
 def category_status_filter(df: DataFrame) -> DataFrame:
-    return df.where(~category_or_status_excluded(F.col("job_category"), F.col("status")))
+    """Rows whose category and status do not remove them (NULLs kept)."""
+    cats = ", ".join(f"'{c}'" for c in K.EXCLUDED_CATEGORIES)
+    stats = ", ".join(f"'{s}'" for s in K.EXCLUDED_STATUSES)
+    return df.where(f"NOT (COALESCE(job_category IN ({cats}), FALSE) "
+                    f"OR COALESCE(status IN ({stats}), FALSE))")
 
 
 def eligible_base(model: HRModel, period: Period | None = None) -> DataFrame:
@@ -50,7 +54,7 @@ def eligible_view(model: HRModel) -> DataFrame:
     star = (model.employees
             .join(bounded(model, "companies"), "company_id")
             .join(union_state_side(model), "union_id"))
-    star = star.withColumn("job_category", job_category(F.col("job_title")))
+    star = star.withColumn("job_category", job_category("job_title"))
     return (not_excluded(star, model.exclusions)
             .where(status_ok(F.col("status"))))
 

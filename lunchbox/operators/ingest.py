@@ -48,7 +48,7 @@ def job_titles(*title_columns: tuple[DataFrame, str]) -> DataFrame:
 def job_dim(titles: DataFrame) -> DataFrame:
     """Jobs numbered from 1 in title order, with their category."""
     return (sorted_surrogate_ids(titles, "title", "job_id")
-            .withColumn("category", job_category(F.col("title")))
+            .withColumn("category", job_category("title"))
             .select("job_id", "title", "category"))
 
 

@@ -43,12 +43,12 @@ def employee_star(model: HRModel) -> DataFrame:
     """
     emp = model.employees
     return (emp.join(union_state_side(model), "union_id")
-            .withColumn("job_category", job_category(F.col("job_title"))))
+            .withColumn("job_category", job_category("job_title")))
 
 
 def employee_jobs(model: HRModel) -> DataFrame:
     """Employees with their job category only (no union / state join)."""
-    return model.employees.withColumn("job_category", job_category(F.col("job_title")))
+    return model.employees.withColumn("job_category", job_category("job_title"))
 
 
 def employee_unions(model: HRModel) -> DataFrame:

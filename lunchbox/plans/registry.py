@@ -195,7 +195,7 @@ def _job_titles(spark, sf_dir):
 @query("job_category")
 def _job_category(m):
     """ING4: title -> category (first matching keyword)."""
-    return m.job_titles.select("title", job_category(F.col("title")).alias("category"))
+    return m.job_titles.select("title", job_category("title").alias("category"))
 
 
 @query("job_dim")

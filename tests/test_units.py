@@ -17,7 +17,7 @@ def test_job_category_rule(spark):
     titles = ["Estagiario de dados", "JOVEM APRENDIZ", "DIRETORA", "PRESIDENTE", "ceo",
               "PROCEOPS", "ANALISTA", None, "APRENDIZ ESTAGIARIO"]
     df = spark.createDataFrame([(t,) for t in titles], "t string")
-    got = [r[0] for r in df.select(job_category(F.col("t"))).collect()]
+    got = [r[0] for r in df.select(job_category("t")).collect()]
     assert got == ["ESTAGIARIO", "APRENDIZ", "DIRETOR", "DIRETOR", "DIRETOR", "DIRETOR",
                    "FUNCIONARIO", "FUNCIONARIO", "ESTAGIARIO"]
 
@@ -51,7 +51,7 @@ def test_weekday_count_matches_brute_force(spark_session_for_hypothesis, start,
     end = start + dt.timedelta(days=n)
     expect = sum(1 for k in range(n + 1) if (start + dt.timedelta(days=k)).weekday() < 5)
     df = spark_session_for_hypothesis.createDataFrame([(start, end)], "s date, e date")
-    assert df.select(declared.weekday_count(F.col("s"), F.col("e"))).first()[0] == expect
+    assert df.select(declared.weekday_count("s", "e")).first()[0] == expect
 
 
 def test_cast_checked_quarantines(spark):
