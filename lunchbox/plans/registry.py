@@ -75,7 +75,7 @@ def _sheet(df):
 @raw_query("load_employees")
 def _load_employees(spark, sf_dir):
     """SRC1: active employees sheet, typed."""
-    s = _sheet(sheets.active_sheet(spark, sf_dir))
+    s = _sheet(sheets.active_sheet(load_model(spark, sf_dir)))
     return s.select(F.col("MATRICULA").cast("long").alias("registration"),
                     F.col("EMPRESA").alias("company"), F.col("TITULO_DO_CARGO").alias("job_title"),
                     F.col("DESC_SITUACAO").alias("status"), F.col("SINDICATO").alias("union_full_name"))
@@ -84,7 +84,7 @@ def _load_employees(spark, sf_dir):
 @raw_query("load_vacations")
 def _load_vacations(spark, sf_dir):
     """SRC2: vacation sheet, typed."""
-    s = _sheet(sheets.vacation_sheet(spark, sf_dir))
+    s = _sheet(sheets.vacation_sheet(load_model(spark, sf_dir)))
     return s.select(F.col("MATRICULA").cast("long").alias("registration"),
                     F.col("DESC_SITUACAO").alias("status"),
                     F.col("DIAS_DE_FERIAS").cast("long").alias("vacation_days"))
@@ -93,7 +93,7 @@ def _load_vacations(spark, sf_dir):
 @raw_query("load_leaves")
 def _load_leaves(spark, sf_dir):
     """SRC3: leave sheet, typed."""
-    s = _sheet(sheets.leave_sheet(spark, sf_dir))
+    s = _sheet(sheets.leave_sheet(load_model(spark, sf_dir)))
     return s.select(F.col("MATRICULA").cast("long").alias("registration"),
                     F.col("DESC_SITUACAO").alias("leave_type"),
                     F.col("NA_COMPRA").alias("purchase_flag"))
@@ -102,7 +102,7 @@ def _load_leaves(spark, sf_dir):
 @raw_query("load_terminations")
 def _load_terminations(spark, sf_dir):
     """SRC4: termination sheet ('MATRICULA ' header), typed; notice = exactly 'OK'."""
-    s = _sheet(sheets.termination_sheet(spark, sf_dir))
+    s = _sheet(sheets.termination_sheet(load_model(spark, sf_dir)))
     return s.select(F.col("MATRICULA").cast("long").alias("registration"),
                     F.col("DATA_DEMISSAO").cast("date").alias("termination_date"),
                     ingest.notice_flag(F.col("COMUNICADO_DE_DESLIGAMENTO")).alias("notice_ok"))
@@ -111,14 +111,14 @@ def _load_terminations(spark, sf_dir):
 @raw_query("load_hires")
 def _load_hires(spark, sf_dir):
     """SRC5: hires sheet, typed."""
-    s = _sheet(sheets.hire_sheet(spark, sf_dir))
+    s = _sheet(sheets.hire_sheet(load_model(spark, sf_dir)))
     return s.select(F.col("MATRICULA").cast("long").alias("registration"),
                     F.col("ADMISSAO").cast("date").alias("hire_date"),
                     F.col("CARGO").alias("job_title"))
 
 
 def _exclusion_sheets(spark, sf_dir):
-    return {k: _sheet(v) for k, v in sheets.exclusion_sheets(spark, sf_dir).items()}
+    return {k: _sheet(v) for k, v in sheets.exclusion_sheets(load_model(spark, sf_dir)).items()}
 
 
 @raw_query("load_exclusions")
@@ -175,7 +175,7 @@ def _wd_for_period(m):
 @raw_query("cast_checked")
 def _cast_checked(spark, sf_dir):
     """ING2: text termination sheet -> typed, with per-row cast errors."""
-    s = _sheet(sheets.text_sheet(sheets.termination_sheet(spark, sf_dir)))
+    s = _sheet(sheets.text_sheet(sheets.termination_sheet(load_model(spark, sf_dir))))
     c = ingest.cast_checked(s, {"MATRICULA": "bigint", "DATA_DEMISSAO": "date"})
     return c.select(F.col("MATRICULA").alias("registration"),
                     F.col("DATA_DEMISSAO").alias("termination_date"),
@@ -186,8 +186,8 @@ def _cast_checked(spark, sf_dir):
 def _job_titles(spark, sf_dir):
     """ING3: distinct titles over the active, hires, intern and apprentice sheets."""
     x = _exclusion_sheets(spark, sf_dir)
-    return ingest.job_titles((_sheet(sheets.active_sheet(spark, sf_dir)), "TITULO_DO_CARGO"),
-                             (_sheet(sheets.hire_sheet(spark, sf_dir)), "CARGO"),
+    return ingest.job_titles((_sheet(sheets.active_sheet(load_model(spark, sf_dir))), "TITULO_DO_CARGO"),
+                             (_sheet(sheets.hire_sheet(load_model(spark, sf_dir))), "CARGO"),
                              (x["interns"], "TITULO_DO_CARGO"),
                              (x["apprentices"], "TITULO_DO_CARGO"))
 
@@ -208,7 +208,7 @@ def _job_dim(m):
 def _employee_dim(spark, sf_dir):
     """ING6: active sheet -> employee rows with job / union ids (unknown -> 1)."""
     m = load_model(spark, sf_dir)
-    s = _sheet(sheets.active_sheet(spark, sf_dir))
+    s = _sheet(sheets.active_sheet(load_model(spark, sf_dir)))
     # A shuffle join on the title would put every employee into one of a few
     # hundred title partitions; the job table is broadcast once its size is verified.
     jobs = checked_broadcast(ingest.job_dim(m.job_titles), 1_000_000, "jobs")
@@ -228,7 +228,7 @@ def _resolve(spark, sf_dir, sheet_df):
 @raw_query("resolve_vacations")
 def _resolve_vacations(spark, sf_dir):
     """ING7/ING8: vacation sheet resolved by registration; period dates attached."""
-    r, m = _resolve(spark, sf_dir, sheets.vacation_sheet(spark, sf_dir))
+    r, m = _resolve(spark, sf_dir, sheets.vacation_sheet(load_model(spark, sf_dir)))
     return r.select("employee_id", F.lit(m.period.start).alias("period_start"),
                     F.lit(m.period.end).alias("period_end"),
                     F.col("DIAS_DE_FERIAS").cast("long").alias("vacation_days"))
@@ -237,7 +237,7 @@ def _resolve_vacations(spark, sf_dir):
 @raw_query("resolve_leaves")
 def _resolve_leaves(spark, sf_dir):
     """ING7/ING8: leave sheet resolved; fixed start, open end."""
-    r, _ = _resolve(spark, sf_dir, sheets.leave_sheet(spark, sf_dir))
+    r, _ = _resolve(spark, sf_dir, sheets.leave_sheet(load_model(spark, sf_dir)))
     return r.select("employee_id", F.col("DESC_SITUACAO").alias("leave_type"),
                     F.lit(LEAVE_SHEET_START).alias("start_date"),
                     F.lit(None).cast("date").alias("end_date"))
@@ -246,7 +246,7 @@ def _resolve_leaves(spark, sf_dir):
 @raw_query("resolve_terminations")
 def _resolve_terminations(spark, sf_dir):
     """ING7/ING8: termination sheet resolved; notice = exactly 'OK'."""
-    s = _sheet(sheets.termination_sheet(spark, sf_dir)).withColumnRenamed("MATRICULA", "registration")
+    s = _sheet(sheets.termination_sheet(load_model(spark, sf_dir))).withColumnRenamed("MATRICULA", "registration")
     r = ingest.resolve_registrations(s, load_model(spark, sf_dir).employees)
     return r.select("employee_id", F.col("DATA_DEMISSAO").cast("date").alias("termination_date"),
                     ingest.notice_flag(F.col("COMUNICADO_DE_DESLIGAMENTO")).alias("notice_ok"))
@@ -255,7 +255,7 @@ def _resolve_terminations(spark, sf_dir):
 @raw_query("resolve_hires")
 def _resolve_hires(spark, sf_dir):
     """ING7: hires sheet resolved by registration."""
-    r, _ = _resolve(spark, sf_dir, sheets.hire_sheet(spark, sf_dir))
+    r, _ = _resolve(spark, sf_dir, sheets.hire_sheet(load_model(spark, sf_dir)))
     return r.select("employee_id", F.col("ADMISSAO").cast("date").alias("hire_date"))
 
 
@@ -648,10 +648,10 @@ def _dq_unmatched(spark, sf_dir):
     m = load_model(spark, sf_dir)
     x = _exclusion_sheets(spark, sf_dir)
     feeds = {
-        "vacations": (_sheet(sheets.vacation_sheet(spark, sf_dir)), "MATRICULA"),
-        "leaves": (_sheet(sheets.leave_sheet(spark, sf_dir)), "MATRICULA"),
-        "terminations": (_sheet(sheets.termination_sheet(spark, sf_dir)), "MATRICULA"),
-        "hires": (_sheet(sheets.hire_sheet(spark, sf_dir)), "MATRICULA"),
+        "vacations": (_sheet(sheets.vacation_sheet(load_model(spark, sf_dir))), "MATRICULA"),
+        "leaves": (_sheet(sheets.leave_sheet(load_model(spark, sf_dir))), "MATRICULA"),
+        "terminations": (_sheet(sheets.termination_sheet(load_model(spark, sf_dir))), "MATRICULA"),
+        "hires": (_sheet(sheets.hire_sheet(load_model(spark, sf_dir))), "MATRICULA"),
         "interns": (x["interns"], "MATRICULA"),
         "apprentices": (x["apprentices"], "MATRICULA"),
         "abroad": (x["abroad"], "CADASTRO"),

@@ -4,8 +4,8 @@ Headers keep the sheets' own spelling (accents, a trailing blank in
 ``'MATRICULA '``, an unnamed third column); values are typed the way a
 spreadsheet reader would infer them.  :mod:`lunchbox.operators.ingest` turns
 them into the model.  Here they are derived from the driver's tables with the
-same mapping as :mod:`lunchbox.sources.testdata`; in production they are
-read with :func:`read_sheet`.
+same mapping as :mod:`lunchbox.sources.testdata` (from the model's lazy
+table definitions); in production they are read with :func:`read_sheet`.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
-from lunchbox.sources import testdata as T
 from lunchbox.functions.keys import checked_broadcast
+from lunchbox.sources import testdata as T
+from lunchbox.sources.model import HRModel
 
 
 def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **options) -> DataFrame:
@@ -31,9 +32,9 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **
     return reader.options(**options).load(path)
 
 
-def active_sheet(spark, sf_dir) -> DataFrame:
-    emp = T.employees(spark, sf_dir)
-    uni = T.unions(spark, sf_dir).select("union_id", "union_full_name")
+def active_sheet(m: HRModel) -> DataFrame:
+    emp = m.employees
+    uni = m.unions.select("union_id", "union_full_name")
     return (emp.join(checked_broadcast(uni, 1000, "unions"), "union_id", "left")
             .select(F.col("registration").alias("MATRICULA"),
                     F.lit("Empresa Principal").alias("EMPRESA"),
@@ -46,40 +47,40 @@ def _registration(col="employee_id"):
     return (F.col(col) - 1 + T.REGISTRATION_BASE).cast("long")
 
 
-def vacation_sheet(spark, sf_dir) -> DataFrame:
-    v = T.vacations(spark, sf_dir)
+def vacation_sheet(m: HRModel) -> DataFrame:
+    v = m.vacations
     return v.select(_registration().alias("MATRICULA"),
                     F.lit(K.STATUS_VACATION).alias("DESC. SITUACAO"),
                     F.col("vacation_days").cast("long").alias("DIAS DE FÉRIAS"))
 
 
-def leave_sheet(spark, sf_dir) -> DataFrame:
-    lv = T.leaves(spark, sf_dir)
+def leave_sheet(m: HRModel) -> DataFrame:
+    lv = m.leaves
     return lv.select(_registration().alias("MATRICULA"),
                      F.col("leave_type").alias("DESC. SITUACAO"),
                      F.lit(None).cast("string").alias("na compra?"))
 
 
-def termination_sheet(spark, sf_dir) -> DataFrame:
-    t = T.terminations(spark, sf_dir)
+def termination_sheet(m: HRModel) -> DataFrame:
+    t = m.terminations
     return t.select(_registration().alias("MATRICULA "),
                     F.col("termination_date").cast("timestamp_ntz").alias("DATA DEMISSÃO"),
                     F.when(F.col("notice_ok"), F.lit(K.NOTICE_OK_TEXT))
                     .alias("COMUNICADO DE DESLIGAMENTO"))
 
 
-def hire_sheet(spark, sf_dir) -> DataFrame:
-    h = T.hires(spark, sf_dir)
-    emp = T.employees(spark, sf_dir).select("employee_id", "job_title")
+def hire_sheet(m: HRModel) -> DataFrame:
+    h = m.hires
+    emp = m.employees.select("employee_id", "job_title")
     return (h.join(emp, "employee_id", "left")
             .select(_registration().alias("MATRICULA"),
                     F.col("hire_date").cast("timestamp_ntz").alias("Admissão"),
                     F.col("job_title").alias("Cargo")))
 
 
-def exclusion_sheets(spark, sf_dir) -> dict[str, DataFrame]:
-    x = T.exclusions(spark, sf_dir)
-    emp = T.employees(spark, sf_dir).select("employee_id", "job_title")
+def exclusion_sheets(m: HRModel) -> dict[str, DataFrame]:
+    x = m.exclusions
+    emp = m.employees.select("employee_id", "job_title")
     xj = x.join(emp, "employee_id", "left")
     interns = xj.where(F.col("exclusion_type") == K.EXCLUSION_INTERN).select(
         _registration().alias("MATRICULA"), F.col("job_title").alias("TITULO DO CARGO"),
