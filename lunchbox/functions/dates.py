@@ -12,11 +12,6 @@ def as_date(c: Column) -> Column:
     return c.cast("date")
 
 
-def date_text(c: Column) -> Column:
-    """``dd/MM/yyyy`` text of a date (NULL stays NULL)."""
-    return F.date_format(c, "dd/MM/yyyy")
-
-
 def ts_day_range(ts_col: str, start: dt.date, end: dt.date) -> Column:
     """``CAST(ts AS DATE) BETWEEN start AND end`` written on the raw column.
 

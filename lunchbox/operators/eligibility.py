@@ -17,16 +17,6 @@ from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
 
-def category_or_status_excluded(category: Column, status: Column) -> Column:
-    """TRUE when the category or the status removes the employee.
-
-    NULL category or status never removes anyone (a plain ``isin`` would
-    yield NULL and a filter would drop the row).
-    """
-    return (F.coalesce(category.isin(K.EXCLUDED_CATEGORIES), F.lit(False))
-            | F.coalesce(status.isin(K.EXCLUDED_STATUSES), F.lit(False)))
-
-
 def status_ok(status: Column) -> Column:
     """``status NOT IN (...)`` with SQL semantics (NULL status is not kept)."""
     return ~status.isin(K.EXCLUDED_STATUSES)

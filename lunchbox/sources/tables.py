@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 from lunchbox.periods import Period
 from lunchbox.sources.builder import SCHEMAS
 from lunchbox.sources.model import HRModel
+from lunchbox.sources.sinks import write_table
 
 # Dimension bounds verified before broadcast (rows).
 DEFAULT_BOUNDS = {"states": 100, "unions": 10_000, "working_days": 1_000_000, "companies": 1_000}
@@ -21,7 +22,7 @@ DEFAULT_BOUNDS = {"states": 100, "unions": 10_000, "working_days": 1_000_000, "c
 def write_model(model: HRModel, root: str) -> None:
     """Write every table of the model under ``root/<table>`` (overwrite)."""
     for name in SCHEMAS:
-        model.table(name).write.mode("overwrite").parquet(f"{root.rstrip('/')}/{name}")
+        write_table(model.table(name), f"{root.rstrip('/')}/{name}")
 
 
 def read_model(spark: SparkSession, root: str, period: Period,

@@ -5,6 +5,8 @@ import os
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from lunchbox.operators import agreement, declared
 from lunchbox.sources import sinks
 from lunchbox.sources.rules import load_rules
@@ -60,3 +62,16 @@ def test_agreement_empty_passes_through(spark):
 def test_purchase_flag(spark):
     df = spark.createDataFrame([("sim",), ("N",), (None,), (" S ",)], "purchase_flag string")
     assert declared.purchase_flag(df).count() == 2
+
+
+def test_write_results_replaces_only_its_period(spark, tmp_path):
+    import __spark_entry__ as entry
+    out = str(tmp_path / "results")
+    res = entry.queries()["calc_results"](spark, SF)
+    sinks.write_results(res, out)
+    other = res.withColumn("period_month", F.lit(4).cast("long"))
+    sinks.write_results(other, out)                  # another period: added
+    sinks.write_results(res, out)                    # same period again: replaced, not doubled
+    back = spark.read.parquet(out)
+    assert back.count() == 2 * res.count()
+    assert {r[0] for r in back.select("period_month").distinct().collect()} == {4, 5}
