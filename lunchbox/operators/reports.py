@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from lunchbox import constants as K
 from lunchbox.operators.eligibility import eligible_employees, report_eligible
 from lunchbox.operators.joins import (employee_jobs, employee_star, employee_unions,
-                                      union_state_side, working_days_side)
+                                      fan_out_left_join, union_state_side, working_days_side)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -163,8 +163,8 @@ def kpi_counts(model: HRModel) -> DataFrame:
 
 def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
     wd = working_days_side(model, period)
-    base = (eligible_employees(model).join(wd, "union_id")
-            .join(model.vacations.select("employee_id", "vacation_days"), "employee_id", "left"))
+    base = fan_out_left_join(eligible_employees(model).join(wd, "union_id"),
+                             model.vacations.select("employee_id", "vacation_days"), "employee_id")
     days = F.col("working_days") - F.coalesce(F.col("vacation_days"), F.lit(0))
     total = days.cast("decimal(10,0)") * F.col("daily_value")
     return base.select(
