@@ -11,7 +11,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox import constants as K
+from lunchbox.functions.keys import checked_broadcast
 from lunchbox.operators.ingest import unmatched_registrations
+from lunchbox.operators.joins import bounded
 from lunchbox.sources.model import HRModel
 
 
@@ -47,13 +49,18 @@ def dq_report(model: HRModel) -> DataFrame:
 def dq_foreign_keys(model: HRModel) -> DataFrame:
     """Orphans per foreign key (rows whose reference does not exist)."""
     emp_ids = model.employees.select("employee_id")
+    # Dimension sides are broadcast once their size is verified: an anti join
+    # shuffled on a low-cardinality key (a title, a union) would pile the
+    # employees into a few partitions.
+    titles = checked_broadcast(model.job_titles, 1_000_000, "job titles")
     checks = [
-        ("employees.union_id", model.employees, "union_id", model.unions.select("union_id")),
-        ("employees.company_id", model.employees, "company_id", model.companies.select("company_id")),
-        ("employees.job_title", model.employees.withColumnRenamed("job_title", "title"), "title",
-         model.job_titles),
-        ("unions.state_id", model.unions, "state_id", model.states.select("state_id")),
-        ("working_days.union_id", model.working_days, "union_id", model.unions.select("union_id")),
+        ("employees.union_id", model.employees, "union_id", bounded(model, "unions").select("union_id")),
+        ("employees.company_id", model.employees, "company_id",
+         bounded(model, "companies").select("company_id")),
+        ("employees.job_title", model.employees.withColumnRenamed("job_title", "title"), "title", titles),
+        ("unions.state_id", model.unions, "state_id", bounded(model, "states").select("state_id")),
+        ("working_days.union_id", model.working_days, "union_id",
+         bounded(model, "unions").select("union_id")),
     ] + [(f"{t}.employee_id", model.table(t), "employee_id", emp_ids)
          for t in ("vacations", "leaves", "terminations", "hires", "exclusions")]
     parts = []
