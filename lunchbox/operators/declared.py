@@ -52,6 +52,8 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
                        | (F.col("holiday_state_id") == F.col("state_id"))))
             .groupBy("union_id", "period_start", "period_end")
             .agg(F.countDistinct("holiday_date").alias("holidays")))
+    # hits has at most one row per union and period: verified, then broadcast
+    hits = checked_broadcast(hits, 1_000_000, "holiday hits")
     return (wd.join(hits, ["union_id", "period_start", "period_end"], "left")
             .select("union_id", "period_start", "period_end",
                     (F.col("weekdays") - F.coalesce(F.col("holidays"), F.lit(0))).cast("long")

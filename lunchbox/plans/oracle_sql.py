@@ -98,12 +98,6 @@ emp AS (
   SELECT e.*, u.union_name, u.union_full_name, s.state_id, s.state_name, s.uf, s.daily_value,
          {category('e.job_title')} AS job_category
   FROM employee e JOIN labor_union u ON e.union_id = u.union_id JOIN state s ON u.state_id = s.state_id),
-on_leave AS (
-  SELECT DISTINCT employee_id FROM leave_
-  WHERE COALESCE(start_date, {P_START}) <= {P_END} AND (end_date IS NULL OR end_date >= {P_START})),
-vac_sum AS (
-  SELECT employee_id, CAST(SUM(vacation_days) AS BIGINT) AS vacation_days FROM vacation
-  WHERE period_start = {P_START} AND period_end = {P_END} GROUP BY employee_id),
 hire_agg AS (
   SELECT employee_id, arg_min(hire_date, hire_id) AS first_hire, arg_max(hire_date, hire_id) AS last_hire
   FROM hire GROUP BY employee_id),
@@ -122,8 +116,22 @@ backfilled AS (
          COALESCE(e.hire_date, h.first_hire) AS hire_date, e.termination_date
   FROM employee e
   LEFT JOIN (SELECT employee_id, arg_min(hire_date, hire_id) AS first_hire FROM hire_r GROUP BY employee_id) h
-    ON h.employee_id = e.employee_id),
-calc0 AS (
+    ON h.employee_id = e.employee_id)
+"""
+
+
+def period_ctes(sfx: str, ps: str, pe: str, pdays: str, wd: str, label: str) -> str:
+    """CTEs of the purchase calculation for one period: on_leave{sfx},
+    vac_sum{sfx}, calc0{sfx} .. calc{sfx}; working days come from CTE ``wd``
+    (union_id, working_days)."""
+    return f"""
+on_leave{sfx} AS (
+  SELECT DISTINCT employee_id FROM leave_
+  WHERE COALESCE(start_date, {ps}) <= {pe} AND (end_date IS NULL OR end_date >= {ps})),
+vac_sum{sfx} AS (
+  SELECT employee_id, CAST(SUM(vacation_days) AS BIGINT) AS vacation_days FROM vacation
+  WHERE period_start = {ps} AND period_end = {pe} GROUP BY employee_id),
+calc0{sfx} AS (
   SELECT emp.employee_id, emp.registration, emp.union_id, emp.union_name, emp.daily_value,
          v.vacation_days AS v_raw,
          emp.status, emp.job_title, emp.job_category,
@@ -131,37 +139,37 @@ calc0 AS (
          COALESCE(emp.hire_date, h.first_hire) AS own_hire,
          COALESCE(h.last_hire, emp.hire_date, h.first_hire) AS eff_hire,
          COALESCE(t.last_term, emp.termination_date) AS eff_term,
-         COALESCE(t.last_ok, FALSE) AS ok
+         COALESCE(t.last_ok, FALSE) AS ok,
+         {ps} AS period_start, {label} AS period_label
   FROM emp
-  LEFT JOIN working_days wd ON wd.union_id = emp.union_id
-       AND wd.period_start = {P_START} AND wd.period_end = {P_END}
-  LEFT JOIN vac_sum v ON v.employee_id = emp.employee_id
+  LEFT JOIN {wd} wd ON wd.union_id = emp.union_id
+  LEFT JOIN vac_sum{sfx} v ON v.employee_id = emp.employee_id
   LEFT JOIN hire_agg h ON h.employee_id = emp.employee_id
   LEFT JOIN term_agg t ON t.employee_id = emp.employee_id
   WHERE NOT EXISTS (SELECT 1 FROM exclusion x WHERE x.employee_id = emp.employee_id)
-    AND NOT EXISTS (SELECT 1 FROM on_leave l WHERE l.employee_id = emp.employee_id)
+    AND NOT EXISTS (SELECT 1 FROM on_leave{sfx} l WHERE l.employee_id = emp.employee_id)
     AND NOT (COALESCE(emp.job_category IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR'), FALSE)
              OR COALESCE(emp.status IN ('Auxílio Doença', 'Licença Maternidade', 'Atestado'), FALSE))),
-calc1 AS (
+calc1{sfx} AS (
   SELECT *, GREATEST(wdays - vdays, 0) AS d0,
-         COALESCE(eff_hire BETWEEN {P_START} AND {P_END}, FALSE) AS hired_in,
-         COALESCE(eff_term BETWEEN {P_START} AND {P_END}, FALSE) AS term_in
-  FROM calc0),
-calc2 AS (
+         COALESCE(eff_hire BETWEEN {ps} AND {pe}, FALSE) AS hired_in,
+         COALESCE(eff_term BETWEEN {ps} AND {pe}, FALSE) AS term_in
+  FROM calc0{sfx}),
+calc2{sfx} AS (
   SELECT *,
          CASE WHEN hired_in THEN CAST(round_even(CAST(d0 AS DOUBLE) * LEAST(GREATEST(
-              CAST(date_diff('day', eff_hire, {P_END}) + 1 AS DOUBLE) / {P_DAYS}, 0.0), 1.0), 0) AS INTEGER)
+              CAST(date_diff('day', eff_hire, {pe}) + 1 AS DOUBLE) / {pdays}, 0.0), 1.0), 0) AS INTEGER)
               ELSE d0 END AS d1,
          term_in AND ok AND day(eff_term) <= 15 AS to_zero
-  FROM calc1),
-calc3 AS (
+  FROM calc1{sfx}),
+calc3{sfx} AS (
   SELECT *,
          GREATEST(CASE WHEN to_zero THEN 0
                        WHEN term_in THEN CAST(round_even(CAST(d1 AS DOUBLE) * LEAST(GREATEST(
-                            CAST(date_diff('day', {P_START}, eff_term) + 1 AS DOUBLE) / {P_DAYS}, 0.0), 1.0), 0) AS INTEGER)
+                            CAST(date_diff('day', {ps}, eff_term) + 1 AS DOUBLE) / {pdays}, 0.0), 1.0), 0) AS INTEGER)
                        ELSE d1 END, 0) AS days
-  FROM calc2),
-calc AS (
+  FROM calc2{sfx}),
+calc{sfx} AS (
   SELECT *, round(days * daily_value, 2) AS total_dec,
          round(round(days * daily_value, 2) * 0.8, 2) AS company_dec,
          round(round(days * daily_value, 2) * 0.2, 2) AS employee_dec,
@@ -170,8 +178,13 @@ calc AS (
             CASE WHEN to_zero THEN 'Desligado c/ comunicado até dia 15' END,
             CASE WHEN term_in AND NOT to_zero
                  THEN 'Desligado em ' || strftime(eff_term, '%d/%m/%Y') || ' (proporcional)' END) AS notes
-  FROM calc3)
-"""
+  FROM calc3{sfx})"""
+
+
+MODEL = MODEL.rstrip() + f""",
+wd_default AS (
+  SELECT union_id, working_days FROM working_days WHERE period_start = {P_START} AND period_end = {P_END}),""" + \
+    period_ctes("", P_START, P_END, P_DAYS, "wd_default", P_LABEL) + "\n"
 
 
 def with_model(body: str) -> str:
@@ -626,3 +639,39 @@ FROM (
                    0.0), 1.0), 0) AS INTEGER)
               ELSE d0 END AS d1w
     FROM calc) a) b""")
+
+
+# ------------------------------------------------------- several periods ---
+MULTI_PERIODS = [("1998-02-15", "1998-03-15", "29", "'03/1998'"),
+                 ("1998-03-15", "1998-04-15", "32", "'04/1998'"),
+                 ("1998-04-15", "1998-05-15", "31", "'05/1998'")]
+
+
+def _calendar_wd(sfx: str, ps: str, pe: str) -> str:
+    return f"""
+wd_cal{sfx} AS (
+  SELECT u.union_id, CAST(COUNT(*) AS INTEGER) AS working_days
+  FROM labor_union u,
+       (SELECT CAST(d AS DATE) AS d FROM generate_series(TIMESTAMP '{ps}', TIMESTAMP '{pe}', INTERVAL 1 DAY) g(d)) cal
+  WHERE isodow(cal.d) <= 5
+    AND NOT EXISTS (SELECT 1 FROM (VALUES (DATE '1998-04-21', CAST(NULL AS BIGINT)),
+                                          (DATE '1998-05-01', CAST(NULL AS BIGINT)),
+                                          (DATE '1998-04-23', CAST(4 AS BIGINT))) h(hd, hs)
+                    WHERE h.hd = cal.d AND (h.hs IS NULL OR h.hs = u.state_id))
+  GROUP BY u.union_id),"""
+
+
+_ctes, _selects = [], []
+for _i, (_ps, _pe, _days, _label) in enumerate(MULTI_PERIODS):
+    _sfx = f"_m{_i}"
+    _ctes.append(_calendar_wd(_sfx, _ps, _pe)
+                 + period_ctes(_sfx, f"DATE '{_ps}'", f"DATE '{_pe}'", _days, f"wd_cal{_sfx}", _label))
+    _selects.append(f"""
+SELECT registration, COALESCE(strftime(own_hire, '%d/%m/%Y'), '') AS admission, union_name,
+       period_label, CAST(days AS BIGINT) AS days,
+       CAST(daily_value AS DOUBLE) AS daily_value, CAST(total_dec AS DOUBLE) AS total,
+       CAST(company_dec AS DOUBLE) AS company_cost, CAST(employee_dec AS DOUBLE) AS employee_discount,
+       notes
+FROM calc{_sfx}""")
+SQL["monthly_purchase_periods"] = ("WITH " + MODEL.strip() + ","
+                                   + ",".join(_ctes) + "\n" + "\nUNION ALL".join(_selects))

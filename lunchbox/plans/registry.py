@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -17,6 +18,7 @@ from lunchbox.functions.keys import checked_broadcast
 from lunchbox.functions.text import job_category
 from lunchbox.operators import (agreement, calc, declared, eligibility, ingest, joins,
                                 maintenance, quality, reports)
+from lunchbox.periods import Period
 from lunchbox.sources import sheets, sinks
 from lunchbox.sources.rules import load_rules
 from lunchbox.sources.testdata import catalog as load_model
@@ -39,6 +41,8 @@ RULES = """{
     "por_sindicato": {"BRAZIL": {"valor_vr_diario": 40.0}, "JAPAN": {"valor_vr_diario": 30.0}}
   }
 }"""
+# Consecutive periods of the multi-period run (the last one is the model's).
+EARLIER_PERIODS = [("1998-02-15", "1998-03-15"), ("1998-03-15", "1998-04-15")]
 # Holidays on weekdays in the period; NULL state = national.
 HOLIDAYS = [("1998-04-21", None), ("1998-05-01", None), ("1998-04-23", 4)]
 # ---------------------------------------------------------------------------
@@ -700,6 +704,17 @@ def _workday_proration(m):
         *_money("total"))
 
 
+@query("monthly_purchase_periods")
+def _monthly_purchase_periods(m):
+    """CAL8 over three consecutive periods in one plan (working days from the
+    holiday calendar, DEC1): one row per eligible employee and period."""
+    periods = [Period.parse(a, b) for a, b in EARLIER_PERIODS] + [m.period]
+    wd = declared.working_days_from_calendar(m.unions, periods, _holidays(m.spark))
+    m2 = replace(m, working_days=wd, bounds={**m.bounds, "working_days": 25 * len(periods)},
+                 _verified={})
+    return calc.monthly_purchase(m2, periods)
+
+
 @raw_query("consolidated_base")
 def _consolidated_base(spark, sf_dir):
     """DEC3 (declared): active base plus hires missing from it."""
