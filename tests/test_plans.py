@@ -114,3 +114,11 @@ def test_single_scan_path_equals_table_path_over_several_periods(spark):
     assert one == per_table
     labels = {r["period_label"] for r in calc.purchase_calc(m, ps).select("period_label").collect()}
     assert labels == {"04/1998", "05/1998"}
+
+
+def test_three_period_run_keeps_one_shuffle_join(at_scale):
+    plan = plan_of(entry.queries()["monthly_purchase_periods"](at_scale, SF))
+    assert len(re.findall(r"SortMergeJoin", plan)) == 1
+    assert "CartesianProduct" not in plan
+    # the only nested loop is the broadcast holiday list of the calendar
+    assert len(re.findall(r"BroadcastNestedLoopJoin", plan)) <= 1
