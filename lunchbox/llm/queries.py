@@ -4,18 +4,35 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import jaccard_join
+from lunchbox.llm import bpe, decontaminate, jaccard_join
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public tokenizer's file; on the driver only."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encoded(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
+    op1_decontaminate,
+    op4_bpe,
     op7_ngram_jaccard_join,
 )}
 
