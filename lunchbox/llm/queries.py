@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, jaccard_join
+from lunchbox.llm import bpe, decontaminate, jaccard_join, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,10 +30,15 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op4_bpe,
     op7_ngram_jaccard_join,
+    op9_toxicity,
 )}
 
 #: DuckDB SQL by query; the others are tested against brute force, round trips or held-out accuracy.
