@@ -48,7 +48,7 @@ NUMERATOR, DENOMINATOR = 4, 5
 #: bounds of what is broadcast: 2**28 bits are 32 MB, 2**21 longs are 16 MB
 MOST_BITS, MOST_FREQUENT = 28, 1 << 21
 TOKEN_BITS, SET_BITS = 36, 28
-BUCKET_TOKENS, FLUSH_TOKENS = 2 << 20, 4 << 20
+BUCKET_TOKENS, FLUSH_TOKENS = 2 << 20, 2 << 20
 _U = np.uint64
 
 
@@ -86,7 +86,7 @@ def document_sets(docs: DataFrame, n_words: int = WORDS) -> DataFrame:
 
 def _packed(keys: np.ndarray, many: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Keys (token, set) and (token, count) made distinct: those of one set, and counts of the others."""
-    keys = np.unique(keys)
+    keys = spans.distinct(keys)
     token = keys >> _U(SET_BITS)
     first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]]) if len(keys) else np.zeros(0, np.int64)
     count = np.diff(np.r_[first, len(keys)])
@@ -94,8 +94,9 @@ def _packed(keys: np.ndarray, many: list[np.ndarray]) -> tuple[np.ndarray, np.nd
     if many:
         old = np.concatenate(many)
         old_token, old_count = old >> _U(SET_BITS), (old & _U((1 << SET_BITS) - 1)).astype(np.int64)
-        every, place = np.unique(np.concatenate([token, old_token]), return_inverse=True)
-        sums = np.bincount(place, weights=np.concatenate([count, old_count])).astype(np.int64)
+        every = spans.distinct(np.concatenate([token, old_token]))
+        place = np.searchsorted(every, np.concatenate([token, old_token]))
+        sums = np.bincount(place, weights=np.concatenate([count, old_count]), minlength=len(every)).astype(np.int64)
         one = np.zeros(len(every), np.uint64)
         one[place[:len(token)]] = single
         token, count, single = every, sums, one

@@ -13,7 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 1 << 19
 _U = np.uint64
 _P, _Q = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)  # odd, so invertible modulo 2**64
 
@@ -26,6 +26,9 @@ NOT_BLANK[[0x20, 9, 10, 11, 12, 13]] = False
 #: Separators are all ASCII characters but digits and (lower-case) letters.
 ALNUM = np.ones(256, bool)
 ALNUM[0x00:0x30] = ALNUM[0x3A:0x61] = ALNUM[0x7B:0x80] = False
+#: As ALNUM, and digits separate too.
+LETTERS = ALNUM.copy()
+LETTERS[0x30:0x3A] = False
 
 _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -128,6 +131,19 @@ def whole_windows(words: Words, n: int) -> np.ndarray:
     return np.flatnonzero(np.arange(len(words.doc)) <= last)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """Sorted different values; sorting beats numpy's hashing unique by far."""
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]]] if len(values) else values
+
+
+def by_doc(doc: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Order by text number, then value: a fast sort, then a radix sort of small integers."""
+    order = np.argsort(value)
+    small = doc[order].astype(np.uint16) if not len(doc) or doc.max() < 1 << 16 else doc[order]
+    return order[np.argsort(small, kind="stable")]
+
+
 def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(text number, hash) of each text's distinct n-word shingles, by text and hash.
 
@@ -141,7 +157,7 @@ def shingles(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(own):
             doc = np.concatenate([doc, own])
             value = np.concatenate([value, window_hashes(hashes, short)[words.first[own]]])
-    order = np.lexsort((value, doc))
+    order = by_doc(doc, value)
     doc, value = doc[order], value[order]
     new = np.ones(len(doc), bool)
     new[1:] = (doc[1:] != doc[:-1]) | (value[1:] != value[:-1])
