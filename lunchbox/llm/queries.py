@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, jaccard_join, toxicity
+from lunchbox.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,11 +34,16 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op4_bpe,
     op7_ngram_jaccard_join,
     op9_toxicity,
+    op10_line_dedup,
 )}
 
 #: DuckDB SQL by query; the others are tested against brute force, round trips or held-out accuracy.
