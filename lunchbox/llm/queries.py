@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, line_dedup, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(_table(spark, sf_dir, "documents"))
+
+
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_pairs(_table(spark, sf_dir, "documents"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
 
@@ -41,6 +49,8 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op4_bpe,
+    op5_language,
+    op6_fingerprint,
     op7_ngram_jaccard_join,
     op9_toxicity,
     op10_line_dedup,

@@ -79,6 +79,15 @@ def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
         first = last
 
 
+def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of each span."""
+    up, down = _power(_P, len(raw))
+    with np.errstate(over="ignore"):
+        total = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum((raw.astype(np.uint64) + _U(1)) * up[:len(raw)], out=total[1:])
+        return mix((total[end] - total[start]) * down[start])
+
+
 class Words:
     """The words of a chunk of texts."""
 
@@ -101,11 +110,7 @@ class Words:
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of each word."""
-        up, down = _power(_P, len(self.raw))
-        with np.errstate(over="ignore"):
-            total = np.zeros(len(self.raw) + 1, np.uint64)
-            np.cumsum((self.raw.astype(np.uint64) + _U(1)) * up[:len(self.raw)], out=total[1:])
-            return mix((total[self.end] - total[self.start]) * down[self.start])
+        return span_hashes(self.raw, self.start, self.end)
 
     def text(self, word: int) -> bytes:
         return self.raw[self.start[word]:self.end[word]].tobytes()
