@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, line_dedup, toxicity
+from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, line_dedup, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,10 @@ def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.linked_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.read(token_files.write(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json")))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -52,6 +56,7 @@ QUERIES = {f.__name__: f for f in (
     op5_language,
     op6_fingerprint,
     op7_ngram_jaccard_join,
+    op8_token_files,
     op9_toxicity,
     op10_line_dedup,
 )}
