@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, line_dedup, token_files, toxicity
+from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, token_files, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(_table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -52,6 +56,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
+    op2_language_model,
     op4_bpe,
     op5_language,
     op6_fingerprint,
