@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, token_files, toxicity
+from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, token_files, toxicity, warc_fixity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +26,11 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_model.scores(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    return warc_fixity.audit(pages, warc_fixity.damaged_copy(pages))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoded(_table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
@@ -57,6 +62,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_language_model,
+    op3_warc_fixity,
     op4_bpe,
     op5_language,
     op6_fingerprint,
@@ -67,4 +73,4 @@ QUERIES = {f.__name__: f for f in (
 )}
 
 #: DuckDB SQL by query; the others are tested against brute force, round trips or held-out accuracy.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op3_warc_fixity": warc_fixity.SQL}
