@@ -11,17 +11,44 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import jaccard_join
+from lunchbox.llm import bpe, decontaminate, jaccard_join, line_dedup, toxicity
+from lunchbox.llm.queries import tokenizer_path
 from lunchbox.llm.runtime import written
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score reaches the threshold go."""
+    return toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def similar_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of lines that are nearly equal the first stays; a document that loses all its lines stays, empty."""
+    return line_dedup.without_similar_lines(docs).select(*docs.columns)
+
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by shingle similarity 0.8 stays."""
     return jaccard_join.one_of_each_group(docs)
 
 
+def contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which a twentieth or more are windows of benchmark items go."""
+    return decontaminate.without_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of what is left, and digests of ids and decoded text."""
+    return bpe.encoded(docs, tokenizer_path(TOKENIZER), with_ids=True)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("near_copies", near_copies),
+    ("toxicity", toxic),
+    ("line_dedup", similar_lines),
+    ("ngram_jaccard_join", near_copies),
+    ("decontamination", contaminated),
+    ("bpe", tokens),
 ]
 
 #: Similarity links, learned scores and token ids are beyond SQL.
