@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox.llm import spans
-from lunchbox.llm.runtime import ship, written
+from lunchbox.llm.runtime import numbered, ship, written
 
 WINDOW = 13
 #: a document is contaminated if SHARE * n_hit >= n_words
@@ -194,11 +194,13 @@ def _by_join(frame: DataFrame, columns: list[str], windows: DataFrame) -> DataFr
     return keyed.join(hits, "__key", "left").mapInArrow(judge, _schema(frame, columns))
 
 
-def judged(docs: DataFrame, benchmark: DataFrame, columns: list[str], most: int = MOST_WINDOWS) -> DataFrame:
-    """``columns`` of docs and the columns of RESULT, each with two underscores before its name."""
+def judged(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:
+    """The columns of docs as c0, c1, ..., and those of RESULT with two underscores before their names."""
     ship(docs.sparkSession)
     windows = written(item_windows(benchmark), "windows")
-    frame = docs.select(*columns, F.col("text").cast("string").alias("__text"))
+    frame = numbered(docs)
+    columns = frame.columns
+    frame = frame.withColumn("__text", F.col(f"c{docs.columns.index('text')}").cast("string"))
     way = _by_broadcast if windows.count() <= most else _by_join
     return way(frame, columns, windows)
 
@@ -206,13 +208,12 @@ def judged(docs: DataFrame, benchmark: DataFrame, columns: list[str], most: int
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:
     """doc_id and the columns of RESULT of every row."""
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = judged(ids, benchmark, ["doc_id"], most)
-    return out.select("doc_id", *(F.col(c).alias(c[2:]) for c in NAMES))
+    return judged(ids, benchmark, most).select(F.col("c0").alias("doc_id"), *(F.col(c).alias(c[2:]) for c in NAMES))
 
 
 def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that aren't contaminated, all their columns."""
-    return judged(docs, benchmark, docs.columns).where("not __contaminated").drop(*NAMES)
+    return judged(docs, benchmark).where("not __contaminated").drop(*NAMES).toDF(*docs.columns)
 
 
 def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lunchbox.llm import spans
 from lunchbox.llm.graph import components
-from lunchbox.llm.runtime import ship, written
+from lunchbox.llm.runtime import numbered, ship, written
 
 WORDS = 5
 #: similarity NUMERATOR / DENOMINATOR or more links
@@ -316,6 +316,8 @@ def one_of_each_group(docs: DataFrame) -> DataFrame:
     Rows without doc_id stay.  Rows that share a doc_id and differ in text stay
     if that id is the least of a component.
     """
-    kept = linked_documents(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("__kept_doc_id")).distinct()
-    out = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(F.col("__kept_doc_id")), "left_semi")
-    return out.dropDuplicates(["doc_id", "text"])
+    kept = linked_documents(docs).where("doc_id <=> component_id").select(F.col("doc_id").alias("kept")).distinct()
+    frame, place = numbered(docs), docs.columns.index
+    ids, text = f"c{place('doc_id')}", f"c{place('text')}"
+    out = frame.join(kept, F.col(ids).cast("long").eqNullSafe(F.col("kept")), "left_semi")
+    return out.dropDuplicates([ids, text]).toDF(*docs.columns)

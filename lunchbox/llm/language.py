@@ -39,7 +39,7 @@ def codewords(n: int, seed: int = 11) -> np.ndarray:
     """A row of +-1 for each of n languages: all splits for up to 6, else random ones that are far apart."""
     if n <= 6:
         splits = [[1 if i == 0 or (k >> (i - 1)) & 1 else -1 for i in range(n)] for k in range(2 ** max(n - 1, 0) - 1)]
-        return np.array(splits, np.float64).T.reshape(n, -1)
+        return np.array(splits, np.float64).reshape(len(splits), n).T
     rng, best, best_distance = np.random.default_rng(seed), None, -1
     width = int(np.ceil(10 * np.log2(n)))
     for _ in range(200):

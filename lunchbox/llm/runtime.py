@@ -52,3 +52,8 @@ def written(df: DataFrame, tag: str) -> DataFrame:
 def crc_remainder(column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with its columns named c0, c1, ..., so that names inside an operator can't clash with theirs."""
+    return docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))

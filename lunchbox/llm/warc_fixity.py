@@ -80,7 +80,9 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
         depth += 1
     wrong = differing(tree(ours, depth), tree(theirs, depth)).withColumnRenamed("node", "number")
     a, b = (x.join(wrong, "number", "left_semi") for x in (ours, theirs))
-    match = ["number", "sha256"]
+    copies = Window.partitionBy("number", "sha256").orderBy("offset")  # equal records of one page id are matched one by one
+    a, b = (x.withColumn("copy", F.row_number().over(copies)) for x in (a, b))
+    match = ["number", "sha256", "copy"]
     lost, added = a.join(b, match, "left_anti"), b.join(a, match, "left_anti")
     order = Window.partitionBy("number").orderBy("sha256")
     lost, added = (x.withColumn("rank", F.row_number().over(order)) for x in (lost, added))  # records of one page id that differ
