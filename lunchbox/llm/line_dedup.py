@@ -12,7 +12,8 @@ first occurrence by doc_id and line number.
     similarity 0.8 share a band with probability 0.97, of 0.9 with 0.998.  In a bucket each line meets the bucket's head, so a bucket
     yields as many candidates as it has lines, not its pairs; the minimum that finds
     heads is pre-aggregated before the shuffle.
-4.  The exact Jaccard similarity of all shingles decides on each candidate.
+4.  ``similar``: candidates that share too few of a line's every 16th shingle go; of
+    the others the exact Jaccard similarity of all shingles decides.
 5.  Components come from a distributed contraction (``graph.components``).
 
 Defined cases: lines of fewer than ``LEAST`` characters, blanks at the ends not
@@ -29,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox.llm.graph import components
-from lunchbox.llm.runtime import written
+from lunchbox.llm.runtime import numbered, written
 
 SHINGLE, BEGINNING = 8, 12
 #: similarity NUMERATOR / DENOMINATOR or more links
@@ -58,38 +59,53 @@ def shingles(body: Column) -> Column:
     return F.array_distinct(F.transform(every, lambda s: F.xxhash64(s)))
 
 
-def _bands(least: str) -> Column:
+LEAST_HASHES = [f"h{i}" for i in range(KEPT)]
+
+
+def _bands() -> Column:
     """A key for every two of the least hashes; of a line with one, that one."""
-    at = lambda i: F.get(F.col(least), F.lit(i))
-    pairs = F.array(*(F.when(F.size(least) > i, F.xxhash64(at(j), at(i))) for i in range(1, KEPT) for j in range(i)))
-    return F.when(F.size(least) > 1, F.array_compact(pairs)).otherwise(F.col(least))
+    pairs = [F.when(F.col(f"h{i}").isNotNull(), F.xxhash64(f"h{j}", f"h{i}")) for i in range(1, KEPT) for j in range(i)]
+    return F.array_compact(F.array(F.when(F.col("h1").isNull(), F.col("h0")), *pairs))
 
 
 def candidates(signed: DataFrame) -> DataFrame:
-    """(a, b, shared bands) of lines and the heads of their buckets."""
-    keyed = signed.select("id", F.explode(_bands("least")).alias("key"))
+    """(a, b) of lines and the heads of their buckets; ``signed``: id and LEAST_HASHES."""
+    lines = signed.groupBy("id").agg(*(F.max(h).alias(h) for h in LEAST_HASHES))  # equal lines have equal hashes
+    keyed = lines.select("id", F.explode(_bands()).alias("key"))
     heads = keyed.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
     met = keyed.join(heads, "key").where("id <> head")
-    return met.groupBy(F.col("id").alias("a"), F.col("head").alias("b")).agg(F.count("*").alias("shared"))
+    return met.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
+
+
+def _test(value: Column, test) -> Column:
+    """``test`` of a value that is computed once: a plain condition would repeat its parts wherever they are used."""
+    return F.exists(F.array(value), test)
 
 
 def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more."""
     wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    bodies = written(lines.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
+    # a first look at 20 bits of the id keeps most other lines out of the shuffle; 2**20 numbers at most are broadcast
+    prefix = F.shiftrightunsigned("id", 44).alias("prefix")
+    near = lines.select("id", "body", prefix).join(F.broadcast(wanted.select(prefix).distinct()), "prefix", "left_semi")
+    bodies = written(near.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
     both = pairs.select("a", "b").join(bodies.select(F.col("id").alias("a"), F.col("body").alias("body_a")), "a").join(
         bodies.select(F.col("id").alias("b"), F.col("body").alias("body_b")), "b")
-    short, long = F.least(F.char_length("body_a"), F.char_length("body_b")), F.greatest(F.char_length("body_a"), F.char_length("body_b"))
-    sets = both.where(short >= SHINGLE).select("a", "b", shingles(F.col("body_a")).alias("x"), shingles(F.col("body_b")).alias("y"))
-    shared = F.size(F.array_intersect("x", "y"))
-    return sets.where((NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * (F.size("x") + F.size("y"))).select("a", "b")
+    # Every 16th shingle of a first: of a line whose shingles differ from each other, a similarity of
+    # 0.8 leaves two fifths of them in b at least, as a change breaks a run of eight or more.
+    some = F.regexp_extract_all("body_a", F.lit(f"(?s)(.{{{SHINGLE}}}).{{{SHINGLE}}}"), F.lit(1))
+    near = _test(some, lambda x: 5 * F.size(F.filter(x, lambda s: F.contains(F.col("body_b"), s))) >= 2 * F.size(x))
+    sets = F.struct(shingles(F.col("body_a")).alias("x"), shingles(F.col("body_b")).alias("y"))
+    alike = _test(sets, lambda s: (NUMERATOR + DENOMINATOR) * F.size(F.array_intersect(s["x"], s["y"])) >= NUMERATOR * (F.size(s["x"]) + F.size(s["y"])))
+    return both.where(F.when(near, alike).otherwise(False)).select("a", "b")
 
 
 def line_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All compared lines (doc_id, no, id) and the (id, label) of those that link with a different line."""
     lines = _lines(docs)
-    signed = written(lines.select("doc_id", "no", "id", signature(F.col("body")).alias("least")), "lines")
-    pairs = written(candidates(signed.select("id", "least").dropDuplicates(["id"])), "candidates")
+    least = lines.select("doc_id", "no", "id", signature(F.col("body")).alias("least"))
+    signed = written(least.select("doc_id", "no", "id", *(F.get("least", F.lit(i)).alias(h) for i, h in enumerate(LEAST_HASHES))), "lines")
+    pairs = written(candidates(signed.select("id", *LEAST_HASHES)), "candidates")
     edges = written(similar(pairs, lines), "similar")
     labels = components(edges).withColumnRenamed("node", "id")
     return signed.select("doc_id", "no", "id"), labels
@@ -108,21 +124,23 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return gone.groupBy("order").agg(F.collect_list(F.struct("no", "id")).alias("gone"))
 
 
-def without_similar_lines(docs: DataFrame, gone: str | None = None) -> DataFrame:
-    """``docs`` without the lines that go; ``gone``: name of a further column with their number."""
-    mark = removed_lines(docs).select(F.col("order").alias("__order"), F.col("gone").alias("__gone"))
-    out = docs.join(mark, F.coalesce(docs["doc_id"].cast("long"), F.lit(LAST)) == F.col("__order"), "left")
-    lines = F.split("text", "\n")
-    left = F.filter(lines, lambda line, no: ~F.array_contains("__gone", F.struct(no.alias("no"), F.xxhash64(F.trim(line)).alias("id"))))
-    out = out.withColumn("__left", F.when(F.col("__gone").isNotNull(), left))
-    if gone:
-        out = out.withColumn(gone, F.when(F.col("__gone").isNull(), 0).otherwise(F.size(lines) - F.size("__left")).cast("long"))
-    return out.withColumn("text", F.when(F.col("__left").isNull(), F.col("text")).otherwise(F.array_join("__left", "\n"))).drop("__order", "__gone", "__left")
+def without_similar_lines(docs: DataFrame, removed: bool = False) -> DataFrame:
+    """``docs`` without the lines that go; ``removed``: their number as a last column of that name."""
+    names = docs.columns
+    frame = numbered(docs)
+    text, order = F.col(f"c{names.index('text')}"), F.coalesce(F.col(f"c{names.index('doc_id')}").cast("long"), F.lit(LAST))
+    lines = F.split(text, "\n")
+    left = F.filter(lines, lambda line, no: ~F.array_contains("gone", F.struct(no.alias("no"), F.xxhash64(F.trim(line)).alias("id"))))
+    out = frame.withColumn("order", order).join(removed_lines(docs), "order", "left").withColumn("left", F.when(F.col("gone").isNotNull(), left))
+    new = F.when(F.col("left").isNull(), text).otherwise(F.array_join("left", "\n"))
+    number = F.when(F.col("left").isNull(), 0).otherwise(F.size(lines) - F.size("left")).cast("long")
+    columns = [new if n == "text" else F.col(f"c{i}") for i, n in enumerate(names)]
+    return out.select(*(c.alias(f"o{i}") for i, c in enumerate([*columns, *([number] if removed else [])]))).toDF(*names, *["removed"] * removed)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (as they were), n_removed and kept_sha256 (of the text that is left) of every row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     counted = rows.withColumn("n_lines", F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n"))).cast("long"))
-    out = without_similar_lines(counted, "n_removed")
-    return out.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+    out = without_similar_lines(counted, removed=True)
+    return out.select("doc_id", "n_lines", F.col("removed").alias("n_removed"), F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
