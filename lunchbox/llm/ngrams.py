@@ -25,12 +25,13 @@ def subwords(words: spans.Words, chosen: np.ndarray, sizes: tuple[int, ...], buc
     marked[offset[:-1]], marked[offset[1:] - 1] = ord("<"), ord(">")
     inner = np.arange(length.sum()) - np.repeat(np.r_[0, np.cumsum(length)][:-1], length)
     marked[np.repeat(offset[:-1] + 1, length) + inner] = words.raw[np.repeat(words.start[chosen], length) + inner]
-    owner = np.repeat(np.arange(len(chosen)), size)
+    owner = np.repeat(np.arange(len(chosen), dtype=np.int32), size)
     place = np.arange(len(marked)) - offset[owner]
     values = _BYTE[marked]
-    owners, buckets = [np.arange(len(chosen))], [words.hashes()[chosen]]
+    bucket = lambda hashes: (hashes >> _U(64 - bucket_log)).astype(np.int32)
+    owners, buckets = [np.arange(len(chosen), dtype=np.int32)], [bucket(words.hashes()[chosen])]
     for n in sizes:
         at = np.flatnonzero(place + n <= size[owner])
         owners.append(owner[at])
-        buckets.append(spans.window_hashes(values, n)[at] if len(at) else np.zeros(0, np.uint64))
-    return np.concatenate(owners), (np.concatenate(buckets) >> _U(64 - bucket_log)).astype(np.int64)
+        buckets.append(bucket(spans.window_hashes(values, n)[at] if len(at) else np.zeros(0, np.uint64)))
+    return np.concatenate(owners), np.concatenate(buckets)

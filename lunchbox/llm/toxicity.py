@@ -30,16 +30,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox.llm import spans
-from lunchbox.llm.runtime import crc_remainder, ship
+from lunchbox.llm.ngrams import different, subwords
+from lunchbox.llm.runtime import crc_remainder, numbered, ship
 
 #: labelled texts of each class that training reads at most (twice that, if the hash is uneven)
-SAMPLE = {1: 800, 0: 1_600}
+SAMPLE = {1: 700, 0: 1_600}
 WINDOW, BUCKET_LOG, WIDTH = 2, 18, 4
 N_GRAMS = (3, 4, 5, 6)
 WARM_STEPS, STEPS, RATE, DECAY = 10, 35, 0.08, 0.1
 THRESHOLD = 0.7
-_U = np.uint64
-_BYTE = spans.mix(np.arange(1, 257, dtype=np.uint64))
+#: scores are calibrated as if so many texts were toxic, whatever the sample's share
+TOXIC_SHARE = 0.3
 
 
 @dataclass
@@ -55,40 +56,14 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * logit + self.shift, -30, 30)))
 
 
-def subwords(words: spans.Words, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(place in ``which``, bucket) of every subword of the chosen words."""
-    length = words.end[which] - words.start[which]
-    size = length + 2  # with the marks of both ends
-    offset = np.r_[0, np.cumsum(size)]
-    marked = np.empty(offset[-1], np.uint8)
-    marked[offset[:-1]], marked[offset[1:] - 1] = ord("<"), ord(">")
-    inner = np.arange(length.sum()) - np.repeat(np.r_[0, np.cumsum(length)][:-1], length)
-    marked[np.repeat(offset[:-1] + 1, length) + inner] = words.raw[np.repeat(words.start[which], length) + inner]
-    owner = np.repeat(np.arange(len(which)), size)
-    place = np.arange(len(marked)) - offset[owner]
-    values = _BYTE[marked]
-    owners, buckets = [np.arange(len(which))], [words.hashes()[which]]
-    for n in N_GRAMS:
-        at = np.flatnonzero(place + n <= size[owner])
-        owners.append(owner[at])
-        buckets.append(spans.window_hashes(values, n)[at] if len(at) else np.zeros(0, np.uint64))
-    return np.concatenate(owners), (np.concatenate(buckets) >> _U(64 - BUCKET_LOG)).astype(np.int64)
-
-
-def _distinct(words: spans.Words) -> tuple[np.ndarray, np.ndarray]:
-    """One occurrence of each different word, and for each word which of them it is."""
-    _, first, which = np.unique(words.hashes(), return_index=True, return_inverse=True)
-    return first, which
-
-
 def logits(texts: pa.Array, model: Model) -> np.ndarray:
     """Logit of the most toxic window of each text."""
     words = spans.Words(texts, spans.LETTERS)
     out = np.full(len(words.count), model.bias)
     if not len(words.doc):
         return out
-    first, which = _distinct(words)
-    owner, bucket = subwords(words, first)
+    first, which = different(words)
+    owner, bucket = subwords(words, first, N_GRAMS, BUCKET_LOG)
     per_word = np.bincount(owner, weights=model.bucket_logit[bucket]) / np.bincount(owner)
     total = np.r_[0, np.cumsum(per_word[which])]
     begin = np.arange(len(which))
@@ -116,10 +91,11 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     if not len(words.doc):
         return constant
     label = toxic[fit]
-    first, which = _distinct(words)
-    owner, bucket = subwords(words, first)
+    first, which = different(words)
+    owner, bucket = subwords(words, first, N_GRAMS, BUCKET_LOG)
     by_owner = np.argsort(owner, kind="stable")
     owner, bucket = owner[by_owner], bucket[by_owner]
+    del by_owner
     n_sub = np.bincount(owner).astype(np.float32)
     sub_at = np.r_[0, np.cumsum(n_sub.astype(np.int64))][:-1]
     used, bucket = np.unique(bucket, return_inverse=True)
@@ -139,11 +115,15 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     softmax = rng.normal(0, 0.1, (2, WIDTH)).astype(np.float32)
     bias = np.zeros(2, np.float32)
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, softmax, bias)]
-    from_word, from_window = owner[to_bucket], window[to_word]
+    from_word, from_window = owner[to_bucket].astype(np.int32), window[to_word].astype(np.int32)
+    bucket, which = bucket.astype(np.int32), which.astype(np.int32)
+    del owner, to_bucket, to_word
+
+    def sums(values, at, first):  # a dimension after the other, which keeps temporary arrays small
+        return np.stack([np.add.reduceat(row.take(at), first) for row in values])
 
     def forward():
-        word = np.add.reduceat(vectors.take(bucket, 1), sub_at, 1) / n_sub
-        mean = np.add.reduceat(word.take(which, 1), window_at, 1) / in_window
+        mean = sums(sums(vectors, bucket, sub_at) / n_sub, which, window_at) / in_window
         return mean, softmax @ mean + bias[:, None]
 
     per_doc = np.bincount(window_doc, minlength=len(label)).astype(np.float32)
@@ -168,8 +148,7 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
         g = (weight * (p - is_toxic)).astype(np.float32)
         dz = np.stack([-g, g])
         d_mean = (softmax.T @ dz) / in_window
-        d_word = np.add.reduceat(d_mean.take(from_window, 1), word_at, 1) / n_sub
-        d_vectors = np.add.reduceat(d_word.take(from_word, 1), bucket_at, 1)
+        d_vectors = sums(sums(d_mean, from_window, word_at) / n_sub, from_word, bucket_at)
         for k, (param, grad) in enumerate(((vectors, d_vectors), (softmax, dz @ mean.T), (bias, dz.sum(1)))):
             m, v = moments[k]
             m += 0.1 * (grad - m)
@@ -190,7 +169,7 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     scale = float(np.std(x)) or 1.0
     x = x / scale
     target = np.where(y, (y.sum() + 1) / (y.sum() + 2), 1 / ((~y).sum() + 2))
-    weight = np.where(y, 0.5 / max(y.sum(), 1), 0.5 / max((~y).sum(), 1)) * len(y)
+    weight = np.where(y, TOXIC_SHARE / max(y.sum(), 1), (1 - TOXIC_SHARE) / max((~y).sum(), 1)) * len(y)
     a = np.array([1.0, -float(np.mean(x))])
     rows = np.stack([x, np.ones_like(x)], 1)
     for _ in range(50):
@@ -218,32 +197,32 @@ def fitted(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
     return train([t or "" for t in rows.column("text").to_pylist()], np.array(rows.column("toxic").to_pylist(), dtype=int) == 1)
 
 
-def _with_score(docs: DataFrame, model: Model, columns: list[str], score: str) -> DataFrame:
-    """``columns`` of docs and each row's score; the last column must be the text, which isn't returned with ``columns``."""
+def _with_score(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of docs as c0, c1, ..., and each row's score."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    frame = numbered(docs)
+    columns, kinds = frame.columns, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for part in spans.chunks(batch, "__text"):
-                value = own.score(logits(part.column("__text"), own))
-                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(value, pa.float64())], [*columns, score])
+            for part in spans.chunks(batch, "whole_text"):
+                value = own.score(logits(part.column("whole_text"), own))
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(value, pa.float64())], [*columns, "score"])
 
-    frame = docs.select(*columns, F.col("text").cast("string").alias("__text"))
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
-    return frame.mapInArrow(run, f"{kinds}, `{score}` double")
+    frame = frame.withColumn("whole_text", F.col(f"c{docs.columns.index('text')}").cast("string"))
+    return frame.mapInArrow(run, f"{kinds}, score double")
 
 
 def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     model = fitted(docs, labels)
-    out = _with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id"], "score")
+    out = _with_score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model).withColumnRenamed("c0", "doc_id")
     return out.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score",
                       F.when(F.col("score") >= THRESHOLD, 1).otherwise(0).alias("predicted"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose score is below the threshold, all their columns."""
-    out = _with_score(docs, fitted(docs, labels), docs.columns, "__toxic_score")
-    return out.where(F.col("__toxic_score") < THRESHOLD).drop("__toxic_score")
+    return _with_score(docs, fitted(docs, labels)).where(F.col("score") < THRESHOLD).drop("score").toDF(*docs.columns)
