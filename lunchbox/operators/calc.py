@@ -233,9 +233,13 @@ def period_attributes(df: DataFrame) -> DataFrame:
                     .alias("period_days")))
 
 
-def layout(calc: DataFrame) -> DataFrame:
-    """Purchase-sheet projection (English names; display headers at write)."""
+def layout(calc: DataFrame, with_period: bool = False) -> DataFrame:
+    """Purchase-sheet projection (English names; display headers at write).
+
+    ``with_period`` adds the period's dates, by which the writers partition.
+    """
     return calc.selectExpr(
+        *(["period_start", "period_end"] if with_period else []),
         "registration",
         "COALESCE(date_format(employee_hire_date, 'dd/MM/yyyy'), '') AS admission",
         "union_name",
@@ -249,6 +253,6 @@ def layout(calc: DataFrame) -> DataFrame:
     )
 
 
-def monthly_purchase(model: HRModel, periods: list[Period] | None = None) -> DataFrame:
+def monthly_purchase(model: HRModel, periods: list[Period] | None = None, with_period: bool = False) -> DataFrame:
     """The whole purchase calculation, one row per eligible employee and period."""
-    return layout(purchase_calc(model, periods))
+    return layout(purchase_calc(model, periods), with_period)

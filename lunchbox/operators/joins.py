@@ -124,19 +124,6 @@ def distinct_keys(df: DataFrame, *keys: str) -> DataFrame:
     return df.select(*keys).distinct()
 
 
-def fan_out_left_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """``left LEFT JOIN right`` where ``right`` may repeat a key many times.
-
-    Written as INNER JOIN (whose skewed partitions AQE can split on either
-    side) plus the unmatched left rows from an anti join against the
-    distinct right keys; a left outer join could only be split on its left
-    side, so one hot right key would land in a single task.
-    """
-    matched = left.join(right, key, "inner")
-    unmatched = left.join(distinct_keys(right, key), key, "left_anti")
-    return matched.unionByName(unmatched, allowMissingColumns=True)
-
-
 def not_excluded(df: DataFrame, exclusions: DataFrame) -> DataFrame:
     """Rows whose employee is not on the exclusion list (``NOT IN`` as anti join).
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 from lunchbox import constants as K
 from lunchbox.operators.eligibility import eligible_employees, report_eligible
 from lunchbox.operators.joins import (employee_jobs, employee_star, employee_unions,
-                                      fan_out_left_join, union_state_side, working_days_side)
+                                      union_state_side, working_days_side)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -163,8 +163,9 @@ def kpi_counts(model: HRModel) -> DataFrame:
 
 def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
     wd = working_days_side(model, period)
-    base = fan_out_left_join(eligible_employees(model).join(wd, "union_id"),
-                             model.vacations.select("employee_id", "vacation_days"), "employee_id")
+    p = period or model.period
+    away = model.vacations.where((F.col("period_start") == F.lit(p.start)) & (F.col("period_end") == F.lit(p.end)))
+    base = eligible_employees(model).join(wd, "union_id").join(away.select("employee_id", "vacation_days"), "employee_id", "left")
     days = F.col("working_days") - F.coalesce(F.col("vacation_days"), F.lit(0))
     total = days.cast("decimal(10,0)") * F.col("daily_value")
     return base.select(
@@ -179,8 +180,8 @@ def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
 def simple_calc(model: HRModel, period: Period | None = None, limit: int | None = None) -> DataFrame:
     """Report-style calculation: no clamp, proration or rounding.
 
-    Raw vacation rows are left-joined (an employee with two rows appears
-    twice), exactly as the report does.  ``limit`` keeps the first rows by
+    The period's vacation rows are left-joined as they are (an employee with two
+    rows appears twice), exactly as the report does.  ``limit`` keeps the first rows by
     registration (the report's sample); the registered query keeps all.
     """
     c = _simple_calc_decimal(model, period)

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from lunchbox.operators import agreement, calc, reports
 from lunchbox.periods import Period
@@ -26,17 +26,17 @@ log = logging.getLogger(__name__)
 def generate_purchase(model: HRModel, periods: list[Period] | None = None) -> tuple[DataFrame, DataFrame]:
     """(layout, validation totals) for the periods (default: the model's period)."""
     c = calc.purchase_calc(model, periods)
-    return calc.layout(c), reports.validation_totals(c)
+    return calc.layout(c, with_period=True), reports.validation_totals(c)
 
 
 def apply_agreement(model: HRModel, rules_source: str, periods: list[Period] | None = None,
-                    declared: bool = False) -> DataFrame:
+                    declared: bool = False, with_period: bool = False) -> DataFrame:
     """Purchase rows with the agreement overlay applied, in layout form."""
     c = calc.purchase_calc(model, periods)
     rules = load_rules(model.spark, rules_source)
     overlay = agreement.apply_declared if declared else agreement.apply_effective
     out = overlay(c, rules)
-    return calc.layout(out)
+    return calc.layout(out, with_period)
 
 
 def process_benefits(model: HRModel, rules_source: str, output: str,
@@ -47,8 +47,9 @@ def process_benefits(model: HRModel, rules_source: str, output: str,
     An empty result is still written (with a warning); partitions of other
     periods already in ``output`` are left untouched.
     """
-    layout = apply_agreement(model, rules_source, periods, declared)
-    if not sinks.check_exportable(layout):
+    layout = apply_agreement(model, rules_source, periods, declared, with_period=True)
+    rows = Observation()  # counted by the write itself
+    sinks.write_purchase_sheet(layout.observe(rows, F.count(F.lit(1)).alias("n")), output, fmt)
+    if rows.get["n"] == 0:
         log.warning("purchase is empty for %s", [p.label for p in periods or [model.period]])
-    sinks.write_purchase_sheet(layout, output, fmt)
     return output

@@ -63,31 +63,27 @@ working_days AS (
          {P_END} AS period_end, CAST(21 + n_nationkey % 2 AS INTEGER) AS working_days
   FROM nation),
 vacation AS (
-  SELECT o_orderkey AS vacation_id, CAST(o_custkey + 1 AS BIGINT) AS employee_id,
-         {P_START} AS period_start, {P_END} AS period_end,
-         CAST(1 + o_orderkey % 30 AS INTEGER) AS vacation_days
-  FROM orders
-  WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) BETWEEN {P_START} AND {P_END}),
+  SELECT vacation_id, employee_id, period_start, CAST(period_start + INTERVAL 1 MONTH AS DATE) AS period_end, vacation_days
+  FROM (SELECT o_orderkey AS vacation_id, CAST(o_custkey + 1 AS BIGINT) AS employee_id,
+               CAST(date_trunc('month', CAST(o_orderdate AS DATE) - INTERVAL 14 DAY) + INTERVAL 14 DAY AS DATE) AS period_start,
+               CAST(1 + o_orderkey % 30 AS INTEGER) AS vacation_days
+        FROM orders WHERE o_orderstatus = 'F') own),
 hire AS (
   SELECT o_orderkey AS hire_id, CAST(o_custkey + 1 AS BIGINT) AS employee_id,
          CAST(o_orderdate AS DATE) AS hire_date
-  FROM orders
-  WHERE o_orderstatus = 'O' AND CAST(o_orderdate AS DATE) BETWEEN DATE '1998-04-01' AND DATE '1998-05-20'),
+  FROM orders WHERE o_orderstatus = 'O'),
 termination AS (
   SELECT o_orderkey AS termination_id, CAST(o_custkey + 1 AS BIGINT) AS employee_id,
          CAST(o_orderdate AS DATE) AS termination_date,
          COALESCE(o_orderpriority IN ('1-URGENT', '2-HIGH'), FALSE) AS notice_ok
-  FROM orders
-  WHERE o_orderstatus = 'P' AND CAST(o_orderdate AS DATE) BETWEEN DATE '1998-04-10' AND DATE '1998-05-20'),
+  FROM orders WHERE o_orderstatus = 'P'),
 leave_ AS (
   SELECT o_orderkey AS leave_id, CAST(o_custkey + 1 AS BIGINT) AS employee_id,
          'Afastamento' AS leave_type,
          CAST(o_orderdate AS DATE) AS start_date,
          CASE WHEN o_orderkey % 3 = 0 THEN CAST(NULL AS DATE)
               ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 60 AS INTEGER) END AS end_date
-  FROM orders
-  WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
-    AND CAST(o_orderdate AS DATE) BETWEEN DATE '1998-02-01' AND DATE '1998-05-20'),
+  FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'),
 exclusion AS (
   SELECT c_custkey AS exclusion_id, CAST(c_custkey + 1 AS BIGINT) AS employee_id,
          CASE c_custkey % 3 WHEN 0 THEN 'ESTAGIARIO' WHEN 1 THEN 'APRENDIZ' ELSE 'EXTERIOR' END AS exclusion_type,
@@ -263,8 +259,9 @@ FROM employee e
 LEFT JOIN labor_union u0 ON e.union_id = u0.union_id
 LEFT JOIN job j ON j.title = e.job_title
 LEFT JOIN labor_union u ON u.union_full_name = u0.union_full_name""")
-_q("resolve_vacations", """
-SELECT employee_id, period_start, period_end, CAST(vacation_days AS BIGINT) AS vacation_days FROM vacation_r""")
+_q("resolve_vacations", f"""
+SELECT employee_id, {P_START} AS period_start, {P_END} AS period_end, CAST(vacation_days AS BIGINT) AS vacation_days
+FROM vacation_r""")  # the sheet has no dates: the load stamps its period
 _q("resolve_leaves", """
 SELECT employee_id, leave_type, DATE '1998-04-01' AS start_date, CAST(NULL AS DATE) AS end_date FROM leave_r""")
 _q("resolve_terminations", "SELECT employee_id, termination_date, notice_ok FROM termination_r")
@@ -292,15 +289,12 @@ WHERE employee_id NOT IN (SELECT employee_id FROM exclusion)
   AND NOT (COALESCE(job_category IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR'), FALSE)
            OR COALESCE(status IN {EXCLUDED_STATUSES}, FALSE))""")
 _q("eligible_view", f"""
-SELECT b.employee_id, b.registration, b.status, b.hire_date, b.termination_date,
-       c.company_name, b.job_title, {category('b.job_title')} AS job_category,
-       u.union_full_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value
-FROM backfilled b
-JOIN (SELECT CAST(1 AS BIGINT) AS company_id, 'Empresa Principal' AS company_name) c ON b.company_id = c.company_id
-JOIN labor_union u ON b.union_id = u.union_id
-JOIN state s ON u.state_id = s.state_id
-WHERE b.employee_id NOT IN (SELECT employee_id FROM exclusion)
-  AND b.status NOT IN {EXCLUDED_STATUSES}""")
+SELECT employee_id, backfilled.registration, backfilled.status, backfilled.hire_date, backfilled.termination_date,
+       'Empresa Principal' AS company_name, emp.job_title, emp.job_category, emp.union_full_name, emp.state_name,
+       CAST(emp.daily_value AS DOUBLE) AS daily_value
+FROM emp JOIN backfilled USING (employee_id)
+WHERE emp.company_id = 1 AND NOT EXISTS (FROM exclusion WHERE exclusion.employee_id = emp.employee_id)
+  AND emp.status NOT IN {EXCLUDED_STATUSES}""")
 ELIGIBLE_REPORT = f"""
   employee_id NOT IN (SELECT employee_id FROM exclusion)
   AND status NOT IN {EXCLUDED_STATUSES}
@@ -365,36 +359,40 @@ SELECT employee_id, CAST(days AS BIGINT) AS days, CAST(daily_value AS DOUBLE) AS
        CAST(total_dec AS DOUBLE) AS total, CAST(company_dec AS DOUBLE) AS company_cost,
        CAST(employee_dec AS DOUBLE) AS employee_discount FROM calc""")
 _q("observations", "SELECT employee_id, notes FROM calc")
-SIMPLE = f"""
-  SELECT e.registration, e.job_title, e.union_name, e.daily_value, wd.working_days,
-         COALESCE(v.vacation_days, 0) AS vacation_days,
-         wd.working_days - COALESCE(v.vacation_days, 0) AS calc_days,
-         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value AS total_value,
-         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value * 0.8 AS company_cost,
-         (wd.working_days - COALESCE(v.vacation_days, 0)) * e.daily_value * 0.2 AS employee_discount
-  FROM emp e
-  JOIN working_days wd ON e.union_id = wd.union_id
-  LEFT JOIN vacation v ON e.employee_id = v.employee_id
-  WHERE e.employee_id NOT IN (SELECT employee_id FROM exclusion)
-    AND e.status NOT IN {EXCLUDED_STATUSES}
-    AND e.job_category = 'FUNCIONARIO'
-    AND {PERIOD_WD}"""
-_q("simple_calc", f"""
+PAID = f"""
+reportable AS (
+  SELECT registration, job_title, union_id, union_name, daily_value, employee_id FROM emp
+  WHERE job_category = 'FUNCIONARIO' AND status NOT IN {EXCLUDED_STATUSES}
+    AND NOT EXISTS (FROM exclusion WHERE exclusion.employee_id = emp.employee_id)),
+off AS (FROM vacation WHERE period_start = {P_START} AND period_end = {P_END}),
+paid AS (
+  SELECT r.*, d.working_days, coalesce(off.vacation_days, 0) AS away, d.working_days - coalesce(off.vacation_days, 0) AS calc_days
+  FROM wd_default d JOIN reportable r USING (union_id) LEFT JOIN off USING (employee_id)),
+money AS (SELECT *, calc_days * daily_value AS due FROM paid)"""
+
+
+def _paid(name, body):
+    SQL[name] = with_model(", " + PAID.strip() + body)
+
+
+_paid("simple_calc", """
 SELECT registration, job_title, union_name, CAST(daily_value AS DOUBLE) AS daily_value,
-       CAST(working_days AS BIGINT) AS union_working_days, CAST(vacation_days AS BIGINT) AS vacation_days,
-       CAST(calc_days AS BIGINT) AS calc_days, CAST(total_value AS DOUBLE) AS total_value,
-       CAST(company_cost AS DOUBLE) AS company_cost, CAST(employee_discount AS DOUBLE) AS employee_discount
-FROM ({SIMPLE}) s""")
-_q("financial_summary", f"""
-SELECT CAST(COUNT(*) AS BIGINT) AS eligible_employees, CAST(SUM(total_value) AS DOUBLE) AS total_value,
-       CAST(SUM(company_cost) AS DOUBLE) AS company_cost,
-       CAST(SUM(employee_discount) AS DOUBLE) AS employee_discount
-FROM ({SIMPLE}) s""")
+       CAST(working_days AS BIGINT) AS union_working_days, CAST(away AS BIGINT) AS vacation_days,
+       CAST(calc_days AS BIGINT) AS calc_days, CAST(due AS DOUBLE) AS total_value,
+       CAST(due * 0.8 AS DOUBLE) AS company_cost, CAST(due * 0.2 AS DOUBLE) AS employee_discount
+FROM money""")
+_paid("financial_summary", """
+SELECT count(*) AS eligible_employees, CAST(sum(due) AS DOUBLE) AS total_value,
+       CAST(sum(due) * 0.8 AS DOUBLE) AS company_cost, CAST(sum(due) * 0.2 AS DOUBLE) AS employee_discount
+FROM money""")
 _q("terminated_employees", """
-SELECT e.registration, e.job_title, t.termination_date, t.notice_ok,
-       CASE WHEN t.notice_ok THEN 'Recebe VR proporcional' ELSE 'Não recebe VR' END AS termination_rule
-FROM employee e JOIN termination t ON e.employee_id = t.employee_id
-ORDER BY t.termination_date, e.registration, t.termination_id LIMIT 10""")
+, earliest AS (
+  SELECT left_.*, employee.registration, employee.job_title
+  FROM termination left_ JOIN employee USING (employee_id)
+  QUALIFY row_number() OVER (ORDER BY left_.termination_date, registration, termination_id) <= 10)
+SELECT registration, job_title, termination_date, notice_ok,
+       if(notice_ok, 'Recebe VR proporcional', 'Não recebe VR') AS termination_rule
+FROM earliest""")
 RESULTS = """
   SELECT employee_id, CAST(5 AS BIGINT) AS period_month, CAST(1998 AS BIGINT) AS period_year,
          CAST(wdays AS BIGINT) AS union_working_days, CAST(vdays AS BIGINT) AS vacation_days,
@@ -459,33 +457,18 @@ SELECT 'Total colaboradores' AS metric, CAST(COUNT(*) AS DOUBLE) AS value FROM c
 UNION ALL SELECT 'Soma TOTAL', CAST(round(COALESCE(SUM(total_dec), 0), 2) AS DOUBLE) FROM calc
 UNION ALL SELECT 'Soma Custo empresa', CAST(round(COALESCE(SUM(company_dec), 0), 2) AS DOUBLE) FROM calc
 UNION ALL SELECT 'Soma Desconto profissional', CAST(round(COALESCE(SUM(employee_dec), 0), 2) AS DOUBLE) FROM calc""")
-UNION_BASE = f"""
-FROM employee c JOIN labor_union u ON c.union_id = u.union_id JOIN state s ON u.state_id = s.state_id
-JOIN working_days wd ON u.union_id = wd.union_id
-WHERE {PERIOD_WD}"""
-_q("union_distribution", f"""
-SELECT u.union_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value,
-       CAST(wd.working_days AS BIGINT) AS working_days, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
-       CAST(SUM(CASE WHEN c.status = 'Trabalhando' THEN 1 ELSE 0 END) AS BIGINT) AS working,
-       CAST(SUM(CASE WHEN c.status = 'Férias' THEN 1 ELSE 0 END) AS BIGINT) AS on_vacation
-{UNION_BASE}
-GROUP BY u.union_id, u.union_name, s.state_name, s.daily_value, wd.working_days
-ORDER BY total_employees DESC""")
-_q("union_summary", f"""
-SELECT u.union_name, s.state_name, CAST(s.daily_value AS DOUBLE) AS daily_value,
-       CAST(wd.working_days AS BIGINT) AS working_days, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
-       CAST(SUM(CASE WHEN c.status = 'Trabalhando' THEN 1 ELSE 0 END) AS BIGINT) AS working,
-       CAST(SUM(CASE WHEN c.status = 'Férias' THEN 1 ELSE 0 END) AS BIGINT) AS on_vacation,
-       CAST(SUM(CASE WHEN c.status IN {EXCLUDED_STATUSES} THEN 1 ELSE 0 END) AS BIGINT) AS on_leave
-{UNION_BASE}
-GROUP BY u.union_id, u.union_name, s.state_name, s.daily_value, wd.working_days
-ORDER BY total_employees DESC""")
-_q("union_headcount", f"""
-SELECT u.union_name, CAST(COUNT(c.employee_id) AS BIGINT) AS total_employees,
-       CAST(s.daily_value AS DOUBLE) AS daily_value, CAST(wd.working_days AS BIGINT) AS working_days
-{UNION_BASE}
-GROUP BY u.union_id, u.union_name, s.daily_value, wd.working_days
-ORDER BY total_employees DESC""")
+HEADS = f"""
+, heads AS (
+  SELECT union_id, count(*) AS total_employees, count(*) FILTER (status = 'Trabalhando') AS working,
+         count(*) FILTER (status = 'Férias') AS on_vacation, count(*) FILTER (status IN {EXCLUDED_STATUSES}) AS on_leave
+  FROM employee GROUP BY union_id),
+shown AS (
+  SELECT heads.*, union_name, state_name, CAST(daily_value AS DOUBLE) AS daily_value, CAST(wd_default.working_days AS BIGINT) AS working_days
+  FROM heads JOIN wd_default USING (union_id) JOIN labor_union USING (union_id) JOIN state USING (state_id))
+"""
+_q("union_distribution", HEADS + "SELECT union_name, state_name, daily_value, working_days, total_employees, working, on_vacation FROM shown")
+_q("union_summary", HEADS + "SELECT * EXCLUDE (union_id) FROM shown")
+_q("union_headcount", HEADS + "SELECT union_name, total_employees, daily_value, working_days FROM shown")
 _q("kpi_counts", f"""
 SELECT 'total_employees' AS metric, CAST(COUNT(*) AS BIGINT) AS value FROM employee
 UNION ALL SELECT 'eligible_employees', COUNT(*) FROM emp_job WHERE {ELIGIBLE_REPORT}
@@ -535,12 +518,15 @@ ORDER BY h.hire_date, e.registration, h.hire_id LIMIT 10""")
 
 # --------------------------------------------------------------- quality ---
 _q("dq_report", """
-SELECT 'duplicate_registration' AS "check", CAST(COUNT(*) AS BIGINT) AS offenders FROM employee
-  WHERE registration IN (SELECT registration FROM employee GROUP BY registration HAVING COUNT(*) > 1)
-UNION ALL SELECT 'employee_without_union', COUNT(*) FROM employee WHERE union_id IS NULL
-UNION ALL SELECT 'employee_without_job', COUNT(*) FROM employee WHERE job_title IS NULL
-UNION ALL SELECT 'invalid_daily_value', COUNT(*) FROM state WHERE daily_value <= 0 OR daily_value IS NULL
-UNION ALL SELECT 'invalid_working_days', COUNT(*) FROM working_days WHERE working_days <= 0 OR working_days > 31""")
+, repeats AS (SELECT count(*) AS n FROM employee GROUP BY registration),
+found AS (
+  SELECT CAST(coalesce((SELECT sum(n) FROM repeats WHERE n > 1), 0) AS BIGINT) AS duplicate_registration,
+         count(*) FILTER (union_id IS NULL) AS employee_without_union,
+         count(*) FILTER (job_title IS NULL) AS employee_without_job,
+         (SELECT count(*) - count(*) FILTER (daily_value > 0) FROM state) AS invalid_daily_value,
+         (SELECT count(*) FILTER (working_days NOT BETWEEN 1 AND 31) FROM working_days) AS invalid_working_days
+  FROM employee)
+SELECT * FROM (UNPIVOT found ON * INTO NAME "check" VALUE offenders)""")
 _q("dq_foreign_keys", """
 SELECT 'employees.union_id' AS foreign_key, CAST(COUNT(*) AS BIGINT) AS offenders FROM employee e
   WHERE e.union_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labor_union u WHERE u.union_id = e.union_id)

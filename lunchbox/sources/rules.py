@@ -52,10 +52,13 @@ class Rules:
 
 
 def load_rules(spark: SparkSession, source: str) -> Rules:
-    """Parse the document with the fixed schema and take its single row."""
-    row = read_rules(spark, source).first()
-    if row is None:
+    """Parse the document with the fixed schema and take its single row; several documents are an error."""
+    rows = read_rules(spark, source).limit(2).collect()
+    if len(rows) > 1:
+        raise ValueError(f"one rules document is expected, there are more in {source!r}")
+    if not rows:
         return Rules()
+    row = rows[0]
 
     def value(name):
         v = row[name]

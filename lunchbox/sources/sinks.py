@@ -3,16 +3,18 @@ executor loss) replaces exactly the partitions it produces."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from lunchbox import constants as K
 
 
+LAYOUT_COLUMNS = ["registration", "admission", "union_name", "period_label", "days", "daily_value",
+                  "total", "company_cost", "employee_discount", "notes"]
+
+
 def display_layout(layout: DataFrame) -> DataFrame:
     """English layout columns -> the purchase sheet's display headers."""
-    cols = ["registration", "admission", "union_name", "period_label", "days", "daily_value",
-            "total", "company_cost", "employee_discount", "notes"]
-    return layout.select([F.col(c).alias(h) for c, h in zip(cols, K.PURCHASE_HEADERS)])
+    return layout.select([F.col(c).alias(h) for c, h in zip(LAYOUT_COLUMNS, K.PURCHASE_HEADERS)])
 
 
 def sheet_name(period_label: F.Column) -> F.Column:
@@ -35,10 +37,18 @@ def check_exportable(df: DataFrame | None) -> bool:
     return not df.isEmpty()
 
 
+PERIOD_KEYS = ["period_start", "period_end"]
+
+
 def write_purchase_sheet(layout: DataFrame, path: str, fmt: str = "csv") -> None:
-    """Write the sheet partitioned by tab (slash-free period), dynamic overwrite."""
-    out = display_layout(layout).withColumn("sheet", sheet_name(F.col("Competência")))
-    writer = (out.write.mode("overwrite").partitionBy("sheet")
+    """Write the sheet, one partition a period (dynamic overwrite).
+
+    Two periods may end in the same month and so share a tab name; the period's
+    dates are the partition, and the tab (``sheet``) is an ordinary column.
+    """
+    headers = [F.col(c).alias(h) for c, h in zip(LAYOUT_COLUMNS, K.PURCHASE_HEADERS)]
+    out = layout.select(*headers, sheet_name(F.col("period_label")).alias("sheet"), *PERIOD_KEYS)
+    writer = (out.write.mode("overwrite").partitionBy(*PERIOD_KEYS)
               .option("partitionOverwriteMode", "dynamic"))
     if fmt == "csv":
         writer = writer.option("header", "true")
@@ -47,8 +57,14 @@ def write_purchase_sheet(layout: DataFrame, path: str, fmt: str = "csv") -> None
 
 def write_results(results: DataFrame, path: str) -> None:
     """Stored results keyed by (employee, year, month); a period re-run replaces
-    its own partition only (idempotent upsert)."""
-    (results.write.mode("overwrite").partitionBy("period_year", "period_month")
+    its own partition only (idempotent upsert).  The write fails, and leaves
+    what is stored, if an employee has two rows for a year and month, as of two periods
+    that end in the same month."""
+    key = ["employee_id", "period_year", "period_month"]
+    once = results.withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*key)))
+    bad = F.concat_ws(" ", F.lit("two results for employee, year, month:"), *key)
+    checked = once.where(F.when(F.col("_n") > 1, F.raise_error(bad).cast("boolean")).otherwise(F.lit(True))).drop("_n")
+    (checked.write.mode("overwrite").partitionBy("period_year", "period_month")
      .option("partitionOverwriteMode", "dynamic").parquet(path))
 
 

@@ -3,8 +3,7 @@
 The mapping (FIXTURES.md section 4) turns regions into states, nations into
 unions, parts into job titles, customers into employees and order events into
 the vacation / hire / termination / leave feeds.  Everything here is a lazy
-column expression over a Parquet scan; date windows are written on the raw
-timestamp so they reach the scan as pushed filters.
+column expression over a Parquet scan; the feeds hold all dates.
 """
 
 from __future__ import annotations
@@ -15,16 +14,14 @@ import weakref
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
-from lunchbox.functions.dates import as_date, ts_day_range
+from lunchbox.functions.dates import as_date
 from lunchbox.functions.keys import checked_broadcast
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
 # --- fixed values of the projection (FIXTURES.md section 4) ----------------
 PERIOD = Period(dt.date(1998, 4, 15), dt.date(1998, 5, 15))
-HIRE_WINDOW = (dt.date(1998, 4, 1), dt.date(1998, 5, 20))
-TERMINATION_WINDOW = (dt.date(1998, 4, 10), dt.date(1998, 5, 20))
-LEAVE_WINDOW = (dt.date(1998, 2, 1), dt.date(1998, 5, 20))
+PERIOD_DAY = 15               # accounting periods run from this day to the same day of the next month
 REGISTRATION_BASE = 30000
 PART_MODULUS = 200            # employee job = title of part (custkey % 200)
 EXCLUSION_BALANCE = 9700      # customers above this balance are excluded
@@ -153,17 +150,26 @@ def _orders(spark, sf_dir) -> DataFrame:
 
 
 # --- the four order-derived feeds: filters and values, defined once ---------
-def _feed_filters(period: Period) -> dict:
+def _feed_filters() -> dict:
+    """Which feed an order belongs to, whatever its date: the feeds hold every
+    period, and an operator that asks for one filters it."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     return {
-        "vacation": (status == "F") & ts_day_range("o_orderdate", period.start, period.end),
-        "hire": (status == "O") & ts_day_range("o_orderdate", *HIRE_WINDOW),
-        "termination": (status == "P") & ts_day_range("o_orderdate", *TERMINATION_WINDOW),
-        "leave": ((status == "F") & (priority == "1-URGENT")
-                  & ts_day_range("o_orderdate", *LEAVE_WINDOW)),
+        "vacation": status == "F",
+        "hire": status == "O",
+        "termination": status == "P",
+        "leave": (status == "F") & (priority == "1-URGENT"),
     }
 
 
+def _own_period() -> tuple[F.Column, F.Column]:
+    """Start and end of the accounting period that an order's date begins or falls in."""
+    d = _order_date()
+    this_month = F.date_add(F.trunc(d, "MM"), PERIOD_DAY - 1)
+    start = F.add_months(this_month, F.when(F.dayofmonth(d) >= PERIOD_DAY, F.lit(0)).otherwise(F.lit(-1)))
+    return start, F.add_months(start, 1)
+
+
 def _order_employee() -> F.Column:
     return (F.col("o_custkey") + 1).cast("long")
 
@@ -181,19 +187,20 @@ def _leave_end() -> F.Column:
         F.date_add(_order_date(), (F.col("o_orderkey") % 60).cast("int")))
 
 
-def vacations(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
+def vacations(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where(_feed_filters(period)["vacation"])
+    start, end = _own_period()
+    return (o.where(_feed_filters()["vacation"])
             .select(F.col("o_orderkey").alias("vacation_id"),
                     _order_employee().alias("employee_id"),
-                    F.lit(period.start).alias("period_start"),
-                    F.lit(period.end).alias("period_end"),
+                    start.alias("period_start"),
+                    end.alias("period_end"),
                     _vacation_days().alias("vacation_days")))
 
 
 def hires(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where(_feed_filters(PERIOD)["hire"])
+    return (o.where(_feed_filters()["hire"])
             .select(F.col("o_orderkey").alias("hire_id"),
                     _order_employee().alias("employee_id"),
                     _order_date().alias("hire_date")))
@@ -201,7 +208,7 @@ def hires(spark, sf_dir) -> DataFrame:
 
 def terminations(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where(_feed_filters(PERIOD)["termination"])
+    return (o.where(_feed_filters()["termination"])
             .select(F.col("o_orderkey").alias("termination_id"),
                     _order_employee().alias("employee_id"),
                     _order_date().alias("termination_date"),
@@ -210,7 +217,7 @@ def terminations(spark, sf_dir) -> DataFrame:
 
 def leaves(spark, sf_dir) -> DataFrame:
     o = _orders(spark, sf_dir)
-    return (o.where(_feed_filters(PERIOD)["leave"])
+    return (o.where(_feed_filters()["leave"])
             .select(F.col("o_orderkey").alias("leave_id"),
                     _order_employee().alias("employee_id"),
                     F.lit(LEAVE_TYPE).alias("leave_type"),
@@ -218,15 +225,16 @@ def leaves(spark, sf_dir) -> DataFrame:
                     _leave_end().alias("end_date")))
 
 
-def order_events(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
+def order_events(spark, sf_dir) -> DataFrame:
     """The four order-derived feeds from ONE scan of ``orders``.
 
     The scan pushes the OR of the four filters; each order emits one typed
     event per feed it belongs to (``inline`` over an array of optional
-    structs), so a status-F urgent order in the vacation period yields both a
+    structs), so a status-F urgent order yields both a
     vacation and a leave event.  Columns: see ``HRModel.events``.
     """
-    f = _feed_filters(period)
+    f = _feed_filters()
+    start, end = _own_period()
     none_date, none_int, none_bool = (F.lit(None).cast("date"), F.lit(None).cast("int"),
                                       F.lit(None).cast("boolean"))
 
@@ -238,8 +246,8 @@ def order_events(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
             end_date.alias("end_date"),
             days.alias("vacation_days"),
             notice.alias("notice_ok"),
-            (F.lit(period.start) if with_period else none_date).alias("period_start"),
-            (F.lit(period.end) if with_period else none_date).alias("period_end")))
+            (start if with_period else none_date).alias("period_start"),
+            (end if with_period else none_date).alias("period_end")))
 
     d = _order_date()
     events = F.array(
@@ -283,13 +291,13 @@ def load_model(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRM
         job_titles=job_titles(spark, sf_dir),
         employees=employees(spark, sf_dir),
         working_days=working_days(spark, sf_dir, period),
-        vacations=vacations(spark, sf_dir, period),
+        vacations=vacations(spark, sf_dir),
         leaves=leaves(spark, sf_dir),
         terminations=terminations(spark, sf_dir),
         hires=hires(spark, sf_dir),
         exclusions=exclusions(spark, sf_dir),
         companies=companies(spark),
-        events=order_events(spark, sf_dir, period),
+        events=order_events(spark, sf_dir),
         period=period,
         # regions and nations have a fixed cardinality in this schema
         bounds={"states": 5, "unions": 25, "working_days": 25, "companies": 1},

@@ -22,8 +22,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from lunchbox.operators import calc
 from lunchbox.periods import Period
+from lunchbox.sources import sinks
 from lunchbox.sources.model import HRModel
-from lunchbox.sources.sinks import display_layout, sheet_name
 
 REQUEST_SCHEMA = "period_start date, period_end date"
 PERIODS_PER_RUN = 24   # periods computed by one plan; more requests -> more runs
@@ -46,12 +46,7 @@ def _period_chunks(batch: DataFrame):
 
 
 def write_batch(model: HRModel, periods: list[Period], sink: str) -> None:
-    layout = calc.monthly_purchase(model, periods)
-    # partition value = sheet tab ('VR MENSAL 05.1998'): a string, never
-    # re-typed by partition discovery the way a bare '05.1998' would be
-    out = display_layout(layout).withColumn("sheet", sheet_name(F.col("Competência")))
-    (out.write.mode("overwrite").partitionBy("sheet")
-     .option("partitionOverwriteMode", "dynamic").parquet(sink))
+    sinks.write_purchase_sheet(calc.monthly_purchase(model, periods, with_period=True), sink, "parquet")
 
 
 def start(spark: SparkSession, requests: str, sink: str, checkpoint: str,

@@ -121,15 +121,3 @@ def test_retention(spark):
     assert sorted(x[0] for x in maintenance.retain_recent_results(r, dt.date(2025, 5, 15), 4).collect()) == [2, 3]
     v = spark.createDataFrame([(1, dt.date(2024, 12, 31)), (2, dt.date(2025, 1, 1))], "vacation_id long, period_end date")
     assert [x[0] for x in maintenance.retain_vacations(v, dt.date(2025, 1, 1)).collect()] == [2]
-
-
-def test_fan_out_left_join_equals_left_join(spark):
-    from lunchbox.operators.joins import fan_out_left_join
-    left = spark.createDataFrame([(i, f"e{i}") for i in range(1, 8)], "employee_id long, name string")
-    right = spark.createDataFrame([(1, k) for k in range(300)] + [(2, 5), (2, 6), (9, 1)],
-                                  "employee_id long, vacation_days int")
-    expect = sorted(repr(tuple(r)) for r in left.join(right, "employee_id", "left")
-                    .select("employee_id", "name", "vacation_days").collect())
-    got = sorted(repr(tuple(r)) for r in fan_out_left_join(left, right, "employee_id")
-                 .select("employee_id", "name", "vacation_days").collect())
-    assert got == expect and len(got) == 300 + 2 + 5
