@@ -61,8 +61,9 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
 
 
 def consolidated_base(active: DataFrame, hires: DataFrame) -> DataFrame:
-    """Active base plus hires whose registration is missing from it."""
-    missing = hires.join(active.select("registration"), "registration", "left_anti")
+    """Active base plus hires whose registration is missing from it, one row a registration."""
+    once = hires.groupBy("registration").agg(*[F.min(c).alias(c) for c in hires.columns if c != "registration"])
+    missing = once.join(active.select("registration"), "registration", "left_anti")
     return active.unionByName(missing, allowMissingColumns=True)
 
 

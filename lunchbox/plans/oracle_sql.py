@@ -214,7 +214,8 @@ _q("load_vacations", f"""
 SELECT {REG} AS registration, 'Férias' AS status, CAST(vacation_days AS BIGINT) AS vacation_days
 FROM vacation""")
 _q("load_leaves", f"""
-SELECT {REG} AS registration, leave_type, CAST(NULL AS VARCHAR) AS purchase_flag FROM leave_""")
+SELECT {REG} AS registration, leave_type, ['sim', 'N', ' S '][leave_id % 4 + 1] AS purchase_flag FROM leave_""")
+_q("purchase_flag", f"SELECT {REG} AS registration, leave_type FROM leave_ WHERE leave_id % 4 IN (0, 2)")
 _q("load_terminations", f"""
 SELECT {REG} AS registration, termination_date, notice_ok FROM termination""")
 _q("load_hires", """
@@ -589,11 +590,11 @@ WHERE isodow(cal.d) <= 5
                   WHERE h.hd = cal.d AND (h.hs IS NULL OR h.hs = u.state_id))
 GROUP BY u.union_id""")
 _q("consolidated_base", """
+, added AS (
+  SELECT CAST(hire.employee_id - 1 + 30000 AS BIGINT) AS registration, min(job_title) AS job_title
+  FROM hire LEFT JOIN employee USING (employee_id) GROUP BY 1)
 SELECT registration, job_title FROM employee
-UNION ALL
-SELECT CAST(h.employee_id - 1 + 30000 AS BIGINT) AS registration, e.job_title
-FROM hire h LEFT JOIN employee e ON h.employee_id = e.employee_id
-WHERE CAST(h.employee_id - 1 + 30000 AS BIGINT) NOT IN (SELECT registration FROM employee)""")
+UNION ALL SELECT registration, job_title FROM added WHERE registration NOT IN (SELECT registration FROM employee)""")
 _q("abroad_value", """
 SELECT e.employee_id, e.registration, CAST(COALESCE(x.specific_value, e.daily_value) AS DOUBLE) AS daily_value
 FROM exclusion_r x JOIN emp e ON x.employee_id = e.employee_id WHERE x.exclusion_type = 'EXTERIOR'""")

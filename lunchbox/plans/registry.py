@@ -103,6 +103,12 @@ def _load_leaves(spark, sf_dir):
                     F.col("NA_COMPRA").alias("purchase_flag"))
 
 
+@raw_query("purchase_flag")
+def _purchase_flag(spark, sf_dir):
+    """DEC4 (declared): leaves whose flag cell asks for the purchase."""
+    return declared.purchase_flag(_load_leaves(spark, sf_dir)).select("registration", "leave_type")
+
+
 @raw_query("load_terminations")
 def _load_terminations(spark, sf_dir):
     """SRC4: termination sheet ('MATRICULA ' header), typed; notice = exactly 'OK'."""
