@@ -128,14 +128,15 @@ def _schema(frame: DataFrame, columns: list[str]) -> str:
     return ", ".join([f"`{c}` {kinds[c]}" for c in columns] + [f"__{x}" for x in RESULT.split(", ")])
 
 
-def _by_broadcast(frame: DataFrame, columns: list[str], windows: DataFrame) -> DataFrame:
+def _by_broadcast(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
+    columns = frame.columns
     lookup = frame.sparkSession.sparkContext.broadcast(Lookup(windows.collect()))  # at most MOST_WINDOWS rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lookup.value
         for batch in batches:
-            for part in spans.chunks(batch, "__text"):
-                words = spans.Words(part.column("__text"), spans.ALNUM)
+            for part in spans.chunks(batch, text):
+                words = spans.Words(part.column(text), spans.ALNUM)
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *_judged(words, own.hits(words))], [*columns, *NAMES])
 
     return frame.mapInArrow(run, _schema(frame, columns))
@@ -160,15 +161,16 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def _by_join(frame: DataFrame, columns: list[str], windows: DataFrame) -> DataFrame:
+def _by_join(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
+    columns = frame.columns
     lengths = [r.n for r in windows.select("n").distinct().collect()]  # WINDOW rows at most
     shared = frame.sparkSession.sparkContext.broadcast(_bitmap(windows))
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = shared.value
         for batch in batches:
-            for part in spans.chunks(batch, "__text"):
-                words = spans.Words(part.column("__text"), spans.ALNUM)
+            for part in spans.chunks(batch, text):
+                words = spans.Words(part.column(text), spans.ALNUM)
                 keys, hashes, rows = part.column("__key").to_pylist(), words.hashes(), []
                 for n in lengths:
                     at = spans.whole_windows(words, n)
@@ -182,14 +184,14 @@ def _by_join(frame: DataFrame, columns: list[str], windows: DataFrame) -> DataFr
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in spans.chunks(batch, "__text"):
-                words, found = spans.Words(part.column("__text"), spans.ALNUM), []
+            for part in spans.chunks(batch, text):
+                words, found = spans.Words(part.column(text), spans.ALNUM), []
                 for doc, hits in enumerate(part.column("__hits").to_pylist()):
                     found += [(doc, int(words.first[doc]) + h["first"], h["n"], [h["item_id"]]) for h in hits or ()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *_judged(words, found)], [*columns, *NAMES])
 
-    keyed = frame.withColumn("__key", F.sha2("__text", 256))
-    passed = keyed.select("__key", "__text").mapInArrow(near, "__key string, first long, n int, hash long, words binary").distinct()
+    keyed = frame.withColumn("__key", F.sha2(F.col(text).cast("string"), 256))
+    passed = keyed.select("__key", text).mapInArrow(near, "__key string, first long, n int, hash long, words binary").distinct()
     hits = passed.join(windows, ["n", "hash", "words"]).groupBy("__key").agg(F.collect_list(F.struct("first", "n", "item_id")).alias("__hits"))
     return keyed.join(hits, "__key", "left").mapInArrow(judge, _schema(frame, columns))
 
@@ -198,11 +200,8 @@ def judged(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> D
     """The columns of docs as c0, c1, ..., and those of RESULT with two underscores before their names."""
     ship(docs.sparkSession)
     windows = written(item_windows(benchmark), "windows")
-    frame = numbered(docs)
-    columns = frame.columns
-    frame = frame.withColumn("__text", F.col(f"c{docs.columns.index('text')}").cast("string"))
     way = _by_broadcast if windows.count() <= most else _by_join
-    return way(frame, columns, windows)
+    return way(numbered(docs), f"c{docs.columns.index('text')}", windows)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:

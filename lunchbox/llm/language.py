@@ -94,7 +94,7 @@ class Model:
     def __init__(self, counts: dict[str, np.ndarray]):
         self.languages = sorted(counts)
         self.code = codewords(len(self.languages))
-        freq = np.array([(counts[x] + 0.5) / (counts[x].sum() + 0.5 * len(counts[x])) for x in self.languages]).reshape(len(self.languages), -1)
+        freq = np.array([(counts[x] + 0.5) / (counts[x].sum() + 0.5 * len(counts[x])) for x in self.languages])
         self.weights = np.array([np.log(freq[bit > 0].mean(0) / freq[bit < 0].mean(0)) for bit in self.code.T], np.float32)
 
     def judge(self, texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:

@@ -203,15 +203,15 @@ def _with_score(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     frame = numbered(docs)
     columns, kinds = frame.columns, ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in frame.schema.fields)
+    text = columns[docs.columns.index("text")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in batches:
-            for part in spans.chunks(batch, "whole_text"):
-                value = own.score(logits(part.column("whole_text"), own))
+            for part in spans.chunks(batch, text):
+                value = own.score(logits(part.column(text), own))
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), pa.array(value, pa.float64())], [*columns, "score"])
 
-    frame = frame.withColumn("whole_text", F.col(f"c{docs.columns.index('text')}").cast("string"))
     return frame.mapInArrow(run, f"{kinds}, score double")
 
 
