@@ -22,7 +22,7 @@ def main(names):
     assert e.entry(spark).count() > 0
     sf = "/root/testdata/sf0.01"
     con = duck_connection(sf)
-    failed = [msg for n in (names or sorted(e.queries()))
+    failed = [msg for n in (names or sorted(e.oracle_sql()))
               for ok, msg in [compare(spark, n, sf, e.queries()[n], e.oracle_sql()[n], con)] if not ok]
     print("\n".join(failed) or "all ok")
     return 1 if failed else 0
