@@ -9,7 +9,7 @@ import zipfile
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-SHIPPED = "lunchbox.llm.shipped"
+_shipped: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -26,11 +26,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def ship(spark: SparkSession) -> None:
-    """Give the executors this package, as ``--py-files`` does, once a session."""
-    if spark.conf.get(SHIPPED, None):
+    """Give the executors this package, as ``--py-files`` does, once an application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
         return
     package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    path = os.path.join(tempfile.mkdtemp(prefix="llm-code-"), "lunchbox_code.zip")
+    path = os.path.join(tempfile.mkdtemp(prefix="llm-code-"), f"lunchbox_{uuid.uuid4().hex}.zip")
     with zipfile.ZipFile(path, "w") as out:
         for top, _, names in os.walk(package):
             for name in names:
@@ -38,7 +39,7 @@ def ship(spark: SparkSession) -> None:
                     full = os.path.join(top, name)
                     out.write(full, os.path.relpath(full, os.path.dirname(package)))
     spark.sparkContext.addPyFile(path)
-    spark.conf.set(SHIPPED, "yes")
+    _shipped.add(application)
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
