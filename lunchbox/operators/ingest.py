@@ -74,12 +74,6 @@ def resolve_registrations(feed: DataFrame, employees: DataFrame,
             .drop("_reg"))
 
 
-def unmatched_registrations(feed: DataFrame, employees: DataFrame,
-                            registration_col: str = "registration") -> DataFrame:
-    emp = employees.select(F.col("registration").alias("_reg")).distinct()
-    return feed.join(emp, feed[registration_col] == emp["_reg"], "left_anti")
-
-
 def notice_flag(text: Column) -> Column:
     """Notice column is exactly 'OK' -> True; anything else, NULL included -> False."""
     return F.coalesce(text == F.lit(K.NOTICE_OK_TEXT), F.lit(False))

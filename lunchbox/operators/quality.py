@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.keys import checked_broadcast
-from lunchbox.operators.ingest import unmatched_registrations
 from lunchbox.operators.joins import bounded
 from lunchbox.sources.model import HRModel
 
@@ -32,11 +31,27 @@ def duplicated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(dup, keys, "left_semi")
 
 
+def _duplicates(df: DataFrame, keys: list[str], label: str) -> DataFrame:
+    """Number of rows whose key occurs more than once: one aggregation, no join."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n"))), F.lit(0)).cast("long").alias("offenders")).select(
+        F.lit(label).alias("check"), "offenders")
+
+
+def _orphans(tagged: DataFrame, reference: DataFrame, key: str, tag: str, labels: list[str]) -> DataFrame:
+    """Rows per ``tag`` without a ``reference`` row (a NULL key has none), found with one anti join; a row for every label."""
+    counts = (tagged.join(reference, key, "left_anti")
+              .groupBy(tag).agg(F.count(F.lit(1)).alias("offenders")))
+    names = tagged.sparkSession.createDataFrame([(n,) for n in labels], f"{tag} string")
+    return (names.join(F.broadcast(counts), tag, "left")  # at most one row per label
+            .select(tag, F.coalesce(F.col("offenders"), F.lit(0)).cast("long").alias("offenders")))
+
+
 def dq_report(model: HRModel) -> DataFrame:
     """Duplicate registrations, missing union / job, bad daily value, bad working days."""
     emp = model.employees
     return _stack([
-        _count(duplicated_keys(emp, ["registration"]), "duplicate_registration"),
+        _duplicates(emp, ["registration"], "duplicate_registration"),
         _checks_in_one_pass(emp, [("employee_without_union", F.col("union_id").isNull()),
                                   ("employee_without_job", F.col("job_title").isNull())]),
         _count(model.states, "invalid_daily_value",
@@ -46,6 +61,9 @@ def dq_report(model: HRModel) -> DataFrame:
     ])
 
 
+FACTS = ["vacations", "leaves", "terminations", "hires", "exclusions"]
+
+
 def dq_foreign_keys(model: HRModel) -> DataFrame:
     """Orphans per foreign key (rows whose reference does not exist)."""
     emp_ids = model.employees.select("employee_id")
@@ -61,20 +79,21 @@ def dq_foreign_keys(model: HRModel) -> DataFrame:
         ("unions.state_id", model.unions, "state_id", bounded(model, "states").select("state_id")),
         ("working_days.union_id", model.working_days, "union_id",
          bounded(model, "unions").select("union_id")),
-    ] + [(f"{t}.employee_id", model.table(t), "employee_id", emp_ids)
-         for t in ("vacations", "leaves", "terminations", "hires", "exclusions")]
+    ]
     parts = []
     for label, df, key, ref in checks:
         orphans = df.where(F.col(key).isNotNull()).join(ref, key, "left_anti")
         parts.append(_count(orphans, label).withColumnRenamed("check", "foreign_key"))
-    return _stack(parts)
+    facts = [f"{t}.employee_id" for t in FACTS]
+    tagged = _stack([model.table(t).select(F.lit(label).alias("foreign_key"), "employee_id") for t, label in zip(FACTS, facts)])
+    tagged = tagged.where(F.col("employee_id").isNotNull())
+    return _stack([*parts, _orphans(tagged, emp_ids, "employee_id", "foreign_key", facts)])
 
 
 def dq_unique_keys(model: HRModel) -> DataFrame:
     """Natural keys that repeat (number of offending rows) and NOT NULL breaches."""
     def dup_rows(df, keys, label):
-        return _count(duplicated_keys(df.where(
-            reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys), label)
+        return _duplicates(df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])), keys, label)
     return _stack([
         dup_rows(model.states, ["state_name"], "states.state_name"),
         dup_rows(model.states, ["uf"], "states.uf"),
@@ -96,11 +115,8 @@ def dq_unmatched(feeds: dict[str, tuple[DataFrame, str]], employees: DataFrame)
     tagged = reduce(DataFrame.unionByName, [
         df.select(F.lit(name).alias("feed"), F.col(f"`{col}`").cast("long").alias("registration"))
         for name, (df, col) in feeds.items()])
-    counts = (unmatched_registrations(tagged, employees)
-              .groupBy("feed").agg(F.count(F.lit(1)).alias("offenders")))
-    names = employees.sparkSession.createDataFrame([(n,) for n in feeds], "feed string")
-    return (names.join(F.broadcast(counts), "feed", "left")  # at most one row per feed
-            .select("feed", F.coalesce(F.col("offenders"), F.lit(0)).cast("long").alias("offenders")))
+    known = employees.select("registration")
+    return _orphans(tagged, known, "registration", "feed", list(feeds))
 
 
 def _checks_in_one_pass(df: DataFrame, checks: list[tuple[str, object]]) -> DataFrame:

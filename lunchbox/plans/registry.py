@@ -656,16 +656,7 @@ def _dq_unique(m):
 def _dq_unmatched(spark, sf_dir):
     """DQ7: feed rows whose registration has no employee."""
     m = load_model(spark, sf_dir)
-    x = _exclusion_sheets(spark, sf_dir)
-    feeds = {
-        "vacations": (_sheet(sheets.vacation_sheet(load_model(spark, sf_dir))), "MATRICULA"),
-        "leaves": (_sheet(sheets.leave_sheet(load_model(spark, sf_dir))), "MATRICULA"),
-        "terminations": (_sheet(sheets.termination_sheet(load_model(spark, sf_dir))), "MATRICULA"),
-        "hires": (_sheet(sheets.hire_sheet(load_model(spark, sf_dir))), "MATRICULA"),
-        "interns": (x["interns"], "MATRICULA"),
-        "apprentices": (x["apprentices"], "MATRICULA"),
-        "abroad": (x["abroad"], "CADASTRO"),
-    }
+    feeds = sheets.registration_columns(m)
     return quality.dq_unmatched(feeds, m.employees)
 
 

@@ -99,6 +99,14 @@ def exclusion_sheets(m: HRModel) -> dict[str, DataFrame]:
     return {"interns": interns, "apprentices": apprentices, "abroad": abroad}
 
 
+def registration_columns(m: HRModel) -> dict[str, tuple[DataFrame, str]]:
+    """Registration column of each sheet that is resolved against the employees, without the other cells."""
+    facts = {"vacations": m.vacations, "leaves": m.leaves, "terminations": m.terminations, "hires": m.hires}
+    kinds = {"interns": K.EXCLUSION_INTERN, "apprentices": K.EXCLUSION_APPRENTICE, "abroad": K.EXCLUSION_ABROAD}
+    facts |= {name: m.exclusions.where(F.col("exclusion_type") == kind) for name, kind in kinds.items()}
+    return {name: (df.select(_registration().alias("MATRICULA")), "MATRICULA") for name, df in facts.items()}
+
+
 def text_sheet(df: DataFrame) -> DataFrame:
     """Every column as text (what a CSV export gives)."""
     return df.select([F.col(f"`{c}`").cast("string").alias(c) for c in df.columns])
