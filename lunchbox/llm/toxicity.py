@@ -193,8 +193,19 @@ def fitted(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
         part = own.where(F.col("toxic") == kind).where(draw < int(share * (1 << 20)) + (share >= 1)).limit(2 * most)
         sample = part if sample is None else sample.union(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = texts.join(F.broadcast(sample), "doc_id").orderBy("doc_id", "text").toArrow()  # at most 2 * SAMPLE texts
-    return train([t or "" for t in rows.column("text").to_pylist()], np.array(rows.column("toxic").to_pylist(), dtype=int) == 1)
+    rows = texts.join(F.broadcast(sample), "doc_id").groupBy(F.lit(0).alias("all"))  # at most 2 * SAMPLE texts, in one task
+    ship(docs.sparkSession)
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        model = train([t or "" for t in table.column("text").to_pylist()], table.column("toxic").to_numpy() == 1)
+        return pa.table({"table": pa.array([model.bucket_logit.astype("<f4").tobytes()], pa.binary()), "bias": [model.bias],
+                         "slope": [model.slope], "shift": [model.shift]})
+
+    fit = rows.applyInArrow(run, "table binary, bias double, slope double, shift double").first()
+    if fit is None:
+        return train([], np.zeros(0, bool))
+    return Model(np.frombuffer(fit["table"], "<f4"), fit.bias, fit.slope, fit["shift"])
 
 
 def _with_score(docs: DataFrame, model: Model) -> DataFrame:
