@@ -7,11 +7,12 @@ first occurrence by doc_id and line number.
 1.  Equal lines are one from the start: a line is known by a 64-bit hash of its text.
 2.  ``signature``: the five least hashes of the 12-character shingles that begin a
     word, a sample of a line's shingles that depends on their text alone.
-3.  ``candidates``: every two of the five are a band, ten bands in all.  A changed word
+3.  ``buckets``: every two of the five are a band, ten bands in all.  A changed word
     costs a line a little more of these shingles than of the short ones: two prose lines of
-    similarity 0.8 share a band with probability 0.97, of 0.9 with 0.998.  In a bucket each line meets the bucket's head, so a bucket
-    yields as many candidates as it has lines, not its pairs; the minimum that finds
-    heads is pre-aggregated before the shuffle.
+    similarity 0.8 share a band with probability 0.97, of 0.9 with 0.998.  In a bucket each line meets the bucket's head first, and the
+    links found are contracted (``linked``).  All pairs of *different* components that still share a
+    bucket follow, those of hot buckets dealt out by chunks; while that is many pairs, further
+    heads are met before, each of a component that its bucket hasn't tried.
 4.  ``similar``: candidates that share too few of a line's every 16th shingle go; of
     the others the exact Jaccard similarity of all shingles decides.
 5.  Components come from a distributed contraction (``graph.components``).
@@ -37,6 +38,8 @@ SHINGLE, BEGINNING = 8, 12
 NUMERATOR, DENOMINATOR = 4, 5
 KEPT = 5
 LEAST = 3
+#: lines of a chunk of a hot bucket; heads are met while pairs exceed FEW times the lines and fall by as much, MOST_TURNS times
+CHUNK, FEW, MOST_TURNS = 1024, 4, 8
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -68,13 +71,77 @@ def _bands() -> Column:
     return F.array_compact(F.array(F.when(F.col("h1").isNull(), F.col("h0")), *pairs))
 
 
-def candidates(signed: DataFrame) -> DataFrame:
-    """(a, b) of lines and the heads of their buckets; ``signed``: id and LEAST_HASHES."""
+def buckets(signed: DataFrame) -> DataFrame:
+    """(key, id, head) of the lines of every bucket of two or more; ``signed``: id and LEAST_HASHES."""
     lines = signed.groupBy("id").agg(*(F.max(h).alias(h) for h in LEAST_HASHES))  # equal lines have equal hashes
     keyed = lines.select("id", F.explode(_bands()).alias("key"))
-    heads = keyed.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("n")).where("n > 1").drop("n")
-    met = keyed.join(heads, "key").where("id <> head")
-    return met.select(F.col("id").alias("a"), F.col("head").alias("b")).distinct()
+    heads = keyed.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("many")).where("many > 1").drop("many")
+    return keyed.join(heads, "key")
+
+
+def _pairs(met: DataFrame) -> DataFrame:
+    """Distinct (a, b) of rows with an id and a head."""
+    return met.where("id <> head").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
+
+
+def mixed_buckets(own: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, id, label, many) of buckets whose lines, the head apart, are of several components."""
+    lines = own.where("id <> head").select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = lines.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high")
+    return lines.join(mixed.select("key", "many"), "key").select("key", "id", "label", "many")
+
+
+def _left(mixed: DataFrame) -> tuple[int, int]:
+    """Lines of mixed buckets and their pairs of different components."""
+    each = mixed.groupBy("key", "label").agg(F.count("*").alias("c")).groupBy("key").agg(F.sum("c").alias("t"), F.sum(F.col("c") * F.col("c")).alias("s"))
+    lines, pairs = each.agg(F.sum("t"), F.sum((F.col("t").cast("decimal(19,0)") * F.col("t") - F.col("s")) / 2)).first()
+    return int(lines or 0), int(pairs or 0)
+
+
+def cross_pairs(mixed: DataFrame) -> DataFrame:
+    """All (a, b) of different components that share a bucket; hot buckets are dealt out by pairs of chunks."""
+    chunks = F.ceil(F.col("many") / CHUNK).cast("long")
+    rows = mixed.select("key", "id", "label", chunks.alias("chunks"), F.pmod(F.xxhash64("id", F.lit(CHUNK)), chunks).alias("chunk"))
+    a = rows.select("key", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("j"), F.col("id").alias("a"), F.col("label").alias("label_a"))
+    b = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "chunk")).alias("i"), F.col("chunk").alias("j"), F.col("id").alias("b"), F.col("label").alias("label_b"))
+    met = a.join(b, ["key", "i", "j"]).where("label_a <> label_b and (i < j or a < b)")
+    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
+    """``labels`` (id, label) after further edges (a, b)."""
+    ends = edges
+    for c in ("a", "b"):
+        ends = ends.join(labels.select(F.col("id").alias(c), F.col("label").alias(f"label_{c}")), c, "left")
+    ends = written(ends.select("a", "b", F.coalesce("label_a", "a").alias("label_a"), F.coalesce("label_b", "b").alias("label_b")), "ends")
+    every = labels.union(ends.select("a", "label_a")).union(ends.select("b", "label_b")).distinct()
+    found = components(ends.select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("to"))
+    return written(every.join(found, "label", "left").select("id", F.coalesce("to", "label").alias("label")), "merged")
+
+
+def linked(own: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, label) of the lines that link with a different line of one of their buckets."""
+    known = bodies(own, lines)
+    tried = written(_pairs(own), "candidates")
+    labels = components(written(similar(tried, known), "similar")).withColumnRenamed("node", "id")
+    mixed, before = written(mixed_buckets(own, labels), "mixed"), None
+    for turn in range(MOST_TURNS + 1):
+        rows, pairs = _left(mixed)
+        if not pairs:
+            break
+        every = turn == MOST_TURNS or pairs <= FEW * rows or before is not None and before - pairs < FEW * rows
+        if every:
+            found = cross_pairs(mixed)
+        else:  # a head of another component
+            heads = mixed.groupBy("key").agg(F.min_by(F.struct("id", "label"), F.struct(F.xxhash64("label", F.lit(turn)), "id")).alias("first"))
+            found = _pairs(mixed.join(heads, "key").where("label <> first.label").select("id", F.col("first.id").alias("head")))
+        edges = written(similar(written(found.join(tried, ["a", "b"], "left_anti"), "candidates"), known), "similar")
+        if not edges.isEmpty():
+            labels = merged(labels, edges)
+        if every:
+            break
+        mixed, before = written(mixed_buckets(own, labels), "mixed"), pairs
+    return labels
 
 
 def _test(value: Column, test) -> Column:
@@ -82,15 +149,19 @@ def _test(value: Column, test) -> Column:
     return F.exists(F.array(value), test)
 
 
-def similar(pairs: DataFrame, lines: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more."""
-    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
+def bodies(own: DataFrame, lines: DataFrame) -> DataFrame:
+    """(id, body) of the lines in buckets."""
+    wanted = own.select("id").distinct()
     # a first look at 20 bits of the id keeps most other lines out of the shuffle; 2**20 numbers at most are broadcast
     prefix = F.shiftrightunsigned("id", 44).alias("prefix")
     near = lines.select("id", "body", prefix).join(F.broadcast(wanted.select(prefix).distinct()), "prefix", "left_semi")
-    bodies = written(near.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
-    both = pairs.select("a", "b").join(bodies.select(F.col("id").alias("a"), F.col("body").alias("body_a")), "a").join(
-        bodies.select(F.col("id").alias("b"), F.col("body").alias("body_b")), "b")
+    return written(near.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
+
+
+def similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
+    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more; ``known``: id and body."""
+    both = pairs.select("a", "b").join(known.select(F.col("id").alias("a"), F.col("body").alias("body_a")), "a").join(
+        known.select(F.col("id").alias("b"), F.col("body").alias("body_b")), "b")
     # Every 16th shingle of a first: of a line whose shingles differ from each other, a similarity of
     # 0.8 leaves two fifths of them in b at least, as a change breaks a run of eight or more.
     some = F.regexp_extract_all("body_a", F.lit(f"(?s)(.{{{SHINGLE}}}).{{{SHINGLE}}}"), F.lit(1))
@@ -105,10 +176,8 @@ def line_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     lines = _lines(docs)
     least = lines.select("doc_id", "no", "id", signature(F.col("body")).alias("least"))
     signed = written(least.select("doc_id", "no", "id", *(F.get("least", F.lit(i)).alias(h) for i, h in enumerate(LEAST_HASHES))), "lines")
-    pairs = written(candidates(signed.select("id", *LEAST_HASHES)), "candidates")
-    edges = written(similar(pairs, lines), "similar")
-    labels = components(edges).withColumnRenamed("node", "id")
-    return signed.select("doc_id", "no", "id"), labels
+    own = written(buckets(signed.select("id", *LEAST_HASHES)), "buckets")
+    return signed.select("doc_id", "no", "id"), linked(own, lines)
 
 
 LAST = (1 << 63) - 1

@@ -64,3 +64,23 @@ def test_audit_edges(spark):
     b = spark.createDataFrame([(1, "u", "y"), *rows[2:4], *rows[5:], (70, "new", "n")], a.schema)
     got = sorted((str(r.page_id), r.kind) for r in W.audit(a, b.withColumn("node", F.lit(1))).collect())
     assert got == sorted([("1", "changed"), ("2", "missing"), ("None", "missing"), ("70", "extra")])
+
+
+def _words(rng, n):
+    return " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(4, 9))) for _ in range(n))
+
+
+def _lines_left(spark, lines):
+    """What is left of documents of a line each, and what brute force leaves."""
+    docs = list(enumerate(lines))
+    out = L.without_similar_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    return {r.doc_id: r.text for r in out}, brute.line_removal(docs)
+
+
+def test_lines_of_one_template_meet_each_other(spark):
+    rng = random.Random(8)
+    template = _words(rng, 60)
+    tails = [_words(rng, 20) for _ in range(40)]
+    got, want = _lines_left(spark, [f"{template} {t}" for t in tails] + [f"{template} {t[:-1]}z" for t in tails])
+    assert sum(t == "" for t in want.values()) == 40
+    assert got == want
