@@ -13,8 +13,7 @@ first occurrence by doc_id and line number.
     links found are contracted (``linked``).  All pairs of *different* components that still share a
     bucket follow, those of hot buckets dealt out by chunks; while that is many pairs, further
     heads are met before, each of a component that its bucket hasn't tried.
-4.  ``similar``: candidates that share too few of a line's every 16th shingle go; of
-    the others the exact Jaccard similarity of all shingles decides.
+4.  ``similar``: the exact Jaccard similarity of all shingles decides.
 5.  Components come from a distributed contraction (``graph.components``).
 
 Defined cases: lines of fewer than ``LEAST`` characters, blanks at the ends not
@@ -162,13 +161,9 @@ def similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
     """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more; ``known``: id and body."""
     both = pairs.select("a", "b").join(known.select(F.col("id").alias("a"), F.col("body").alias("body_a")), "a").join(
         known.select(F.col("id").alias("b"), F.col("body").alias("body_b")), "b")
-    # Every 16th shingle of a first: of a line whose shingles differ from each other, a similarity of
-    # 0.8 leaves two fifths of them in b at least, as a change breaks a run of eight or more.
-    some = F.regexp_extract_all("body_a", F.lit(f"(?s)(.{{{SHINGLE}}}).{{{SHINGLE}}}"), F.lit(1))
-    near = _test(some, lambda x: 5 * F.size(F.filter(x, lambda s: F.contains(F.col("body_b"), s))) >= 2 * F.size(x))
     sets = F.struct(shingles(F.col("body_a")).alias("x"), shingles(F.col("body_b")).alias("y"))
     alike = _test(sets, lambda s: (NUMERATOR + DENOMINATOR) * F.size(F.array_intersect(s["x"], s["y"])) >= NUMERATOR * (F.size(s["x"]) + F.size(s["y"])))
-    return both.where(F.when(near, alike).otherwise(False)).select("a", "b")
+    return both.where(alike).select("a", "b")
 
 
 def line_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

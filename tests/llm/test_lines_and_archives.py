@@ -84,3 +84,9 @@ def test_lines_of_one_template_meet_each_other(spark):
     got, want = _lines_left(spark, [f"{template} {t}" for t in tails] + [f"{template} {t[:-1]}z" for t in tails])
     assert sum(t == "" for t in want.values()) == 40
     assert got == want
+
+
+def test_change_at_the_beginning_of_a_short_line(spark):
+    lines = ["The annual report of 2024 ends", "the annual report of 2024 ends"]
+    got, want = _lines_left(spark, lines)
+    assert got == want == {0: lines[0], 1: ""}
