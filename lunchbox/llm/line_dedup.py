@@ -5,15 +5,18 @@ or more are linked, and of each component of linked lines one line stays: its
 first occurrence by doc_id and line number.
 
 1.  Equal lines are one from the start: a line is known by a 64-bit hash of its text.
-2.  ``signature``: the five least hashes of the 12-character shingles that begin a
-    word, a sample of a line's shingles that depends on their text alone.
-3.  ``buckets``: every two of the five are a band, ten bands in all.  A changed word
-    costs a line a little more of these shingles than of the short ones: two prose lines of
-    similarity 0.8 share a band with probability 0.97, of 0.9 with 0.998.  In a bucket each line meets the bucket's head first, and the
+2.  ``signed_lines``: the five least hashes of all different shingles of a line, in any script,
+    and the number of shingles.  Lines of up to five shingles are known by all of them.
+3.  ``buckets``: every two of the five are a band, ten bands in all; a line of one shingle, which
+    can be like lines of that shingle only, has that one.  Of the five least hashes of two
+    lines together each is in both with probability 0.8 at a similarity of 0.8, and two that are make a
+    band: a pair is missed with probability below 0.01 at 0.8 and below 0.001 at 0.9.
+    In a bucket each line meets the bucket's head first, and the
     links found are contracted (``linked``).  All pairs of *different* components that still share a
     bucket follow, those of hot buckets dealt out by chunks; while that is many pairs, further
     heads are met before, each of a component that its bucket hasn't tried.
-4.  ``similar``: the exact Jaccard similarity of all shingles decides.
+4.  ``similar``: the exact Jaccard similarity of all shingles decides, where the
+    numbers of shingles don't rule a link out.
 5.  Components come from a distributed contraction (``graph.components``).
 
 Defined cases: lines of fewer than ``LEAST`` characters, blanks at the ends not
@@ -32,7 +35,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from lunchbox.llm.graph import components
 from lunchbox.llm.runtime import numbered, written
 
-SHINGLE, BEGINNING = 8, 12
+SHINGLE = 8
 #: similarity NUMERATOR / DENOMINATOR or more links
 NUMERATOR, DENOMINATOR = 4, 5
 KEPT = 5
@@ -48,17 +51,22 @@ def _lines(docs: DataFrame) -> DataFrame:
     return rows.withColumn("id", F.xxhash64("body"))
 
 
-def signature(body: Column) -> Column:
-    """The least hashes of the longer shingles that begin a word."""
-    begins = F.regexp_extract_all(F.concat(F.lit(" "), body), F.lit(f"(?s) (?=(.{{{BEGINNING}}}))"), F.lit(1))
-    hashes = F.sort_array(F.transform(begins, lambda s: F.xxhash64(s)))
-    return F.slice(F.array_distinct(F.slice(hashes, 1, 2 * KEPT)), 1, KEPT)
+def shingles(body: Column) -> Column:
+    """Hash of the shingle at each place of a line of ``SHINGLE`` characters or more; UTF-32 has four bytes for every character."""
+    places = F.sequence(F.lit(1), 4 * (F.char_length(body) - SHINGLE) + 1, F.lit(4))
+    each = lambda wide: F.transform(places, lambda i: F.xxhash64(F.substring(wide, i, F.lit(4 * SHINGLE))))
+    return F.get(F.transform(F.array(F.encode(body, "UTF-32")), each), F.lit(0))
 
 
-def shingles(body: Column) -> Column:
-    """Hashes of all different shingles of a line."""
-    every = F.regexp_extract_all(body, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(every, lambda s: F.xxhash64(s)))
+def signed_lines(lines: DataFrame) -> DataFrame:
+    """doc_id, no, id, n (different shingles) and LEAST_HASHES of the lines."""
+    long = F.when(F.char_length("body") >= SHINGLE, F.array_distinct(shingles(F.col("body"))))
+    names = ["doc_id", "no", "id"]
+    least = lines.select(*names, long.alias("left")).select(*names, F.coalesce(F.size("left"), F.lit(0)).alias("n"), "left")
+    for h in LEAST_HASHES:  # one by one: that's cheaper than to sort
+        names.append(h)
+        least = least.withColumn(h, F.array_min("left")).select(*names, "n", F.array_remove("left", F.col(h)).alias("left"))
+    return least.drop("left")
 
 
 LEAST_HASHES = [f"h{i}" for i in range(KEPT)]
@@ -71,23 +79,27 @@ def _bands() -> Column:
 
 
 def buckets(signed: DataFrame) -> DataFrame:
-    """(key, id, head) of the lines of every bucket of two or more; ``signed``: id and LEAST_HASHES."""
-    lines = signed.groupBy("id").agg(*(F.max(h).alias(h) for h in LEAST_HASHES))  # equal lines have equal hashes
-    keyed = lines.select("id", F.explode(_bands()).alias("key"))
+    """(key, id, n, head) of the lines of every bucket of two or more; ``signed``: id, n and LEAST_HASHES."""
+    lines = signed.groupBy("id").agg(F.max("n").alias("n"), *(F.max(h).alias(h) for h in LEAST_HASHES))  # equal lines have equal hashes
+    keyed = lines.select("id", "n", F.explode(_bands()).alias("key"))
     heads = keyed.groupBy("key").agg(F.min("id").alias("head"), F.count("*").alias("many")).where("many > 1").drop("many")
     return keyed.join(heads, "key")
 
 
+#: sizes n and head_n that allow a link
+NEAR = f"{DENOMINATOR} * least(n, head_n) >= {NUMERATOR} * greatest(n, head_n)"
+
+
 def _pairs(met: DataFrame) -> DataFrame:
     """Distinct (a, b) of rows with an id and a head."""
     return met.where("id <> head").select(F.least("id", "head").alias("a"), F.greatest("id", "head").alias("b")).distinct()
 
 
 def mixed_buckets(own: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, id, label, many) of buckets whose lines, the head apart, are of several components."""
-    lines = own.where("id <> head").select("key", "id").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    """(key, id, n, label, many) of buckets whose lines, the head apart, are of several components."""
+    lines = own.where("id <> head").select("key", "id", "n").join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
     mixed = lines.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("many")).where("low <> high")
-    return lines.join(mixed.select("key", "many"), "key").select("key", "id", "label", "many")
+    return lines.join(mixed.select("key", "many"), "key").select("key", "id", "n", "label", "many")
 
 
 def _left(mixed: DataFrame) -> tuple[int, int]:
@@ -98,13 +110,13 @@ def _left(mixed: DataFrame) -> tuple[int, int]:
 
 
 def cross_pairs(mixed: DataFrame) -> DataFrame:
-    """All (a, b) of different components that share a bucket; hot buckets are dealt out by pairs of chunks."""
+    """All pairs of different components that share a bucket; hot buckets are dealt out by pairs of chunks."""
     chunks = F.ceil(F.col("many") / CHUNK).cast("long")
-    rows = mixed.select("key", "id", "label", chunks.alias("chunks"), F.pmod(F.xxhash64("id", F.lit(CHUNK)), chunks).alias("chunk"))
-    a = rows.select("key", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("j"), F.col("id").alias("a"), F.col("label").alias("label_a"))
-    b = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "chunk")).alias("i"), F.col("chunk").alias("j"), F.col("id").alias("b"), F.col("label").alias("label_b"))
-    met = a.join(b, ["key", "i", "j"]).where("label_a <> label_b and (i < j or a < b)")
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    rows = mixed.select("key", "id", "n", "label", chunks.alias("chunks"), F.pmod(F.xxhash64("id", F.lit(CHUNK)), chunks).alias("chunk"))
+    own = rows.select("key", F.col("chunk").alias("i"), F.explode(F.sequence("chunk", F.col("chunks") - 1)).alias("j"), "id", "n", "label")
+    other = rows.select("key", F.explode(F.sequence(F.lit(0).cast("long"), "chunk")).alias("i"), F.col("chunk").alias("j"),
+                        F.col("id").alias("head"), F.col("n").alias("head_n"), F.col("label").alias("head_label"))
+    return _pairs(own.join(other, ["key", "i", "j"]).where("label <> head_label and (i < j or id < head)").where(NEAR))
 
 
 def merged(labels: DataFrame, edges: DataFrame) -> DataFrame:
@@ -132,8 +144,9 @@ def linked(own: DataFrame, lines: DataFrame) -> DataFrame:
         if every:
             found = cross_pairs(mixed)
         else:  # a head of another component
-            heads = mixed.groupBy("key").agg(F.min_by(F.struct("id", "label"), F.struct(F.xxhash64("label", F.lit(turn)), "id")).alias("first"))
-            found = _pairs(mixed.join(heads, "key").where("label <> first.label").select("id", F.col("first.id").alias("head")))
+            heads = mixed.groupBy("key").agg(F.min_by(F.struct("id", "n", "label"), F.struct(F.xxhash64("label", F.lit(turn)), "id")).alias("first"))
+            found = _pairs(mixed.join(heads, "key").where("label <> first.label").select(
+                "id", "n", F.col("first.id").alias("head"), F.col("first.n").alias("head_n")).where(NEAR))
         edges = written(similar(written(found.join(tried, ["a", "b"], "left_anti"), "candidates"), known), "similar")
         if not edges.isEmpty():
             labels = merged(labels, edges)
@@ -143,35 +156,29 @@ def linked(own: DataFrame, lines: DataFrame) -> DataFrame:
     return labels
 
 
-def _test(value: Column, test) -> Column:
-    """``test`` of a value that is computed once: a plain condition would repeat its parts wherever they are used."""
-    return F.exists(F.array(value), test)
-
-
 def bodies(own: DataFrame, lines: DataFrame) -> DataFrame:
-    """(id, body) of the lines in buckets."""
-    wanted = own.select("id").distinct()
+    """(id, n, body) of the lines in buckets."""
+    wanted = own.select("id", "n").distinct()
     # a first look at 20 bits of the id keeps most other lines out of the shuffle; 2**20 numbers at most are broadcast
     prefix = F.shiftrightunsigned("id", 44).alias("prefix")
     near = lines.select("id", "body", prefix).join(F.broadcast(wanted.select(prefix).distinct()), "prefix", "left_semi")
-    return written(near.select("id", "body").join(wanted, "id", "left_semi").dropDuplicates(["id"]), "bodies")
+    return written(near.select("id", "body").join(wanted, "id").dropDuplicates(["id"]), "bodies")
 
 
 def similar(pairs: DataFrame, known: DataFrame) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more; ``known``: id and body."""
-    both = pairs.select("a", "b").join(known.select(F.col("id").alias("a"), F.col("body").alias("body_a")), "a").join(
-        known.select(F.col("id").alias("b"), F.col("body").alias("body_b")), "b")
-    sets = F.struct(shingles(F.col("body_a")).alias("x"), shingles(F.col("body_b")).alias("y"))
-    alike = _test(sets, lambda s: (NUMERATOR + DENOMINATOR) * F.size(F.array_intersect(s["x"], s["y"])) >= NUMERATOR * (F.size(s["x"]) + F.size(s["y"])))
-    return both.where(alike).select("a", "b")
+    """The pairs whose shingle sets have a Jaccard similarity of 0.8 or more; ``known``: id, n and body."""
+    both = pairs.join(known.select(F.col("id").alias("a"), "n", F.col("body").alias("body_a")), "a").join(
+        known.select(F.col("id").alias("b"), F.col("n").alias("head_n"), F.col("body").alias("body_b")), "b")
+    shared = F.size(F.array_intersect(shingles(F.col("body_a")), shingles(F.col("body_b"))))
+    alike = (NUMERATOR + DENOMINATOR) * shared >= NUMERATOR * (F.col("n") + F.col("head_n"))
+    return both.where(F.when(F.expr(NEAR), alike).otherwise(False)).select("a", "b")
 
 
 def line_labels(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All compared lines (doc_id, no, id) and the (id, label) of those that link with a different line."""
     lines = _lines(docs)
-    least = lines.select("doc_id", "no", "id", signature(F.col("body")).alias("least"))
-    signed = written(least.select("doc_id", "no", "id", *(F.get("least", F.lit(i)).alias(h) for i, h in enumerate(LEAST_HASHES))), "lines")
-    own = written(buckets(signed.select("id", *LEAST_HASHES)), "buckets")
+    signed = written(signed_lines(lines), "lines")
+    own = written(buckets(signed.select("id", "n", *LEAST_HASHES)), "buckets")
     return signed.select("doc_id", "no", "id"), linked(own, lines)
 
 

@@ -90,3 +90,15 @@ def test_change_at_the_beginning_of_a_short_line(spark):
     lines = ["The annual report of 2024 ends", "the annual report of 2024 ends"]
     got, want = _lines_left(spark, lines)
     assert got == want == {0: lines[0], 1: ""}
+
+
+def test_signatures_of_all_scripts_and_lengths(spark):
+    rng = random.Random(9)
+    signs = [chr(0x4E00 + k) for k in range(3000)] + ["\U0001F600"]
+    chinese = ["".join(rng.choice(signs) for _ in range(200)) for _ in range(30)]
+    encoded = ["".join(rng.choice("0123456789abcdef") for _ in range(120)) for _ in range(30)]
+    short = ["abcdefghijkl", "abcdefghijk", "zzzzzzzzz", "zzzzzzzz", "ab cdefghijklmnopqr", "abxcdefghijklmnopqr"]
+    lines = chinese + encoded + short + ["〇" + x[1:] for x in chinese] + [x[:4] + "-" + x[5:] for x in encoded]
+    got, want = _lines_left(spark, lines)
+    assert sum(t == "" for t in want.values()) >= 62
+    assert got == want
