@@ -4,8 +4,8 @@ The model smooths a bigram count with the add-one unigram:
 
     P(w | v) = (c(v, w) + mu * P(w)) / (c(v) + mu),    P(w) = (c(w) + 1) / (N + V + 1)
 
-Unigram counts are exact.  Bigram counts live in a log-frequency Bloom filter: a bigram
-seen ``LEAST`` times or more is entered once for each level up to that of its
+Unigram counts are exact.  Bigram counts live in a log-frequency Bloom filter: every bigram
+seen is entered once for each level up to that of its
 count (levels double), and its count is read back by probing level after
 level until one is missing, as the level's lower bound, so what bigrams
 get never exceeds what their context has, but for false hits (1 in 10,000).  The centre of
@@ -46,7 +46,7 @@ from lunchbox.llm import spans
 from lunchbox.llm.runtime import crc_remainder, ship, written
 
 BLOCK_BYTES, RANGE_TOKENS = 8 << 20, 2 << 20
-LEAST, BITS, PROBES, MOST_LEVELS = 2, 20, 10, 60
+LEAST, BITS, PROBES, MOST_LEVELS = 1, 20, 10, 60
 SPREAD = np.array([1 / 16, 1, 16, 256, 4096, 65536])
 MOST_BYTES = 64 << 20
 _U = np.uint64

@@ -114,3 +114,9 @@ def test_toxicity_edges(spark, edges, empty):
     assert toxicity.scores(empty, labels).count() == 0
     assert toxicity.without_toxic(edges, none).columns == edges.columns
     assert toxicity.without_toxic(edges, none).count() == edges.count()
+
+
+def test_filter_holds_bigrams_seen_once():
+    keys = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    levels = language_model.Filter([language_model.segment(keys, np.ones(len(keys), np.int64))]).levels(keys)
+    assert (levels >= 1).all() and (language_model.level_count(levels) == 1).mean() > 0.999
