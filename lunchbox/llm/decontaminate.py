@@ -161,8 +161,8 @@ def _bitmap(windows: DataFrame) -> np.ndarray:
     return out
 
 
-def _by_join(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
-    columns = frame.columns
+def _joined_hits(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
+    """``frame`` with __hits, the verified hits (first, n, item_id) of each text, and __key."""
     lengths = [r.n for r in windows.select("n").distinct().collect()]  # WINDOW rows at most
     shared = frame.sparkSession.sparkContext.broadcast(_bitmap(windows))
 
@@ -182,6 +182,15 @@ def _by_join(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
                     (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.binary()))], ["__key", "first", "n", "hash", "words"])
 
+    keyed = frame.withColumn("__key", F.sha2(F.col(text).cast("string"), 256))
+    passed = keyed.select("__key", text).mapInArrow(near, "__key string, first long, n int, hash long, words binary").distinct()
+    hits = passed.join(windows, ["n", "hash", "words"]).groupBy("__key").agg(F.collect_list(F.struct("first", "n", "item_id")).alias("__hits"))
+    return keyed.join(hits, "__key", "left")
+
+
+def _by_join(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
+    columns = frame.columns
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in spans.chunks(batch, text):
@@ -190,10 +199,7 @@ def _by_join(frame: DataFrame, text: str, windows: DataFrame) -> DataFrame:
                     found += [(doc, int(words.first[doc]) + h["first"], h["n"], [h["item_id"]]) for h in hits or ()]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in columns), *_judged(words, found)], [*columns, *NAMES])
 
-    keyed = frame.withColumn("__key", F.sha2(F.col(text).cast("string"), 256))
-    passed = keyed.select("__key", text).mapInArrow(near, "__key string, first long, n int, hash long, words binary").distinct()
-    hits = passed.join(windows, ["n", "hash", "words"]).groupBy("__key").agg(F.collect_list(F.struct("first", "n", "item_id")).alias("__hits"))
-    return keyed.join(hits, "__key", "left").mapInArrow(judge, _schema(frame, columns))
+    return _joined_hits(frame, text, windows).mapInArrow(judge, _schema(frame, columns))
 
 
 def judged(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:
@@ -215,35 +221,41 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return judged(docs, benchmark).where("not __contaminated").drop(*NAMES).toDF(*docs.columns)
 
 
-def without_spans(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def _cut(words: spans.Words, texts: list[str | None], found: list) -> list[str | None]:
+    """``texts`` without the hits (text, first word, number of words)."""
+    ranges: dict[int, list[tuple[int, int]]] = {}
+    for doc, first, n in found:
+        begin = int(words.at[doc])
+        ranges.setdefault(doc, []).append((int(words.start[first]) - begin, int(words.end[first + n - 1]) - begin))
+    for doc, own_ranges in ranges.items():
+        raw, out, done = texts[doc].encode(), [], 0
+        for a, b in sorted(own_ranges):
+            if a > done:
+                out.append(raw[done:a])
+            done = max(done, b)
+        texts[doc] = b"".join([*out, raw[done:]]).decode()
+    return texts
+
+
+def without_spans(docs: DataFrame, benchmark: DataFrame, most: int = MOST_WINDOWS) -> DataFrame:
     """``docs`` with the hit words, and what separates them, cut out of their texts."""
     ship(docs.sparkSession)
     windows = written(item_windows(benchmark), "windows")
-    if windows.count() > MOST_WINDOWS:
-        raise ValueError(f"spans are cut for benchmarks of up to {MOST_WINDOWS} windows")
-    lookup = docs.sparkSession.sparkContext.broadcast(Lookup(windows.collect()))
-    schema = docs.schema
-    at = docs.columns.index("text")
+    frame, at = numbered(docs), docs.columns.index("text")
+    text, schema, names = f"c{at}", frame.schema, frame.columns
+    broadcast = windows.count() <= most
+    lookup = docs.sparkSession.sparkContext.broadcast(Lookup(windows.collect())) if broadcast else None
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = lookup.value
         for batch in batches:
-            for part in spans.chunks(batch):
-                words = spans.Words(part.column("text"), spans.ALNUM)
-                texts = part.column("text").to_pylist()
-                ranges: dict[int, list[tuple[int, int]]] = {}
-                for doc, first, n, _ in own.hits(words):
-                    begin = int(words.at[doc])
-                    ranges.setdefault(doc, []).append((int(words.start[first]) - begin, int(words.end[first + n - 1]) - begin))
-                for doc, own_ranges in ranges.items():
-                    raw, out, done = texts[doc].encode(), [], 0
-                    for a, b in sorted(own_ranges):
-                        if a > done:
-                            out.append(raw[done:a])
-                        done = max(done, b)
-                    texts[doc] = b"".join([*out, raw[done:]]).decode()
-                columns = list(part.columns)
-                columns[at] = pa.array(texts, part.schema.field(at).type)
-                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
-
-    return docs.mapInArrow(cut, schema)
+            for part in spans.chunks(batch, text):
+                words = spans.Words(part.column(text), spans.ALNUM)
+                if lookup is not None:
+                    found = [(doc, first, n) for doc, first, n, _ in lookup.value.hits(words)]
+                else:
+                    found = [(doc, int(words.first[doc]) + h["first"], h["n"]) for doc, hits in enumerate(part.column("__hits").to_pylist()) for h in hits or ()]
+                columns = [part.column(c) for c in names]
+                columns[at] = pa.array(_cut(words, part.column(text).to_pylist(), found), part.schema.field(text).type)
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return (frame if broadcast else _joined_hits(frame, text, windows)).mapInArrow(cut, schema).toDF(*docs.columns)

@@ -40,3 +40,12 @@ def test_spans_are_cut(spark):
     bench = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
     got = {r.doc_id: r.text for r in D.without_spans(docs, bench).collect()}
     assert got == {1: "keep this. , then that", 2: "nothing", 3: None}
+
+
+def test_spans_of_larger_benchmarks_are_cut(spark, edges, documents):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    docs = documents.select("doc_id", "text")
+    want = rows(D.without_spans(docs, bench))
+    assert want != rows(docs) and rows(D.without_spans(docs, bench, most=0)) == want
+    small = spark.createDataFrame([(1, brute_window())], "item_id long, text string")
+    assert rows(D.without_spans(edges, small, most=0)) == rows(D.without_spans(edges, small)) != rows(edges)
