@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, token_files, toxicity, warc_fixity
+from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, quality, token_files, toxicity, warc_fixity, whitening
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,6 +59,14 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_language_model,
@@ -70,6 +78,8 @@ QUERIES = {f.__name__: f for f in (
     op8_token_files,
     op9_toxicity,
     op10_line_dedup,
+    op11_whitening,
+    op12_quality,
 )}
 
 #: DuckDB SQL by query; the others are tested against brute force, round trips or held-out accuracy.
