@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lunchbox.llm import bpe, decontaminate, fingerprint, jaccard_join, language, language_model, line_dedup, quality, token_files, toxicity, warc_fixity, whitening
+from lunchbox.llm import (bpe, decontaminate, fingerprint, hard_negatives, jaccard_join, language, language_model, line_dedup, quality, token_files,
+                           toxicity, warc_fixity, whitening)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,10 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mined(_table(spark, sf_dir, "embeddings"), hard_negatives.SHIFTED_LABEL)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_decontaminate,
     op2_language_model,
@@ -80,7 +85,8 @@ QUERIES = {f.__name__: f for f in (
     op10_line_dedup,
     op11_whitening,
     op12_quality,
+    op13_hard_negatives,
 )}
 
 #: DuckDB SQL by query; the others are tested against brute force, round trips or held-out accuracy.
-SQL: dict[str, str] = {"op3_warc_fixity": warc_fixity.SQL}
+SQL: dict[str, str] = {"op3_warc_fixity": warc_fixity.SQL, "op13_hard_negatives": hard_negatives.SQL}

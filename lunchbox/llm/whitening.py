@@ -227,8 +227,8 @@ def _refined(a: np.ndarray, basis: np.ndarray, size: float) -> np.ndarray:
     gap = values[None, :] - values[:, None]
     apart = np.abs(gap) > 1e-9 * size
     e = np.where(apart, (s + values[None, :] * r) / np.where(apart, gap, 1), r / 2)
-    out = x + x @ e
-    return (out / np.sqrt((out * out).sum(0))).astype(np.float64)
+    q, r = np.linalg.qr((x + x @ e).astype(np.float64))
+    return q * np.where(np.diag(r) < 0, -1.0, 1.0)
 
 
 @dataclass
