@@ -45,7 +45,7 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
           .select("union_id", "state_id", "p.period_start", "p.period_end"))
     wd = up.withColumn("weekdays", weekday_count("period_start", "period_end"))
     hol = holidays.where(F.dayofweek("holiday_date").between(2, 6))
-    hol = checked_broadcast(hol, 100_000, "holiday calendar")
+    hol = checked_broadcast(hol, "holiday calendar")
     hits = (up.join(hol,
                     F.col("holiday_date").between(F.col("period_start"), F.col("period_end"))
                     & (F.col("holiday_state_id").isNull()
@@ -53,7 +53,7 @@ def working_days_from_calendar(unions: DataFrame, periods: list[Period],
             .groupBy("union_id", "period_start", "period_end")
             .agg(F.countDistinct("holiday_date").alias("holidays")))
     # hits has at most one row per union and period: verified, then broadcast
-    hits = checked_broadcast(hits, 1_000_000, "holiday hits")
+    hits = checked_broadcast(hits, "holiday hits")
     return (wd.join(hits, ["union_id", "period_start", "period_end"], "left")
             .select("union_id", "period_start", "period_end",
                     (F.col("weekdays") - F.coalesce(F.col("holidays"), F.lit(0))).cast("long")

@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox import constants as K
-from lunchbox.functions.text import job_category
-from lunchbox.operators.joins import (bounded, employee_star, employees_on_leave, not_excluded,
+from lunchbox.operators.joins import (bounded, employee_jobs, employee_star, employees_on_leave, not_excluded,
                                       union_state_side)
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
@@ -41,10 +40,9 @@ def eligible_base(model: HRModel, period: Period | None = None) -> DataFrame:
 
 def eligible_view(model: HRModel) -> DataFrame:
     """View eligibility: no category filter; company and full union name."""
-    star = (model.employees
+    star = (employee_jobs(model)
             .join(bounded(model, "companies"), "company_id")
             .join(union_state_side(model), "union_id"))
-    star = star.withColumn("job_category", job_category("job_title"))
     return (not_excluded(star, model.exclusions)
             .where(status_ok(F.col("status"))))
 

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from lunchbox import constants as K
-from lunchbox.functions.keys import sorted_surrogate_ids
+from lunchbox.functions.keys import lookup_join, sorted_surrogate_ids
 from lunchbox.functions.text import clean_header, job_category
 
 
@@ -53,14 +53,14 @@ def job_dim(titles: DataFrame) -> DataFrame:
 
 
 def lookup_with_default(df: DataFrame, name_col: str, dim: DataFrame, dim_name: str,
-                        dim_id: str, out_col: str, default_id: int = 1) -> DataFrame:
+                        dim_id: str, out_col: str, default_id: int = 1, salt_by: str | None = None) -> DataFrame:
     """Exact-name lookup; an unknown or NULL name silently becomes ``default_id``.
 
     Adds ``out_col`` and a boolean ``<out_col>_matched`` so the silent default
     stays visible to data-quality reports.
     """
     keyed = dim.select(F.col(dim_name).alias("_name"), F.col(dim_id).alias("_id"))
-    joined = df.join(keyed, df[name_col] == keyed["_name"], "left")
+    joined = lookup_join(df.withColumn("_name", F.col(name_col)), keyed, "_name", "left", salt_by)
     return (joined.withColumn(out_col, F.coalesce(F.col("_id"), F.lit(default_id)).cast("long"))
             .withColumn(f"{out_col}_matched", F.col("_id").isNotNull())
             .drop("_name", "_id"))

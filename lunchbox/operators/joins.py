@@ -4,17 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lunchbox.functions.text import job_category
+from lunchbox.functions.keys import lookup_join
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
 
 def bounded(model: HRModel, name: str) -> DataFrame:
-    """A dimension, broadcast when its declared row bound is verified.
+    """A dimension, broadcast when its size is checked.
 
     Bounds are declared only for tables whose size does not grow with the
-    data (seeded dimensions, fixed reference tables) and are checked once per
-    model.  Anything else is left to the planner: static size estimates and
+    data (seeded dimensions, fixed reference tables); their bytes are checked once per
+    model, from the plan's statistics.  Anything else is left to the planner: static size estimates and
     AQE's runtime statistics pick a broadcast only below the configured
     threshold, a shuffle join beyond it.
     """
@@ -34,21 +34,18 @@ def union_state_side(model: HRModel) -> DataFrame:
 
 
 def employee_star(model: HRModel) -> DataFrame:
-    """Employees joined to job, union and state (inner joins).
+    """Employees joined to job, union and state (inner joins, three hops).
 
-    The job category is a function of the title, so the job table itself is
-    not joined: every stored employee title is a job title by construction.
-    Union and state are bounded and broadcast; the employee scan is not
-    shuffled.
+    Union and state are broadcast once their size is checked.  The job table is
+    broadcast up to the same size, and beyond it joined by a salted look-up.
     """
-    emp = model.employees
-    return (emp.join(union_state_side(model), "union_id")
-            .withColumn("job_category", job_category("job_title")))
+    return employee_jobs(model).join(union_state_side(model), "union_id")
 
 
-def employee_jobs(model: HRModel) -> DataFrame:
-    """Employees with their job category only (no union / state join)."""
-    return model.employees.withColumn("job_category", job_category("job_title"))
+def employee_jobs(model: HRModel, how: str = "inner") -> DataFrame:
+    """Employees with title and stored category of their job (no union / state join)."""
+    jobs = model.jobs.select("job_id", F.col("title").alias("job_title"), F.col("category").alias("job_category"))
+    return lookup_join(model.employees, jobs, "job_id", how, salt_by="employee_id")
 
 
 def employee_unions(model: HRModel) -> DataFrame:

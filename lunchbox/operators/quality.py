@@ -53,7 +53,7 @@ def dq_report(model: HRModel) -> DataFrame:
     return _stack([
         _duplicates(emp, ["registration"], "duplicate_registration"),
         _checks_in_one_pass(emp, [("employee_without_union", F.col("union_id").isNull()),
-                                  ("employee_without_job", F.col("job_title").isNull())]),
+                                  ("employee_without_job", F.col("job_id").isNull())]),
         _count(model.states, "invalid_daily_value",
                F.coalesce(F.col("daily_value") <= 0, F.lit(True))),
         _count(model.working_days, "invalid_working_days",
@@ -70,12 +70,12 @@ def dq_foreign_keys(model: HRModel) -> DataFrame:
     # Dimension sides are broadcast once their size is verified: an anti join
     # shuffled on a low-cardinality key (a title, a union) would pile the
     # employees into a few partitions.
-    titles = checked_broadcast(model.job_titles, 1_000_000, "job titles")
+    jobs = checked_broadcast(model.jobs.select("job_id"), "jobs")
     checks = [
         ("employees.union_id", model.employees, "union_id", bounded(model, "unions").select("union_id")),
         ("employees.company_id", model.employees, "company_id",
          bounded(model, "companies").select("company_id")),
-        ("employees.job_title", model.employees.withColumnRenamed("job_title", "title"), "title", titles),
+        ("employees.job_id", model.employees, "job_id", jobs),
         ("unions.state_id", model.unions, "state_id", bounded(model, "states").select("state_id")),
         ("working_days.union_id", model.working_days, "union_id",
          bounded(model, "unions").select("union_id")),

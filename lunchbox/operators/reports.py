@@ -234,7 +234,7 @@ def period_summary(results: DataFrame) -> DataFrame:
 def table_counts(model: HRModel) -> DataFrame:
     """Row count of every model table plus a grand total."""
     dims = {"employees": model.employees, "unions": model.unions, "states": model.states,
-            "jobs": model.job_titles, "companies": model.companies, "working_days": model.working_days}
+            "jobs": model.jobs, "companies": model.companies, "working_days": model.working_days}
     out = _fact_counts(model).select("table_name", F.col("n").alias("row_count"))
     for name, df in dims.items():
         out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(

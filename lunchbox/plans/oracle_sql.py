@@ -39,7 +39,8 @@ part_title AS (
          CASE WHEN p_size = 1 THEN 'ESTAGIARIO ' WHEN p_size = 2 THEN 'JOVEM APRENDIZ '
               WHEN p_size = 3 THEN 'DIRETOR ' ELSE 'ANALISTA ' END || p_name AS title
   FROM part),
-job AS (
+job AS (SELECT CAST(p_partkey + 1 AS BIGINT) AS job_id, title, {category('title')} AS category FROM part_title),
+title_number AS (
   SELECT CAST(row_number() OVER (ORDER BY title) AS BIGINT) AS job_id, title,
          {category('title')} AS category
   FROM (SELECT DISTINCT title FROM part_title WHERE title IS NOT NULL) t),
@@ -47,7 +48,7 @@ employee_raw AS (
   SELECT CAST(c.c_custkey + 1 AS BIGINT) AS employee_id,
          CAST(c.c_custkey + 30000 AS BIGINT) AS registration,
          CAST(1 AS BIGINT) AS company_id,
-         COALESCE(pt.title, (SELECT min(title) FROM part_title)) AS job_title,
+         CAST(c.c_custkey % (SELECT max(p_partkey) + 1 FROM part) + 1 AS BIGINT) AS job_id,
          CAST(c.c_nationkey + 1 AS BIGINT) AS union_id,
          CASE WHEN c.c_acctbal < -800 THEN 'Auxílio Doença'
               WHEN c.c_acctbal < -650 THEN 'Licença Maternidade'
@@ -56,8 +57,8 @@ employee_raw AS (
               ELSE 'Trabalhando' END AS status,
          CAST(NULL AS DATE) AS hire_date,
          CAST(NULL AS DATE) AS termination_date
-  FROM customer c LEFT JOIN part_title pt ON pt.p_partkey = c.c_custkey % 200),
-employee AS (SELECT * FROM employee_raw WHERE job_title IS NOT NULL),
+  FROM customer c),
+employee AS (SELECT e.*, j.title AS job_title, j.category AS job_category FROM employee_raw e LEFT JOIN job j ON j.job_id = e.job_id),
 working_days AS (
   SELECT CAST(n_nationkey + 1 AS BIGINT) AS union_id, {P_START} AS period_start,
          {P_END} AS period_end, CAST(21 + n_nationkey % 2 AS INTEGER) AS working_days
@@ -91,9 +92,8 @@ exclusion AS (
          CAST(NULL AS VARCHAR) AS notes
   FROM customer WHERE c_acctbal > 9700),
 emp AS (
-  SELECT e.*, u.union_name, u.union_full_name, s.state_id, s.state_name, s.uf, s.daily_value,
-         {category('e.job_title')} AS job_category
-  FROM employee e JOIN labor_union u ON e.union_id = u.union_id JOIN state s ON u.state_id = s.state_id),
+  SELECT e.*, u.union_name, u.union_full_name, s.state_id, s.state_name, s.uf, s.daily_value
+  FROM employee e JOIN job USING (job_id) JOIN labor_union u ON e.union_id = u.union_id JOIN state s ON u.state_id = s.state_id),
 hire_agg AS (
   SELECT employee_id, arg_min(hire_date, hire_id) AS first_hire, arg_max(hire_date, hire_id) AS last_hire
   FROM hire GROUP BY employee_id),
@@ -101,14 +101,14 @@ term_agg AS (
   SELECT employee_id, arg_max(termination_date, termination_id) AS last_term,
          arg_max(notice_ok, termination_id) AS last_ok
   FROM termination GROUP BY employee_id),
-emp_job AS (SELECT e.*, {category('e.job_title')} AS job_category FROM employee e),
+emp_job AS (SELECT e.* FROM employee e JOIN job USING (job_id)),
 hire_r AS (SELECT * FROM hire WHERE employee_id IN (SELECT employee_id FROM employee)),
 termination_r AS (SELECT * FROM termination WHERE employee_id IN (SELECT employee_id FROM employee)),
 vacation_r AS (SELECT * FROM vacation WHERE employee_id IN (SELECT employee_id FROM employee)),
 leave_r AS (SELECT * FROM leave_ WHERE employee_id IN (SELECT employee_id FROM employee)),
 exclusion_r AS (SELECT * FROM exclusion WHERE employee_id IN (SELECT employee_id FROM employee)),
 backfilled AS (
-  SELECT e.employee_id, e.registration, e.company_id, e.job_title, e.union_id, e.status,
+  SELECT e.employee_id, e.registration, e.company_id, e.job_id, e.union_id, e.status,
          COALESCE(e.hire_date, h.first_hire) AS hire_date, e.termination_date
   FROM employee e
   LEFT JOIN (SELECT employee_id, arg_min(hire_date, hire_id) AS first_hire FROM hire_r GROUP BY employee_id) h
@@ -251,14 +251,14 @@ SELECT DISTINCT title FROM (
   UNION ALL SELECT e.job_title FROM exclusion x LEFT JOIN employee e ON x.employee_id = e.employee_id
             WHERE x.exclusion_type = 'APRENDIZ') t
 WHERE title IS NOT NULL""")
-_q("job_category", "SELECT title, category FROM job")
-_q("job_dim", "SELECT job_id, title, category FROM job")
+_q("job_category", "SELECT title, category FROM title_number")
+_q("job_dim", "SELECT job_id, title, category FROM title_number")
 _q("employee_dim", """
 SELECT e.registration, COALESCE(j.job_id, 1) AS job_id, COALESCE(u.union_id, 1) AS union_id, e.status,
        j.job_id IS NOT NULL AS job_id_matched, u.union_id IS NOT NULL AS union_id_matched
 FROM employee e
 LEFT JOIN labor_union u0 ON e.union_id = u0.union_id
-LEFT JOIN job j ON j.title = e.job_title
+LEFT JOIN title_number j ON j.title = e.job_title
 LEFT JOIN labor_union u ON u.union_full_name = u0.union_full_name""")
 _q("resolve_vacations", f"""
 SELECT employee_id, {P_START} AS period_start, {P_END} AS period_end, CAST(vacation_days AS BIGINT) AS vacation_days
@@ -523,7 +523,7 @@ _q("dq_report", """
 found AS (
   SELECT CAST(coalesce((SELECT sum(n) FROM repeats WHERE n > 1), 0) AS BIGINT) AS duplicate_registration,
          count(*) FILTER (union_id IS NULL) AS employee_without_union,
-         count(*) FILTER (job_title IS NULL) AS employee_without_job,
+         count(*) FILTER (job_id IS NULL) AS employee_without_job,
          (SELECT count(*) - count(*) FILTER (daily_value > 0) FROM state) AS invalid_daily_value,
          (SELECT count(*) FILTER (working_days NOT BETWEEN 1 AND 31) FROM working_days) AS invalid_working_days
   FROM employee)
@@ -532,8 +532,8 @@ _q("dq_foreign_keys", """
 SELECT 'employees.union_id' AS foreign_key, CAST(COUNT(*) AS BIGINT) AS offenders FROM employee e
   WHERE e.union_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM labor_union u WHERE u.union_id = e.union_id)
 UNION ALL SELECT 'employees.company_id', COUNT(*) FROM employee e WHERE e.company_id IS NOT NULL AND e.company_id <> 1
-UNION ALL SELECT 'employees.job_title', COUNT(*) FROM employee e
-  WHERE e.job_title IS NOT NULL AND NOT EXISTS (SELECT 1 FROM job j WHERE j.title = e.job_title)
+UNION ALL SELECT 'employees.job_id', COUNT(*) FROM employee e
+  WHERE e.job_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM job j WHERE j.job_id = e.job_id)
 UNION ALL SELECT 'unions.state_id', COUNT(*) FROM labor_union u
   WHERE u.state_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM state s WHERE s.state_id = u.state_id)
 UNION ALL SELECT 'working_days.union_id', COUNT(*) FROM working_days w

@@ -14,7 +14,6 @@ from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lunchbox.functions.keys import checked_broadcast
 from lunchbox.functions.text import job_category
 from lunchbox.operators import (agreement, calc, declared, eligibility, ingest, joins,
                                 maintenance, quality, reports)
@@ -219,12 +218,10 @@ def _employee_dim(spark, sf_dir):
     """ING6: active sheet -> employee rows with job / union ids (unknown -> 1)."""
     m = load_model(spark, sf_dir)
     s = _sheet(sheets.active_sheet(load_model(spark, sf_dir)))
-    # A shuffle join on the title would put every employee into one of a few
-    # hundred title partitions; the job table is broadcast once its size is verified.
-    jobs = checked_broadcast(ingest.job_dim(m.job_titles), 1_000_000, "jobs")
-    e = ingest.lookup_with_default(s, "TITULO_DO_CARGO", jobs, "title", "job_id", "job_id")
+    jobs = ingest.job_dim(m.job_titles)
+    e = ingest.lookup_with_default(s, "TITULO_DO_CARGO", jobs, "title", "job_id", "job_id", salt_by="MATRICULA")
     e = ingest.lookup_with_default(e, "SINDICATO", joins.bounded(m, "unions"), "union_full_name",
-                                   "union_id", "union_id")
+                                   "union_id", "union_id", salt_by="MATRICULA")
     return e.select(F.col("MATRICULA").cast("long").alias("registration"), "job_id", "union_id",
                     F.col("DESC_SITUACAO").alias("status"), "job_id_matched", "union_id_matched")
 

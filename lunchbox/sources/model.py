@@ -4,8 +4,8 @@ Column names (all tables keyed by ``employee_id`` where relevant):
 
 * ``states``        state_id, state_name, uf, daily_value decimal(10,2)
 * ``unions``        union_id, union_full_name, union_name, state_id
-* ``job_titles``    title (distinct, non-null)
-* ``employees``     employee_id, registration, company_id, job_title, union_id,
+* ``jobs``          job_id, title, category (as stored; NULL: none given)
+* ``employees``     employee_id, registration, company_id, job_id, union_id,
                     status, hire_date, termination_date
 * ``working_days``  union_id, period_start, period_end, working_days
 * ``vacations``     vacation_id, employee_id, period_start, period_end, vacation_days
@@ -33,6 +33,7 @@ from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lunchbox.functions.keys import small
 from lunchbox.periods import Period
 
 FACT_TABLES = ("vacations", "leaves", "terminations", "hires", "exclusions")
@@ -43,7 +44,7 @@ class HRModel:
     spark: SparkSession
     states: DataFrame
     unions: DataFrame
-    job_titles: DataFrame
+    jobs: DataFrame
     employees: DataFrame
     working_days: DataFrame
     vacations: DataFrame
@@ -54,8 +55,8 @@ class HRModel:
     companies: DataFrame
     period: Period
     events: DataFrame | None = None
-    # Row bounds of the small dimensions.  A bound is verified once per model
-    # (``limit(bound + 1).count()``) before the table is ever broadcast.
+    # Dimensions that don't grow with the data, with their expected rows.  Their
+    # size in bytes is checked (Catalyst's estimate, no job) before they are broadcast.
     bounds: dict = field(default_factory=dict)
     _verified: dict = field(default_factory=dict, compare=False, repr=False)
 
@@ -66,13 +67,17 @@ class HRModel:
         # by AQE's skew-join handling, which covers left semi joins.
         return facts.join(self.employees.select("employee_id"), "employee_id", "left_semi")
 
+    @property
+    def job_titles(self) -> DataFrame:
+        """The distinct titles of the jobs."""
+        return self.jobs.select("title").where(F.col("title").isNotNull()).distinct()
+
     def small(self, name: str) -> bool:
-        """Is ``name`` declared small and verified to be within its bound?"""
+        """Is ``name`` declared small, and its size in bytes known to be?"""
         if name not in self.bounds:
             return False
         if name not in self._verified:
-            from lunchbox.functions.keys import within_bound
-            self._verified[name] = within_bound(self.table(name), self.bounds[name])
+            self._verified[name] = small(self.table(name))
         return self._verified[name]
 
     def resolved_rows(self, names=FACT_TABLES) -> DataFrame:

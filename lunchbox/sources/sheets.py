@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.keys import checked_broadcast
+from lunchbox.operators.joins import employee_jobs
 from lunchbox.sources import testdata as T
 from lunchbox.sources.model import HRModel
 
@@ -33,9 +34,8 @@ def read_sheet(spark: SparkSession, path: str, fmt: str = "csv", schema=None, **
 
 
 def active_sheet(m: HRModel) -> DataFrame:
-    emp = m.employees
     uni = m.unions.select("union_id", "union_full_name")
-    return (emp.join(checked_broadcast(uni, 1000, "unions"), "union_id", "left")
+    return (employee_jobs(m, "left").join(checked_broadcast(uni, "unions"), "union_id", "left")
             .select(F.col("registration").alias("MATRICULA"),
                     F.lit("Empresa Principal").alias("EMPRESA"),
                     F.col("job_title").alias("TITULO DO CARGO"),
@@ -77,7 +77,7 @@ def termination_sheet(m: HRModel) -> DataFrame:
 
 def hire_sheet(m: HRModel) -> DataFrame:
     h = m.hires
-    emp = m.employees.select("employee_id", "job_title")
+    emp = employee_jobs(m, "left").select("employee_id", "job_title")
     return (h.join(emp, "employee_id", "left")
             .select(_registration().alias("MATRICULA"),
                     F.col("hire_date").cast("timestamp_ntz").alias("Admissão"),
@@ -86,7 +86,7 @@ def hire_sheet(m: HRModel) -> DataFrame:
 
 def exclusion_sheets(m: HRModel) -> dict[str, DataFrame]:
     x = m.exclusions
-    emp = m.employees.select("employee_id", "job_title")
+    emp = employee_jobs(m, "left").select("employee_id", "job_title")
     xj = x.join(emp, "employee_id", "left")
     interns = xj.where(F.col("exclusion_type") == K.EXCLUSION_INTERN).select(
         _registration().alias("MATRICULA"), F.col("job_title").alias("TITULO DO CARGO"),

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.dates import as_date
-from lunchbox.functions.keys import checked_broadcast
+from lunchbox.functions.text import job_category
 from lunchbox.periods import Period
 from lunchbox.sources.model import HRModel
 
@@ -23,7 +23,6 @@ from lunchbox.sources.model import HRModel
 PERIOD = Period(dt.date(1998, 4, 15), dt.date(1998, 5, 15))
 PERIOD_DAY = 15               # accounting periods run from this day to the same day of the next month
 REGISTRATION_BASE = 30000
-PART_MODULUS = 200            # employee job = title of part (custkey % 200)
 EXCLUSION_BALANCE = 9700      # customers above this balance are excluded
 NOTICE_PRIORITIES = ["1-URGENT", "2-HIGH"]
 TITLE_PREFIX_BY_SIZE = {1: "ESTAGIARIO ", 2: "JOVEM APRENDIZ ", 3: "DIRETOR "}
@@ -92,48 +91,32 @@ def unions(spark, sf_dir) -> DataFrame:
         (F.col("n_regionkey") + 1).cast("long").alias("state_id"))
 
 
-def job_titles(spark, sf_dir) -> DataFrame:
+def jobs(spark, sf_dir) -> DataFrame:
+    """The job table: a job for each part, with its stored category."""
     titles = _title_from_part(read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name"))
-    return titles.select("title").where(F.col("title").isNotNull()).distinct()
+    return titles.select((F.col("p_partkey") + 1).cast("long").alias("job_id"), "title", job_category("title").alias("category"))
 
 
 def employees(spark, sf_dir) -> DataFrame:
-    """Employees with their job title resolved (unknown title -> first job).
-
-    Only parts with |p_partkey| < 200 can match ``c_custkey % 200``; that
-    slice has at most 399 rows (p_partkey is the part key).  The bound is
-    verified before the slice is broadcast, so the customer scan is never
-    shuffled -- a shuffle join on ``c_custkey % 200`` would put every
-    customer into at most 200 partitions.
-    """
+    """Employees with the id of their job: customer keys go round the whole key range of the part table."""
     cust = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_name")
-    part_slice = _title_from_part(
-        part.where((F.col("p_partkey") > -PART_MODULUS) & (F.col("p_partkey") < PART_MODULUS)))
     status = (F.when(F.col("c_acctbal") < -800, F.lit(K.STATUS_SICK_LEAVE))
               .when(F.col("c_acctbal") < -650, F.lit(K.STATUS_MATERNITY))
               .when(F.col("c_acctbal") < -500, F.lit(K.STATUS_MEDICAL_NOTE))
               .when(F.col("c_mktsegment") == "FURNITURE", F.lit(K.STATUS_VACATION))
               .otherwise(F.lit(K.STATUS_WORKING)))
-    # Default job (id 1) = smallest title of the whole job table: a scalar
-    # subquery over a partial ``min`` (one row per task, never a group).
-    first_title = _title_from_part(part).agg(F.min("title")).scalar()
-    # at most 2 * 200 - 1 rows when p_partkey is unique; verified before broadcast
-    part_side = checked_broadcast(part_slice, 2 * PART_MODULUS - 1, "part slice")
-    emp = (cust.join(part_side,
-                     (F.col("c_custkey") % PART_MODULUS) == F.col("p_partkey"), "left")
-           .select(
-               (F.col("c_custkey") + 1).cast("long").alias("employee_id"),
-               (F.col("c_custkey") + REGISTRATION_BASE).cast("long").alias("registration"),
-               F.lit(1).cast("long").alias("company_id"),
-               F.coalesce(F.col("title"), first_title).alias("job_title"),
-               (F.col("c_nationkey") + 1).cast("long").alias("union_id"),
-               status.alias("status"),
-               F.lit(None).cast("date").alias("hire_date"),
-               F.lit(None).cast("date").alias("termination_date")))
-    # No job at all (empty job table): the employee row cannot be stored.
-    return emp.where(F.col("job_title").isNotNull())
+    # a scalar subquery over a partial ``max`` (one row per task)
+    keys = read_table(spark, sf_dir, "part").agg(F.max("p_partkey") + 1).scalar()
+    return cust.select(
+        (F.col("c_custkey") + 1).cast("long").alias("employee_id"),
+        (F.col("c_custkey") + REGISTRATION_BASE).cast("long").alias("registration"),
+        F.lit(1).cast("long").alias("company_id"),
+        (F.pmod(F.col("c_custkey"), keys) + 1).cast("long").alias("job_id"),
+        (F.col("c_nationkey") + 1).cast("long").alias("union_id"),
+        status.alias("status"),
+        F.lit(None).cast("date").alias("hire_date"),
+        F.lit(None).cast("date").alias("termination_date"))
 
 
 def working_days(spark, sf_dir, period: Period = PERIOD) -> DataFrame:
@@ -288,7 +271,7 @@ def load_model(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRM
         spark=spark,
         states=states(spark, sf_dir),
         unions=unions(spark, sf_dir),
-        job_titles=job_titles(spark, sf_dir),
+        jobs=jobs(spark, sf_dir),
         employees=employees(spark, sf_dir),
         working_days=working_days(spark, sf_dir, period),
         vacations=vacations(spark, sf_dir),

@@ -106,8 +106,8 @@ def test_checked_broadcast_falls_back_over_bound(spark):
     from lunchbox.functions.keys import checked_broadcast
     big, small = spark.range(100), spark.range(5)
     left = spark.range(1000)
-    over = left.join(checked_broadcast(big, 10), "id")._jdf.queryExecution().logical().toString()
-    under = left.join(checked_broadcast(small, 10), "id")._jdf.queryExecution().logical().toString()
+    over = left.join(checked_broadcast(big, max_bytes=100), "id")._jdf.queryExecution().logical().toString()
+    under = left.join(checked_broadcast(small, max_bytes=100), "id")._jdf.queryExecution().logical().toString()
     assert "ResolvedHint (strategy=broadcast)" in under
     assert "ResolvedHint" not in over and "broadcast" not in over.lower()
 
