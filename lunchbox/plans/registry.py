@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lunchbox.functions.text import job_category
+from lunchbox import constants as K
 from lunchbox.operators import (agreement, calc, declared, eligibility, ingest, joins,
                                 maintenance, quality, reports)
 from lunchbox.periods import Period
@@ -234,20 +234,18 @@ def _resolve(spark, sf_dir, sheet_df):
 
 @raw_query("resolve_vacations")
 def _resolve_vacations(spark, sf_dir):
-    """ING7/ING8: vacation sheet resolved by registration; period dates attached."""
+    """ING7/ING8: vacation sheet resolved by registration; each row keeps its own period, or gets the load's."""
     r, m = _resolve(spark, sf_dir, sheets.vacation_sheet(load_model(spark, sf_dir)))
-    return r.select("employee_id", F.lit(m.period.start).alias("period_start"),
-                    F.lit(m.period.end).alias("period_end"),
-                    F.col("DIAS_DE_FERIAS").cast("long").alias("vacation_days"))
+    return ingest.with_dates(r, m.period.start, m.period.end).select(
+        "employee_id", "period_start", "period_end", F.col("DIAS_DE_FERIAS").cast("long").alias("vacation_days"))
 
 
 @raw_query("resolve_leaves")
 def _resolve_leaves(spark, sf_dir):
-    """ING7/ING8: leave sheet resolved; fixed start, open end."""
+    """ING7/ING8: leave sheet resolved; each row keeps its own dates, or gets the load's start and an open end."""
     r, _ = _resolve(spark, sf_dir, sheets.leave_sheet(load_model(spark, sf_dir)))
-    return r.select("employee_id", F.col("DESC_SITUACAO").alias("leave_type"),
-                    F.lit(LEAVE_SHEET_START).alias("start_date"),
-                    F.lit(None).cast("date").alias("end_date"))
+    return ingest.with_dates(r, LEAVE_SHEET_START, names=("start_date", "end_date")).select(
+        "employee_id", F.col("DESC_SITUACAO").alias("leave_type"), "start_date", "end_date")
 
 
 @raw_query("resolve_terminations")
@@ -473,8 +471,8 @@ def _terminated(m):
     return reports.terminated_employees(m)
 
 
-def _results(m):
-    c = _calc(m)
+def _results(m, periods=None):
+    c = calc.purchase_calc(m, periods)
     return c.select("employee_id", F.col("period_month").cast("long"), F.col("period_year").cast("long"),
                     F.coalesce(F.col("working_days"), F.lit(0)).cast("long").alias("union_working_days"),
                     F.coalesce(F.col("vacation_days"), F.lit(0)).cast("long").alias("vacation_days"),
@@ -601,8 +599,8 @@ def _financial_summary(m):
 
 @query("period_summary")
 def _period_summary(m):
-    """AGG8: stored results summed per month and year."""
-    return reports.period_summary(_results(m))
+    """AGG8: results of three periods summed per month and year."""
+    return reports.period_summary(_results(m, [Period.parse(a, b) for a, b in EARLIER_PERIODS] + [m.period]))
 
 
 @query("table_counts")
@@ -680,20 +678,20 @@ def _retain_vacations(m):
 
 # ---------------------------------------------------------------- declared --
 def _holidays(spark):
-    return spark.createDataFrame([(dt.date.fromisoformat(d), s) for d, s in HOLIDAYS],
-                                 "holiday_date date, holiday_state_id long")
+    rows = ", ".join(f"(DATE'{d}', CAST({s or 'NULL'} AS BIGINT))" for d, s in HOLIDAYS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(holiday_date, holiday_state_id)")
 
 
 @query("working_days_from_calendar")
 def _wd_calendar(m):
     """DEC1 (declared): working days from a weekday calendar minus holidays."""
-    return declared.working_days_from_calendar(m.unions, [m.period], _holidays(m.spark))
+    return declared.working_days_from_calendar(m.unions, [m.period], _holidays(m.spark), m.states)
 
 
 @query("workday_proration")
 def _workday_proration(m):
-    """DEC2 (declared): hire / termination proration by working days."""
-    return calc.purchase_calc(m, proration="workdays").select(
+    """DEC2 (declared): hire / termination proration by working days, holidays left out."""
+    return calc.purchase_calc(m, proration="workdays", holidays=_holidays(m.spark)).select(
         "employee_id", F.col("days_after_hire").cast("long"), F.col("days").cast("long"),
         *_money("total"))
 
@@ -703,19 +701,16 @@ def _monthly_purchase_periods(m):
     """CAL8 over three consecutive periods in one plan (working days from the
     holiday calendar, DEC1): one row per eligible employee and period."""
     periods = [Period.parse(a, b) for a, b in EARLIER_PERIODS] + [m.period]
-    wd = declared.working_days_from_calendar(m.unions, periods, _holidays(m.spark))
-    m2 = replace(m, working_days=wd, bounds={**m.bounds, "working_days": 25 * len(periods)},
-                 _verified={})
-    return calc.monthly_purchase(m2, periods)
-
-
-@raw_query("consolidated_base")
-def _consolidated_base(spark, sf_dir):
-    """DEC3 (declared): active base plus hires missing from it."""
-    act = _load_employees(spark, sf_dir)
-    hires = _load_hires(spark, sf_dir)
-    return declared.consolidated_base(act.select("registration", "job_title"),
-                                      hires.select("registration", "job_title"))
+    return calc.monthly_purchase(declared.with_calendar(m, periods, _holidays(m.spark)), periods)
+
+
+@query("consolidated_base")
+def _consolidated_base(m):
+    """DEC3 (declared): the active base (here: without those on vacation) plus hires missing from it, each by its first hire row."""
+    known = joins.employee_jobs(m, "left").select("employee_id", "registration", "job_title", "status")
+    active = known.where(~F.col("status").eqNullSafe(F.lit(K.STATUS_VACATION))).select("registration", "job_title")
+    hires = m.hires.join(known, "employee_id").select("registration", "job_title", "hire_id")
+    return declared.consolidated_base(active, hires, "hire_id")
 
 
 @query("abroad_value")

@@ -80,20 +80,6 @@ class HRModel:
             self._verified[name] = small(self.table(name))
         return self._verified[name]
 
-    def resolved_rows(self, names=FACT_TABLES) -> DataFrame:
-        """Rows of several fact tables, tagged (table_name, employee_id,
-        exclusion_type), resolved against the employees with ONE semi join."""
-        parts = []
-        for name in names:
-            df = getattr(self, name)
-            kind = F.col("exclusion_type") if name == "exclusions" else F.lit(None).cast("string")
-            parts.append(df.select(F.lit(name).alias("table_name"), "employee_id",
-                                   kind.alias("exclusion_type")))
-        rows = parts[0]
-        for p in parts[1:]:
-            rows = rows.unionByName(p)
-        return rows.join(self.employees.select("employee_id"), "employee_id", "left_semi")
-
     def with_tables(self, **tables) -> "HRModel":
         """A copy with some tables replaced (the combined event view is dropped
         when any of the feeds it stands for is replaced)."""

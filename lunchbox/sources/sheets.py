@@ -51,7 +51,8 @@ def vacation_sheet(m: HRModel) -> DataFrame:
     v = m.vacations
     return v.select(_registration().alias("MATRICULA"),
                     F.lit(K.STATUS_VACATION).alias("DESC. SITUACAO"),
-                    F.col("vacation_days").cast("long").alias("DIAS DE FÉRIAS"))
+                    F.col("vacation_days").cast("long").alias("DIAS DE FÉRIAS"),
+                    F.col("period_start").alias("INICIO"), F.col("period_end").alias("FIM"))
 
 
 # fixed values of the projection: the flag cell of a leave by its id's remainder of 4 (3: an empty cell)
@@ -64,7 +65,8 @@ def leave_sheet(m: HRModel) -> DataFrame:
     flag = F.when(kind < 3, F.element_at(F.array(*map(F.lit, LEAVE_FLAGS)), (F.least(kind, F.lit(2)) + 1).cast("int")))
     return lv.select(_registration().alias("MATRICULA"),
                      F.col("leave_type").alias("DESC. SITUACAO"),
-                     flag.alias("na compra?"))
+                     flag.alias("na compra?"),
+                     F.col("start_date").alias("INICIO"), F.col("end_date").alias("FIM"))
 
 
 def termination_sheet(m: HRModel) -> DataFrame:

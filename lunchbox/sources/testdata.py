@@ -262,8 +262,7 @@ def exclusions(spark, sf_dir) -> DataFrame:
 
 
 def companies(spark) -> DataFrame:
-    return spark.createDataFrame([(1, "Empresa Principal", "00.000.000/0001-00")],
-                                 "company_id long, company_name string, tax_id string")
+    return spark.sql("SELECT 1L AS company_id, 'Empresa Principal' AS company_name, '00.000.000/0001-00' AS tax_id")
 
 
 def load_model(spark: SparkSession, sf_dir: str, period: Period = PERIOD) -> HRModel:

@@ -42,8 +42,8 @@ def test_flagship_has_two_shuffles_and_no_cross_join(at_scale):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "Window" not in plan
     # the fact union is aggregated map-side before its shuffle
-    assert re.search(r"HashAggregate\(keys=\[employee_id#\d+L?, period_index#\d+\], functions=\[partial_", plan)
-    # the only single-partition exchange is the one-row default-job subquery
+    assert re.search(r"HashAggregate\(keys=\[employee_id#\d+L?\], functions=\[partial_", plan)
+    # the only single-partition exchange is the one-row subquery for the part table's key range
     assert len(re.findall(r"Exchange SinglePartition", plan)) == 1
 
 
@@ -53,7 +53,7 @@ def test_employee_side_of_the_shuffle_carries_keys_only(at_scale):
     emp_side = [i for i in inputs if "registration" in i]
     assert len(emp_side) == 1
     cols = sorted(c.split("#")[0] for c in emp_side[0].split(", "))
-    assert cols == ["employee_id", "period_index", "registration", "union_id"]
+    assert cols == ["employee_id", "registration", "union_id"]
 
 
 def test_orders_scanned_once_by_the_flagship(at_scale):
@@ -121,3 +121,34 @@ def test_three_period_run_keeps_one_shuffle_join(at_scale):
     assert "CartesianProduct" not in plan
     # the only nested loop is the broadcast holiday list of the calendar
     assert len(re.findall(r"BroadcastNestedLoopJoin", plan)) <= 1
+
+
+def test_twenty_four_periods_equal_single_runs(spark):
+    from lunchbox.sources.testdata import catalog
+    m = catalog(spark, SF)
+    ps = [Period(d(f"{1996 + k // 12}-{k % 12 + 1:02d}-15"), d(f"{1996 + (k + 1) // 12}-{(k + 1) % 12 + 1:02d}-15")) for k in range(24)]
+    cols = ["employee_id", "period_start", "days_after_hire", "days", "notes", "vacation_days"]
+    together = sorted(repr(tuple(r)) for r in calc.purchase_calc(m, ps).select(cols).collect())
+    single = sorted(repr(tuple(r)) for p in ps[::6] for r in calc.purchase_calc(m, [p]).select(cols).collect())
+    starts = {repr(p.start) for p in ps[::6]}
+    assert [r for r in together if any(s in r for s in starts)] == single and len(together) > 24 * 100
+
+
+@pytest.mark.parametrize("n", [1, 24])
+def test_periods_do_not_multiply_rows_before_the_shuffle(at_scale, n):
+    from lunchbox.sources.testdata import catalog
+    m = catalog(at_scale, SF)
+    ps = [Period(d(f"{1990 + k}-04-15"), d(f"{1990 + k}-05-15")) for k in range(n)]
+    plan = plan_of(calc.purchase_calc(m, ps))
+    # below the join's two exchanges nothing is generated but the events of an order
+    join = plan.index("SortMergeJoin")
+    assert plan[join:].count("Generate") == 1 and plan[:join].count("Generate explode") == 1
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 2
+
+
+@pytest.mark.parametrize("name", ["dq_foreign_keys", "dq_unmatched", "kpi_counts", "table_counts"])
+def test_reference_counts_take_one_aggregation(at_scale, name):
+    plan = plan_of(entry.queries()[name](at_scale, SF))
+    # the sheets of dq_unmatched and the jobs of kpi_counts are all broadcast or columns of the feeds
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) <= 3
+    assert "SortMergeJoin" not in plan

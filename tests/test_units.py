@@ -39,7 +39,7 @@ def test_null_category_is_kept(spark):
 def test_sorted_surrogate_ids(spark):
     words = [f"w{random.Random(i).randint(0, 10**6):07d}" for i in range(500)] + ["Á", "a", "B", None]
     df = spark.createDataFrame([(w,) for w in words + words[:50]], "title string")
-    got = {r["title"]: r["id"] for r in sorted_surrogate_ids(df, "title", "id", partitions=7).collect()}
+    got = {r["title"]: r["id"] for r in sorted_surrogate_ids(df, "title", "id").collect()}
     expect = {t: i + 1 for i, t in enumerate(sorted({w for w in words if w is not None},
                                                      key=lambda s: s.encode("utf-8")))}
     assert got == expect
