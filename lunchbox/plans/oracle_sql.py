@@ -549,7 +549,7 @@ UNION ALL SELECT 'working_days.union_period', COUNT(*) FROM working_days w
          GROUP BY union_id, period_start, period_end HAVING COUNT(*) > 1)
 UNION ALL SELECT 'employees.status_not_null', COUNT(*) FROM employee WHERE status IS NULL
 UNION ALL SELECT 'states.daily_value_not_null', COUNT(*) FROM state WHERE daily_value IS NULL""")
-NO_EMP = "employee_id NOT IN (SELECT employee_id FROM employee)"
+NO_EMP = "employee_id - 1 + 30000 NOT IN (SELECT registration FROM employee)"
 _q("dq_unmatched", f"""
 SELECT 'vacations' AS feed, CAST(COUNT(*) AS BIGINT) AS offenders FROM vacation WHERE {NO_EMP}
 UNION ALL SELECT 'leaves', COUNT(*) FROM leave_ WHERE {NO_EMP}
@@ -672,3 +672,59 @@ SELECT period_month, period_year, CAST(COUNT(*) AS BIGINT) AS total_employees,
        CAST(SUM(days) AS BIGINT) AS total_days, CAST(SUM(total_dec) AS DOUBLE) AS total_value,
        CAST(SUM(company_dec) AS DOUBLE) AS company_cost, CAST(SUM(employee_dec) AS DOUBLE) AS employee_discount
 FROM ({" UNION ALL ".join(_results)}) r GROUP BY period_month, period_year""")
+
+
+# ----------------------------------------------- the same checks over faults --
+def _faulty(model: str, changes: dict[str, str]) -> str:
+    """``model`` with further CTEs right after those they change: ``name`` becomes ``name_clean``, and ``name`` reads it."""
+    for name, select in changes.items():
+        at = model.index(f"\n{name} AS (") + 1
+        end, depth = at + len(f"{name} AS "), 0
+        while True:
+            depth += {"(": 1, ")": -1}.get(model[end], 0)
+            end += 1
+            if not depth:
+                break
+        model = model[:at] + f"{name}_clean" + model[at + len(name):end] + f",\n{name} AS ({select.format(f'{name}_clean')})" + model[end:]
+    return model
+
+
+def _lost(key: str) -> str:
+    return "SELECT * REPLACE (CASE WHEN " + key + " % 13 = 0 THEN employee_id + 10000000 ELSE employee_id END AS employee_id) FROM {}"
+
+
+FAULTS = {
+    "state": "SELECT * REPLACE (CASE WHEN state_id = 2 THEN NULL ELSE daily_value END AS daily_value, CASE WHEN state_id = 3 THEN 'AF' ELSE uf END AS uf) FROM {}",
+    "labor_union": "SELECT * REPLACE (CASE WHEN union_id = 7 THEN 10000000 ELSE state_id END AS state_id, "
+                   "CASE WHEN union_id = 9 THEN 'CANADA - SINDICATO' ELSE union_full_name END AS union_full_name) FROM {}",
+    "job": "SELECT * REPLACE (CASE WHEN job_id % 5 = 0 THEN NULL ELSE category END AS category) FROM {}",
+    "employee_raw": "SELECT * REPLACE (CASE WHEN employee_id % 97 = 0 THEN registration - 1 ELSE registration END AS registration, "
+                    "CASE WHEN employee_id % 89 = 0 THEN NULL WHEN employee_id % 83 = 0 THEN union_id + 10000000 ELSE union_id END AS union_id, "
+                    "CASE WHEN employee_id % 79 = 0 THEN NULL WHEN employee_id % 73 = 0 THEN job_id + 10000000 ELSE job_id END AS job_id, "
+                    "CASE WHEN employee_id % 71 = 0 THEN NULL ELSE status END AS status) FROM {}",
+    "working_days": "SELECT w.* REPLACE (CASE union_id WHEN 3 THEN 0 WHEN 4 THEN NULL WHEN 5 THEN 40 ELSE working_days END AS working_days) "
+                    "FROM {} w, generate_series(1, CASE WHEN union_id = 6 THEN 2 ELSE 1 END)",
+    "vacation": _lost("vacation_id"), "hire": _lost("hire_id"), "termination": _lost("termination_id"), "leave_": _lost("leave_id"), "exclusion": _lost("exclusion_id"),
+}
+_FAULTY = _faulty("\n" + MODEL.strip(), FAULTS).strip()
+_CLEAN_PREFIX = "WITH " + MODEL.strip()
+for _name in ("dq_report", "dq_foreign_keys", "dq_unique_keys", "dq_unmatched", "duplicate_registrations", "kpi_counts"):
+    SQL[f"{_name}_faults"] = "WITH " + _FAULTY + SQL[_name][len(_CLEAN_PREFIX):]
+SQL["category_status_faults"] = "WITH " + _FAULTY + f"""
+SELECT employee_id, job_category, status FROM emp
+WHERE coalesce(job_category, '') NOT IN ('ESTAGIARIO', 'APRENDIZ', 'DIRETOR') AND coalesce(status, '') NOT IN {EXCLUDED_STATUSES}"""
+SQL["resolve_hires_faults"] = "WITH " + _FAULTY + f"""
+SELECT e.employee_id, e.registration FROM hire h JOIN employee e ON e.registration = h.employee_id - 1 + 30000"""
+SQL["employee_dim_faults"] = "WITH " + _FAULTY + """
+, by_name AS (SELECT union_full_name, min(union_id) AS union_id FROM labor_union GROUP BY 1)
+SELECT e.registration, coalesce(n.job_id, 1) AS job_id, coalesce(b.union_id, 1) AS union_id, n.job_id IS NOT NULL AS job_id_matched,
+       b.union_id IS NOT NULL AS union_id_matched
+FROM employee e LEFT JOIN labor_union u ON u.union_id = e.union_id LEFT JOIN by_name b ON b.union_full_name = u.union_full_name
+LEFT JOIN title_number n ON n.title = e.job_title"""
+_q("cast_checked_faults", f"""
+SELECT termination_id, CASE WHEN termination_id % 17 <> 0 THEN {REG} END AS registration,
+       CASE WHEN termination_id % 11 <> 0 THEN termination_date END AS termination_date,
+       concat_ws(',', CASE WHEN termination_id % 17 = 0 THEN 'MATRICULA' END, CASE WHEN termination_id % 11 = 0 THEN 'DATA_DEMISSAO' END) AS cast_errors
+FROM termination""")
+_q("agreement_exclude_apprentices", """
+SELECT registration, job_category FROM emp_job WHERE job_category IS NULL OR job_category NOT IN ('ESTAGIARIO', 'APRENDIZ')""")

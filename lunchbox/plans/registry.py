@@ -19,6 +19,7 @@ from lunchbox.operators import (agreement, calc, declared, eligibility, ingest,
                                 maintenance, quality, reports)
 from lunchbox.periods import Period
 from lunchbox.sources import sheets, sinks
+from lunchbox.sources.dirty import dirty, dirty_cells
 from lunchbox.sources.rules import load_rules
 from lunchbox.sources.testdata import catalog as load_model
 
@@ -718,3 +719,91 @@ def _abroad_value(m):
     """DEC5 (declared): employees abroad with their specific (or state) value."""
     return declared.abroad_value(m.resolved("exclusions"), joins.employee_star(m)).select(
         "employee_id", "registration", *_money("daily_value"))
+
+
+# ----------------------------------------------- the same checks over faults --
+def dirty_query(name: str):
+    """Register ``fn(model with faults) -> DataFrame`` under ``name``."""
+    def register(fn):
+        def run(spark, sf_dir, _fn=fn):
+            return _fn(dirty(load_model(spark, sf_dir)))
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        return fn
+    return register
+
+
+@dirty_query("dq_report_faults")
+def _dq_report_faults(m):
+    """DQ1-DQ4 over a model with faults of every kind."""
+    return quality.dq_report(m)
+
+
+@dirty_query("dq_foreign_keys_faults")
+def _dq_fk_faults(m):
+    """DQ5 over a model with faults."""
+    return quality.dq_foreign_keys(m)
+
+
+@dirty_query("dq_unique_keys_faults")
+def _dq_unique_faults(m):
+    """DQ6 over a model with faults."""
+    return quality.dq_unique_keys(m)
+
+
+@dirty_query("dq_unmatched_faults")
+def _dq_unmatched_faults(m):
+    """DQ7 over a model with faults."""
+    return quality.dq_unmatched(sheets.registration_columns(m), m.employees)
+
+
+@dirty_query("duplicate_registrations_faults")
+def _duplicates_faults(m):
+    """JN11: employees that share a registration."""
+    return quality.duplicated_keys(m.employees, ["registration"]).select("employee_id", "registration")
+
+
+@dirty_query("category_status_faults")
+def _category_status_faults(m):
+    """FLT1 where jobs have no category (kept) and employees no status (kept)."""
+    return eligibility.category_status_filter(joins.employee_star(m)).select("employee_id", "job_category", "status")
+
+
+@dirty_query("resolve_hires_faults")
+def _resolve_hires_faults(m):
+    """ING7: hires whose registration nobody has are dropped."""
+    return ingest.resolve_registrations(sheets.registration_columns(m)["hires"][0].withColumnRenamed("MATRICULA", "registration"),
+                                        m.employees).select("employee_id", "registration")
+
+
+@dirty_query("employee_dim_faults")
+def _employee_dim_faults(m):
+    """ING6: a missing or unknown job or union becomes id 1."""
+    s = ingest.normalise_headers(sheets.active_sheet(m))
+    e = ingest.lookup_with_default(s, "TITULO_DO_CARGO", ingest.job_dim(m.job_titles), "title", "job_id", "job_id", salt_by="MATRICULA")
+    unions = m.unions.groupBy("union_full_name").agg(F.min("union_id").alias("union_id"))
+    e = ingest.lookup_with_default(e, "SINDICATO", unions, "union_full_name", "union_id", "union_id", salt_by="MATRICULA")
+    return e.select(F.col("MATRICULA").cast("long").alias("registration"), "job_id", "union_id", "job_id_matched", "union_id_matched")
+
+
+@dirty_query("kpi_counts_faults")
+def _kpi_counts_faults(m):
+    """AGG6 over a model with faults: facts of unknown employees don't count."""
+    return reports.kpi_counts(m)
+
+
+@raw_query("cast_checked_faults")
+def _cast_checked_faults(spark, sf_dir):
+    """ING2: a termination sheet with malformed cells; the bad ones are NULL and listed."""
+    m = load_model(spark, sf_dir)
+    s = _sheet(sheets.text_sheet(sheets.termination_sheet(m, with_id=True)))
+    c = ingest.cast_checked(dirty_cells(s.withColumn("ID", F.col("ID").cast("long")), "ID"), {"MATRICULA": "bigint", "DATA_DEMISSAO": "date"})
+    return c.select(F.col("ID").alias("termination_id"), F.col("MATRICULA").alias("registration"), F.col("DATA_DEMISSAO").alias("termination_date"),
+                    F.concat_ws(",", "cast_errors").alias("cast_errors"))
+
+
+@query("agreement_exclude_apprentices")
+def _agr_exclude_apprentices(m):
+    """AGR2 (declared) before the category filter: interns and apprentices marked 'excluir' are dropped from all employees."""
+    rules = load_rules(m.spark, RULES.replace('"FUNCIONARIO": {"excluir": false}', '"APRENDIZ": {"excluir": true}'))
+    return agreement.exclude_categories(joins.employee_jobs(m), rules).select("registration", "job_category")

@@ -69,9 +69,9 @@ def leave_sheet(m: HRModel) -> DataFrame:
                      F.col("start_date").alias("INICIO"), F.col("end_date").alias("FIM"))
 
 
-def termination_sheet(m: HRModel) -> DataFrame:
+def termination_sheet(m: HRModel, with_id: bool = False) -> DataFrame:
     t = m.terminations
-    return t.select(_registration().alias("MATRICULA "),
+    return t.select(*([F.col("termination_id").alias("ID")] if with_id else []), _registration().alias("MATRICULA "),
                     F.col("termination_date").cast("timestamp_ntz").alias("DATA DEMISSÃO"),
                     F.when(F.col("notice_ok"), F.lit(K.NOTICE_OK_TEXT))
                     .alias("COMUNICADO DE DESLIGAMENTO"))
