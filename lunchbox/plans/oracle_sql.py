@@ -269,10 +269,14 @@ _q("resolve_hires", "SELECT employee_id, hire_date FROM hire_r")
 _q("exclusions_union", """
 SELECT employee_id, exclusion_type, CAST(specific_value AS DOUBLE) AS specific_value, notes FROM exclusion_r""")
 _q("backfill_hire_date", "SELECT employee_id, hire_date FROM backfilled")
-_q("upsert_changed", """
-SELECT b.employee_id, b.status, b.hire_date,
-       (b.hire_date IS DISTINCT FROM e.hire_date OR b.status IS DISTINCT FROM e.status) AS changed
-FROM backfilled b JOIN employee e ON b.employee_id = e.employee_id""")
+STAMPED = """
+SELECT b.employee_id, {columns},
+       CASE WHEN b.hire_date IS DISTINCT FROM e.hire_date OR b.status IS DISTINCT FROM e.status
+            THEN '1998-05-16 00:00:00' ELSE '1998-04-16 00:00:00' END AS updated_at
+FROM backfilled b JOIN employee e ON b.employee_id = e.employee_id"""
+_q("upsert_changed", STAMPED.format(columns="""b.status, b.hire_date,
+       (b.hire_date IS DISTINCT FROM e.hire_date OR b.status IS DISTINCT FROM e.status) AS changed"""))
+_q("merge_history", STAMPED.format(columns="b.registration, b.status, b.hire_date"))
 
 # ----------------------------------------------------------------- filters --
 _q("employee_star", """
@@ -406,11 +410,8 @@ SELECT employee_id, period_month, period_year, union_working_days, vacation_days
        CAST(company_cost AS DOUBLE) AS company_cost, CAST(employee_discount AS DOUBLE) AS employee_discount,
        notes
 FROM ({RESULTS}) r""")
-_q("retain_results", f"""
-SELECT employee_id, period_month, period_year, calc_days FROM ({RESULTS}) r
-WHERE period_year >= 1998""")
 _q("retain_vacations", """
-SELECT vacation_id, employee_id, period_end FROM vacation WHERE period_end >= DATE '1998-01-01'""")
+SELECT vacation_id, employee_id, period_end FROM vacation WHERE period_end >= DATE '1996-06-10'""")
 
 # --------------------------------------------------------------- agreement --
 DEFAULT_V = "CASE WHEN COALESCE(daily_value, 0) <= 0 THEN CAST(37.5 AS DECIMAL(10,2)) ELSE daily_value END"
@@ -659,20 +660,23 @@ FROM calc{_sfx}""")
 SQL["monthly_purchase_periods"] = ("WITH " + MODEL.strip() + ","
                                    + ",".join(_ctes) + "\n" + "\nUNION ALL".join(_selects))
 
-_results = []
-_ctes = []
+_results, _ctes = [], []
 for _i, (_ps, _pe, _days, _label) in enumerate(MULTI_PERIODS):
     # working days of the seeded table exist for the last period only; the others have none
     _wd = f"wd_seed{_i} AS (SELECT union_id, working_days FROM working_days WHERE period_start = DATE '{_ps}' AND period_end = DATE '{_pe}'),"
     _ctes.append("\n" + _wd + period_ctes(f"_s{_i}", f"DATE '{_ps}'", f"DATE '{_pe}'", _days, f"wd_seed{_i}", _label))
     _results.append(f"SELECT CAST(month(DATE '{_pe}') AS BIGINT) AS period_month, CAST(year(DATE '{_pe}') AS BIGINT) AS period_year, "
-                    f"days, total_dec, company_dec, employee_dec FROM calc_s{_i}")
+                    f"employee_id, days, total_dec, company_dec, employee_dec FROM calc_s{_i}")
 SQL["period_summary"] = ("WITH " + MODEL.strip() + "," + ",".join(_ctes) + f"""
 SELECT period_month, period_year, CAST(COUNT(*) AS BIGINT) AS total_employees,
        CAST(SUM(days) AS BIGINT) AS total_days, CAST(SUM(total_dec) AS DOUBLE) AS total_value,
        CAST(SUM(company_dec) AS DOUBLE) AS company_cost, CAST(SUM(employee_dec) AS DOUBLE) AS employee_discount
 FROM ({" UNION ALL ".join(_results)}) r GROUP BY period_month, period_year""")
 
+SQL["retain_results"] = ("WITH " + MODEL.strip() + "," + ",".join(_ctes) + f"""
+SELECT employee_id, period_month, period_year, CAST(days AS BIGINT) AS calc_days
+FROM ({" UNION ALL ".join(_results)}) r WHERE period_year * 12 + period_month >= 1998 * 12 + 4""")
+
 
 # ----------------------------------------------- the same checks over faults --
 def _faulty(model: str, changes: dict[str, str]) -> str:
