@@ -1,7 +1,8 @@
 """BPE encoding and decoding with a contiguous rank array per word.
 
 A text is split at special tokens, normalised, and split into words by the
-tokenizer file's pattern.  A word starts as its bytes; the ids of its parts
+tokenizer file's pattern.  Texts of characters below U+0300 are normalised and split here; those with others by the library's own
+normaliser and splitter, whose Unicode tables (marks, categories of younger characters) aren't Python's.  A word starts as its bytes; the ids of its parts
 and the ranks of neighbouring parts lie in two plain lists.  The least rank is found by a scan, the
 boundary behind it deleted, and the two ranks beside it refreshed, until no
 neighbours merge.  Words longer than ``LONG`` parts keep their ranks in a heap, as
@@ -12,7 +13,8 @@ The tokenizer file is read on the driver from a path that is a parameter, and
 broadcast (a vocabulary: fixed size, not one that grows with the data).
 
 Defined cases: null text is empty and has no ids; rows are encoded one by one,
-so repeated rows repeat the result; further columns don't matter.
+so repeated rows repeat the result; a very long text is worked on whole, like any other; further columns don't matter;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
+from tokenizers import Tokenizer
 
 from lunchbox.llm import spans
 from lunchbox.llm.runtime import ship
@@ -36,6 +39,7 @@ MOST_WORDS = 200_000
 NONE = 1 << 60
 
 
+# fixed by the vocabulary format
 def byte_symbols() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies: itself, or the next from 256 on."""
     shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
@@ -47,6 +51,7 @@ class Bpe:
     """Encoder and decoder of one tokenizer file: BPE over byte symbols with a mark at the end of words."""
 
     def __init__(self, file: str):
+        self.file = file
         spec = json.loads(file)
         model = spec["model"]
         if model["type"] != "BPE" or spec["decoder"] is not None or model["unk_token"] or model["dropout"]:
@@ -73,7 +78,7 @@ class Bpe:
         self.known: dict[str, bytes] = {}
 
     def __getstate__(self):
-        return {k: v for k, v in self.__dict__.items() if k not in ("known", "find", "cut", "blank")}
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "find", "cut", "blank", "other", "tool", "byte")}
 
     def __setstate__(self, state):
         self.__dict__.update(state, known={})
@@ -83,6 +88,9 @@ class Bpe:
             space = r"\p{White_Space}"  # \s of other libraries takes control characters too
             self.find = regex.compile(self.pattern.replace(r"\s", space)).findall
             self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+            self.other = regex.compile(r"[^\x00-\u02FF]").search
+            self.tool = Tokenizer.from_str(self.file)
+            self.byte = {ord(s): b for b, s in enumerate(byte_symbols())}
             self.blank = {p: regex.compile(p.replace(r"\s", space)) for kind, p, _ in self.steps if kind == "Replace"}
 
     def _normal(self, text: str) -> str:
@@ -97,9 +105,8 @@ class Bpe:
                 raise ValueError(f"no normalizer {kind}")
         return text
 
-    def word(self, word: str) -> list[int]:
+    def word(self, raw: bytes) -> list[int]:
         """Ids of one word."""
-        raw = word.encode()
         ids = [self.inner[b] for b in raw]
         ids[-1] = self.last[raw[-1]]
         return self._long(ids) if len(ids) > LONG else self._short(ids)
@@ -141,10 +148,15 @@ class Bpe:
 
     def _packed(self, text: str) -> bytes:
         known, out = self.known, []
-        for word in self.find(self._normal(text)):
+        if self.other(text):
+            pieces = self.tool.pre_tokenizer.pre_tokenize_str(self.tool.normalizer.normalize_str(text))
+            words = (bytes(map(self.byte.__getitem__, map(ord, piece))) for piece, _ in pieces)
+        else:
+            words = self.find(self._normal(text))
+        for word in words:
             ids = known.get(word)
             if ids is None:
-                ids = np.array(self.word(word), "<u4").tobytes()
+                ids = np.array(self.word(word if isinstance(word, bytes) else word.encode()), "<u4").tobytes()
                 if len(known) >= MOST_WORDS:
                     known.clear()
                 if len(word) <= LONG:

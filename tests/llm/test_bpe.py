@@ -31,6 +31,17 @@ def test_ids_and_text_equal_the_library(library, texts):
         assert own.decode(ids) == library.decode(want, skip_special_tokens=False)
 
 
+def test_all_characters_and_marks_equal_the_library(library):
+    own = bpe.load(PATH)
+    rng = random.Random(6)
+    every = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    marks = ["\u06da\u0899", "\u08ca\u1cd4", "\u1acb\u0a4d"]
+    strings = ["".join(map(chr, rng.sample(every, 12))) for _ in range(2000)] + ["".join(map(chr, rng.sample(range(0x300, 0x3000), 12))) for _ in range(2000)]
+    strings += ["".join(map(chr, range(a, a + 64))) for a in range(0, 0x300, 64)] + ["a" + chr(c) + "b" for c in range(0x300)] + marks
+    for text in strings:
+        assert np.frombuffer(own.encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+
+
 def test_long_words_and_short_ones_merge_alike():
     own = bpe.load(PATH)
     for word in ["thehereinandthe" * 12, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa"]:
