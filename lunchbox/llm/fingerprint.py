@@ -2,7 +2,7 @@
 
 A paragraph (what stands between line feeds) is hashed to a wide vector, and a
 document's fingerprint is the sum of its paragraphs' vectors: ``EXACT`` lanes
-modulo 2**64 drawn from the paragraph's hash, and ``SKETCH`` lanes modulo 2**16 in which the
+modulo 2**64 drawn from the paragraph's hash, and ``SKETCH`` lanes, also modulo 2**64, in which the
 paragraph's runs of 12 bytes (3 in short paragraphs) count up or down.  So the order of paragraphs doesn't
 matter, equal multisets have equal fingerprints, and a paragraph is inserted or
 deleted by adding or subtracting its vector (``inserted``, ``deleted``).  The
@@ -51,7 +51,7 @@ class Fingerprints:
         return Fingerprints(self.exact[at], self.sketch[at])
 
     def strings(self) -> list[str]:
-        return [a.astype("<u8").tobytes().hex() + b.astype("<i2").tobytes().hex() for a, b in zip(self.exact, self.sketch)]
+        return [a.astype("<u8").tobytes().hex() + b.astype("<i8").tobytes().hex() for a, b in zip(self.exact, self.sketch)]
 
     def likeness(self, other: Fingerprints) -> np.ndarray:
         x, y = self.sketch.astype(np.float64), other.sketch.astype(np.float64)
@@ -64,7 +64,7 @@ class Fingerprints:
 def of_texts(texts: pa.Array) -> Fingerprints:
     raw, at = spans.flat(texts)
     n = len(at) - 1
-    exact, sketch = np.zeros((n, EXACT), np.uint64), np.zeros((n, SKETCH), np.int16)
+    exact, sketch = np.zeros((n, EXACT), np.uint64), np.zeros((n, SKETCH), np.int64)
     filled = np.flatnonzero(np.diff(at))
     if not len(filled):
         return Fingerprints(exact, sketch)
@@ -96,7 +96,7 @@ def of_texts(texts: pa.Array) -> Fingerprints:
     lane = doc * SKETCH + (mark >> _U(64 - SKETCH_LOG)).astype(np.int64)
     sign = 1.0 - 2.0 * (mark & _U(1)).astype(np.float64)
     sums = np.bincount(lane, weights=sign, minlength=n * SKETCH).astype(np.int64)
-    return Fingerprints(exact, sums.astype(np.int16).reshape(n, SKETCH))
+    return Fingerprints(exact, sums.reshape(n, SKETCH))
 
 
 def inserted(prints: Fingerprints, paragraphs: Fingerprints) -> Fingerprints:

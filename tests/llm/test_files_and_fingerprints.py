@@ -79,3 +79,9 @@ def test_fingerprint_edges(spark, edges, empty):
     single = P.edited_pairs(spark.createDataFrame([(3, "abcd")], "doc_id long, text string")).first()
     assert single.edited_sha256 == hashlib.sha256(b"abab").hexdigest() and single.near_next == 1.0
     assert P.fingerprints(edges).count() == edges.count()
+
+
+def test_likeness_of_very_many_repeats(spark):
+    line = "one line that a log file repeats very often\n"
+    prints = P.of_texts(pa.array([line * 40_000, line * 20_000, line * 70_000]))
+    assert prints.likeness(prints.take([1, 2, 0])).min() > 0.999999
