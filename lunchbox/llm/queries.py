@@ -29,7 +29,7 @@ def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
-    return warc_fixity.audit(pages, warc_fixity.damaged_copy(pages))
+    return warc_fixity.audit(warc_fixity.stored(pages), warc_fixity.damaged_replica(pages))
 
 
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
