@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from lunchbox.functions.keys import sorted_surrogate_ids
@@ -45,13 +44,31 @@ def test_sorted_surrogate_ids(spark):
     assert got == expect
 
 
-@settings(max_examples=25, deadline=None)
-@given(st.dates(dt.date(2020, 1, 1), dt.date(2030, 1, 1)), st.integers(-3, 60))
-def test_weekday_count_matches_brute_force(spark_session_for_hypothesis, start, n):
-    end = start + dt.timedelta(days=n)
-    expect = sum(1 for k in range(n + 1) if (start + dt.timedelta(days=k)).weekday() < 5)
-    df = spark_session_for_hypothesis.createDataFrame([(start, end)], "s date, e date")
-    assert df.select(declared.weekday_count("s", "e")).first()[0] == expect
+def test_calendar_counts_days_one_by_one(spark):
+    """Any range of days, in states with and without holidays of their own, against counting day by day."""
+    rng = random.Random(5)
+    first, last = dt.date(2024, 12, 1), dt.date(2025, 6, 30)
+    states = spark.createDataFrame([(1,), (2,)], "state_id long")
+    holidays = [(dt.date(2025, 1, 1), None), (dt.date(2025, 4, 21), None), (dt.date(2025, 4, 21), 2), (dt.date(2025, 4, 23), 2), (dt.date(2025, 5, 3), 1)]
+    ranges = [(k, s, first + dt.timedelta(days=rng.randrange(212)), rng.randrange(-3, 90)) for k in range(200) for s in (1, 2)]
+    ranges = [(k, s, a, min(a + dt.timedelta(days=n), last)) for k, s, a, n in ranges] + [(999, 1, first, last), (999, 2, first, first)]
+    calendar = declared.working_day_calendar(states, spark.createDataFrame(holidays, "holiday_date date, holiday_state_id long"), first, last)
+    rows = spark.createDataFrame(ranges, "k int, state_id long, a date, b date").join(calendar, "state_id")
+    got = {(r.k, r.state_id): r.n for r in rows.select("k", "state_id", F.expr(declared.days_between_sql(first, "a", "b")).alias("n")).collect()}
+
+    def count(state, a, b):
+        days = [a + dt.timedelta(days=n) for n in range((b - a).days + 1)]
+        return sum(d.weekday() < 5 and not any(d == h and s in (None, state) for h, s in holidays) for d in days)
+
+    assert got == {(k, s): count(s, a, b) for k, s, a, b in ranges}
+
+
+def test_consolidated_base_takes_whole_first_rows(spark):
+    active = spark.createDataFrame([(1, "A", dt.date(2020, 1, 1))], "registration long, job_title string, hire_date date")
+    hires = spark.createDataFrame([(2, "A", dt.date(2020, 2, 2), 10), (2, "B", dt.date(2020, 1, 1), 11), (1, "Z", None, 5), (None, "N", None, 6), (3, None, None, 7)],
+                                  "registration long, job_title string, hire_date date, hire_id long")
+    rows = sorted(map(tuple, declared.consolidated_base(active, hires, "hire_id").collect()))
+    assert rows == [(1, "A", dt.date(2020, 1, 1)), (2, "A", dt.date(2020, 2, 2)), (3, None, None)]
 
 
 def test_cast_checked_quarantines(spark):
