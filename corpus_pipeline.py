@@ -3,6 +3,12 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
 last keep the columns of documents; a stage works on all that the one before
 it kept.
+
+Defined cases, the same in every stage: a null or empty text is a clean document and stays; a null doc_id comes last and its row
+stays, unless its text is removed for what it holds; rows that repeat a document are treated alike by toxicity, line dedup, decontamination and
+encoding, and are one document in the n-gram Jaccard join; very long texts are worked on whole; further columns, whatever their
+names, pass through all stages but the last; empty tables give empty results, and without labels or benchmark items nothing is removed by
+them.
 """
 
 from __future__ import annotations

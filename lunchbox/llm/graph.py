@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from lunchbox.llm.runtime import written
+from lunchbox.llm.runtime import freed, written
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -16,22 +16,31 @@ def components(edges: DataFrame) -> DataFrame:
     lost executor repeats one round at most.  Nothing reaches the driver but
     the count of edges left.
     """
-    labels = None
+    labels, given = None, True
     while True:
         both = edges.select("a", "b").where("a <> b").union(edges.selectExpr("b", "a").where("a <> b"))
         step = both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("to")).select("node", F.least("node", "to").alias("to"))
-        step = written(step, "step")
+        least = step = written(step, "step")
         for _ in range(2):
             far = step.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
             step = step.join(far, "to").select("node", F.col("beyond").alias("to"))
         step = written(step, "jump")
+        freed(least)
         if labels is None:
             labels = step.select("node", F.col("to").alias("label"))
+            labels.llm_path = step.llm_path
         else:
             nxt = step.select(F.col("node").alias("label"), "to")
-            labels = written(labels.join(nxt, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+            old, labels = labels, written(labels.join(nxt, "label", "left").select("node", F.coalesce("to", "label").alias("label")), "labels")
+            freed(old)
         ends = edges.join(step.select(F.col("node").alias("a"), F.col("to").alias("a2")), "a").join(
             step.select(F.col("node").alias("b"), F.col("to").alias("b2")), "b")
-        edges = written(ends.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
+        old, edges = edges, written(ends.where("a2 <> b2").select(F.least("a2", "b2").alias("a"), F.greatest("a2", "b2").alias("b")).distinct(), "edges")
+        if not given:
+            freed(old)
+        if labels.llm_path != step.llm_path:
+            freed(step)
+        given = False
         if edges.isEmpty():
+            freed(edges)
             return labels

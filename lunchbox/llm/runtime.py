@@ -47,7 +47,18 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.llm_path = path
+    return out
+
+
+def freed(*tables: DataFrame) -> None:
+    """Delete tables of ``written`` that nothing reads any more; other frames are left alone."""
+    for table in tables:
+        path = getattr(table, "llm_path", None)
+        if path:
+            at = table.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def crc_remainder(column: str, modulus: int):

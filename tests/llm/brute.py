@@ -96,7 +96,7 @@ def line_removal(docs):
     def shingles(b):
         return frozenset(b[k:k + 8] for k in range(len(b) - 7)) if len(b) >= 8 else frozenset([("short", b)])
 
-    bodies = sorted({body(x) for _, t in docs if t is not None for x in t.split("\n") if len(body(x)) >= 3})
+    bodies = sorted({body(x) for _, t in docs if t is not None for x in t.split("\n") if body(x)})
     kind = groups(bodies, similar_pairs({b: shingles(b) for b in bodies}, 4, 5))
     seen, out = set(), {}
     for i, t in sorted(docs, key=lambda d: d[0]):
@@ -106,7 +106,7 @@ def line_removal(docs):
         left = []
         for x in t.split("\n"):
             b = body(x)
-            if len(b) >= 3:
+            if b:
                 if kind[b] in seen:
                     continue
                 seen.add(kind[b])
