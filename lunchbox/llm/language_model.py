@@ -67,7 +67,7 @@ def blocks(rows: DataFrame) -> DataFrame:
             words = spans.distinct(tokens)
             place = np.searchsorted(words, tokens)
             joined = lambda k: [x for h in held for x in h[k]]
-            values = (number, joined(0), joined(1), joined(2), place.astype("<u2").tobytes(), (place >> 16).astype("<u2").tobytes(), words.astype("<u8").tobytes())
+            values = (number, joined(0), joined(1), joined(2), place.astype("<u2").tobytes(), (place >> 16).astype("<u2").tobytes(), thin(words))
             types = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.binary(), pa.binary(), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], [x.split()[0] for x in BLOCKS.split(", ")])
 
@@ -93,7 +93,7 @@ class Block:
     def __init__(self, row: dict):
         self.doc_ids, self.lengths = row["doc_ids"], np.array(row["lengths"], np.int64)
         self.trains = np.repeat(np.array(row["trains"], bool), self.lengths)
-        self.words = np.frombuffer(row["words"], "<u8")
+        self.words = thick(row["words"])
         self.place = np.frombuffer(row["low"], "<u2").astype(np.int64) | (np.frombuffer(row["high"], "<u2").astype(np.int64) << 16)
         self.first = np.r_[0, np.cumsum(self.lengths)][:-1]
 
@@ -106,6 +106,41 @@ class Block:
         return spans.mix((before << _U(32)) | own)
 
 
+def thin(keys: np.ndarray, base: int = 0) -> bytes:
+    """Sorted keys as differences from one to the next, ``base`` first, in as few bytes each as the greatest one needs."""
+    step = np.diff(np.r_[_U(base), keys])
+    width = max(1, (int(step.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + step.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def thick(data: bytes, base: int = 0) -> np.ndarray:
+    """The keys of ``thin``."""
+    width = data[0]
+    step = np.zeros(((len(data) - 1) // width, 8), np.uint8)
+    step[:, :width] = np.frombuffer(data, np.uint8)[1:].reshape(-1, width)
+    out = step.reshape(-1).view("<u8").astype(np.uint64)
+    if len(out):
+        out[0] += _U(base)
+    return np.cumsum(out, dtype=np.uint64)
+
+
+def small(numbers: np.ndarray) -> bytes:
+    """Counts or levels in as few bytes each as the greatest one needs."""
+    most = int(numbers.max(initial=0))
+    kind = next(k for k in (1, 2, 4, 8) if most < 1 << (8 * k))
+    return bytes([kind]) + numbers.astype(f"<u{kind}").tobytes()
+
+
+def large(data: bytes) -> np.ndarray:
+    """The numbers of ``small``."""
+    return np.frombuffer(data[1:], f"<u{data[0]}").astype(np.int64)
+
+
+def _base(span: int, log: int) -> int:
+    """Where a hash range begins."""
+    return span << (64 - log) if log else 0
+
+
 def _range_log(tokens: int) -> int:
     return max(0, int(np.ceil(np.log2(max(1, tokens) / RANGE_TOKENS))))
 
@@ -195,18 +230,20 @@ def counted(encoded: DataFrame, log: int) -> DataFrame:
                     for s in range(1 << log):
                         k, c = keys[cut[s]:cut[s + 1]], counts[cut[s]:cut[s + 1]]
                         if len(k):
-                            rows.append((kind, s, k[c == 1].tobytes(), k[c > 1].tobytes(), c[c > 1].astype("<i8").tobytes()))
+                            base = _base(s, log)
+                            rows.append((kind, s, thin(k[c == 1], base), thin(k[c > 1], base), small(c[c > 1])))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
                     (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["kind", "span", "single", "many", "times"])
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, keys, counts = key[0].as_py(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         held_keys, held_counts, size = [], [], 0
+        base = _base(key[1].as_py(), log)
         for batch in batches:
             for single, many, times in zip(*(batch.column(c) for c in ("single", "many", "times"))):
-                one = np.frombuffer(single.as_buffer(), "<u8")
-                held_keys += [one, np.frombuffer(many.as_buffer(), "<u8")]
-                held_counts += [np.ones(len(one), np.int64), np.frombuffer(times.as_buffer(), "<i8")]
+                one = thick(single.as_py(), base)
+                held_keys += [one, thick(many.as_py(), base)]
+                held_counts += [np.ones(len(one), np.int64), large(times.as_py())]
                 size += len(one)
                 if size >= RANGE_TOKENS:
                     keys, counts = _summed(np.concatenate([keys, *held_keys]), np.concatenate([counts, *held_counts]))
@@ -230,19 +267,19 @@ def answered(encoded: DataFrame, tables: DataFrame, log: int, kind: int) -> Data
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                keys = np.frombuffer(row["words"], "<u8") if kind == 0 else spans.distinct(Block(row).bigrams())
+                keys = thick(row["words"]) if kind == 0 else spans.distinct(Block(row).bigrams())
                 cut = _cuts(keys, log)
                 used = [s for s in range(1 << log) if cut[s] < cut[s + 1]]
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(used), pa.int64()), pa.array(used, pa.int64()),
-                                                  pa.array([keys[cut[s]:cut[s + 1]].tobytes() for s in used], pa.binary())], ["block", "span", "keys"])
+                                                  pa.array([thin(keys[cut[s]:cut[s + 1]], _base(s, log)) for s in used], pa.binary())], ["block", "span", "keys"])
 
     def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
         data = table.column("data")[0].as_py() if table.num_rows else b""
         known = np.frombuffer(data, "<u8", len(data) // 16) if kind == 0 else None
         counts = np.frombuffer(data, "<i8", len(data) // 16, len(data) // 2) if kind == 0 else None
         out = []
-        for keys in asked.column("keys"):
-            keys = np.frombuffer(keys.as_buffer(), "<u8")
+        for span, keys in zip(asked.column("span").to_pylist(), asked.column("keys")):
+            keys = thick(keys.as_py(), _base(span, log))
             if not len(data):
                 found = np.zeros(len(keys), np.int64)
             elif kind == 0:
@@ -250,7 +287,7 @@ def answered(encoded: DataFrame, tables: DataFrame, log: int, kind: int) -> Data
                 found = np.where(known[at] == keys, counts[at], 0)
             else:
                 found = Filter([data]).levels(keys)
-            out.append(found.astype("<i8").tobytes())
+            out.append(small(found))
         return pa.table([asked.column("block"), asked.column("span"), pa.array(out, pa.binary())], ["block", "span", "found"])
 
     wanted = ["block", "words"] if kind == 0 else [x.split()[0] for x in BLOCKS.split(", ")]
@@ -302,7 +339,7 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, most_bytes: int
         for batch in batches:
             for row in batch.to_pylist():
                 own = Block(row)
-                count = np.concatenate([np.frombuffer(a["found"], "<i8") for a in row["answers_0"]])[own.place]
+                count = np.concatenate([large(a["found"]) for a in row["answers_0"]])[own.place]
                 single = (count + 1) / (n + v + 1)
                 before = np.empty_like(count)
                 before[1:] = count[:-1]
@@ -312,7 +349,7 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, most_bytes: int
                 if shared is not None:
                     levels = shared.value.levels(keys)
                 elif "answers_1" in row:
-                    levels = np.concatenate([np.frombuffer(a["found"], "<i8") for a in row["answers_1"]])
+                    levels = np.concatenate([large(a["found"]) for a in row["answers_1"]])
                 else:
                     levels = np.zeros(len(keys), np.int64)
                 pair = level_count(levels[np.searchsorted(keys, ends)])

@@ -120,3 +120,15 @@ def test_filter_holds_bigrams_seen_once():
     keys = np.arange(1, 5001, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     levels = language_model.Filter([language_model.segment(keys, np.ones(len(keys), np.int64))]).levels(keys)
     assert (levels >= 1).all() and (language_model.level_count(levels) == 1).mean() > 0.999
+
+
+@pytest.mark.parametrize("base", [0, 5 << 58])
+def test_thin_keys_and_small_numbers_come_back(base):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 500):
+        keys = np.unique(rng.integers(base, base + (1 << 58), n, dtype=np.uint64))
+        assert (language_model.thick(language_model.thin(keys, base), base) == keys).all() and len(language_model.thick(language_model.thin(keys, base), base)) == len(keys)
+        for most in (1, 255, 256, 1 << 20, 1 << 40):
+            counts = rng.integers(0, most, n)
+            assert (language_model.large(language_model.small(counts)) == counts).all()
+    assert len(language_model.thin(np.arange(1000, dtype=np.uint64))) == 1001
