@@ -18,14 +18,13 @@ again, and within log10(6) of the best of them.
 1.  ``blocks``: texts become blocks of about 8 MB: the hashes of the block's different words
     and, for each token, its place among them.  Text is read once, and blocks
     are a written table.
-2.  ``counted``: unigrams and bigrams of training documents, summed in each task, packed into
-    arrays by hash range, and merged range by range.  For bigrams the merge leaves
-    the filter's segment of that range.
-3.  ``answered``: a block asks each range for the counts of its words, so no
-    task holds a vocabulary and a frequent word is asked for once a block.
-4.  ``scores``: the filter is broadcast if it has ``MOST_BYTES`` or less.  A larger one stays in
-    its segments, and blocks ask those for the levels of their bigrams in
-    the same way; both give the same scores.
+2.  ``counted``: a block's different unigrams and bigrams go to their hash ranges once, packed into
+    arrays, with how often its training documents have them.  A range merges what
+    it got, and answers each block with the counts of its words, so no task
+    holds a vocabulary and a frequent word is sent once a block.  For bigrams it makes the
+    filter's segment of that range, and answers with the levels the segment has.
+3.  ``scores``: a filter that can't exceed ``MOST_BYTES`` is broadcast instead, and bigrams aren't
+    answered; both give the same scores.
 
 Defined cases: null text is empty and has the end token only; a null doc_id is neither held out nor
 learned from; without training documents N and V are 0 and all tokens unknown; rows
@@ -211,92 +210,68 @@ class Filter:
         return out
 
 
-COUNTED = "kind int, span long, n long, total long, once long, classes array<struct<class int, words long, tokens long>>, data binary"
+COUNTED = ("kind int, span long, n long, total long, once long, classes array<struct<class int, words long, tokens long>>, data binary, "
+           "block long, found binary")
 
 
-def counted(encoded: DataFrame, log: int) -> DataFrame:
-    """For each range of unigrams (kind 0) and bigrams (kind 1): sums, and counts or filter segment."""
+def counted(encoded: DataFrame, log: int, with_filter: bool) -> DataFrame:
+    """For each range of unigrams (kind 0) and bigrams (kind 1) a row of sums, and a row for each block that has some of them.
+
+    ``found`` of a block's row are the counts of its words, or the levels of its bigrams, in order of their hashes; ``with_filter``: the
+    filter's segment in the row of sums instead of the levels.
+    """
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 own = Block(row)
-                words = np.bincount(own.place[own.trains], minlength=len(own.words))
-                pairs = own.bigrams()[own.trains]
-                found = [(own.words[words > 0], words[words > 0]), _summed(pairs, np.ones(len(pairs), np.int64))]
+                found = [(own.words, np.bincount(own.place[own.trains], minlength=len(own.words))), _summed(own.bigrams(), own.trains.astype(np.int64))]
                 rows = []
                 for kind, (keys, counts) in enumerate(found):
                     cut = _cuts(keys, log)
                     for s in range(1 << log):
-                        k, c = keys[cut[s]:cut[s + 1]], counts[cut[s]:cut[s + 1]]
-                        if len(k):
-                            base = _base(s, log)
-                            rows.append((kind, s, thin(k[c == 1], base), thin(k[c > 1], base), small(c[c > 1])))
+                        if cut[s] < cut[s + 1]:
+                            rows.append((kind, s, row["block"], thin(keys[cut[s]:cut[s + 1]], _base(s, log)), small(counts[cut[s]:cut[s + 1]])))
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(
-                    (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["kind", "span", "single", "many", "times"])
+                    (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()))], ["kind", "span", "block", "keys", "times"])
 
     def merge(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind, keys, counts = key[0].as_py(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        held_keys, held_counts, size = [], [], 0
+        asked, held_keys, held_counts, size = [], [], [], 0  # a range's keys, a block each, packed: about RANGE_TOKENS in all
         base = _base(key[1].as_py(), log)
         for batch in batches:
-            for single, many, times in zip(*(batch.column(c) for c in ("single", "many", "times"))):
-                one = thick(single.as_py(), base)
-                held_keys += [one, thick(many.as_py(), base)]
-                held_counts += [np.ones(len(one), np.int64), large(times.as_py())]
-                size += len(one)
+            for block, packed, times in zip(*(batch.column(c).to_pylist() for c in ("block", "keys", "times"))):
+                asked.append((block, packed))
+                held_keys.append(thick(packed, base))
+                held_counts.append(large(times))
+                size += len(held_keys[-1])
                 if size >= RANGE_TOKENS:
                     keys, counts = _summed(np.concatenate([keys, *held_keys]), np.concatenate([counts, *held_counts]))
                     held_keys, held_counts, size = [], [], 0
         keys, counts = _summed(np.concatenate([keys, *held_keys]), np.concatenate([counts, *held_counts]))
-        level = np.log2(counts).astype(np.int64)
-        classes = [{"class": int(c), "words": int((level == c).sum()), "tokens": int(counts[level == c].sum())} for c in spans.distinct(level)] if kind == 0 else []
-        data = keys.astype("<u8").tobytes() + counts.astype("<i8").tobytes() if kind == 0 else segment(keys, counts)
-        values = (kind, key[1].as_py(), len(keys), int(counts.sum()), int((counts == 1).sum()), classes, data)
+        held_keys, held_counts = [], []
+        learned = counts > 0
+        seen, times = keys[learned], counts[learned]
+        level = np.log2(times).astype(np.int64)
+        classes = [{"class": int(c), "words": int((level == c).sum()), "tokens": int(times[level == c].sum())} for c in spans.distinct(level)] if kind == 0 else []
+        data = segment(seen, times) if kind == 1 else b""
+        names = ["kind", "span", "n", "total", "once", "classes", "data", "block", "found"]
         types = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(),
-                 pa.list_(pa.struct([("class", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64())])), pa.binary())
-        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], [x.split()[0] for x in ("kind k", "span k", "n k", "total k", "once k", "classes k", "data k")])
-
-    packed = encoded.mapInArrow(pieces, "kind int, span long, single binary, many binary, times binary")
+                 pa.list_(pa.struct([("class", pa.int32()), ("words", pa.int64()), ("tokens", pa.int64())])), pa.binary(), pa.int64(), pa.binary())
+        span = key[1].as_py()
+        values = (kind, span, len(seen), int(times.sum()), int((times == 1).sum()), classes, data if with_filter else None, None, None)
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+        if kind == 1 and with_filter:
+            return
+        answers = counts if kind == 0 else Filter([data]).levels(keys)
+        for block, packed in asked:
+            values = (kind, span, None, None, None, None, None, block, small(answers[np.searchsorted(keys, thick(packed, base))]))
+            yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, types)], names)
+
+    packed = encoded.mapInArrow(pieces, "kind int, span long, block long, keys binary, times binary")
     return packed.groupBy("kind", "span").applyInArrow(merge, COUNTED)
 
 
-def answered(encoded: DataFrame, tables: DataFrame, log: int, kind: int) -> DataFrame:
-    """(block, answers): counts of a block's words (kind 0) or levels of its bigrams (kind 1), range by range."""
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = thick(row["words"]) if kind == 0 else spans.distinct(Block(row).bigrams())
-                cut = _cuts(keys, log)
-                used = [s for s in range(1 << log) if cut[s] < cut[s + 1]]
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]] * len(used), pa.int64()), pa.array(used, pa.int64()),
-                                                  pa.array([thin(keys[cut[s]:cut[s + 1]], _base(s, log)) for s in used], pa.binary())], ["block", "span", "keys"])
-
-    def answer(asked: pa.Table, table: pa.Table) -> pa.Table:
-        data = table.column("data")[0].as_py() if table.num_rows else b""
-        known = np.frombuffer(data, "<u8", len(data) // 16) if kind == 0 else None
-        counts = np.frombuffer(data, "<i8", len(data) // 16, len(data) // 2) if kind == 0 else None
-        out = []
-        for span, keys in zip(asked.column("span").to_pylist(), asked.column("keys")):
-            keys = thick(keys.as_py(), _base(span, log))
-            if not len(data):
-                found = np.zeros(len(keys), np.int64)
-            elif kind == 0:
-                at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
-                found = np.where(known[at] == keys, counts[at], 0)
-            else:
-                found = Filter([data]).levels(keys)
-            out.append(small(found))
-        return pa.table([asked.column("block"), asked.column("span"), pa.array(out, pa.binary())], ["block", "span", "found"])
-
-    wanted = ["block", "words"] if kind == 0 else [x.split()[0] for x in BLOCKS.split(", ")]
-    requests = encoded.select(*wanted).mapInArrow(ask, "block long, span long, keys binary")
-    answers = requests.groupBy("span").cogroup(tables.where(F.col("kind") == kind).select("span", "data").groupBy("span")).applyInArrow(
-        answer, "block long, span long, found binary")
-    return answers.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("span", "found"))).alias(f"answers_{kind}"))
-
-
 def _mu(classes: list[tuple[int, int]], once: int, bigrams: int) -> float:
     """The weight of the unigram at which the expected unseen share over contexts (words, tokens) is that of bigrams seen once."""
     if not classes or not bigrams:
@@ -319,39 +294,35 @@ def scores(docs: DataFrame, modulus: int = 7, held_out: int = 2, most_bytes: int
     encoded = written(blocks(rows), "blocks")
     tokens = encoded.select(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b))).first()[0] or 0
     log = _range_log(tokens)
-    tables = written(counted(encoded, log), "counts")
-    sums = {r.kind: r for r in tables.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("once").alias("once"),
-                                                          F.sum(F.octet_length("data")).alias("bytes")).collect()}  # two rows
+    with_filter = BITS * tokens // 8 + 9 * (1 << log) <= most_bytes  # a bigram has no more levels than occurrences
+    tables = written(counted(encoded, log, with_filter), "counts")
+    ranges = tables.where("block is null")
+    sums = {r.kind: r for r in ranges.groupBy("kind").agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.sum("once").alias("once")).collect()}  # two rows
     n, v = (sums[0].total, sums[0].n) if 0 in sums else (0, 0)
-    classes = tables.where("kind = 0").select(F.explode("classes").alias("c")).groupBy("c.class").agg(F.sum("c.words"), F.sum("c.tokens")).collect()
+    classes = ranges.where("kind = 0").select(F.explode("classes").alias("c")).groupBy("c.class").agg(F.sum("c.words"), F.sum("c.tokens")).collect()
     mu = _mu([(r[1], r[2]) for r in classes], sums[1].once, sums[1].total) if 1 in sums else 1.0  # a row a doubling
     begun = rows.where("trains").count()
-    joined = encoded.join(answered(encoded, tables, log, 0), "block", "left")
+    answers = tables.where("block is not null").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("kind", "span", "found"))).alias("answers"))
+    joined = encoded.join(answers, "block")
     shared = None
-    if 1 in sums and sums[1].bytes <= most_bytes:
-        own = {r.span: bytes(r.data) for r in tables.where("kind = 1").select("span", "data").toLocalIterator()}  # most_bytes in all
+    if with_filter:
+        own = {r.span: bytes(r.data) for r in ranges.where("kind = 1").select("span", "data").toLocalIterator()}  # most_bytes in all
         shared = spark.sparkContext.broadcast(Filter([own.get(s, bytes(8)) for s in range(1 << log)]))
-    elif 1 in sums:
-        joined = joined.join(answered(encoded, tables, log, 1), "block", "left")
     names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 own = Block(row)
-                count = np.concatenate([large(a["found"]) for a in row["answers_0"]])[own.place]
+                found = [np.concatenate([large(a["found"]) for a in row["answers"] if a["kind"] == kind] or [np.zeros(0, np.int64)]) for kind in (0, 1)]
+                count = found[0][own.place]
                 single = (count + 1) / (n + v + 1)
                 before = np.empty_like(count)
                 before[1:] = count[:-1]
                 before[own.first] = begun
                 ends = own.bigrams()
                 keys = spans.distinct(ends)
-                if shared is not None:
-                    levels = shared.value.levels(keys)
-                elif "answers_1" in row:
-                    levels = np.concatenate([large(a["found"]) for a in row["answers_1"]])
-                else:
-                    levels = np.zeros(len(keys), np.int64)
+                levels = found[1] if shared is None else shared.value.levels(keys)
                 pair = level_count(levels[np.searchsorted(keys, ends)])
                 pair = np.minimum(pair, np.minimum(count, before))  # a pair isn't more frequent than its words
                 total = lambda x: np.add.reduceat(x, own.first)

@@ -132,3 +132,32 @@ def test_thin_keys_and_small_numbers_come_back(base):
             counts = rng.integers(0, most, n)
             assert (language_model.large(language_model.small(counts)) == counts).all()
     assert len(language_model.thin(np.arange(1000, dtype=np.uint64))) == 1001
+
+
+@pytest.mark.parametrize("log", [0, 3])
+def test_ranges_count_and_answer_every_block_at_once(spark, log):
+    rows = spark.createDataFrame([(i, t, i % 3 != 0) for i, t in enumerate(["a b a b", "c a b", "", "a b new", "b a b c c"] * 4)],
+                                 "doc_id long, text string, trains boolean").repartition(4)
+    language_model.ship(spark)
+    encoded = language_model.written(language_model.blocks(rows), "blocks")
+    table = language_model.counted(encoded, log, False).collect()
+    blocks = [language_model.Block(r.asDict()) for r in encoded.collect()]
+    learned = [collections.Counter(), collections.Counter()]
+    for b in blocks:
+        learned[0].update(b.words[b.place[b.trains]].tolist())
+        learned[1].update(b.bigrams()[b.trains].tolist())
+    for kind, want in enumerate(learned):
+        sums = [r for r in table if r.kind == kind and r.block is None]
+        assert (sum(r.n for r in sums), sum(r.total for r in sums)) == (len(want), sum(want.values()))
+        for r, b in zip(encoded.collect(), blocks):
+            found = sorted((t.span, t.found) for t in table if t.kind == kind and t.block == r.block)
+            got = np.concatenate([language_model.large(f) for _, f in found])
+            keys = b.words if kind == 0 else np.unique(b.bigrams())
+            counts = np.array([want[k] for k in keys.tolist()])
+            assert len(got) == len(keys) and ((got == counts) if kind == 0 else (got >= language_model._count_level(counts))).all()
+
+
+def test_bigrams_travel_once(documents):
+    """Ranges answer while they count: nothing is asked for again after the counts are written."""
+    plan = language_model.scores(documents, most_bytes=0)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "GroupsInArrow" not in plan
