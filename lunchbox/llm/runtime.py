@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import tempfile
 import uuid
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _shipped: set[str] = set()
@@ -61,6 +63,14 @@ def freed(*tables: DataFrame) -> None:
             at.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def released() -> None:
+    """Give memory that a Python worker has freed, but still holds, back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def crc_remainder(column: str, modulus: int):
     """crc32 of the id written as text, modulo ``modulus``; null for a null id."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus

@@ -80,7 +80,19 @@ def chunks(batch: pa.RecordBatch, column: str = "text", most: int = CHUNK_BYTES)
 
 
 def span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span."""
+    """A 64-bit hash of the bytes of each span; spans come by start."""
+    if len(raw) <= CHUNK_BYTES:
+        return _span_hashes(raw, start, end)
+    out = np.empty(len(start), np.uint64)  # a hash doesn't depend on the span's place, so long texts go chunk by chunk
+    cuts = np.r_[np.searchsorted(start, np.arange(0, len(raw), CHUNK_BYTES)), len(start)]
+    for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+        if low < high:
+            base = int(start[low])
+            out[low:high] = _span_hashes(raw[base:int(end[low:high].max())], start[low:high] - base, end[low:high] - base)
+    return out
+
+
+def _span_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     up, down = _power(_P, len(raw))
     with np.errstate(over="ignore"):
         total = np.zeros(len(raw) + 1, np.uint64)
@@ -123,6 +135,12 @@ def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     """Hash of the n words from each word on; the last n - 1 places are missing."""
     if len(hashes) < n:
         return np.zeros(0, np.uint64)
+    if len(hashes) <= CHUNK_BYTES + n:
+        return _window_hashes(hashes, n)
+    return np.concatenate([_window_hashes(hashes[low:low + CHUNK_BYTES + n - 1], n) for low in range(0, len(hashes) - n + 1, CHUNK_BYTES)])
+
+
+def _window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     up, down = _power(_Q, len(hashes))
     with np.errstate(over="ignore"):
         total = np.zeros(len(hashes) + 1, np.uint64)

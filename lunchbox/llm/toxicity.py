@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lunchbox.llm import spans
 from lunchbox.llm.ngrams import different, subwords
-from lunchbox.llm.runtime import crc_remainder, numbered, ship
+from lunchbox.llm.runtime import crc_remainder, numbered, released, ship
 
 #: labelled texts of each class that training reads at most (twice that, if the hash is uneven)
 SAMPLE = {1: 700, 0: 1_600}
@@ -75,6 +75,28 @@ def logits(texts: pa.Array, model: Model) -> np.ndarray:
     return out
 
 
+def _words_of(texts: list[str]) -> tuple[np.ndarray, int, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text, number of different words, which of them each word is, and their (number, bucket), chunk by chunk."""
+    count, hashes, found, owners, buckets = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], np.zeros(0, np.uint64), [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
+    for part in spans.chunks(pa.record_batch([pa.array(texts, pa.large_string())], ["text"])):
+        words = spans.Words(part.column("text"), spans.LETTERS)
+        count.append(words.count)
+        if not len(words.doc):
+            continue
+        hashes.append(words.hashes())
+        own, first = np.unique(hashes[-1], return_index=True)
+        fresh = ~np.isin(own, found)
+        owner, bucket = subwords(words, first[fresh], N_GRAMS, BUCKET_LOG)
+        owners.append(owner + np.int32(len(found)))
+        buckets.append(bucket)
+        found = np.concatenate([found, own[fresh]])
+    order = np.argsort(found)
+    place = np.empty(len(found), np.int32)
+    place[order] = np.arange(len(found))
+    which = np.searchsorted(found[order], np.concatenate(hashes))
+    return np.concatenate(count), len(found), which, place[np.concatenate(owners)], np.concatenate(buckets)
+
+
 def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     """Fit bucket vectors and softmax jointly on a sample of labelled texts."""
     toxic = np.asarray(toxic, bool)
@@ -87,28 +109,31 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     if not (toxic[held].any() and not toxic[held].all() and toxic[~held].any() and not toxic[~held].all()):
         held[:] = False
     fit = np.flatnonzero(~held)
-    words = spans.Words(pa.array([texts[i] for i in fit], pa.large_string()), spans.LETTERS)
-    if not len(words.doc):
+    count, n_words, which, owner, bucket = _words_of([texts[i] for i in fit])
+    if not len(which):
         return constant
     label = toxic[fit]
-    first, which = different(words)
-    owner, bucket = subwords(words, first, N_GRAMS, BUCKET_LOG)
     by_owner = np.argsort(owner, kind="stable")
     owner, bucket = owner[by_owner], bucket[by_owner]
     del by_owner
     n_sub = np.bincount(owner).astype(np.float32)
     sub_at = np.r_[0, np.cumsum(n_sub.astype(np.int64))][:-1]
-    used, bucket = np.unique(bucket, return_inverse=True)
+    used = np.flatnonzero(np.bincount(bucket))
+    place = np.zeros(1 << BUCKET_LOG, np.int32)
+    place[used] = np.arange(len(used))
+    bucket = place[bucket]
     to_bucket = np.argsort(bucket, kind="stable")
     bucket_at = np.searchsorted(bucket[to_bucket], np.arange(len(used)))
 
-    number = (np.arange(len(which)) - words.first[:-1][words.doc]) // WINDOW  # window number in its text
-    new = np.r_[True, (words.doc[1:] != words.doc[:-1]) | (number[1:] != number[:-1])]
+    doc = np.repeat(np.arange(len(count)), count)
+    number = (np.arange(len(which)) - np.r_[0, np.cumsum(count)][doc]) // WINDOW  # window number in its text
+    new = np.r_[True, (doc[1:] != doc[:-1]) | (number[1:] != number[:-1])]
+    del number
     window_at, window = np.flatnonzero(new), np.cumsum(new) - 1
     in_window = np.bincount(window).astype(np.float32)
-    window_doc = words.doc[window_at]
+    window_doc = doc[window_at]
     to_word = np.argsort(which, kind="stable")
-    word_at = np.searchsorted(which[to_word], np.arange(len(first)))
+    word_at = np.searchsorted(which[to_word], np.arange(n_words))
     is_toxic = label[window_doc]
 
     vectors = rng.normal(0, 0.1, (WIDTH, len(used))).astype(np.float32)  # a row a dimension: sums run along rows
@@ -116,8 +141,9 @@ def train(texts: list[str], toxic: np.ndarray, seed: int = 7) -> Model:
     bias = np.zeros(2, np.float32)
     moments = [[np.zeros_like(p), np.zeros_like(p)] for p in (vectors, softmax, bias)]
     from_word, from_window = owner[to_bucket].astype(np.int32), window[to_word].astype(np.int32)
-    bucket, which = bucket.astype(np.int32), which.astype(np.int32)
-    del owner, to_bucket, to_word
+    which = which.astype(np.int32)
+    del doc, new, owner, to_bucket, to_word, window
+    released()
 
     def sums(values, at, first):  # a dimension after the other, which keeps temporary arrays small
         return np.stack([np.add.reduceat(row.take(at), first) for row in values])
@@ -197,8 +223,10 @@ def fitted(docs: DataFrame, labels: DataFrame, modulus: int = 3, held_out: int =
     ship(docs.sparkSession)
 
     def run(table: pa.Table) -> pa.Table:
+        released()  # what earlier tasks of this worker left
         table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
         model = train([t or "" for t in table.column("text").to_pylist()], table.column("toxic").to_numpy() == 1)
+        released()
         return pa.table({"table": pa.array([model.bucket_logit.astype("<f4").tobytes()], pa.binary()), "bias": [model.bias],
                          "slope": [model.slope], "shift": [model.shift]})
 

@@ -161,3 +161,35 @@ def test_bigrams_travel_once(documents):
     """Ranges answer while they count: nothing is asked for again after the counts are written."""
     plan = language_model.scores(documents, most_bytes=0)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("MapInArrow") == 1 and "GroupsInArrow" not in plan
+
+
+def test_hashes_of_long_texts_take_chunks(monkeypatch):
+    """Chunks give the hashes of the whole, empty spans at the end included, and keep no powers of a whole text's length."""
+    from lunchbox.llm import spans
+    rng = np.random.default_rng(4)
+    raw = rng.integers(97, 123, 4096).astype(np.uint8)
+    raw[rng.random(4096) < 0.2] = 32
+    start = np.r_[np.sort(rng.integers(0, 4096, 900)), 4096]
+    end = np.r_[np.minimum(start[:-1] + np.sort(rng.integers(0, 900, 900)), 4096), 4096]
+    values = spans.mix(np.arange(5000, dtype=np.uint64))
+    want = spans.span_hashes(raw, start, end), [spans.window_hashes(values, n) for n in (1, 3, 13)]
+    monkeypatch.setattr(spans, "CHUNK_BYTES", 256)
+    assert (spans.span_hashes(raw, start, end) == want[0]).all()
+    assert all((spans.window_hashes(values, n) == w).all() for n, w in zip((1, 3, 13), want[1]))
+    monkeypatch.undo()
+    spans._powers.clear()
+    long = np.full(6 << 20, 97, np.uint8)
+    long[::7] = 32
+    first = np.arange(1, len(long) - 7, 7)
+    assert len(np.unique(spans.span_hashes(long, first, first + 6))) == 1
+    assert all(len(up) <= 2 * spans.CHUNK_BYTES for up, _ in spans._powers.values())
+
+
+def test_toxicity_training_is_the_same_in_chunks(monkeypatch):
+    from lunchbox.llm import spans
+    rng = np.random.default_rng(5)
+    texts = [" ".join(rng.choice(["stone", "bread", "cloud", "vile", "x" * 40], 30 * (k % 5))) for k in range(60)]
+    want = toxicity.train(texts, np.arange(60) % 3 == 0)
+    monkeypatch.setattr(spans.chunks, "__defaults__", ("text", 500))
+    model = toxicity.train(texts, np.arange(60) % 3 == 0)
+    assert (model.bucket_logit == want.bucket_logit).all() and (model.bias, model.slope, model.shift) == (want.bias, want.slope, want.shift)
