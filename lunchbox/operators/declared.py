@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window, functions as F
 
 from lunchbox import constants as K
-from lunchbox.functions.keys import BROADCAST_BYTES, estimated_bytes
+from lunchbox.functions.keys import BROADCAST_BYTES, estimated_bytes, small
 from lunchbox.functions.money import MONEY
 from lunchbox.periods import Period, periods_column, span
 from lunchbox.sources.model import HRModel
@@ -26,6 +26,8 @@ def working_day_calendar(states: DataFrame, holidays: DataFrame, first: dt.date,
     days = states.select("state_id", F.explode(F.expr(f"sequence(DATE'{first}', DATE'{last}')")).alias("day"))
     national = holidays.where("holiday_state_id IS NULL").select(F.col("holiday_date").alias("day")).distinct()
     regional = holidays.select(F.col("holiday_state_id").alias("state_id"), F.col("holiday_date").alias("day")).distinct()
+    if small(holidays):
+        national, regional = F.broadcast(national), F.broadcast(regional)
     off = (days.join(national.withColumn("n", F.lit(True)), "day", "left").join(regional.withColumn("r", F.lit(True)), ["state_id", "day"], "left"))
     works = F.when(F.dayofweek("day").between(2, 6) & F.col("n").isNull() & F.col("r").isNull(), 1).otherwise(0)
     so_far = F.sum(works).over(Window.partitionBy("state_id").orderBy("day")).cast("int")
